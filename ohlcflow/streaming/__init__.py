@@ -1,5 +1,19 @@
 """Structured Streaming jobs (STR-1..4, AGG-2 on streams)."""
 
-from .ticks import ohlcv_stream, start_quote_producer, start_tick_consumer, tick_stream
+from .ticks import (
+    ohlcv_stream,
+    read_latest_bars,
+    start_bar_upserts,
+    start_quote_producer,
+    start_tick_consumer,
+    tick_stream,
+)
 
-__all__ = ["ohlcv_stream", "start_quote_producer", "start_tick_consumer", "tick_stream"]
+__all__ = [
+    "ohlcv_stream",
+    "read_latest_bars",
+    "start_bar_upserts",
+    "start_quote_producer",
+    "start_tick_consumer",
+    "tick_stream",
+]

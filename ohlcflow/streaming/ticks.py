@@ -92,3 +92,40 @@ def ohlcv_stream(
     """
     t = ticks.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, watermark)
     return ohlcv(t, every, ts=ts, price=price, keys=keys, tiebreak=tiebreak)
+
+
+def start_bar_upserts(
+    bars: DataFrame,
+    sink_path: str,
+    checkpoint: str,
+    trigger: str | None = "availableNow",
+    fmt: str = "parquet",
+    query_name: str | None = None,
+) -> StreamingQuery:
+    """Streaming bars in update mode: each micro-batch writes the bars it changed
+    under ``batch_id=<id>``; :func:`read_latest_bars` keeps the newest version.
+
+    State is bounded by the watermark of :func:`ohlcv_stream`, and no bar
+    waits for the watermark to be visible.
+    """
+    w = (
+        bars.writeStream.outputMode("update")
+        .foreachBatch(batch_writer_by_symbol(sink_path, fmt))
+        .option("checkpointLocation", checkpoint)
+    )
+    if query_name:
+        w = w.queryName(query_name)
+    return _trigger(w, trigger).start()
+
+
+def read_latest_bars(
+    spark: SparkSession,
+    sink_path: str,
+    keys: Sequence[str] = ("symbol", "time"),
+    fmt: str = "parquet",
+) -> DataFrame:
+    """The newest version of every bar written by :func:`start_bar_upserts`."""
+    from ..operators.bars import dedupe_latest
+
+    df = spark.read.format(fmt).load(sink_path)
+    return dedupe_latest(df, keys=keys, order_col="batch_id")
