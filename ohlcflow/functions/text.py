@@ -25,39 +25,44 @@ SIMPLE_ESCAPES = {
 }
 # --- end of fixed values ---
 
-_TOKEN = r"(?s)(\\x[0-9a-fA-F]{2}|\\[0-7]{1,3}|\\.|[^\\]+)"
-_PRINTABLE_RUN = r"[\x20-\x7e]+|[^\x20-\x7e]+"
+# Tokens of an escaped body: a run of \xNN escapes, an octal escape, any
+# other backslash escape, or a run of plain characters.
+_TOKEN = r"(?s)((?:\\x[0-9a-fA-F]{2})+|\\[0-7]{1,3}|\\.|[^\\]+)"
+_NON_PRINTABLE = r"[^\x20-\x7e]+"
 
 
-def _escape_token(t: Column) -> Column:
-    printable = t.rlike(r"^[\x20-\x7e]+$")
-    plain = F.regexp_replace(F.regexp_replace(t, r"\\", r"\\\\"), "'", r"\\'")
-    hexed = F.regexp_replace(F.lower(F.hex(F.encode(t, "UTF-8"))), "(..)", r"\\x$1")
-    named = F.regexp_replace(
-        F.regexp_replace(F.regexp_replace(hexed, r"\\x09", r"\\t"), r"\\x0a", r"\\n"),
-        r"\\x0d",
-        r"\\r",
-    )
-    return F.when(printable, plain).otherwise(named)
+def _hex_escape(run: Column) -> Column:
+    return F.regexp_replace(F.lower(F.hex(F.encode(run, "UTF-8"))), "(..)", r"\\x$1")
 
 
 def escape_utf8(text: Column) -> Column:
-    """Text to its byte-literal form: printable ASCII kept (``\\`` and ``'``
-    escaped), tab/newline/return named, every other UTF-8 byte as ``\\xNN``."""
-    runs = F.regexp_extract_all(text, F.lit(f"({_PRINTABLE_RUN})"), 1)
-    body = F.array_join(F.transform(runs, _escape_token), "")
+    """Text to its byte-literal form ``b'...'``: printable ASCII kept (``\\`` and
+    ``'`` escaped), tab/newline/return named, every other UTF-8 byte ``\\xNN``.
+
+    ASCII escapes are whole-string literal replacements; only the runs of other
+    characters go through ``hex``, and they are put back between the
+    untouched parts with ``zip_with``.
+    """
+    t = F.replace(text, F.lit("\\"), F.lit("\\\\"))
+    for raw, named in (("'", "\\'"), ("\t", "\\t"), ("\n", "\\n"), ("\r", "\\r")):
+        t = F.replace(t, F.lit(raw), F.lit(named))
+    parts = F.split(t, _NON_PRINTABLE)
+    runs = F.concat(
+        F.transform(F.regexp_extract_all(t, F.lit(f"({_NON_PRINTABLE})"), 1), _hex_escape),
+        F.array(F.lit("")),
+    )
+    body = F.array_join(F.zip_with(parts, runs, lambda p, r: F.concat(p, r)), "")
     return F.concat(F.lit("b'"), body, F.lit("'"))
 
 
 def _token_hex(t: Column) -> Column:
     simple = F.create_map(*[x for kv in SIMPLE_ESCAPES.items() for x in (F.lit(kv[0]), F.lit(kv[1]))])
+    latin1 = F.hex(F.encode(t, "ISO-8859-1"))
     return (
-        F.when(t.startswith("\\x") & (F.length(t) == 4), F.upper(F.substring(t, 3, 2)))
+        F.when(t.startswith("\\x") & (F.length(t) % 4 == 0), F.replace(t, F.lit("\\x"), F.lit("")))
         .when(t.rlike(r"^\\[0-7]{1,3}$"), F.lpad(F.conv(F.substring(t, 2, 3), 8, 16), 2, "0"))
-        .when((F.length(t) == 2) & t.startswith("\\"), F.coalesce(
-            F.element_at(simple, t), F.hex(F.encode(t, "ISO-8859-1"))
-        ))
-        .otherwise(F.hex(F.encode(t, "ISO-8859-1")))
+        .when((F.length(t) == 2) & t.startswith("\\"), F.coalesce(F.element_at(simple, t), latin1))
+        .otherwise(latin1)
     )
 
 
@@ -65,9 +70,13 @@ def repair_utf8(escaped: Column, strip_literal: bool = True) -> Column:
     """Undo :func:`escape_utf8` (and any ``\\xNN``/octal/named escapes).
 
     ``strip_literal`` removes one surrounding ``b'...'``. Unlike a blanket
-    removal of every quote, apostrophes inside the text survive.
+    removal of every quote, apostrophes inside the text survive. All tokens
+    become hex, and one ``unhex`` + ``decode`` rebuilds the text, so a
+    character may span escape kinds.
     """
-    body = F.regexp_replace(escaped, r"(?s)^b'(.*)'$", "$1") if strip_literal else escaped
+    wrapped = escaped.startswith("b'") & escaped.endswith("'") & (F.length(escaped) >= 3)
+    inner = F.substring(escaped, F.lit(3), F.length(escaped) - 3)
+    body = F.when(wrapped, inner).otherwise(escaped) if strip_literal else escaped
     tokens = F.regexp_extract_all(body, F.lit(_TOKEN), 1)
     hexed = F.array_join(F.transform(tokens, _token_hex), "")
     return F.decode(F.unhex(hexed), "UTF-8")

@@ -16,15 +16,16 @@ from pyspark.sql import functions as F
 
 from ..schemas import KST_ZONE, TIME_FORMAT
 
-# --- Fixed values: text formats tried, in order, when parsing free text. ---
+# --- Fixed values: text formats tried, in order, when parsing free text,
+# each with the shape a text must have before that format is tried. ---
 DATETIME_FORMATS = (
-    "yyyy-MM-dd HH:mm:ss",
-    "yyyy-MM-dd'T'HH:mm:ss",
-    "yyyy-MM-dd HH:mm",
-    "yyyy-MM-dd",
-    "yyyy/MM/dd HH:mm:ss",
-    "yyyy/MM/dd",
-    "yyyyMMdd",
+    (r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{2}:\d{2}$", "yyyy-M-d H:mm:ss"),
+    (r"^\d{4}-\d{1,2}-\d{1,2}T\d{1,2}:\d{2}:\d{2}$", "yyyy-M-d'T'H:mm:ss"),
+    (r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{2}$", "yyyy-M-d H:mm"),
+    (r"^\d{4}-\d{1,2}-\d{1,2}$", "yyyy-M-d"),
+    (r"^\d{4}/\d{1,2}/\d{1,2} \d{1,2}:\d{2}:\d{2}$", "yyyy/M/d H:mm:ss"),
+    (r"^\d{4}/\d{1,2}/\d{1,2}$", "yyyy/M/d"),
+    (r"^\d{8}$", "yyyyMMdd"),
 )
 # --- end of fixed values ---
 
@@ -74,13 +75,25 @@ def hours_before_midnight(d: str | Column, hours: int) -> Column:
     return F.to_date(_c(d)).cast("timestamp") - F.make_dt_interval(F.lit(0), F.lit(hours))
 
 
-def parse_datetime(text: str | Column, formats: Sequence[str] = DATETIME_FORMATS) -> Column:
-    """FN-12: the first format in ``formats`` that parses, else null."""
-    c = _c(text)
-    return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in formats])
+def parse_datetime(
+    text: str | Column, formats: Sequence[tuple[str, str]] = DATETIME_FORMATS
+) -> Column:
+    """FN-12: the first listed format whose shape the text has, else null.
 
+    The shape test is a cheap regex, so only the matching parser runs per row
+    (a failed parse attempt costs an exception); free-form guessing is not
+    reproduced.
+    """
+    c = F.trim(_c(text))
+    out = F.lit(None).cast("timestamp")
+    for pattern, fmt in reversed(formats):
+        out = F.when(c.rlike(pattern), F.try_to_timestamp(c, F.lit(fmt))).otherwise(out)
+    return out
 
-def parse_date(text: str | Column, formats: Sequence[str] = DATETIME_FORMATS) -> Column:
+
+def parse_date(
+    text: str | Column, formats: Sequence[tuple[str, str]] = DATETIME_FORMATS
+) -> Column:
     """FN-12: date part of :func:`parse_datetime`."""
     return F.to_date(parse_datetime(text, formats))
 

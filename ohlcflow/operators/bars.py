@@ -196,3 +196,11 @@ def dedupe_latest(
     return df.groupBy(*keys).agg(*[F.max_by(c, order).alias(c) for c in values]).select(
         *[c for c in df.columns if c != order_col]
     )
+
+
+def with_symbol(df: DataFrame, symbol: str) -> DataFrame:
+    """PRJ-4 / FN-5: a constant ``symbol`` column for a single-symbol frame.
+
+    The partitioned bar table already carries ``symbol`` from its folders.
+    """
+    return df.withColumn("symbol", F.lit(symbol))

@@ -176,6 +176,7 @@ SELECT CAST(0 AS DOUBLE) AS high, CAST(0 AS DOUBLE) AS low, CAST(0 AS DOUBLE) AS
 FROM events
 """,
         "stream_ohlcv_parity": _bars("1 hour"),
+        "bar_table_roundtrip": _BARS_FROM_PAYLOAD,
         "bars_dedupe": f"""
 SELECT symbol, time, high, low, open,
        CASE WHEN symbol = 'view' THEN close + 1 ELSE close END AS close,

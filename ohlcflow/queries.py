@@ -49,7 +49,8 @@ from .operators.ticks import (
 )
 from .plans.backfill import backfill_plan
 from .session import scratch_path
-from .sources.files import parse_payloads
+from .sinks.writers import land_payloads
+from .sources.files import parse_payloads, read_bar_table
 
 # --- Fixed query parameters. ---
 RUN_DATE = "2022-03-20"          # backfill plan run date (FIXTURES F6)
@@ -290,6 +291,17 @@ def stream_ohlcv_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _cents(read_latest_bars(spark, sink), "volumeto").select(*_hourly(spark, sf_dir).columns)
 
 
+def bar_table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-6 SRC-1 SNK-1 SRC-2 API-8: payloads landed as JSON under symbol/tier
+    folders, E1 to the partitioned bar table, the table read back for serving."""
+    from .apps import raw_to_bar_table
+
+    raw, bars = scratch_path(spark, "raw"), scratch_path(spark, "bars")
+    land_payloads(fixtures.bar_payloads(table(spark, sf_dir, "events")), raw)
+    raw_to_bar_table(raw, bars).run(spark)
+    return read_bar_table(spark, bars)
+
+
 def queries() -> dict[str, Query]:
     return {
         "bars_from_payload": bars_from_payload,
@@ -315,6 +327,7 @@ def queries() -> dict[str, Query]:
         "text_repair": text_repair,
         "nested_field_project": nested_field_project,
         "bars_dedupe": bars_dedupe,
+        "bar_table_roundtrip": bar_table_roundtrip,
         "stream_ticks_parity": stream_ticks_parity,
         "stream_ohlcv_parity": stream_ohlcv_parity,
     }
