@@ -24,6 +24,8 @@ DEFAULT_CONF: dict[str, str] = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
+    # Checkpoint files (global row positions) are removed once unreferenced.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
