@@ -3,19 +3,48 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+# Copies of one row produced by one generator step; larger counts are split
+# into blocks that are spread over tasks before they are expanded.
+REPLICA_BLOCK = 10_000
 
-def except_all(left: DataFrame, right: DataFrame) -> DataFrame:
-    """SET-1: multiset difference by position (``EXCEPT ALL``).
 
-    Catalyst rewrites it to union + aggregate + replicate, so duplicates are
-    counted map-side before one shuffle. Splitting a frame into single-row
-    frames (SET-2) is not reproduced: rows are routed by key in one
-    partitioned write (:func:`ohlcflow.sinks.write_by_symbol`).
+def except_all(left: DataFrame, right: DataFrame, block: int = REPLICA_BLOCK) -> DataFrame:
+    """SET-1: multiset difference (``EXCEPT ALL``): every row of ``left`` kept
+    ``max(count_left - count_right, 0)`` times. Nulls compare equal.
+
+    A signed count per distinct row is aggregated with a map-side partial
+    step (duplicates collapse before the shuffle). Spark's own rewrite then
+    replicates each surviving row inside one task, so a row holding a third of
+    the input would be emitted by a single task; here the copies are cut into
+    blocks of at most ``block`` rows, the blocks are hash-spread over the
+    session's shuffle partitions, and only then expanded.
     """
-    return left.exceptAll(right.select(*left.columns))
+    cols = left.columns
+    signed = left.select(*cols, F.lit(1).alias("_sign")).unionByName(
+        right.select(*cols, F.lit(-1).alias("_sign"))
+    )
+    net = signed.groupBy(*cols).agg(F.sum("_sign").alias("_n")).where(F.col("_n") > 0)
+    blocks = net.select(
+        *cols, "_n", F.explode(F.sequence(F.lit(0), F.floor((F.col("_n") - 1) / block).cast("long"))).alias("_b")
+    )
+    size = F.least(F.lit(block).cast("long"), F.col("_n") - F.col("_b") * block).cast("int")
+    # An explicit partition count: block rows are tiny in bytes, and adaptive
+    # coalescing would otherwise pack a hot row's blocks back into one task.
+    n = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (
+        blocks.repartition(n, *cols, "_b")
+        .select(*cols, F.explode(F.array_repeat(F.lit(0), size)).alias("_r"))
+        .drop("_r")
+    )
 
 
 def new_rows(incoming: DataFrame, existing: DataFrame) -> DataFrame:
-    """Rows of ``incoming`` not already in ``existing`` (as multisets)."""
+    """Rows of ``incoming`` not already in ``existing`` (as multisets).
+
+    Splitting a frame into single-row frames (SET-2) is not reproduced: rows
+    are routed by key in one partitioned write
+    (:func:`ohlcflow.sinks.write_by_symbol`).
+    """
     return except_all(incoming, existing)

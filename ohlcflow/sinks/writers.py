@@ -73,14 +73,15 @@ def batch_writer_by_symbol(path: str, fmt: str = "json") -> Callable[[DataFrame,
 
     Output goes to ``path/batch_id=<id>/symbol=<s>`` with dynamic partition
     overwrite, so a replayed batch replaces its own partitions instead of
-    duplicating rows; an empty batch writes nothing.
+    duplicating rows. The batch is written with a single action: no count or
+    emptiness probe re-runs its plan (an empty batch simply writes no
+    partition, AGG-1), and no extra shuffle is added, since micro-batch
+    output is already spread by its source or aggregation partitions.
     """
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
         (
-            _rebalanced(batch.withColumn("batch_id", F.lit(batch_id)), ["batch_id", "symbol"])
+            batch.withColumn("batch_id", F.lit(batch_id))
             .write.format(fmt)
             .mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")

@@ -37,6 +37,18 @@ def test_top_n_is_take_ordered(spark):
 
 
 def test_except_all_is_multiset(spark):
-    a = spark.createDataFrame([(1,), (1,), (1,), (2,)], "x int")
-    b = spark.createDataFrame([(1,), (3,)], "x int")
-    assert sorted(r.x for r in except_all(a, b).collect()) == [1, 1, 2]
+    a = spark.createDataFrame([(1, "a"), (1, "a"), (1, "a"), (2, None), (2, None), (4, "d")], "x int, y string")
+    b = spark.createDataFrame([(1, "a"), (3, "c"), (2, None), (4, "d"), (4, "d")], "x int, y string")
+    got = sorted(tuple(r) for r in except_all(a, b).collect())
+    assert got == sorted(tuple(r) for r in a.exceptAll(b).collect()) == [(1, "a"), (1, "a"), (2, None)]
+
+
+def test_except_all_spreads_a_hot_row(spark):
+    hot = spark.range(25000).select(F.lit(7).alias("k"))
+    rest = spark.range(100).select((F.col("id") + 100).alias("k"))
+    left = hot.unionByName(rest)
+    right = spark.createDataFrame([(7,), (7,), (100,)], "k long")
+    out = except_all(left, right, block=1000)
+    assert out.count() == 25000 - 2 + 99
+    sizes = out.where("k = 7").groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) > 1 and max(r["count"] for r in sizes) < 25000
