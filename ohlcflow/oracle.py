@@ -165,6 +165,11 @@ SELECT o_orderkey,
        CAST(epoch(CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP)) AS BIGINT) AS epoch,
        strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d') AS parsed
 FROM orders
+""",
+        "parse_dates": """
+SELECT o_orderkey, strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d') AS order_date,
+       strftime(CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP), '%Y-%m-%d %H:%M:%S') AS midnight
+FROM orders
 """,
         "text_repair": "SELECT doc_id, text FROM documents",
         "nested_field_project": f"SELECT event_id, {_K} AS k FROM events",
@@ -177,6 +182,7 @@ FROM events
 """,
         "stream_ohlcv_parity": _bars("1 hour"),
         "bar_table_roundtrip": _BARS_FROM_PAYLOAD,
+        "served_documents": _BARS_FROM_PAYLOAD,
         "bars_dedupe": f"""
 SELECT symbol, time, high, low, open,
        CASE WHEN symbol = 'view' THEN close + 1 ELSE close END AS close,

@@ -220,6 +220,32 @@ def calendar_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# --- Fixed values of the parse_dates query: one text format per order priority. ---
+PRIORITY_FORMATS = {
+    "1-URGENT": "yyyy-MM-dd HH:mm:ss",
+    "2-HIGH": "yyyy-MM-dd'T'HH:mm:ss",
+    "3-MEDIUM": "yyyy/MM/dd",
+    "4-NOT SPECIFIED": "yyyyMMdd",
+    "5-LOW": "yyyy-MM-dd",
+}
+# --- end of fixed values ---
+
+
+def parse_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FN-12/13: order dates rendered as text in a format chosen by priority,
+    parsed back without knowing the format, then taken to midnight."""
+    o = table(spark, sf_dir, "orders")
+    text = F.lit(None).cast("string")
+    for priority, fmt in PRIORITY_FORMATS.items():
+        text = F.when(F.col("o_orderpriority") == priority, F.date_format("o_orderdate", fmt)).otherwise(text)
+    parsed = parse_date(text)
+    return o.select(
+        "o_orderkey",
+        F.date_format(parsed, "yyyy-MM-dd").alias("order_date"),
+        F.date_format(date_to_datetime(parsed), "yyyy-MM-dd HH:mm:ss").alias("midnight"),
+    )
+
+
 def text_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FN-15: every document escaped to a byte literal and repaired (whole texts)."""
     esc = fixtures.escaped_documents(table(spark, sf_dir, "documents"))
@@ -302,6 +328,19 @@ def bar_table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_bar_table(spark, bars)
 
 
+def served_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """API-8 E1 then E2 (SNK-2): payloads landed, bar table built, bar rows with
+    symbol and tier appended to a JSON document collection and read back."""
+    from .apps import batch_stages
+    from .jobs import run_stages
+    from .schemas import BAR_ROW_SCHEMA
+
+    raw, bars, docs = (scratch_path(spark, n) for n in ("raw", "bars", "docs"))
+    land_payloads(fixtures.bar_payloads(table(spark, sf_dir, "events")), raw)
+    run_stages(spark, batch_stages(raw, bars, docs))
+    return spark.read.schema(BAR_ROW_SCHEMA).json(docs)
+
+
 def queries() -> dict[str, Query]:
     return {
         "bars_from_payload": bars_from_payload,
@@ -324,10 +363,12 @@ def queries() -> dict[str, Query]:
         "tier_select": tier_select,
         "top_symbols": top_symbols,
         "calendar_functions": calendar_functions,
+        "parse_dates": parse_dates,
         "text_repair": text_repair,
         "nested_field_project": nested_field_project,
         "bars_dedupe": bars_dedupe,
         "bar_table_roundtrip": bar_table_roundtrip,
+        "served_documents": served_documents,
         "stream_ticks_parity": stream_ticks_parity,
         "stream_ohlcv_parity": stream_ohlcv_parity,
     }
