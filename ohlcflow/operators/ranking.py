@@ -4,17 +4,15 @@ Global positions are computed without a single-partition window: the frame is
 range-partitioned on a total order and checkpointed (so every pass sees the
 same partitions, and lineage is cut in the shared checkpoint folder), then
 per-partition counts - one number per partition - give each partition its
-offset, and an Arrow-batched ``mapInPandas`` numbers rows inside it.
+offset, added to the row's position inside its partition.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 
 from ..session import checkpoint_root
 
@@ -32,32 +30,28 @@ def row_index(
     """1-based position of every row under ``order``, which must be total.
 
     Work is spread over ``num_partitions`` range partitions (default: the
-    session's shuffle partitions); only the per-partition counts reach the
-    driver.
+    session's shuffle partitions). Only the per-partition counts reach the
+    driver; the offsets go back as a literal array indexed by partition, and
+    ``monotonically_increasing_id`` (partition index and position within the
+    partition) completes the number - JVM-side, no Python worker.
     """
     spark = df.sparkSession
     checkpoint_root(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cols = _order_cols(order)
     ranged = df.repartitionByRange(n, *cols).sortWithinPartitions(*cols).checkpoint(eager=True)
+    parts = ranged.rdd.getNumPartitions()
     counts = ranged.groupBy(F.spark_partition_id().alias("pid")).count().collect()
     sizes = {int(r["pid"]): int(r["count"]) for r in counts}
-    offsets, acc = {}, 0
-    for pid in sorted(sizes):
-        offsets[pid] = acc
-        acc += sizes[pid]
-    schema = StructType(ranged.schema.fields + [StructField(name, LongType(), False)])
-
-    def number(batches):
-        from pyspark import TaskContext
-
-        start = offsets.get(TaskContext.get().partitionId(), 0) + 1
-        for pdf in batches:
-            pdf[name] = np.arange(start, start + len(pdf), dtype=np.int64)
-            start += len(pdf)
-            yield pdf
-
-    return ranged.mapInPandas(number, schema)
+    offsets, acc = [], 0
+    for pid in range(parts):
+        offsets.append(acc)
+        acc += sizes.get(pid, 0)
+    mid = F.monotonically_increasing_id()
+    position = mid.bitwiseAND(F.lit((1 << 33) - 1))
+    pid = F.shiftright(mid, 33).cast("int")
+    offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), pid + 1)
+    return ranged.withColumn(name, (offset + position + 1).cast("long"))
 
 
 def rank_symbols(

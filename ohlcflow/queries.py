@@ -32,6 +32,7 @@ from .operators.bars import (
     dedupe_latest,
     last_n_bars,
     ohlcv,
+    ohlcv_multi,
     resample_bars,
     select_tier,
     union_tiers,
@@ -59,6 +60,7 @@ LAST_N = 24
 LAST_N_TO_TS = "2024-01-20 00:00:00"
 TOP_N = 100
 CHUNK = 10
+TIER_WIDTHS = {"daily": "1 day", "hourly": "1 hour", "minutely": "1 minute"}
 STREAM_FILES = 8
 # --- end of fixed query parameters ---
 
@@ -180,7 +182,7 @@ def _tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
     ticks = fixtures.ticks(table(spark, sf_dir, "events"))
     frames = [
         ohlcv(ticks, every, tiebreak="event_id").withColumn("batch_unit", F.lit(unit))
-        for unit, every in (("daily", "1 day"), ("hourly", "1 hour"), ("minutely", "1 minute"))
+        for unit, every in TIER_WIDTHS.items()
     ]
     return _cents(union_tiers(*frames), "volumeto")
 
@@ -191,8 +193,11 @@ def tier_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tier_select(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SET-4: per instant, only the bars of the tier that covers it (run date 2024-01-28)."""
-    return select_tier(_tiers(spark, sf_dir), TIER_RUN_DATE)
+    """SET-4: per instant, only the bars of the tier that covers it (run date
+    2024-01-28); the three resolutions come from one pass over the ticks."""
+    ticks = fixtures.ticks(table(spark, sf_dir, "events"))
+    bars = ohlcv_multi(ticks, TIER_WIDTHS, tiebreak="event_id")
+    return _cents(select_tier(bars, TIER_RUN_DATE), "volumeto")
 
 
 def top_symbols(spark: SparkSession, sf_dir: str) -> DataFrame:
