@@ -25,44 +25,53 @@ SIMPLE_ESCAPES = {
 }
 # --- end of fixed values ---
 
-# Tokens of an escaped body: a run of \xNN escapes, an octal escape, any
-# other backslash escape, or a run of plain characters.
-_TOKEN = r"(?s)((?:\\x[0-9a-fA-F]{2})+|\\[0-7]{1,3}|\\.|[^\\]+)"
-_NON_PRINTABLE = r"[^\x20-\x7e]+"
+# Tokens of an escaped body: a run of \xNN escapes, a run of octal escapes,
+# any other backslash escape, or a run of plain characters.
+_TOKEN = r"(?s)((?:\\x[0-9a-fA-F]{2})+|(?:\\[0-7]{1,3})+|\\.|[^\\]+)"
+# Tokens of a text: runs of printable ASCII and runs of anything else.
+_RUNS = r"([\x20-\x7e]+|[^\x20-\x7e]+)"
 
 
 def _hex_escape(run: Column) -> Column:
     return F.regexp_replace(F.lower(F.hex(F.encode(run, "UTF-8"))), "(..)", r"\\x$1")
 
 
+def _is_printable(t: Column) -> Column:
+    first = F.ascii(t)
+    return (first >= 32) & (first <= 126)
+
+
 def escape_utf8(text: Column) -> Column:
     """Text to its byte-literal form ``b'...'``: printable ASCII kept (``\\`` and
     ``'`` escaped), tab/newline/return named, every other UTF-8 byte ``\\xNN``.
 
-    ASCII escapes are whole-string literal replacements; only the runs of other
-    characters go through ``hex``, and they are put back between the
-    untouched parts with ``zip_with``.
+    ASCII escapes are whole-string literal replacements; the text is then cut
+    into printable and other runs in one regex pass, and only the other runs
+    go through ``hex``.
     """
     t = F.replace(text, F.lit("\\"), F.lit("\\\\"))
     for raw, named in (("'", "\\'"), ("\t", "\\t"), ("\n", "\\n"), ("\r", "\\r")):
         t = F.replace(t, F.lit(raw), F.lit(named))
-    parts = F.split(t, _NON_PRINTABLE)
-    runs = F.concat(
-        F.transform(F.regexp_extract_all(t, F.lit(f"({_NON_PRINTABLE})"), 1), _hex_escape),
-        F.array(F.lit("")),
-    )
-    body = F.array_join(F.zip_with(parts, runs, lambda p, r: F.concat(p, r)), "")
+    runs = F.regexp_extract_all(t, F.lit(_RUNS), 1)
+    body = F.array_join(F.transform(runs, lambda r: F.when(_is_printable(r), r).otherwise(_hex_escape(r))), "")
     return F.concat(F.lit("b'"), body, F.lit("'"))
 
 
-def _token_hex(t: Column) -> Column:
+def _octal_hex(run: Column) -> Column:
+    digits = F.regexp_extract_all(run, F.lit(r"([0-7]{1,3})"), 1)
+    return F.array_join(F.transform(digits, lambda d: F.lpad(F.conv(d, 8, 16), 2, "0")), "")
+
+
+def _token_text(t: Column) -> Column:
     simple = F.create_map(*[x for kv in SIMPLE_ESCAPES.items() for x in (F.lit(kv[0]), F.lit(kv[1]))])
-    latin1 = F.hex(F.encode(t, "ISO-8859-1"))
+    utf8 = lambda hexed: F.decode(F.unhex(hexed), "UTF-8")
+    is_escape = t.startswith("\\")
     return (
-        F.when(t.startswith("\\x") & (F.length(t) % 4 == 0), F.replace(t, F.lit("\\x"), F.lit("")))
-        .when(t.rlike(r"^\\[0-7]{1,3}$"), F.lpad(F.conv(F.substring(t, 2, 3), 8, 16), 2, "0"))
-        .when((F.length(t) == 2) & t.startswith("\\"), F.coalesce(F.element_at(simple, t), latin1))
-        .otherwise(latin1)
+        F.when(~is_escape, t)
+        .when(t.startswith("\\x") & (F.length(t) % 4 == 0), utf8(F.replace(t, F.lit("\\x"), F.lit(""))))
+        .when(t.rlike(r"^(\\[0-7]{1,3})+$"), utf8(_octal_hex(t)))
+        .when(F.length(t) == 2, F.coalesce(utf8(F.element_at(simple, t)), t))
+        .otherwise(t)
     )
 
 
@@ -70,13 +79,22 @@ def repair_utf8(escaped: Column, strip_literal: bool = True) -> Column:
     """Undo :func:`escape_utf8` (and any ``\\xNN``/octal/named escapes).
 
     ``strip_literal`` removes one surrounding ``b'...'``. Unlike a blanket
-    removal of every quote, apostrophes inside the text survive. All tokens
-    become hex, and one ``unhex`` + ``decode`` rebuilds the text, so a
-    character may span escape kinds.
+    removal of every quote, apostrophes inside the text survive. Plain runs
+    pass through untouched; each run of byte escapes is decoded as UTF-8 on
+    its own (the bytes of one character are always adjacent), so only the
+    escaped part of a text is converted.
     """
-    wrapped = escaped.startswith("b'") & escaped.endswith("'") & (F.length(escaped) >= 3)
-    inner = F.substring(escaped, F.lit(3), F.length(escaped) - 3)
-    body = F.when(wrapped, inner).otherwise(escaped) if strip_literal else escaped
+
+    def strip(e: Column) -> Column:
+        wrapped = e.startswith("b'") & e.endswith("'") & (F.length(e) >= 3)
+        return F.when(wrapped, F.substring(e, F.lit(3), F.length(e) - 3)).otherwise(e)
+
+    # Bind the input once (a one-element transform acts as a let), so an
+    # expensive input expression is not evaluated once per reference.
+    body = _let(escaped, strip) if strip_literal else escaped
     tokens = F.regexp_extract_all(body, F.lit(_TOKEN), 1)
-    hexed = F.array_join(F.transform(tokens, _token_hex), "")
-    return F.decode(F.unhex(hexed), "UTF-8")
+    return F.array_join(F.transform(tokens, _token_text), "")
+
+
+def _let(value: Column, fn) -> Column:
+    return F.element_at(F.transform(F.array(value), fn), 1)
