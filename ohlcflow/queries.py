@@ -346,7 +346,24 @@ def served_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(BAR_ROW_SCHEMA).json(docs)
 
 
+def _pinned(fn: Query) -> Query:
+    """Run a query with the session zone pinned to UTC (bar times, epochs and
+    calendar text are defined in UTC), whatever session the caller built."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        return fn(spark, sf_dir)
+
+    run.__name__ = fn.__name__
+    run.__doc__ = fn.__doc__
+    return run
+
+
 def queries() -> dict[str, Query]:
+    return {name: _pinned(fn) for name, fn in _registry().items()}
+
+
+def _registry() -> dict[str, Query]:
     return {
         "bars_from_payload": bars_from_payload,
         "response_quarantine": response_quarantine,
