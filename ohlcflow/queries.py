@@ -51,7 +51,7 @@ from .operators.ticks import (
 from .plans.backfill import backfill_plan
 from .session import scratch_path
 from .sinks.writers import land_payloads
-from .sources.files import parse_payloads, read_bar_table
+from .sources.files import parse_payloads, read_bar_table, spread
 
 # --- Fixed query parameters. ---
 RUN_DATE = "2022-03-20"          # backfill plan run date (FIXTURES F6)
@@ -71,6 +71,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _heavy(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table for per-row heavy work (JSON, text, calendar parsing): spread
+    over the session's cores when its scan yields fewer partitions."""
+    return spread(table(spark, sf_dir, name))
+
+
 def _cents(df: DataFrame, *cols: str) -> DataFrame:
     return df.withColumns({c: F.round(c, 2) for c in cols})
 
@@ -167,7 +173,7 @@ def fill_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tick_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PRJ-5 FN-3: binary tick records (with garbage/wrong-type/null variants) decoded."""
-    records = fixtures.tick_records(table(spark, sf_dir, "events"))
+    records = fixtures.tick_records(_heavy(spark, sf_dir, "events"))
     return parse_tick_json(cast_value_to_string(records))
 
 
@@ -209,7 +215,7 @@ def top_symbols(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def calendar_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FN-8..14: month/year/day/hour steps, midnight, epoch and text parsing per order."""
-    o = table(spark, sf_dir, "orders")
+    o = _heavy(spark, sf_dir, "orders")
     d = F.to_date("o_orderdate")
     fmt = "yyyy-MM-dd"
     return o.select(
@@ -239,7 +245,7 @@ PRIORITY_FORMATS = {
 def parse_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FN-12/13: order dates rendered as text in a format chosen by priority,
     parsed back without knowing the format, then taken to midnight."""
-    o = table(spark, sf_dir, "orders")
+    o = _heavy(spark, sf_dir, "orders")
     text = F.lit(None).cast("string")
     for priority, fmt in PRIORITY_FORMATS.items():
         text = F.when(F.col("o_orderpriority") == priority, F.date_format("o_orderdate", fmt)).otherwise(text)
@@ -253,7 +259,7 @@ def parse_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def text_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FN-15: every document escaped to a byte literal and repaired (whole texts)."""
-    esc = fixtures.escaped_documents(table(spark, sf_dir, "documents"))
+    esc = fixtures.escaped_documents(_heavy(spark, sf_dir, "documents"))
     return esc.select("doc_id", repair_utf8(F.col("escaped")).alias("text"))
 
 

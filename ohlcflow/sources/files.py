@@ -45,3 +45,16 @@ def read_symbols(
     """SRC-5: one partitioned scan for all symbols; a list prunes partitions."""
     df = read_bar_table(spark, path, fmt)
     return df if symbols is None else df.where(F.col("symbol").isin(list(symbols)))
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin a frame over ``min_partitions`` tasks (default: the
+    session's parallelism) only when it has fewer partitions than that.
+
+    A scan of a few large row groups gives one task per row group however
+    many cores there are; per-row heavy work (JSON, text) then runs on a few
+    cores. On inputs already split into at least that many partitions
+    (the normal case at scale) this is a no-op and adds no shuffle.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df

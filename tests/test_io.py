@@ -71,3 +71,13 @@ def test_job_api(spark, scratch):
     assert sorted(r.x for r in job.build(spark).collect()) == [2, 4, 6, 8]
     run_stages(spark, [job])
     assert spark.read.parquet(out).count() == 4
+
+
+def test_spread_only_when_narrow(spark):
+    from ohlcflow.sources import spread
+
+    wide = spark.range(0, 1000, numPartitions=8)
+    assert spread(wide, 8) is wide                    # already split: no shuffle added
+    narrow = spark.range(0, 1000, numPartitions=1)
+    out = spread(narrow, 8)
+    assert out.rdd.getNumPartitions() == 8 and out.count() == 1000
