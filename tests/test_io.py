@@ -81,3 +81,16 @@ def test_spread_only_when_narrow(spark):
     narrow = spark.range(0, 1000, numPartitions=1)
     out = spread(narrow, 8)
     assert out.rdd.getNumPartitions() == 8 and out.count() == 1000
+
+
+def test_cli_batch_and_plan(spark, scratch):
+    from ohlcflow.cli import main
+
+    ev = _events(spark)
+    raw = f"{scratch}/raw"
+    land_payloads(fixtures.bar_payloads(ev), raw)
+    main(["batch", "--raw", raw, "--table", f"{scratch}/bars", "--out", f"{scratch}/docs"])
+    assert spark.read.json(f"{scratch}/docs").count() == ev.where("event_type <> 'error'").count()
+    spark.createDataFrame([("A",), ("B",)], "symbol string").write.parquet(f"{scratch}/sym")
+    main(["plan", "--symbols-table", f"{scratch}/sym", "--run-date", "2022-03-20", "--out", f"{scratch}/plan"])
+    assert spark.read.parquet(f"{scratch}/plan").where("symbol = 'A'").count() * 2 == spark.read.parquet(f"{scratch}/plan").count()
