@@ -221,10 +221,27 @@ def covering_tier(t: Column, run_date: str) -> Column:
     )
 
 
+def covering_tier_text(time_text: Column, run_date: str) -> Column:
+    """SET-4 on ``yyyy-MM-dd HH:mm:ss`` text: same answer as
+    :func:`covering_tier`, by comparing the text with constant-folded text
+    bounds (the fixed format orders like time). No per-row parsing, and on a
+    stored bar table the comparisons reach the parquet scan."""
+    b = tier_bounds(run_date)
+
+    def text(c: Column) -> Column:
+        return F.date_format(c.cast("timestamp"), TIME_FORMAT)
+
+    return (
+        F.when(time_text < text(b["oldest"]), F.lit(None))
+        .when(time_text < text(F.date_add(b["daily_end"], 1)), F.lit("daily"))
+        .when(time_text < text(F.date_add(b["hourly_end"], 1)), F.lit("hourly"))
+        .when(time_text <= text(b["minutely_end"]), F.lit("minutely"))
+    )
+
+
 def select_tier(bars: DataFrame, run_date: str, time_col: str = "time") -> DataFrame:
     """SET-4: keep each bar only if its ``batch_unit`` is the tier covering its time."""
-    t = F.to_timestamp(F.col(time_col), TIME_FORMAT)
-    return bars.where(F.col("batch_unit") == covering_tier(t, run_date))
+    return bars.where(F.col("batch_unit") == covering_tier_text(F.col(time_col), run_date))
 
 
 def dedupe_latest(

@@ -134,3 +134,17 @@ def test_ohlcv_multi_equals_per_tier_union(spark):
     many = union_tiers(*[ohlcv(ticks, e, tiebreak="event_id").withColumn("batch_unit", F.lit(u)) for u, e in tiers.items()])
     assert sorted(map(tuple, one.select(*many.columns).collect())) == sorted(map(tuple, many.collect()))
     assert one._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+
+
+def test_text_and_timestamp_tier_agree(spark):
+    from ohlcflow.operators.bars import covering_tier, covering_tier_text
+
+    times = ["2010-07-16 23:59:59", "2010-07-17 00:00:00", "2017-01-28 23:59:59", "2017-01-29 00:00:00",
+             "2024-01-21 23:59:59", "2024-01-22 00:00:00", "2024-01-28 00:00:00", "2024-01-28 00:00:01"]
+    df = spark.createDataFrame([(t,) for t in times], "time string")
+    rows = df.select(
+        covering_tier_text(F.col("time"), "2024-01-28").alias("a"),
+        covering_tier(F.to_timestamp("time"), "2024-01-28").alias("b"),
+    ).collect()
+    assert [r.a for r in rows] == [r.b for r in rows] == [
+        None, "daily", "daily", "hourly", "hourly", "minutely", "minutely", None]
