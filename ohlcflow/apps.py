@@ -11,9 +11,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .jobs import Job, run_stages
-from .operators.bars import BAR_TRANSFORMS
+from .operators.bars import BAR_TRANSFORMS, dedupe_latest
 from .operators.quality import accept
 from .schemas import SERVED_COLUMNS
 from .sinks.writers import write_bar_table, write_documents
@@ -22,17 +23,28 @@ from .sources.stream import read_tick_stream
 from .streaming.ticks import start_tick_consumer, tick_stream
 
 
-def raw_to_bar_table(raw_root: str, table_path: str) -> Job:
+def raw_to_bar_table(raw_root: str, table_path: str, dedupe: bool = False) -> Job:
     """E1: accepted payloads of every symbol and tier, flattened and typed,
-    written to the one partitioned bar table (rerun-safe)."""
+    written to the one partitioned bar table (rerun-safe: dynamic overwrite
+    replaces the partitions the raw data covers).
+
+    ``dedupe`` keeps one bar per ``(symbol, batch_unit, time)`` when
+    overlapping requests returned the same bar twice; the choice among
+    differing copies is deterministic (by row hash).
+    """
+    transforms = BAR_TRANSFORMS + ((_dedupe_bars,) if dedupe else ())
     return Job(
         read=lambda spark: accept(read_payloads(spark, raw_root)),
-        transforms=BAR_TRANSFORMS,
+        transforms=transforms,
         write=lambda df: write_bar_table(df, table_path),
         name="raw_to_bar_table",
     )
 
 
+def _dedupe_bars(df: DataFrame) -> DataFrame:
+    return dedupe_latest(df.withColumn("_seq", F.lit(0)), order_col="_seq")
+
+
 def bar_table_to_documents(
     table_path: str,
     serve_path: str,

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schemas import PAYLOAD_SCHEMA
+from ..schemas import COIN_INFO_SCHEMA, PAYLOAD_SCHEMA
 
 
 def read_payloads(spark: SparkSession, root: str) -> DataFrame:
@@ -32,6 +32,13 @@ def parse_payloads(df: DataFrame, column: str = "payload") -> DataFrame:
     )
 
 
+def read_coin_info(spark: SparkSession, path: str) -> DataFrame:
+    """Market-cap info documents (F8, quirk Q16): a JSON array or JSON lines
+    of ``{"CoinInfo": {"Name": ...}, "mktcap": ...}`` read by declared schema;
+    a missing ``Name`` is null."""
+    return spark.read.schema(COIN_INFO_SCHEMA).json(path)
+
+
 def read_bar_table(
     spark: SparkSession, path: str, fmt: str = "parquet", merge_schema: bool = True
 ) -> DataFrame:

@@ -94,3 +94,35 @@ def test_cli_batch_and_plan(spark, scratch):
     spark.createDataFrame([("A",), ("B",)], "symbol string").write.parquet(f"{scratch}/sym")
     main(["plan", "--symbols-table", f"{scratch}/sym", "--run-date", "2022-03-20", "--out", f"{scratch}/plan"])
     assert spark.read.parquet(f"{scratch}/plan").where("symbol = 'A'").count() * 2 == spark.read.parquet(f"{scratch}/plan").count()
+
+
+def test_bar_table_schema_evolution(spark, scratch):
+    v1 = spark.createDataFrame([("t1", 1.0, "A", "daily")], "time string, close double, symbol string, batch_unit string")
+    v2 = spark.createDataFrame([("t2", 2.0, 5.0, "B", "daily")], "time string, close double, vwap double, symbol string, batch_unit string")
+    write_bar_table(v1, scratch, mode="append")
+    write_bar_table(v2, scratch, mode="append")
+    got = {r.symbol: r.vwap for r in read_bar_table(spark, scratch).collect()}
+    assert got == {"A": None, "B": 5.0}
+
+
+def test_e1_dedupe_option(spark, scratch):
+    from ohlcflow.apps import raw_to_bar_table
+
+    bar = {"time": 1647734400, "high": 2.0, "low": 1.0, "open": 1.5, "close": 1.8, "volumefrom": 1.0, "volumeto": 1.8}
+    doc = json.dumps({"Response": "Success", "Message": "", "Data": {"Data": [bar]}})
+    overlap = spark.createDataFrame([("A", "daily", doc), ("A", "daily", doc)], "symbol string, batch_unit string, payload string")
+    land_payloads(overlap, f"{scratch}/raw")
+    raw_to_bar_table(f"{scratch}/raw", f"{scratch}/plain").run(spark)
+    raw_to_bar_table(f"{scratch}/raw", f"{scratch}/dedup", dedupe=True).run(spark)
+    assert read_bar_table(spark, f"{scratch}/plain").count() == 2
+    assert read_bar_table(spark, f"{scratch}/dedup").count() == 1
+
+
+def test_read_coin_info(spark, scratch):
+    from ohlcflow.sources import read_coin_info
+
+    os.makedirs(scratch)
+    with open(f"{scratch}/info.json", "w") as f:
+        json.dump([{"CoinInfo": {"Name": "BTC"}, "mktcap": 10.0}, {"CoinInfo": {}, "mktcap": 1.0}], f)
+    rows = read_coin_info(spark, f"{scratch}/info.json").select("CoinInfo.Name", "mktcap").collect()
+    assert sorted((r.Name or "", r.mktcap) for r in rows) == [("", 1.0), ("BTC", 10.0)]
