@@ -179,6 +179,13 @@ SELECT CAST(0 AS DOUBLE) AS high, CAST(0 AS DOUBLE) AS low, CAST(0 AS DOUBLE) AS
        CAST(0 AS DOUBLE) AS volumefrom, CAST(0 AS DOUBLE) AS volumeto,
        CASE WHEN {_K} % 10 = 0 THEN NULL ELSE event_type END AS symbol
 FROM events
+""",
+        "stream_dedupe_parity": f"""
+SELECT CAST(0 AS DOUBLE) AS high, CAST(0 AS DOUBLE) AS low, CAST(0 AS DOUBLE) AS open,
+       CASE WHEN {_K} % 10 IN (0, 1, 2) THEN NULL ELSE value END AS close,
+       CAST(0 AS DOUBLE) AS volumefrom, CAST(0 AS DOUBLE) AS volumeto,
+       CASE WHEN {_K} % 10 = 0 THEN NULL ELSE event_type END AS symbol
+FROM events
 """,
         "stream_ohlcv_parity": _bars("1 hour"),
         "bar_table_roundtrip": _BARS_FROM_PAYLOAD,

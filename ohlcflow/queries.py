@@ -304,6 +304,23 @@ def stream_ticks_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(sink).drop("time", "batch_id")
 
 
+def stream_dedupe_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stream dedupe (at-least-once delivery): every tick record arrives, then
+    the whole set arrives again after a restart from the checkpoint. Copies
+    within the one-hour watermark are removed by the dedupe state, older
+    ones are dropped as late; each record is served exactly once."""
+    from .streaming.ticks import dedupe_stream, start_tick_consumer, tick_stream
+
+    records = fixtures.tick_records(table(spark, sf_dir, "events"))
+    src, sink = scratch_path(spark, "dup-src"), scratch_path(spark, "dup-sink")
+    for _ in range(2):
+        records.write.mode("append").parquet(src)
+        stream = spark.readStream.schema(records.schema).parquet(src)
+        unique = dedupe_stream(stream, ["event_id"], "ts", "1 hour")
+        start_tick_consumer(tick_stream(unique), sink, f"{sink}-ckpt", fmt="parquet").awaitTermination()
+    return spark.read.parquet(sink).drop("time", "batch_id")
+
+
 def stream_ohlcv_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AGG-2 on a stream: hourly bars with a one-hour watermark in update mode.
 
@@ -399,4 +416,5 @@ def _registry() -> dict[str, Query]:
         "served_documents": served_documents,
         "stream_ticks_parity": stream_ticks_parity,
         "stream_ohlcv_parity": stream_ohlcv_parity,
+        "stream_dedupe_parity": stream_dedupe_parity,
     }

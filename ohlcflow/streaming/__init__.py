@@ -1,6 +1,7 @@
 """Structured Streaming jobs (STR-1..4, AGG-2 on streams)."""
 
 from .ticks import (
+    dedupe_stream,
     ohlcv_stream,
     read_latest_bars,
     start_bar_upserts,
@@ -10,6 +11,7 @@ from .ticks import (
 )
 
 __all__ = [
+    "dedupe_stream",
     "ohlcv_stream",
     "read_latest_bars",
     "start_bar_upserts",

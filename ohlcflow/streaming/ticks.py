@@ -129,3 +129,15 @@ def read_latest_bars(
 
     df = spark.read.format(fmt).load(sink_path)
     return dedupe_latest(df, keys=keys, order_col="batch_id")
+
+
+def dedupe_stream(records: DataFrame, keys: Sequence[str], ts: str, watermark: str) -> DataFrame:
+    """Drop repeated records (at-least-once producers, several consumers of
+    one topic, quirk Q15) with state bounded by a watermark on ``ts``.
+
+    ``dropDuplicatesWithinWatermark`` keeps the first record per key and
+    forgets a key once the watermark passes it, so copies arriving within
+    ``watermark`` of each other are removed.
+    """
+    t = records.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, watermark)
+    return t.dropDuplicatesWithinWatermark(list(keys))

@@ -62,3 +62,21 @@ def test_quote_producer(spark, scratch):
     q.awaitTermination()
     vals = sorted((json.loads(r.value)["symbol"], json.loads(r.value).get("close")) for r in spark.read.json(out).collect())
     assert vals == [("A", 1.5), ("B", None)]
+
+
+def test_dedupe_stream_within_and_across_batches(spark, scratch):
+    from ohlcflow.streaming import dedupe_stream
+
+    schema = "event_id long, ts string, value string"
+    first = [(1, "2024-01-01 00:00:00", '{"symbol":"A","close":1}'), (1, "2024-01-01 00:00:00", '{"symbol":"A","close":1}'),
+             (2, "2024-01-01 00:30:00", '{"symbol":"B","close":2}')]
+    second = [(2, "2024-01-01 00:30:00", '{"symbol":"B","close":2}'), (3, "2024-01-01 00:40:00", '{"symbol":"C","close":3}')]
+    src, sink = f"{scratch}/src", f"{scratch}/sink"
+    for rows in (first, second):
+        (spark.createDataFrame(rows, schema).withColumn("ts", F.to_timestamp("ts"))
+         .withColumn("value", F.col("value").cast("binary")).write.mode("append").parquet(src))
+        s = spark.readStream.schema("event_id long, ts timestamp, value binary").parquet(src)
+        start_tick_consumer(tick_stream(dedupe_stream(s, ["event_id"], "ts", "1 hour")), sink, f"{sink}-ckpt",
+                            fmt="parquet").awaitTermination()
+    got = sorted(r.symbol for r in spark.read.parquet(sink).collect())
+    assert got == ["A", "B", "C"]
