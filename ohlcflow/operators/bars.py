@@ -179,16 +179,29 @@ def last_n_bars(
     to_ts: str | None = None,
     keys: Sequence[str] = ("symbol",),
     time_col: str = "time",
+    salt_buckets: int | None = None,
 ) -> DataFrame:
     """WIN-2: the last ``limit`` bars at or before ``to_ts`` per key.
 
     ``to_ts`` is ``yyyy-MM-dd HH:mm:ss`` text, which orders like time, so the
-    filter reaches the scan. ``row_number() <= limit`` lets Catalyst plan a
-    WindowGroupLimit below the shuffle: each map task keeps at most ``limit``
-    rows per key, so even a hot symbol ships a bounded number of rows.
+    filter reaches the scan. Up to Spark's group-limit threshold,
+    ``row_number() <= limit`` is planned with a WindowGroupLimit below the
+    shuffle: each map task keeps at most ``limit`` rows per key. Above it
+    (e.g. the provider's 2000 bars), an exact two-phase top-N is used: first
+    per (key, salt) over ``salt_buckets`` hash buckets of the time, then per
+    key over at most ``limit * salt_buckets`` survivors, so a hot symbol is
+    never sorted whole in one task.
     """
     df = bars if to_ts is None else bars.where(F.col(time_col) <= F.lit(to_ts))
-    w = Window.partitionBy(*keys).orderBy(F.col(time_col).desc())
+    spark = bars.sparkSession
+    threshold = int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    order = F.col(time_col).desc()
+    if limit > threshold:
+        buckets = salt_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        salted = df.withColumn("_salt", F.pmod(F.xxhash64(F.col(time_col)), F.lit(buckets)))
+        w1 = Window.partitionBy(*keys, "_salt").orderBy(order)
+        df = salted.withColumn("_rn", F.row_number().over(w1)).where(F.col("_rn") <= limit).drop("_rn", "_salt")
+    w = Window.partitionBy(*keys).orderBy(order)
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= limit).drop("_rn")
 
 

@@ -77,3 +77,18 @@ def test_random_date_chunks_in_one_job(spark):
                 want.append((k, cs, e))
                 break
         assert sorted(out[i]) == want, (s, e, w)
+
+
+def test_last_n_above_group_limit_threshold_is_exact_and_salted(spark):
+    ticks = _skewed_ticks(spark)
+    bars = ohlcv(ticks, "1 minute", tiebreak="event_id")
+    last = last_n_bars(bars, 1500, to_ts="2024-01-25 00:00:00", salt_buckets=6)
+    got = {(r.symbol, r.time) for r in last.collect()}
+    rows = [r for r in bars.where("time <= '2024-01-25 00:00:00'").select("symbol", "time").collect()]
+    want = set()
+    for sym in {r.symbol for r in rows}:
+        times = sorted((r.time for r in rows if r.symbol == sym), reverse=True)[:1500]
+        want |= {(sym, t) for t in times}
+    assert got == want
+    plan = last._jdf.queryExecution().executedPlan().toString()
+    assert "_salt" in plan
