@@ -104,8 +104,10 @@ def quote_payloads(events: DataFrame, chunk_size: int = QUOTE_CHUNK_SIZE) -> Dat
         F.create_map(cur, price).alias("v"),
     )
     chunk = F.floor(F.col("user_id") / F.lit(chunk_size)).cast("long")
+    doc = F.to_json(F.map_from_entries(F.collect_list(entry)))
+    # Whole-number prices as integer literals ({"USD":6}), as the provider sends them.
     return latest.groupBy(chunk.alias("chunk_no")).agg(
-        F.to_json(F.map_from_entries(F.collect_list(entry))).alias("payload")
+        F.regexp_replace(doc, r'(":-?[0-9]+)\.0([,}])', "$1$2").alias("payload")
     )
 
 

@@ -122,6 +122,12 @@ SELECT CAST(user_id // 10 AS BIGINT) AS chunk_no, CAST(user_id AS VARCHAR) AS sy
        CASE WHEN event_type = 'error' THEN NULL
             WHEN event_type = 'signup' THEN CAST(floor(value) AS DOUBLE) ELSE value END AS close
 FROM ({_LATEST})
+""",
+        "stream_quote_producer": f"""
+SELECT CAST(user_id AS VARCHAR) AS symbol,
+       CASE WHEN event_type = 'error' THEN NULL
+            WHEN event_type = 'signup' THEN CAST(floor(value) AS DOUBLE) ELSE value END AS close
+FROM ({_LATEST})
 """,
         "symbol_dimension": _DIMENSION,
         "symbol_chunks": f"""

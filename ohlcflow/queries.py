@@ -304,6 +304,19 @@ def stream_ticks_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(sink).drop("time", "batch_id")
 
 
+def stream_quote_producer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR-3 SNK-5 GEN-2: quote documents landed as text files, unpivoted by a
+    streaming producer into ``{"symbol","close"}`` records, read back."""
+    from .streaming.ticks import start_quote_producer
+
+    quotes, out = scratch_path(spark, "quotes"), scratch_path(spark, "quote-ticks")
+    fixtures.quote_payloads(table(spark, sf_dir, "events")).select("payload").write.text(quotes)
+    start_quote_producer(spark, quotes, out, f"{out}-ckpt", trigger="availableNow").awaitTermination()
+    return spark.read.schema("value string").json(out).select(
+        F.from_json("value", "symbol string, close double").alias("t")
+    ).select("t.*")
+
+
 def stream_dedupe_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stream dedupe (at-least-once delivery): every tick record arrives, then
     the whole set arrives again after a restart from the checkpoint. Copies
@@ -417,4 +430,5 @@ def _registry() -> dict[str, Query]:
         "stream_ticks_parity": stream_ticks_parity,
         "stream_ohlcv_parity": stream_ohlcv_parity,
         "stream_dedupe_parity": stream_dedupe_parity,
+        "stream_quote_producer": stream_quote_producer,
     }
