@@ -101,15 +101,21 @@ def start_bar_upserts(
     trigger: str | None = "availableNow",
     fmt: str = "parquet",
     query_name: str | None = None,
+    output_mode: str = "update",
 ) -> StreamingQuery:
-    """Streaming bars in update mode: each micro-batch writes the bars it changed
-    under ``batch_id=<id>``; :func:`read_latest_bars` keeps the newest version.
-
-    State is bounded by the watermark of :func:`ohlcv_stream`, and no bar
-    waits for the watermark to be visible.
+    """Streaming bars written per micro-batch under ``batch_id=<id>``.
+
+    ``update`` (default): each batch writes the bars it changed, so no bar
+    waits for the watermark to be visible, and :func:`read_latest_bars` keeps
+    the newest version. ``append``: each bar is written once, final, after the
+    watermark has passed its end (the production choice when consumers must
+    never see a bar change). State is bounded by the watermark of
+    :func:`ohlcv_stream` either way.
     """
+    if output_mode not in ("update", "append"):
+        raise ValueError(f"unsupported output mode {output_mode!r}")
     w = (
-        bars.writeStream.outputMode("update")
+        bars.writeStream.outputMode(output_mode)
         .foreachBatch(batch_writer_by_symbol(sink_path, fmt))
         .option("checkpointLocation", checkpoint)
     )

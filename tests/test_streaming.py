@@ -80,3 +80,22 @@ def test_dedupe_stream_within_and_across_batches(spark, scratch):
                             fmt="parquet").awaitTermination()
     got = sorted(r.symbol for r in spark.read.parquet(sink).collect())
     assert got == ["A", "B", "C"]
+
+
+def test_bar_stream_append_emits_closed_bars_once(spark, scratch):
+    schema = "event_id long, ts string, symbol string, price double"
+    batches = [
+        [(1, "2024-01-01 00:10:00", "X", 10.0), (2, "2024-01-01 00:40:00", "X", 12.0)],
+        [(3, "2024-01-01 03:30:00", "X", 7.0)],           # moves the watermark past hour 0
+        [(4, "2024-01-01 06:30:00", "X", 5.0)],           # and past hour 3
+    ]
+    src, sink = f"{scratch}/src", f"{scratch}/sink"
+    for rows in batches:
+        spark.createDataFrame(rows, schema).withColumn("ts", F.to_timestamp("ts")).write.mode("append").parquet(src)
+        s = spark.readStream.schema("event_id long, ts timestamp, symbol string, price double").parquet(src)
+        start_bar_upserts(ohlcv_stream(s, "1 hour", "1 hour", tiebreak="event_id"), sink, f"{sink}-ckpt",
+                          output_mode="append").awaitTermination()
+    out = spark.read.parquet(sink)
+    got = sorted((r.time, r.open, r.close) for r in out.collect())
+    # Hour 6 is still open (watermark 05:30); hours 0 and 3 are written exactly once.
+    assert got == [("2024-01-01 00:00:00", 10.0, 12.0), ("2024-01-01 03:00:00", 7.0, 7.0)]
