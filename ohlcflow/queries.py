@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import fixtures
+from .apps import batch_stages, raw_to_bar_table
 from .functions.text import repair_utf8
 from .functions.timefn import (
     date_to_datetime,
@@ -26,7 +27,7 @@ from .functions.timefn import (
     utc_to_kst_date,
     years_before,
 )
-from .jobs import apply_transforms
+from .jobs import apply_transforms, run_stages
 from .operators.bars import (
     BAR_TRANSFORMS,
     dedupe_latest,
@@ -49,9 +50,20 @@ from .operators.ticks import (
     unpivot_quotes,
 )
 from .plans.backfill import backfill_plan
+from .schemas import BAR_ROW_SCHEMA
 from .session import scratch_path
 from .sinks.writers import land_payloads
 from .sources.files import parse_payloads, read_bar_table, spread
+from .sources.stream import read_tick_stream
+from .streaming.ticks import (
+    dedupe_stream,
+    ohlcv_stream,
+    read_latest_bars,
+    start_bar_upserts,
+    start_quote_producer,
+    start_tick_consumer,
+    tick_stream,
+)
 
 # --- Fixed query parameters. ---
 RUN_DATE = "2022-03-20"          # backfill plan run date (FIXTURES F6)
@@ -292,9 +304,6 @@ def _land_stream_files(spark: SparkSession, df: DataFrame, name: str, files: int
 def stream_ticks_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC-3/4 STR-1/2 SNK-3: tick records as a file stream (one file per trigger),
     the batch tick chain, a foreachBatch sink routed by symbol; the sink read back."""
-    from .sources.stream import read_tick_stream
-    from .streaming.ticks import start_tick_consumer, tick_stream
-
     records = fixtures.tick_records(table(spark, sf_dir, "events"))
     src = _land_stream_files(spark, records, "tick-src", STREAM_FILES)
     sink = scratch_path(spark, "tick-sink")
@@ -307,8 +316,6 @@ def stream_ticks_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_quote_producer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """STR-3 SNK-5 GEN-2: quote documents landed as text files, unpivoted by a
     streaming producer into ``{"symbol","close"}`` records, read back."""
-    from .streaming.ticks import start_quote_producer
-
     quotes, out = scratch_path(spark, "quotes"), scratch_path(spark, "quote-ticks")
     fixtures.quote_payloads(table(spark, sf_dir, "events")).select("payload").write.text(quotes)
     start_quote_producer(spark, quotes, out, f"{out}-ckpt", trigger="availableNow").awaitTermination()
@@ -322,8 +329,6 @@ def stream_dedupe_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
     the whole set arrives again after a restart from the checkpoint. Copies
     within the one-hour watermark are removed by the dedupe state, older
     ones are dropped as late; each record is served exactly once."""
-    from .streaming.ticks import dedupe_stream, start_tick_consumer, tick_stream
-
     records = fixtures.tick_records(table(spark, sf_dir, "events"))
     src, sink = scratch_path(spark, "dup-src"), scratch_path(spark, "dup-sink")
     for _ in range(2):
@@ -341,8 +346,6 @@ def stream_ohlcv_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
     restarted from its checkpoint with ``availableNow`` (as after downtime),
     its micro-batch upserted, and the sink read back latest-wins.
     """
-    from .streaming.ticks import ohlcv_stream, read_latest_bars, start_bar_upserts
-
     ticks = fixtures.ticks(table(spark, sf_dir, "events")).drop("user_id")
     lo, hi = ticks.agg(F.min("ts"), F.max("ts")).first()
     step = (hi - lo) / STREAM_FILES
@@ -361,8 +364,6 @@ def stream_ohlcv_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bar_table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK-6 SRC-1 SNK-1 SRC-2 API-8: payloads landed as JSON under symbol/tier
     folders, E1 to the partitioned bar table, the table read back for serving."""
-    from .apps import raw_to_bar_table
-
     raw, bars = scratch_path(spark, "raw"), scratch_path(spark, "bars")
     land_payloads(fixtures.bar_payloads(table(spark, sf_dir, "events")), raw)
     raw_to_bar_table(raw, bars).run(spark)
@@ -372,10 +373,6 @@ def bar_table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def served_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """API-8 E1 then E2 (SNK-2): payloads landed, bar table built, bar rows with
     symbol and tier appended to a JSON document collection and read back."""
-    from .apps import batch_stages
-    from .jobs import run_stages
-    from .schemas import BAR_ROW_SCHEMA
-
     raw, bars, docs = (scratch_path(spark, n) for n in ("raw", "bars", "docs"))
     land_payloads(fixtures.bar_payloads(table(spark, sf_dir, "events")), raw)
     run_stages(spark, batch_stages(raw, bars, docs))
@@ -385,7 +382,6 @@ def served_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _pinned(fn: Query) -> Query:
     """Run a query with the session zone pinned to UTC (bar times, epochs and
     calendar text are defined in UTC), whatever session the caller built."""
-
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
         return fn(spark, sf_dir)
