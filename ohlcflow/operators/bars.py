@@ -108,53 +108,6 @@ def ohlcv(
     )
 
 
-def bucket_start(ts: str | Column, every: str) -> Column:
-    """Start of the epoch-aligned bucket of fixed width ``every`` (e.g. ``"1 hour"``)
-    as a TIMESTAMP, by arithmetic on epoch microseconds (usable several times
-    in one aggregation, unlike ``window``)."""
-    width = F.unix_micros(F.expr(f"TIMESTAMP'1970-01-01 00:00:00' + INTERVAL {every}"))
-    micros = ts_micros(ts)
-    return F.timestamp_micros(micros - F.pmod(micros, width))
-
-
-def ohlcv_multi(
-    ticks: DataFrame,
-    resolutions: dict[str, str],
-    ts: str = "ts",
-    price: str = "price",
-    keys: Sequence[str] = ("symbol",),
-    qty: str | None = None,
-    tiebreak: str | None = None,
-) -> DataFrame:
-    """AGG-2 at several resolutions in one pass, e.g. ``{"daily": "1 day",
-    "hourly": "1 hour"}``: one scan and one shuffle instead of one per tier.
-
-    Each tick is expanded to one ``(batch_unit, window)`` pair per resolution
-    before the (partial, then final) aggregation; output has ``batch_unit``.
-    """
-    pairs = F.array(
-        *[F.struct(F.lit(unit).alias("unit"), bucket_start(ts, every).alias("start"))
-          for unit, every in resolutions.items()]
-    )
-    expanded = ticks.select(*keys, ts, price, *([qty] if qty else []), *([tiebreak] if tiebreak else []),
-                            F.explode(pairs).alias("_t"))
-    order = packed_order(ts_micros(ts), F.col(tiebreak) if tiebreak else None)
-    q = F.col(qty).cast("double") if qty else F.lit(1.0)
-    p = F.col(price)
-    return (
-        expanded.groupBy(*keys, F.col("_t.unit").alias("batch_unit"), F.col("_t.start").alias("_start"))
-        .agg(
-            F.max(p).alias("high"),
-            F.min(p).alias("low"),
-            F.min_by(p, order).alias("open"),
-            F.max_by(p, order).alias("close"),
-            F.sum(q).alias("volumefrom"),
-            F.sum(q * p).alias("volumeto"),
-        )
-        .select(*keys, F.date_format("_start", TIME_FORMAT).alias("time"), *PRICE_COLUMNS, "batch_unit")
-    )
-
-
 def resample_bars(bars: DataFrame, every: str, keys: Sequence[str] = ("symbol",)) -> DataFrame:
     """AGG-2 bar-to-bar: coarser bars from finer ones (times unique per key)."""
     t = F.to_timestamp("time", TIME_FORMAT)

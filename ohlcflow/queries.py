@@ -33,7 +33,6 @@ from .operators.bars import (
     dedupe_latest,
     last_n_bars,
     ohlcv,
-    ohlcv_multi,
     resample_bars,
     select_tier,
     union_tiers,
@@ -212,10 +211,9 @@ def tier_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tier_select(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SET-4: per instant, only the bars of the tier that covers it (run date
-    2024-01-28); the three resolutions come from one pass over the ticks."""
-    ticks = fixtures.ticks(table(spark, sf_dir, "events"))
-    bars = ohlcv_multi(ticks, TIER_WIDTHS, tiebreak="event_id")
-    return _cents(select_tier(bars, TIER_RUN_DATE), "volumeto")
+    2024-01-28). The tier test sits on each branch's grouping key, so Catalyst
+    applies it below each branch's aggregation."""
+    return select_tier(_tiers(spark, sf_dir), TIER_RUN_DATE)
 
 
 def top_symbols(spark: SparkSession, sf_dir: str) -> DataFrame:

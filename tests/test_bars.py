@@ -125,17 +125,6 @@ def test_dedupe_latest_keeps_whole_rows(spark):
     assert got["t2"] in {(3.0, 30.0), (4.0, 40.0)}
 
 
-def test_ohlcv_multi_equals_per_tier_union(spark):
-    from ohlcflow.operators.bars import ohlcv_multi
-
-    ticks = _ticks(spark)
-    tiers = {"daily": "1 day", "hourly": "1 hour", "m10": "10 minutes"}
-    one = ohlcv_multi(ticks, tiers, tiebreak="event_id")
-    many = union_tiers(*[ohlcv(ticks, e, tiebreak="event_id").withColumn("batch_unit", F.lit(u)) for u, e in tiers.items()])
-    assert sorted(map(tuple, one.select(*many.columns).collect())) == sorted(map(tuple, many.collect()))
-    assert one._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
-
-
 def test_text_and_timestamp_tier_agree(spark):
     from ohlcflow.operators.bars import covering_tier, covering_tier_text
 
