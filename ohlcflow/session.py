@@ -70,10 +70,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     Read from the session; only when it is unset (local tests) a private
     temporary folder is created and registered as the checkpoint directory.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
-        root = jdir.get() if jdir.isDefined() else None
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="ohlcflow-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
