@@ -1,6 +1,7 @@
 """Structured Streaming jobs (STR-1..4, AGG-2 on streams)."""
 
 from .ticks import (
+    compact_bar_sink,
     dedupe_stream,
     ohlcv_stream,
     read_latest_bars,
@@ -11,6 +12,7 @@ from .ticks import (
 )
 
 __all__ = [
+    "compact_bar_sink",
     "dedupe_stream",
     "ohlcv_stream",
     "read_latest_bars",

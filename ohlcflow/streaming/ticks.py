@@ -147,3 +147,14 @@ def dedupe_stream(records: DataFrame, keys: Sequence[str], ts: str, watermark: s
     """
     t = records.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, watermark)
     return t.dropDuplicatesWithinWatermark(list(keys))
+
+
+def compact_bar_sink(spark: SparkSession, sink_path: str, table_path: str, batch_unit: str) -> None:
+    """Fold the per-batch output of :func:`start_bar_upserts` into the bar
+    table: newest version of every bar, tagged with ``batch_unit``, written
+    with dynamic partition overwrite (one job; rerun-safe). The sink folders
+    can then be expired by age instead of being re-read forever."""
+    from ..sinks.writers import write_bar_table
+
+    bars = read_latest_bars(spark, sink_path).withColumn("batch_unit", F.lit(batch_unit))
+    write_bar_table(bars, table_path)

@@ -82,3 +82,19 @@ def test_has_nested_column(spark):
     assert not has_nested_column(df, "x.y")          # non-struct parent
     assert not has_nested_column(df, "s.z")
     assert not has_nested_column(df, "")
+
+
+def test_escape_repair_random_texts(spark):
+    import ast
+    import random
+
+    rnd = random.Random(5)
+    alphabet = list("abc xyz'\"\\\t\n\r\x00\x07\x7f") + ["é", "ß", "안", "녕", "中", "😀", "​", "ÿ"]
+    texts = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 40))) for _ in range(400)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    rows = df.select("i", "t", escape_utf8(F.col("t")).alias("e")).select(
+        "i", "t", "e", repair_utf8(F.col("e")).alias("r")
+    ).collect()
+    for r in rows:
+        assert r.r == r.t
+        assert ast.literal_eval(r.e).decode("utf-8") == r.t    # a valid Python bytes literal

@@ -50,6 +50,13 @@ def test_bar_stream_upserts(spark, scratch):
         start_bar_upserts(ohlcv_stream(s, "1 hour", "2 hours", tiebreak="event_id"), sink, f"{sink}-ckpt").awaitTermination()
     got = {r.time: (r.open, r.high, r.low, r.close) for r in read_latest_bars(spark, sink).collect()}
     assert got == {"2024-01-01 00:00:00": (10.0, 12.0, 7.0, 7.0), "2024-01-01 03:00:00": (1.0, 1.0, 1.0, 1.0)}
+    from ohlcflow.streaming import compact_bar_sink
+    from ohlcflow.sources import read_bar_table
+
+    compact_bar_sink(spark, sink, f"{scratch}/table", "hourly")
+    compact_bar_sink(spark, sink, f"{scratch}/table", "hourly")          # rerun-safe
+    table = read_bar_table(spark, f"{scratch}/table")
+    assert table.count() == 2 and {r.batch_unit for r in table.collect()} == {"hourly"}
 
 
 def test_quote_producer(spark, scratch):
