@@ -126,3 +126,15 @@ def test_read_coin_info(spark, scratch):
         json.dump([{"CoinInfo": {"Name": "BTC"}, "mktcap": 10.0}, {"CoinInfo": {}, "mktcap": 1.0}], f)
     rows = read_coin_info(spark, f"{scratch}/info.json").select("CoinInfo.Name", "mktcap").collect()
     assert sorted((r.Name or "", r.mktcap) for r in rows) == [("", 1.0), ("BTC", 10.0)]
+
+
+def test_empty_batch_is_a_no_op(spark, scratch):
+    from ohlcflow.sinks import batch_writer_by_symbol
+
+    write = batch_writer_by_symbol(f"{scratch}/sink", fmt="parquet")
+    empty = spark.createDataFrame([], "symbol string, close double")
+    write(empty, 0)                                            # Q4: no recursion, no rows, no error
+    write(spark.createDataFrame([("A", 1.0)], "symbol string, close double"), 1)
+    write(spark.createDataFrame([("A", 1.0)], "symbol string, close double"), 1)   # replayed batch
+    out = spark.read.parquet(f"{scratch}/sink")
+    assert [(r.symbol, r.close, r.batch_id) for r in out.collect()] == [("A", 1.0, 1)]
