@@ -111,6 +111,40 @@ def quote_payloads(events: DataFrame, chunk_size: int = QUOTE_CHUNK_SIZE) -> Dat
     )
 
 
+def quote_responses(events: DataFrame, chunk_size: int = QUOTE_CHUNK_SIZE) -> DataFrame:
+    """F3 with envelopes: one response per quote request (``chunk_size`` users).
+
+    When the latest event of a request's users is an ``error``, the response
+    is an error envelope (the rate-limit message if that event's value is at
+    least 50, another message otherwise); else it is the quote document.
+    Output: ``chunk_no, payload``.
+    """
+    order = packed_order(ts_micros("ts"), F.col("event_id"))
+    users = events.groupBy("user_id").agg(
+        F.max_by("value", order).alias("value"),
+        F.max_by("event_type", order).alias("event_type"),
+        F.max(order).alias("_o"),
+    )
+    entry = F.struct(
+        F.col("user_id").cast("string").alias("k"), F.create_map(F.lit("USD"), F.col("value")).alias("v")
+    )
+    chunk = F.floor(F.col("user_id") / F.lit(chunk_size)).cast("long")
+    per_chunk = users.groupBy(chunk.alias("chunk_no")).agg(
+        F.to_json(F.map_from_entries(F.collect_list(entry))).alias("quotes"),
+        F.max_by("event_type", "_o").alias("last_type"),
+        F.max_by("value", "_o").alias("last_value"),
+    )
+    error = F.to_json(
+        F.struct(
+            F.lit("Error").alias("Response"),
+            F.when(F.col("last_value") >= 50, F.lit(RATE_LIMIT_MESSAGE)).otherwise(F.lit(OTHER_ERROR_MESSAGE)).alias("Message"),
+        )
+    )
+    return per_chunk.select(
+        "chunk_no", F.when(F.col("last_type") == "error", error).otherwise(F.col("quotes")).alias("payload")
+    )
+
+
 def tick_records(events: DataFrame) -> DataFrame:
     """stream records with a binary ``value`` holding tick JSON.
 

@@ -128,6 +128,17 @@ SELECT CAST(user_id AS VARCHAR) AS symbol,
        CASE WHEN event_type = 'error' THEN NULL
             WHEN event_type = 'signup' THEN CAST(floor(value) AS DOUBLE) ELSE value END AS close
 FROM ({_LATEST})
+""",
+        "quote_quarantine": """
+WITH u AS (
+  SELECT user_id, arg_max(value, (ts, event_id)) AS v, arg_max(event_type, (ts, event_id)) AS et,
+         max((ts, event_id)) AS o
+  FROM events GROUP BY user_id
+),
+c AS (SELECT user_id // 10 AS chunk_no, arg_max(et, o) AS et, arg_max(v, o) AS v FROM u GROUP BY 1)
+SELECT CASE WHEN et <> 'error' THEN 'accepted' WHEN v >= 50 THEN 'rate_limited' ELSE 'other' END AS status,
+       count(*) AS n_docs
+FROM c GROUP BY 1
 """,
         "symbol_dimension": _DIMENSION,
         "symbol_chunks": f"""

@@ -148,6 +148,14 @@ def quote_unpivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unpivot_quotes(fixtures.quote_payloads(table(spark, sf_dir, "events")))
 
 
+def quote_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FLT-2/3 on quote responses: lenient acceptance (only an explicit Error is
+    rejected), rejects classified as rate_limited or other; counts per status."""
+    docs = fixtures.quote_responses(table(spark, sf_dir, "events"))
+    env = docs.select(F.from_json("payload", "Response string, Message string").alias("e")).select("e.*")
+    return classify(env, lenient=True).groupBy("status").agg(F.count(F.lit(1)).alias("n_docs"))
+
+
 def symbol_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F7 / WIN-1: every customer ranked by order total (ties by key)."""
     totals = (
@@ -404,6 +412,7 @@ def _registry() -> dict[str, Query]:
         "latest_price_listed": latest_price_listed,
         "last_n_bars": last_n_bars_q,
         "quote_unpivot": quote_unpivot,
+        "quote_quarantine": quote_quarantine,
         "symbol_dimension": symbol_dimension,
         "symbol_chunks": symbol_chunks,
         "kst_date": kst_date,
