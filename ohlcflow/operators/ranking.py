@@ -59,13 +59,14 @@ def rank_symbols(
 ) -> DataFrame:
     """``(rank, symbol)`` by ``value`` descending, ties by key ascending."""
     ranked = row_index(totals, [F.col(value).desc(), F.col(key).asc()], name=name)
-    return ranked.select(F.col(name).cast("int").alias(name), *[c for c in totals.columns])
+    # LONG: a symbol dimension can outgrow 2^31 rows.
+    return ranked.select(F.col(name).alias(name), *[c for c in totals.columns])
 
 
 def chunk_no(rank: str | Column, size: int) -> Column:
     """WIN-1: positional chunk of a 1-based rank: ``floor((rank-1)/size)``."""
     r = F.col(rank) if isinstance(rank, str) else rank
-    return F.floor((r - 1) / F.lit(size)).cast("int")
+    return F.floor((r - 1) / F.lit(size)).cast("long")
 
 
 def chunk_symbols(

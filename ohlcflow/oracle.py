@@ -44,7 +44,7 @@ FROM events GROUP BY user_id
 """
 
 _DIMENSION = """
-SELECT CAST(row_number() OVER (ORDER BY total DESC, o_custkey ASC) AS INTEGER) AS rank,
+SELECT CAST(row_number() OVER (ORDER BY total DESC, o_custkey ASC) AS BIGINT) AS rank,
        'C' || CAST(o_custkey AS VARCHAR) AS symbol, total
 FROM (SELECT o_custkey, round(sum(o_totalprice), 2) AS total FROM orders GROUP BY o_custkey)
 """
@@ -142,7 +142,7 @@ FROM c GROUP BY 1
 """,
         "symbol_dimension": _DIMENSION,
         "symbol_chunks": f"""
-SELECT CAST((rank - 1) // 10 AS INTEGER) AS chunk_no,
+SELECT CAST((rank - 1) // 10 AS BIGINT) AS chunk_no,
        string_agg(symbol, ',' ORDER BY rank) AS symbols, CAST(count(*) AS INTEGER) AS n_symbols
 FROM ({_DIMENSION}) GROUP BY 1
 """,
