@@ -8,7 +8,7 @@ payload, ``QUOTE_CHUNK_SIZE`` symbols per quote.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .functions.text import escape_utf8
@@ -75,12 +75,27 @@ def bar_payloads(events: DataFrame, chunk_size: int = API_CHUNK_SIZE) -> DataFra
     )
 
 
+# Event kinds the quote variants depend on, as small codes: a string value in
+# ``max_by`` would force sort-based aggregation (variable-length buffer).
+KIND_OTHER, KIND_ERROR, KIND_SIGNUP = 0, 1, 2
+
+
+def _kind() -> Column:
+    return (
+        F.when(F.col("event_type") == "error", F.lit(KIND_ERROR))
+        .when(F.col("event_type") == "signup", F.lit(KIND_SIGNUP))
+        .otherwise(F.lit(KIND_OTHER))
+    )
+
+
 def latest_by_user(events: DataFrame) -> DataFrame:
-    """Latest ``value`` per ``user_id`` (ties on ts broken by event_id)."""
+    """Latest ``value`` and event kind per ``user_id`` (ties on ts broken by
+    event_id), plus the packed order of that latest event (``_o``)."""
     order = packed_order(ts_micros("ts"), F.col("event_id"))
     return events.groupBy("user_id").agg(
         F.max_by("value", order).alias("value"),
-        F.max_by("event_type", order).alias("event_type"),
+        F.max_by(_kind(), order).alias("kind"),
+        F.max(order).alias("_o"),
     )
 
 
@@ -93,10 +108,8 @@ def quote_payloads(events: DataFrame, chunk_size: int = QUOTE_CHUNK_SIZE) -> Dat
     Output: ``chunk_no, payload``.
     """
     latest = latest_by_user(events)
-    cur = (
-        F.when(F.col("event_type") == "error", F.lit("EUR")).otherwise(F.lit("USD"))
-    )
-    price = F.when(F.col("event_type") == "signup", F.floor("value").cast("double")).otherwise(
+    cur = F.when(F.col("kind") == KIND_ERROR, F.lit("EUR")).otherwise(F.lit("USD"))
+    price = F.when(F.col("kind") == KIND_SIGNUP, F.floor("value").cast("double")).otherwise(
         F.col("value")
     )
     entry = F.struct(
@@ -119,19 +132,14 @@ def quote_responses(events: DataFrame, chunk_size: int = QUOTE_CHUNK_SIZE) -> Da
     least 50, another message otherwise); else it is the quote document.
     Output: ``chunk_no, payload``.
     """
-    order = packed_order(ts_micros("ts"), F.col("event_id"))
-    users = events.groupBy("user_id").agg(
-        F.max_by("value", order).alias("value"),
-        F.max_by("event_type", order).alias("event_type"),
-        F.max(order).alias("_o"),
-    )
+    users = latest_by_user(events)
     entry = F.struct(
         F.col("user_id").cast("string").alias("k"), F.create_map(F.lit("USD"), F.col("value")).alias("v")
     )
     chunk = F.floor(F.col("user_id") / F.lit(chunk_size)).cast("long")
     per_chunk = users.groupBy(chunk.alias("chunk_no")).agg(
         F.to_json(F.map_from_entries(F.collect_list(entry))).alias("quotes"),
-        F.max_by("event_type", "_o").alias("last_type"),
+        F.max_by("kind", "_o").alias("last_kind"),
         F.max_by("value", "_o").alias("last_value"),
     )
     error = F.to_json(
@@ -141,7 +149,7 @@ def quote_responses(events: DataFrame, chunk_size: int = QUOTE_CHUNK_SIZE) -> Da
         )
     )
     return per_chunk.select(
-        "chunk_no", F.when(F.col("last_type") == "error", error).otherwise(F.col("quotes")).alias("payload")
+        "chunk_no", F.when(F.col("last_kind") == KIND_ERROR, error).otherwise(F.col("quotes")).alias("payload")
     )
 
 

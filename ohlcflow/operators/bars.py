@@ -222,7 +222,9 @@ def dedupe_latest(
 
     Aggregation (not a window) so duplicates collapse map-side even when one key
     is hot. Ties on ``order_col`` are broken by a hash of the row so every
-    column comes from the same row.
+    column comes from the same row. With only fixed-width value columns the
+    aggregation is hash-based; a string value column makes Spark use its
+    sort-based aggregation (still partial, map-side).
     """
     values = [c for c in df.columns if c not in keys and c != order_col]
     order = packed_order(F.col(order_col), F.xxhash64(*values) if values else None)
