@@ -10,7 +10,9 @@ import os
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from ohlcflow.oracle import oracle_sql
+from ohlcflow.queries import queries
 
 from conftest import SF_SMALL
 

@@ -2,7 +2,7 @@
 
 import pytest
 
-from __spark_entry__ import queries
+from ohlcflow.queries import queries
 
 from conftest import SF_SMALL
 
