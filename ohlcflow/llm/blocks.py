@@ -81,6 +81,14 @@ def words(offsets: np.ndarray, data: np.ndarray, is_word: np.ndarray | None = No
     return s, e, np.searchsorted(s, offsets)
 
 
+def separated(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The texts of a block with a space put after each, so that no pattern spans two."""
+    n = len(offsets) - 1
+    out = np.full(len(data) + n, 0x20, np.uint8)
+    out[np.arange(len(data)) + np.repeat(np.arange(n), np.diff(offsets))] = data
+    return offsets + np.arange(n + 1), out
+
+
 # Fixed pseudo-random value of each byte for the word hash.
 _TABLE = mix(np.arange(1, 257, dtype=_U) * _U(0x9E3779B97F4A7C15))
 _BASE = 0x5851F42D4C957F2B  # odd: invertible modulo 2**64

@@ -6,19 +6,110 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .chat_format import ANSWER_TOOL, as_tool_messages, link_tool_calls
+from .decontam import contaminated
+from .exact_dedup import exact_duplicates
+from . import langid, toxicity
+from .licenses import scan_licences
+from .line_dedup import dedup_report
+from .mixing import pareto_mix
 from .ngram_join import ngram_components
+from .sharding import shard_documents
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence of every document's entire text, and of the notices among its lines."""
+    out = scan_licences(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "canonical_digest", "license", F.array_join("notices", ",").alias("notices"))
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every whole text, learned from the rows that are not held out."""
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    docs = _table(spark, sf_dir, "documents")
+    model = langid.learn(docs.where(F.coalesce(~held_out, F.lit(True))))
+    rows = docs.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "text")
+    out = langid.identify(rows, model, spans=False)
+    return out.select("doc_id", "held_out", "lang_pred", F.col("lang_score").alias("score"))
+
+
+def op3_minimax_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 8 shards of near equal bytes; equal texts stay together."""
+    narrow = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    # What the digest needs is taken before rows are dealt to their slots.
+    out = shard_documents(narrow.select("doc_id", "text", F.crc32("text").alias("text_crc32")), n_shards=8)
+    return out.select(
+        "doc_id",
+        F.col("shard_size").alias("size"),
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op4_fuzzy_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every document that repeat, nearly, an earlier line of the corpus."""
+    return dedup_report(_table(spark, sf_dir, "documents"))
+
+
+def op5_tool_call_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation's turns as calls and results, linked, ordered and checked."""
+    messages = as_tool_messages(_table(spark, sf_dir, "conversations"))
+    out = link_tool_calls(messages, {"answer": ANSWER_TOOL})
+    return out.withColumn("errors", F.array_join("errors", "; "))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every whole text, learned from the labels that are not held out."""
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+    docs = _table(spark, sf_dir, "documents")
+    labels = _table(spark, sf_dir, "labels").where(~held_out)
+    model = toxicity.train(docs, labels)
+    rows = docs.select("doc_id", held_out.alias("held_out"), "text")
+    out = toxicity.score_toxicity(rows, model, keep_text=False)
+    score = F.col("toxicity")
+    return out.select("doc_id", "held_out", score.alias("score"), (score >= 0.5).cast("int").alias("predicted"))
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items found in documents, verbatim or paraphrased."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return contaminated(docs, _table(spark, sf_dir, "benchmark"))
+
+
+def op8_cuckoo_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Copies of every document's normalised text; the smallest doc_id stays."""
+    out = exact_duplicates(_table(spark, sf_dir, "documents"))
+    return out.select(
+        "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("content")).alias("text_sha256")
+    )
+
+
 def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three-word shingles, Jaccard 0.9: set size and component of every document."""
     return ngram_components(_table(spark, sf_dir, "documents"), shingle=3, percent=90, n2=3)
 
 
+def op10_pareto_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed to 150 % of their words: 3, 1, 2 by source, 2 copies at most."""
+    mix = pareto_mix(_table(spark, sf_dir, "documents"), weights=(3, 1, 2), share=1.5, max_copies=2.0)
+    return mix.select(
+        "doc_id",
+        F.col("mix_size").alias("size"),
+        F.col("mix_source_size").alias("source_size"),
+        F.col("mix_target").alias("target"),
+        (F.col("mix_copies") * F.col("mix_size")).alias("taken"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
     return dict(sorted(found.items(), key=lambda kv: int(kv[0][2:].split("_")[0])))
