@@ -25,6 +25,15 @@ LOWER[65:91] += 32
 _U = np.uint64
 
 
+def lower_case(data: np.ndarray) -> np.ndarray:
+    """Lower case of ASCII and Latin-1 letters; other letters stay as they are."""
+    out = LOWER[data]
+    # Second byte 0x80-0x9E after 0xC3 is a capital (0x97 is the times sign).
+    second = (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97) & (data[:-1] == 0xC3)
+    out[1:][second] += 0x20
+    return out
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser (xor-shift and multiply): every input bit reaches
     every output bit."""
@@ -108,17 +117,27 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POW, _INV
 
 
-def word_hashes(data: np.ndarray, s: np.ndarray, e: np.ndarray, fold: np.ndarray | None = None) -> np.ndarray:
-    """64-bit hash of each byte span by one prefix sum over the block: a
-    polynomial over per-byte random values, then ``mix``. ``fold`` maps bytes
-    first (for instance ASCII lower case)."""
-    pw, inv = _powers(len(data) + 1)
+def prefix_sums(data: np.ndarray, fold: np.ndarray | None = None) -> np.ndarray:
+    """What ``span_hashes`` needs of a block. ``fold`` maps bytes first (for instance
+    ASCII lower case)."""
+    pw, _ = _powers(len(data) + 1)
     table = _TABLE if fold is None else _TABLE[fold]
     c = np.zeros(len(data) + 1, _U)
     np.cumsum(table[data] * pw[: len(data)], out=c[1:])
+    return c
+
+
+def span_hashes(c: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
+    """64-bit hash of each byte span: a polynomial over per-byte random values,
+    then ``mix``."""
+    _, inv = _powers(len(c))
     return mix((c[e] - c[s]) * inv[s] + (e - s).astype(_U))
 
 
+def word_hashes(data: np.ndarray, s: np.ndarray, e: np.ndarray, fold: np.ndarray | None = None) -> np.ndarray:
+    return span_hashes(prefix_sums(data, fold), s, e)
+
+
 def signed(x: np.ndarray) -> np.ndarray:
     """The same 64 bits as the LONG that Spark stores."""
     return x.view(np.int64)

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import LOWER, text_blocks, word_hashes, words
+from .blocks import lower_case, text_blocks, word_hashes, words
 
 #: Hashed dimensions, words of a passage, rank of the space, oversampling.
 DIMENSIONS, PASSAGE, RANK, MORE = 4096, 64, 48, 8
@@ -59,7 +59,7 @@ _U = np.uint64
 def _hashed_words(off: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of a block, and the first word of each text."""
     s, e, first = words(off, data, _WORD_BYTE)
-    return word_hashes(data, s, e, LOWER), first
+    return word_hashes(lower_case(data), s, e), first
 
 
 def _dims(h: np.ndarray, n: int) -> np.ndarray:

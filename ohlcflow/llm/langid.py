@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import separated, text_blocks
+from .blocks import lower_case, separated, text_blocks
 
 #: Trigram buckets of the model.
 BUCKETS = 1 << 15
@@ -63,22 +63,13 @@ _SCRIPT = np.zeros(256, np.uint8)
 for _lo, _hi, _s in SCRIPT_RANGES:
     _SCRIPT[_lo : _hi + 1] = _s
 
-# Bytes of words: ASCII letters, lower-cased, and all of multi-byte characters;
+# Bytes of words: lower-case ASCII letters and all of multi-byte characters;
 # everything else is a boundary, written as a space.
 _FOLD = np.full(256, 0x20, np.uint8)
 _FOLD[0x61:0x7B] = np.arange(0x61, 0x7B)
-_FOLD[0x41:0x5B] = np.arange(0x61, 0x7B)
 _FOLD[0x80:] = np.arange(0x80, 0x100)
 
 
-def _folded(data: np.ndarray) -> np.ndarray:
-    out = _FOLD[data]
-    # Capital Latin-1 letters: second byte 0x80-0x9E after 0xC3 (0x97 is the times sign).
-    cap = np.flatnonzero((data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97) & (data[:-1] == 0xC3)) + 1
-    out[cap] += 0x20
-    return out
-
-
 def _trigrams(c: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Positions of word bytes, their trigram bucket, and whether a word starts there."""
     p = np.concatenate((np.array([0x20], np.uint8), c, np.array([0x20], np.uint8)))
@@ -97,7 +88,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         langs = batch.column(1).to_pylist()
         for i, j, off, data in text_blocks(batch, "text"):
             off, data = separated(off, data)
-            at, bucket, _ = _trigrams(_folded(data))
+            at, bucket, _ = _trigrams(_FOLD[lower_case(data)])
             of = np.searchsorted(off, at, side="right") - 1
             names = sorted(set(langs[i:j]))
             code = np.array([names.index(x) for x in langs[i:j]])
@@ -151,7 +142,7 @@ def _word_scores(model: LanguageModel, offsets: np.ndarray, data: np.ndarray):
     whether a word's script was learned."""
     n_langs = len(model.langs)
     offsets, data = separated(offsets, data)
-    at, bucket, begins = _trigrams(_folded(data))
+    at, bucket, begins = _trigrams(_FOLD[lower_case(data)])
     if not len(at):
         none = np.zeros(0, np.int64)
         return np.zeros((0, n_langs), np.float32), none, np.zeros(len(offsets), np.int64), none.astype(bool)

@@ -8,10 +8,11 @@ letters under a character trigram model of the corpus. The best few paths are ra
 again with a word model (words that the labelled rows use often). All other tokens have
 one path through the lattice, themselves.
 
-**Score.** Features of a restored text are its words and their first 4, 5 and 6 bytes.
+**Score.** Features of a restored text are its words and their prefixes of some lengths.
 Those that mark toxic rows significantly (by information, near copies counted once) make
-a weighted lexicon; a logistic model over the strongest weight, their sum and their number
-gives the score.
+a weighted lexicon; a word weighs as the longest of its features that is in there. A
+logistic model over the strongest weight, the sum and the number of the words that weigh,
+and the text's length gives the score.
 
 **What is learned from what.** The character model counts over all documents. The lexicon
 and the logistic model are fitted on a sample of labelled rows, at most
@@ -34,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import LOWER, mix, separated, signed, text_blocks, word_hashes, words
+from .blocks import lower_case, mix, prefix_sums, separated, signed, span_hashes, text_blocks, word_hashes, words
 
 #: Labelled rows of each label that the lexicon and the logistic model are fitted on.
 SAMPLE_PER_CLASS = 4000
@@ -43,7 +44,7 @@ LEXICON_SIZE, WORD_MODEL_SIZE = 5000, 50_000
 #: Nats of evidence a feature needs, and the distinct toxic rows it must occur in.
 EVIDENCE, MIN_ROWS = 14.0, 4.0
 #: Bytes of the prefixes that are features.
-PREFIXES = (4, 5, 6)
+PREFIXES = (4, 5, 6, 8, 10)
 #: Tokens longer than this are not decoded (keys, hashes, addresses).
 LONGEST_TOKEN = 40
 
@@ -96,7 +97,7 @@ def _count_trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     total = np.zeros(N_CLASSES**3, np.int64)
     for batch in batches:
         for _, _, off, data in text_blocks(batch, "text"):
-            c = _CLASS[LOWER[data]]
+            c = _CLASS[lower_case(data)]
             cont = (data & 0xC0) == 0x80  # a multi-byte letter counts once
             keep = np.flatnonzero(~cont)
             c = c[keep]
@@ -255,7 +256,7 @@ def suspects(offsets: np.ndarray, data: np.ndarray) -> list[tuple[int, int]]:
 def restore(offsets: np.ndarray, data: np.ndarray, decoder: Decoder) -> tuple[np.ndarray, np.ndarray]:
     """A block, lower-cased, with every suspect replaced by its decoded letters and a
     space after each text."""
-    offsets, low = separated(offsets, LOWER[data])
+    offsets, low = separated(offsets, lower_case(data))
     parts, at, grown = [], 0, np.zeros(len(offsets), np.int64)
     for a, b in suspects(offsets, low):
         token = low[a:b].tobytes().decode("utf-8", "replace")
@@ -278,18 +279,22 @@ def restore(offsets: np.ndarray, data: np.ndarray, decoder: Decoder) -> tuple[np
 # ---------------------------------------------------------------- features
 
 
-def _features(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """``(feature hash, text)`` of every word and prefix of a restored block."""
+def _features(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(feature hash, text, word)`` of every prefix, shortest first, then every word, of
+    a restored block."""
     # Words are runs of letters here, so punctuation does not make new ones.
     s, e, first = words(offsets, data, _LETTER)
     of = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
-    hs, ts = [word_hashes(data, s, e)], [of]
+    sums = prefix_sums(data)
+    hs, ws = [], []
     for n in PREFIXES:
-        long = e - s > n
-        h = word_hashes(data, s[long], s[long] + n)
-        hs.append(mix(h + _U(n)))
-        ts.append(of[long])
-    return np.concatenate(hs), np.concatenate(ts)
+        long = np.flatnonzero(e - s > n)
+        hs.append(mix(span_hashes(sums, s[long], s[long] + n) + _U(n)))
+        ws.append(long)
+    hs.append(span_hashes(sums, s, e))
+    ws.append(np.arange(len(s)))
+    word = np.concatenate(ws)
+    return np.concatenate(hs), of[word], word
 
 
 def _sample_features(decoder: Decoder):
@@ -301,10 +306,11 @@ def _sample_features(decoder: Decoder):
             label = batch.column(1).to_numpy()
             for i, j, off, data in text_blocks(batch, "text"):
                 off, low = restore(off, data, decoder)
-                s, e, first = words(off, low, _LETTER)
-                n_words = len(s)
-                h, of = _features(off, low)
-                word = np.arange(len(h)) < n_words
+                h, of, which = _features(off, low)
+                if not len(h):
+                    continue
+                # The whole words come last.
+                word = np.arange(len(h)) >= len(h) - (which.max() + 1)
                 order = np.lexsort((h, of))
                 h, of, word = h[order], of[order], word[order]
                 new = np.ones(len(h), bool)
@@ -331,19 +337,24 @@ class Lexicon:
         self.features, self.weights = features[order], weights[order]
 
     def summary(self, offsets: np.ndarray, data: np.ndarray) -> np.ndarray:
-        """Strongest weight, sum of weights, number: of each text's distinct hits."""
-        out = np.zeros((len(offsets) - 1, 3))
-        if not len(self.features) or not len(data):
-            return out
-        h, of = _features(offsets, data)
-        at = np.minimum(np.searchsorted(self.features, h), len(self.features) - 1)
-        hit = np.flatnonzero(self.features[at] == h)
-        pair = np.unique(of[hit] * len(self.features) + at[hit])
-        text, w = pair // len(self.features), self.weights[pair % len(self.features)]
-        np.maximum.at(out[:, 0], text, w)
-        np.add.at(out[:, 1], text, w)
-        np.add.at(out[:, 2], text, 1)
-        return np.stack([out[:, 0] / 4, np.log1p(out[:, 1]), np.log1p(out[:, 2])], axis=1)
+        """What the logistic model sees of each text."""
+        n = len(offsets) - 1
+        top, total, number = np.zeros(n), np.zeros(n), np.zeros(n)
+        h, of, word = _features(offsets, data)
+        length = np.bincount(of[len(h) - (word.max() + 1) :], minlength=n) if len(h) else np.zeros(n)
+        if len(self.features) and len(h):
+            at = np.minimum(np.searchsorted(self.features, h), len(self.features) - 1)
+            hit = np.flatnonzero(self.features[at] == h)
+            # Of each word the longest feature: the last one, as they are ordered.
+            longest = np.full(word.max() + 1, -1)
+            longest[word[hit]] = hit
+            pick = longest[longest >= 0]
+            pair = np.unique(of[pick] * len(self.features) + at[pick])
+            text, w = pair // len(self.features), self.weights[pair % len(self.features)]
+            np.maximum.at(top, text, w)
+            np.add.at(total, text, w)
+            np.add.at(number, text, 1)
+        return np.stack([top / 4, np.log1p(total), np.log1p(number), np.log1p(length) / 4 * (number > 0)], axis=1)
 
 
 class ToxicityModel:
@@ -431,7 +442,7 @@ def train(
     decoder = Decoder(log_p, common.column("feature").to_numpy())
     lexicon = Lexicon(marks.column("feature").to_numpy().view(_U), marks.column("weight").to_numpy())
     sums = rows.mapInArrow(_summaries(decoder, lexicon), "x array<double>, toxic int").toArrow()
-    x = np.array(sums.column("x").to_pylist()).reshape(-1, 3)
+    x = np.array(sums.column("x").to_pylist()).reshape(-1, 4)
     y = sums.column("toxic").to_numpy().astype(float)
     if not len(y) or y.min() == y.max():
         return ToxicityModel(decoder, lexicon, None)
