@@ -2,7 +2,7 @@
 
     python -m ohlcflow.cli bars   --raw ROOT --table PATH
     python -m ohlcflow.cli serve  --table PATH --out PATH [--symbols A,B] [--format json]
-    python -m ohlcflow.cli batch  --raw ROOT --table PATH --out PATH
+    python -m ohlcflow.cli batch  --raw ROOT --table PATH --out PATH [--quarantine PATH]
     python -m ohlcflow.cli stream --out PATH --checkpoint PATH [--format kafka|parquet]
                                   [--source PATH] [--trigger "10 seconds"|availableNow]
                                   [--option key=value ...]
@@ -46,6 +46,7 @@ def parser() -> argparse.ArgumentParser:
     a.add_argument("--raw", required=True)
     a.add_argument("--table", required=True)
     a.add_argument("--out", required=True)
+    a.add_argument("--quarantine", default=None)
     t = sub.add_parser("stream", help="tick records -> per-symbol collection")
     t.add_argument("--out", required=True)
     t.add_argument("--checkpoint", required=True)
@@ -53,6 +54,8 @@ def parser() -> argparse.ArgumentParser:
     t.add_argument("--source", default=None)
     t.add_argument("--trigger", default="10 seconds")
     t.add_argument("--option", action="append", default=[])
+    t.add_argument("--sink-format", default="json")
+    t.add_argument("--sink-option", action="append", default=[])
     p = sub.add_parser("plan", help="backfill request plan")
     p.add_argument("--symbols-table", required=True)
     p.add_argument("--run-date", required=True)
@@ -70,11 +73,12 @@ def main(argv: Sequence[str] | None = None) -> None:
         symbols = args.symbols.split(",") if args.symbols else None
         bar_table_to_documents(args.table, args.out, symbols, args.format, _options(args.option)).run(spark)
     elif args.command == "batch":
-        run_batch(spark, args.raw, args.table, args.out)
+        run_batch(spark, args.raw, args.table, args.out, args.quarantine)
     elif args.command == "stream":
         q = start_tick_app(
             spark, args.out, args.checkpoint, fmt=args.format, source_path=args.source,
-            trigger=args.trigger, **_options(args.option),
+            trigger=args.trigger, sink_fmt=args.sink_format, sink_options=_options(args.sink_option),
+            **_options(args.option),
         )
         q.awaitTermination()
     elif args.command == "plan":

@@ -8,7 +8,7 @@ frames and on streaming frames.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import reduce
 from typing import Any
 
@@ -37,7 +37,6 @@ class Job:
     enrichments: Transforms = ()
     write: Callable[[DataFrame], Any] | None = None
     name: str = "job"
-    extra: dict[str, Any] = field(default_factory=dict)
 
     def build(self, spark: SparkSession) -> DataFrame:
         """The lazy result frame (nothing runs)."""

@@ -8,11 +8,12 @@ environment through ordinary Spark configuration.
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
 from collections.abc import Iterator, Mapping
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 
 from pyspark.sql import SparkSession
 
@@ -67,16 +68,64 @@ def spark_session(
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local tests) a private
-    temporary folder is created and registered as the checkpoint directory.
+    Read from the session. Where it is unset, a local master gets a private
+    temporary folder; a cluster is refused, since its executors would each
+    write to a disk of their own.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if not master.split("[")[0] == "local":
+            raise RuntimeError(f"spark.checkpoint.dir must name a shared folder on {master}")
         root = tempfile.mkdtemp(prefix="ohlcflow-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 
 
+#: Scratch folders of this process that have not been deleted yet.
+_scratch: set[str] = set()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder under the shared checkpoint root."""
-    return f"{checkpoint_root(spark)}/ohlcflow/{name}-{os.getpid()}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique folder under the shared checkpoint root, deleted with
+    :func:`clean_scratch` or when the process ends."""
+    path = f"{checkpoint_root(spark)}/ohlcflow/{name}-{os.getpid()}-{uuid.uuid4().hex[:12]}"
+    if not _scratch:
+        atexit.register(_clean_at_exit, spark)
+    _scratch.add(path)
+    return path
+
+
+def clean_scratch(spark: SparkSession, *paths: str) -> None:
+    """Delete these scratch folders (all of this process without arguments).
+
+    Frames that still read them must have been used before."""
+    for path in paths or list(_scratch):
+        delete_path(spark, path)
+        _scratch.discard(path)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder, asked of the Hadoop file system of its scheme."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def has_children(spark: SparkSession, path: str, prefix: str) -> bool:
+    """Whether a folder has an entry whose name begins with ``prefix``."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{prefix}*")
+    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(p)
+    return found is not None and len(found) > 0
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder through the Hadoop file system of its scheme."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def _clean_at_exit(spark: SparkSession) -> None:
+    # A session that was stopped or whose JVM is gone has nothing to ask any more.
+    if spark.sparkContext._jsc is not None and spark.sparkContext._jvm is not None:
+        with suppress(Exception):
+            clean_scratch(spark)

@@ -3,17 +3,21 @@
 from .writers import (
     batch_writer_by_symbol,
     land_payloads,
-    write_bar_table,
+    merge_bars,
+    tick_records,
     write_by_symbol,
     write_documents,
+    write_quarantine,
     write_ticks,
 )
 
 __all__ = [
     "batch_writer_by_symbol",
     "land_payloads",
-    "write_bar_table",
+    "merge_bars",
+    "tick_records",
     "write_by_symbol",
     "write_documents",
+    "write_quarantine",
     "write_ticks",
 ]

@@ -13,35 +13,53 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..schemas import PARTITION_COLUMNS
+from ..operators.bars import dedupe_latest
+from ..schemas import BAR_ROW_SCHEMA, PARTITION_COLUMNS, RAW_PARTITIONS, TABLE_PARTITIONS
+from ..session import clean_scratch, path_exists, scratch_path
+from ..sources.files import read_bar_table
 
 
 def _rebalanced(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *cols) if cols else df
 
 
-def write_bar_table(
-    df: DataFrame,
-    path: str,
-    mode: str = "overwrite",
-    fmt: str = "parquet",
-    partition_by: Sequence[str] = PARTITION_COLUMNS,
-) -> None:
-    """SNK-1: the one bar table for all symbols, partitioned by symbol and tier.
-
-    ``overwrite`` runs with dynamic partition overwrite, so a rerun replaces
-    only the partitions it touches (idempotent, quirk Q5); ``append`` adds.
-    """
+def _replace_partitions(df: DataFrame, path: str, fmt: str, cols: Sequence[str]) -> None:
+    """Write the partitions that ``df`` has rows of, replacing just those."""
     (
-        _rebalanced(df, partition_by)
+        _rebalanced(df, cols)
         .write.format(fmt)
-        .mode(mode)
+        .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_by)
+        .partitionBy(*cols)
         .save(path)
     )
 
 
+def merge_bars(new: DataFrame, path: str, fmt: str = "parquet") -> None:
+    """SNK-1: merge bars into the one bar table for all symbols; nothing stored is lost.
+
+    ``new`` has the bar columns, ``symbol``, ``batch_unit`` and ``ingest_seq``. Of
+    bars with one ``(symbol, batch_unit, time)`` the latest ingested stays, so a rerun
+    changes nothing and an increment adds. Only the ``(symbol, batch_unit, year)``
+    partitions that ``new`` touches are read and written again; the merged rows are
+    staged in the shared scratch folder first, so a failure while they are read leaves
+    the table as it was.
+    """
+    spark = new.sparkSession
+    rows = new.withColumn("year", F.substring("time", 1, 4)).select(*BAR_ROW_SCHEMA.names, "ingest_seq", "year")
+    staged, incoming = scratch_path(spark, "merge"), scratch_path(spark, "incoming")
+    rows.write.parquet(incoming)
+    rows = spark.read.schema(rows.schema).parquet(incoming)
+    if path_exists(spark, path):
+        touched = rows.select(*TABLE_PARTITIONS).distinct()
+        # The join prunes the table's partitions to the touched ones at run time.
+        stored = read_bar_table(spark, path, fmt).join(touched, TABLE_PARTITIONS, "left_semi")
+        rows = rows.unionByName(stored.select(*rows.columns))
+    dedupe_latest(rows, keys=(*PARTITION_COLUMNS, "year", "time"), keep_order=True).write.parquet(staged)
+    _replace_partitions(spark.read.schema(rows.schema).parquet(staged).select(*rows.columns), path, fmt, TABLE_PARTITIONS)
+    clean_scratch(spark, staged, incoming)
+
+
 def write_documents(
     df: DataFrame,
     path: str,
@@ -60,34 +78,57 @@ def write_documents(
     w.save(path)
 
 
-def write_by_symbol(df: DataFrame, path: str, fmt: str = "json", mode: str = "append") -> None:
+def write_by_symbol(
+    df: DataFrame, path: str, fmt: str = "json", mode: str = "append", options: Mapping[str, str] | None = None
+) -> None:
     """SNK-3/4 + PRJ-7: route rows to one collection per symbol in one write.
 
-    ``symbol`` moves from the row into the folder name.
+    ``symbol`` moves from the row into the folder name. ``mode="replace"`` replaces
+    the collections of the symbols that ``df`` has, so a rerun does not double them;
+    the others stay.
     """
-    _rebalanced(df, ["symbol"]).write.format(fmt).mode(mode).partitionBy("symbol").save(path)
+    w = _rebalanced(df, ["symbol"]).write.format(fmt).partitionBy("symbol")
+    if mode == "replace":
+        mode, w = "overwrite", w.option("partitionOverwriteMode", "dynamic")
+    for key, value in (options or {}).items():
+        w = w.option(key, value)
+    w.mode(mode).save(path)
 
 
-def batch_writer_by_symbol(path: str, fmt: str = "json") -> Callable[[DataFrame, int], None]:
+def batch_writer_by_symbol(
+    path: str, fmt: str = "json", options: Mapping[str, str] | None = None
+) -> Callable[[DataFrame, int], None]:
     """SNK-3: a ``foreachBatch`` function writing each micro-batch once.
 
-    Output goes to ``path/batch_id=<id>/symbol=<s>`` with dynamic partition
-    overwrite, so a replayed batch replaces its own partitions instead of
-    duplicating rows. The batch is written with a single action: no count or
-    emptiness probe re-runs its plan (an empty batch simply writes no
-    partition, AGG-1), and no extra shuffle is added, since micro-batch
-    output is already spread by its source or aggregation partitions.
+    Output goes to ``path/symbol=<s>/run=<query>/batch_id=<id>`` with dynamic
+    partition overwrite: a replayed batch replaces its own partitions instead of
+    duplicating rows, and a query with another checkpoint (another id) never touches
+    an earlier one's. ``written_at`` (microseconds) orders versions of one row. Rows are
+    rebalanced by symbol, so a batch has about one file per symbol. The batch is written
+    with a single action: no emptiness probe re-runs its plan (an empty batch simply
+    writes no partition, AGG-1).
     """
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        (
-            batch.withColumn("batch_id", F.lit(batch_id))
+        # The stream thread carries its query's id, which the checkpoint keeps.
+        run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
+        keyed = batch.withColumns(
+            {
+                "run": F.lit(run),
+                "batch_id": F.lit(batch_id).cast("long"),
+                "written_at": F.unix_micros(F.current_timestamp()),
+            }
+        )
+        w = (
+            _rebalanced(keyed, ["symbol"])
             .write.format(fmt)
             .mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id", "symbol")
-            .save(path)
+            .partitionBy("symbol", "run", "batch_id")
         )
+        for key, value in (options or {}).items():
+            w = w.option(key, value)
+        w.save(path)
 
     return write_batch
 
@@ -104,8 +145,7 @@ def write_ticks(
     Kafka gets ``acks=0`` and gzip as producer options; any text sink takes
     the same ``value`` column.
     """
-    out = df.select(F.to_json(F.struct("symbol", "close")).alias("value"))
-    w = out.write.format(fmt)
+    w = tick_records(df).write.format(fmt)
     if fmt == "kafka":
         w = w.option("topic", topic).option("kafka.acks", "0").option(
             "kafka.compression.type", "gzip"
@@ -117,16 +157,36 @@ def write_ticks(
     w.save(path) if path else w.save()
 
 
-def land_payloads(df: DataFrame, root: str, column: str = "payload") -> None:
-    """SNK-6: land raw JSON text under ``root/symbol=/batch_unit=``.
+def tick_records(df: DataFrame) -> DataFrame:
+    """Ticks as ``value`` JSON, on batches and streams alike."""
+    return df.select(F.to_json(F.struct("symbol", "close")).alias("value"))
+
 
-    Overwrite with dynamic partition overwrite: only the touched
-    ``(symbol, batch_unit)`` folders are replaced; non-ASCII text is kept.
+def land_payloads(df: DataFrame, root: str, column: str = "payload", request: str = "chunk_no") -> None:
+    """SNK-6: land raw JSON text under ``root/symbol=/batch_unit=/request=``, one folder per
+    request (``request`` names the column with its key).
+
+    Dynamic partition overwrite: landing a request again replaces its own folder and
+    no other; non-ASCII text is kept.
     """
+    rows = df.select(*PARTITION_COLUMNS, F.col(request).cast("string").alias("request"), column)
+    (
+        _rebalanced(rows, RAW_PARTITIONS)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*RAW_PARTITIONS)
+        .text(root)
+    )
+
+
+def write_quarantine(df: DataFrame, root: str) -> None:
+    """FLT-1: rejected documents as landed, under ``root/status=/symbol=/batch_unit=/request=``;
+    quarantining a request again replaces its own folder."""
+    cols = ["status", *RAW_PARTITIONS]
     (
-        _rebalanced(df.select(*PARTITION_COLUMNS, column), PARTITION_COLUMNS)
+        _rebalanced(df.select(*cols, "payload"), cols)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*PARTITION_COLUMNS)
+        .partitionBy(*cols)
         .text(root)
     )

@@ -6,30 +6,45 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
-from ..schemas import COIN_INFO_SCHEMA, PAYLOAD_SCHEMA
+from ..session import has_children
+from ..schemas import BAR_TABLE_SCHEMA, COIN_INFO_SCHEMA, PAYLOAD_SCHEMA, RAW_PARTITIONS, TABLE_PARTITIONS
 
+_RAW_SCHEMA = StructType(
+    [StructField("payload", StringType()), *[StructField(c, StringType()) for c in RAW_PARTITIONS]]
+)
 
-def read_payloads(spark: SparkSession, root: str) -> DataFrame:
-    """SRC-1: every landed payload under ``root/symbol=*/batch_unit=*``.
 
-    The declared schema replaces inference (no extra scan job, unused nested
-    fields pruned); ``symbol`` and ``batch_unit`` come from the folder names.
-    Reading the root (not a glob) keeps the partition columns.
+def read_raw(spark: SparkSession, root: str) -> DataFrame:
+    """SRC-1: every landed document under ``root/symbol=*/batch_unit=*/request=*`` as it
+    is: ``payload`` text, the folder names as text, and ``ingest_seq``, the time its
+    file landed in microseconds (a later delivery of the same bars has a larger one).
+    A root where nothing has landed yet has no rows.
     """
-    return (
-        spark.read.schema(PAYLOAD_SCHEMA)
-        .option("mode", "PERMISSIVE")
-        .json(root)
+    if not has_children(spark, root, "symbol="):
+        return spark.createDataFrame([], _RAW_SCHEMA).withColumn("ingest_seq", F.lit(0).cast("long"))
+    return spark.read.schema(_RAW_SCHEMA).text(root).select(
+        "*", F.unix_micros("_metadata.file_modification_time").alias("ingest_seq")
     )
 
 
 def parse_payloads(df: DataFrame, column: str = "payload") -> DataFrame:
-    """SRC-1 on text already in a frame: ``from_json`` with the payload schema."""
+    """SRC-1 on text already in a frame: ``from_json`` with the payload schema, plus
+    ``malformed`` where the text is no such document."""
     carry = [c for c in df.columns if c != column]
-    return df.select(*carry, F.from_json(F.col(column), PAYLOAD_SCHEMA).alias("_p")).select(
-        *carry, "_p.*"
-    )
+    p = F.from_json(F.col(column), StructType([*PAYLOAD_SCHEMA.fields, _CORRUPT]), {"columnNameOfCorruptRecord": "_bad"})
+    parsed = df.select(*carry, p.alias("_p"))
+    bad = F.col("_p").isNull() | F.col("_p._bad").isNotNull()
+    return parsed.select(*carry, *[F.col(f"_p.{f}") for f in PAYLOAD_SCHEMA.names], bad.alias("malformed"))
+
+
+_CORRUPT = StructField("_bad", StringType())
+
+
+def read_payloads(spark: SparkSession, root: str) -> DataFrame:
+    """SRC-1: the landed documents parsed with the declared schema (nothing inferred)."""
+    return parse_payloads(read_raw(spark, root))
 
 
 def read_coin_info(spark: SparkSession, path: str) -> DataFrame:
@@ -39,11 +54,19 @@ def read_coin_info(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(COIN_INFO_SCHEMA).json(path)
 
 
-def read_bar_table(
-    spark: SparkSession, path: str, fmt: str = "parquet", merge_schema: bool = True
-) -> DataFrame:
-    """SRC-2: the partitioned bar table; ``mergeSchema`` for schema evolution."""
-    return spark.read.format(fmt).option("mergeSchema", str(merge_schema).lower()).load(path)
+def read_bar_table(spark: SparkSession, path: str, fmt: str = "parquet", merge_schema: bool = False) -> DataFrame:
+    """SRC-2: the partitioned bar table with its declared schema; partition values stay
+    text (a symbol ``007`` is no number) and no footer is read to find the columns.
+
+    ``merge_schema`` asks for schema evolution: the columns of all files, at the price of
+    reading every footer; partition values stay text all the same.
+    """
+    reader = spark.read.format(fmt)
+    if not merge_schema:
+        return reader.schema(BAR_TABLE_SCHEMA).load(path)
+    found = spark.read.format(fmt).option("mergeSchema", "true").load(path).schema
+    text = [StructField(f.name, StringType()) if f.name in TABLE_PARTITIONS else f for f in found]
+    return reader.schema(StructType(text)).load(path)
 
 
 def read_symbols(
@@ -52,16 +75,3 @@ def read_symbols(
     """SRC-5: one partitioned scan for all symbols; a list prunes partitions."""
     df = read_bar_table(spark, path, fmt)
     return df if symbols is None else df.where(F.col("symbol").isin(list(symbols)))
-
-
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin a frame over ``min_partitions`` tasks (default: the
-    session's parallelism) only when it has fewer partitions than that.
-
-    A scan of a few large row groups gives one task per row group however
-    many cores there are; per-row heavy work (JSON, text) then runs on a few
-    cores. On inputs already split into at least that many partitions
-    (the normal case at scale) this is a no-op and adds no shuffle.
-    """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
