@@ -2,9 +2,12 @@
 
 from .ticks import (
     compact_bar_sink,
+    compact_tick_sink,
     dedupe_stream,
+    dropped_as_late,
     ohlcv_stream,
     read_latest_bars,
+    read_sink,
     start_bar_upserts,
     start_quote_producer,
     start_tick_consumer,
@@ -13,9 +16,12 @@ from .ticks import (
 
 __all__ = [
     "compact_bar_sink",
+    "compact_tick_sink",
     "dedupe_stream",
+    "dropped_as_late",
     "ohlcv_stream",
     "read_latest_bars",
+    "read_sink",
     "start_bar_upserts",
     "start_quote_producer",
     "start_tick_consumer",

@@ -7,16 +7,19 @@ restart resumes from the stored offsets (quirk Q8) and a rerun adds nothing.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..jobs import apply_transforms
-from ..operators.bars import ohlcv
+from ..operators.bars import dedupe_latest, ohlcv
 from ..operators.ticks import TICK_TRANSFORMS, unpivot_quotes
-from ..sinks.writers import batch_writer_by_symbol
+from ..session import path_exists
+from ..sinks.writers import batch_writer_by_symbol, merge_bars, tick_records
 
 
 def tick_stream(records: DataFrame) -> DataFrame:
@@ -37,13 +40,14 @@ def start_tick_consumer(
     fmt: str = "json",
     trigger: str | None = "availableNow",
     query_name: str | None = None,
+    options: Mapping[str, str] | None = None,
 ) -> StreamingQuery:
     """STR-2/4 + SNK-3: write each micro-batch once, routed by symbol.
 
     ``trigger`` is ``"availableNow"`` (drain and stop) or a processing-time
     interval such as ``"10 seconds"``.
     """
-    w = ticks.writeStream.foreachBatch(batch_writer_by_symbol(sink_path, fmt)).option(
+    w = ticks.writeStream.foreachBatch(batch_writer_by_symbol(sink_path, fmt, options)).option(
         "checkpointLocation", checkpoint
     )
     if query_name:
@@ -67,8 +71,7 @@ def start_quote_producer(
     in ``options``.
     """
     quotes = spark.readStream.format("text").load(quotes_path).withColumnRenamed("value", "payload")
-    ticks = unpivot_quotes(quotes).select(F.to_json(F.struct("symbol", "close")).alias("value"))
-    w = ticks.writeStream.format(fmt).option("checkpointLocation", checkpoint)
+    w = tick_records(unpivot_quotes(quotes)).writeStream.format(fmt).option("checkpointLocation", checkpoint)
     for key, value in (options or {}).items():
         w = w.option(key, value)
     w = _trigger(w, trigger)
@@ -88,7 +91,8 @@ def ohlcv_stream(
 
     ``withWatermark`` needs TIMESTAMP, so a TIMESTAMP_NTZ event time is cast
     first (session zone UTC). Append mode emits a bar once the watermark
-    passes its end; late ticks beyond the watermark are dropped by Spark.
+    passes its end. Ticks behind the watermark are dropped, also those that come for
+    the first time; :func:`dropped_as_late` tells how many.
     """
     t = ticks.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, watermark)
     return ohlcv(t, every, ts=ts, price=price, keys=keys, tiebreak=tiebreak)
@@ -103,7 +107,7 @@ def start_bar_upserts(
     query_name: str | None = None,
     output_mode: str = "update",
 ) -> StreamingQuery:
-    """Streaming bars written per micro-batch under ``batch_id=<id>``.
+    """Streaming bars written per micro-batch, keyed by query and batch.
 
     ``update`` (default): each batch writes the bars it changed, so no bar
     waits for the watermark to be visible, and :func:`read_latest_bars` keeps
@@ -124,17 +128,23 @@ def start_bar_upserts(
     return _trigger(w, trigger).start()
 
 
+def read_sink(spark: SparkSession, sink_path: str, fmt: str = "parquet") -> DataFrame:
+    """All rows of a sink of :func:`batch_writer_by_symbol`; symbols and query ids stay text."""
+    found = spark.read.format(fmt).load(sink_path).schema
+    text = [StructField(f.name, StringType()) if f.name in ("symbol", "run") else f for f in found]
+    return spark.read.format(fmt).schema(StructType(text)).load(sink_path)
+
+
 def read_latest_bars(
     spark: SparkSession,
     sink_path: str,
     keys: Sequence[str] = ("symbol", "time"),
     fmt: str = "parquet",
 ) -> DataFrame:
-    """The newest version of every bar written by :func:`start_bar_upserts`."""
-    from ..operators.bars import dedupe_latest
-
-    df = spark.read.format(fmt).load(sink_path)
-    return dedupe_latest(df, keys=keys, order_col="batch_id")
+    """The version of every bar that :func:`start_bar_upserts` wrote last, whichever query
+    it was."""
+    rows = read_sink(spark, sink_path, fmt).drop("run", "batch_id")
+    return dedupe_latest(rows, keys=keys, order_col="written_at")
 
 
 def dedupe_stream(records: DataFrame, keys: Sequence[str], ts: str, watermark: str) -> DataFrame:
@@ -143,18 +153,45 @@ def dedupe_stream(records: DataFrame, keys: Sequence[str], ts: str, watermark: s
 
     ``dropDuplicatesWithinWatermark`` keeps the first record per key and
     forgets a key once the watermark passes it, so copies arriving within
-    ``watermark`` of each other are removed.
+    ``watermark`` of each other are removed. A record behind the watermark is
+    dropped even if it comes for the first time: choose the watermark by the longest
+    delay that must not lose data, and watch :func:`dropped_as_late`.
     """
     t = records.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, watermark)
     return t.dropDuplicatesWithinWatermark(list(keys))
 
 
+def dropped_as_late(query: StreamingQuery) -> int:
+    """Rows that a query's stateful operators dropped behind the watermark, over the
+    micro-batches that its recent progress covers."""
+    return sum(
+        int(op["numRowsDroppedByWatermark"])
+        for progress in query.recentProgress
+        for op in json.loads(progress.json if hasattr(progress, "json") else json.dumps(progress))["stateOperators"]
+    )
+
+
 def compact_bar_sink(spark: SparkSession, sink_path: str, table_path: str, batch_unit: str) -> None:
-    """Fold the per-batch output of :func:`start_bar_upserts` into the bar
-    table: newest version of every bar, tagged with ``batch_unit``, written
-    with dynamic partition overwrite (one job; rerun-safe). The sink folders
-    can then be expired by age instead of being re-read forever."""
-    from ..sinks.writers import write_bar_table
-
-    bars = read_latest_bars(spark, sink_path).withColumn("batch_unit", F.lit(batch_unit))
-    write_bar_table(bars, table_path)
+    """Merge the per-batch output of :func:`start_bar_upserts` into the bar table: the
+    version written last of every bar, tagged with ``batch_unit``. Bars that the table
+    has already stay, so sink folders may expire by age once they were compacted, and
+    compacting again (whatever is left of the sink) loses nothing."""
+    rows = read_sink(spark, sink_path).drop("run", "batch_id")
+    latest = dedupe_latest(rows, keys=("symbol", "time"), order_col="written_at", keep_order=True)
+    merge_bars(
+        latest.withColumnRenamed("written_at", "ingest_seq").withColumn("batch_unit", F.lit(batch_unit)), table_path
+    )
+
+
+def compact_tick_sink(spark: SparkSession, sink_path: str, table_path: str, fmt: str = "parquet") -> None:
+    """Fold the many small folders of a tick sink into one table by symbol.
+
+    Ticks have no key, so a whole ``(symbol, run, batch_id)`` is copied once: folders the
+    table has already are skipped, and rows of the table are never written again."""
+    rows = read_sink(spark, sink_path, fmt)
+    parts = ["symbol", "run", "batch_id"]
+    if path_exists(spark, table_path):
+        done = read_sink(spark, table_path).select(*parts).distinct()
+        same = [rows[c].eqNullSafe(done[c]) for c in parts]
+        rows = rows.join(done, same, "left_anti")
+    rows.hint("rebalance", "symbol").write.mode("append").partitionBy("symbol").parquet(table_path)
