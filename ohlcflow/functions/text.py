@@ -1,8 +1,8 @@
 """FN-15: text holding escaped UTF-8 bytes (``b'\\xec\\x95\\x88'``) back to text.
 
 Built-ins only, per row and whole texts: the escaped body is split into
-tokens (escape sequences and plain runs), every token becomes the hex of its
-byte(s), and ``unhex`` + ``decode('UTF-8')`` rebuilds the string.
+tokens (runs of byte escapes, other escapes and plain runs); a byte run becomes
+the hex of its bytes, and ``unhex`` with a UTF-8 check rebuilds the string.
 """
 
 from __future__ import annotations
@@ -25,9 +25,12 @@ SIMPLE_ESCAPES = {
 }
 # --- end of fixed values ---
 
-# Tokens of an escaped body: a run of \xNN escapes, a run of octal escapes,
-# any other backslash escape, or a run of plain characters.
-_TOKEN = r"(?s)((?:\\x[0-9a-fA-F]{2})+|(?:\\[0-7]{1,3})+|\\.|[^\\]+)"
+# One escape that stands for bytes: \xNN, \u00NN, up to three octal digits (to \377),
+# or the character U+0080 to U+00FF that a byte was read as.
+_BYTE = r"\\x[0-9a-fA-F]{2}|\\u00[0-9a-fA-F]{2}|\\[0-3]?[0-7]{1,2}|[\u0080-\u00ff]"
+# Tokens of an escaped body: a run of such escapes of any kind, another \uNNNN, any
+# other backslash escape, or a run of plain characters.
+_TOKEN = rf"(?s)((?:{_BYTE})+|\\u[0-9a-fA-F]{{4}}|\\.|[^\\\u0080-\u00ff]+|\\)"
 # Tokens of a text: runs of printable ASCII and runs of anything else.
 _RUNS = r"([\x20-\x7e]+|[^\x20-\x7e]+)"
 
@@ -57,33 +60,46 @@ def escape_utf8(text: Column) -> Column:
     return F.concat(F.lit("b'"), body, F.lit("'"))
 
 
-def _octal_hex(run: Column) -> Column:
-    digits = F.regexp_extract_all(run, F.lit(r"([0-7]{1,3})"), 1)
-    return F.array_join(F.transform(digits, lambda d: F.lpad(F.conv(d, 8, 16), 2, "0")), "")
+def _byte_hex(t: Column, raw: Column) -> Column:
+    """Hex digits of one byte escape; ``raw``: those of an unescaped character."""
+    return (
+        F.when(t.startswith("\\x"), F.substring(t, 3, 2))
+        .when(t.startswith("\\u"), F.substring(t, 5, 2))
+        .when(t.startswith("\\"), F.lpad(F.conv(F.substring(t, 2, 3), 8, 16), 2, "0"))
+        .otherwise(raw)
+    )
+
+
+def _decoded(run: Column) -> Column:
+    """The characters of a run of byte escapes; null if they are no UTF-8.
+
+    Unescaped characters of the run are bytes misread as Latin-1 if that gives UTF-8,
+    else themselves."""
+    each = F.regexp_extract_all(run, F.lit(f"({_BYTE})"), 1)
+    as_byte = F.transform(each, lambda t: _byte_hex(t, F.lpad(F.hex(F.ascii(t)), 2, "0")))
+    as_text = F.transform(each, lambda t: _byte_hex(t, F.hex(F.encode(t, "UTF-8"))))
+    text = lambda digits: F.try_validate_utf8(F.unhex(F.array_join(digits, "")).cast("string"))
+    return F.coalesce(text(as_byte), text(as_text))
+
+
+def _is_byte_run(t: Column) -> Column:
+    return t.rlike(rf"^(?:{_BYTE})")
 
 
 def _token_text(t: Column) -> Column:
+    """A token's text; null for bytes that are no UTF-8."""
     simple = F.create_map(*[x for kv in SIMPLE_ESCAPES.items() for x in (F.lit(kv[0]), F.lit(kv[1]))])
-    utf8 = lambda hexed: F.decode(F.unhex(hexed), "UTF-8")
-    is_escape = t.startswith("\\")
     return (
-        F.when(~is_escape, t)
-        .when(t.startswith("\\x") & (F.length(t) % 4 == 0), utf8(F.replace(t, F.lit("\\x"), F.lit(""))))
-        .when(t.rlike(r"^(\\[0-7]{1,3})+$"), utf8(_octal_hex(t)))
-        .when(F.length(t) == 2, F.coalesce(utf8(F.element_at(simple, t)), t))
+        F.when(_is_byte_run(t), _decoded(t))
+        .when(~t.startswith("\\"), t)
+        .when(t.rlike(r"^\\u[0-9a-fA-F]{4}$"), F.decode(F.unhex(F.substring(t, 3, 4)), "UTF-16BE"))
+        .when(F.length(t) == 2, F.coalesce(F.unhex(F.element_at(simple, t)).cast("string"), t))
         .otherwise(t)
     )
 
 
-def repair_utf8(escaped: Column, strip_literal: bool = True) -> Column:
-    """Undo :func:`escape_utf8` (and any ``\\xNN``/octal/named escapes).
-
-    ``strip_literal`` removes one surrounding ``b'...'``. Unlike a blanket
-    removal of every quote, apostrophes inside the text survive. Plain runs
-    pass through untouched; each run of byte escapes is decoded as UTF-8 on
-    its own (the bytes of one character are always adjacent), so only the
-    escaped part of a text is converted.
-    """
+def _texts(escaped: Column, strip_literal: bool) -> Column:
+    """The tokens' texts; an element is null where bytes are broken."""
 
     def strip(e: Column) -> Column:
         wrapped = e.startswith("b'") & e.endswith("'") & (F.length(e) >= 3)
@@ -92,8 +108,28 @@ def repair_utf8(escaped: Column, strip_literal: bool = True) -> Column:
     # Bind the input once (a one-element transform acts as a let), so an
     # expensive input expression is not evaluated once per reference.
     body = _let(escaped, strip) if strip_literal else escaped
-    tokens = F.regexp_extract_all(body, F.lit(_TOKEN), 1)
-    return F.array_join(F.transform(tokens, _token_text), "")
+    return F.transform(F.regexp_extract_all(body, F.lit(_TOKEN), 1), _token_text)
+
+
+def repair_utf8(escaped: Column, strip_literal: bool = True) -> Column:
+    """Undo :func:`escape_utf8` and any mix of ``\\xNN``, ``\\uNNNN``, octal and named
+    escapes, and of characters U+0080-U+00FF that are UTF-8 bytes misread as Latin-1.
+
+    ``strip_literal`` removes one surrounding ``b'...'``. Unlike a blanket
+    removal of every quote, apostrophes inside the text survive. Plain runs
+    pass through untouched; each run of byte escapes, of whatever kinds, is decoded
+    as UTF-8 on its own (the bytes of one character are always adjacent). Text whose
+    escapes are no UTF-8 gives null, never an error: see :func:`is_broken_utf8`.
+    """
+    return _let(
+        _texts(escaped, strip_literal),
+        lambda ts: F.when(~F.exists(ts, lambda t: t.isNull()), F.array_join(ts, "")),
+    )
+
+
+def is_broken_utf8(escaped: Column, strip_literal: bool = True) -> Column:
+    """Whether :func:`repair_utf8` gives up on a text (null for a null text)."""
+    return F.exists(_texts(escaped, strip_literal), lambda t: t.isNull())
 
 
 def _let(value: Column, fn) -> Column:

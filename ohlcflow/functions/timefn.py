@@ -17,10 +17,12 @@ from pyspark.sql import functions as F
 from ..schemas import KST_ZONE, TIME_FORMAT
 
 # --- Fixed values: text formats tried, in order, when parsing free text,
-# each with the shape a text must have before that format is tried. ---
+# each with the shape a text must have before that format is tried; no format:
+# ISO 8601 with optional fraction and offset, as Spark's own cast reads it. ---
 DATETIME_FORMATS = (
     (r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{2}:\d{2}$", "yyyy-M-d H:mm:ss"),
     (r"^\d{4}-\d{1,2}-\d{1,2}T\d{1,2}:\d{2}:\d{2}$", "yyyy-M-d'T'H:mm:ss"),
+    (r"^\d{4}-\d{2}-\d{2}[Tt ]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?([zZ]|[+-]\d{2}:?\d{2})?$", None),
     (r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{2}$", "yyyy-M-d H:mm"),
     (r"^\d{4}-\d{1,2}-\d{1,2}$", "yyyy-M-d"),
     (r"^\d{4}/\d{1,2}/\d{1,2} \d{1,2}:\d{2}:\d{2}$", "yyyy/M/d H:mm:ss"),
@@ -46,8 +48,8 @@ def today_kst() -> Column:
 
 def utc_to_kst_date(ts: str | Column) -> Column:
     """FN-7: a UTC instant (timestamp or text) to its Seoul date as text."""
-    c = _c(ts)
-    return F.date_format(F.from_utc_timestamp(c.cast("timestamp"), KST_ZONE), "yyyy-MM-dd")
+    c = _c(ts).try_cast("timestamp")  # bad text gives null
+    return F.date_format(F.from_utc_timestamp(c, KST_ZONE), "yyyy-MM-dd")
 
 
 def months_before(d: str | Column, months: int = 1) -> Column:
@@ -76,23 +78,26 @@ def hours_before_midnight(d: str | Column, hours: int) -> Column:
 
 
 def parse_datetime(
-    text: str | Column, formats: Sequence[tuple[str, str]] = DATETIME_FORMATS
+    text: str | Column, formats: Sequence[tuple[str, str | None]] = DATETIME_FORMATS
 ) -> Column:
     """FN-12: the first listed format whose shape the text has, else null.
 
     The shape test is a cheap regex, so only the matching parser runs per row
     (a failed parse attempt costs an exception); free-form guessing is not
-    reproduced.
+    reproduced. A text with an offset is an instant, shown in the session zone.
     """
     c = F.trim(_c(text))
     out = F.lit(None).cast("timestamp")
+    # The cast wants a colon in the offset and a capital Z.
+    iso = F.regexp_replace(F.upper(c), r"([+-]\d{2})(\d{2})$", "$1:$2").try_cast("timestamp")
     for pattern, fmt in reversed(formats):
-        out = F.when(c.rlike(pattern), F.try_to_timestamp(c, F.lit(fmt))).otherwise(out)
+        value = iso if fmt is None else F.try_to_timestamp(c, F.lit(fmt))
+        out = F.when(c.rlike(pattern), value).otherwise(out)
     return out
 
 
 def parse_date(
-    text: str | Column, formats: Sequence[tuple[str, str]] = DATETIME_FORMATS
+    text: str | Column, formats: Sequence[tuple[str, str | None]] = DATETIME_FORMATS
 ) -> Column:
     """FN-12: date part of :func:`parse_datetime`."""
     return F.to_date(parse_datetime(text, formats))

@@ -20,9 +20,10 @@ from ..schemas import (
     TIME_FORMAT,
     YEARS_BEFORE,
 )
+from ..functions.timefn import epoch_to_text
 from .ordering import packed_order, ts_micros
 
-_ENVELOPE = ("Response", "Message", "Data")
+_ENVELOPE = ("Response", "Message", "Data", "malformed")
 
 
 def _carried(df: DataFrame, drop: Sequence[str]) -> list[str]:
@@ -39,8 +40,11 @@ def explode_payload(df: DataFrame) -> DataFrame:
 
 
 def parse_bar_time(df: DataFrame, column: str = "time") -> DataFrame:
-    """FN-1: epoch seconds to ``yyyy-MM-dd HH:mm:ss`` text in the session zone."""
-    return df.withColumn(column, F.from_unixtime(F.col(column), TIME_FORMAT))
+    """FN-1: epoch seconds (a number, or text of one) to ``yyyy-MM-dd HH:mm:ss`` text
+    in the session zone; anything else gives null."""
+    c = F.col(column)
+    seconds = F.coalesce(c.try_cast("long"), c.try_cast("double").try_cast("long"))
+    return df.withColumn(column, epoch_to_text(seconds))
 
 
 def select_bar_columns(df: DataFrame) -> DataFrame:
@@ -108,21 +112,35 @@ def ohlcv(
     )
 
 
-def resample_bars(bars: DataFrame, every: str, keys: Sequence[str] = ("symbol",)) -> DataFrame:
-    """AGG-2 bar-to-bar: coarser bars from finer ones (times unique per key)."""
-    t = F.to_timestamp("time", TIME_FORMAT)
-    order = ts_micros(t)
+def series_keys(bars: DataFrame) -> list[str]:
+    """The columns that identify a series: the symbol, and the tier where there is one."""
+    return [c for c in PARTITION_COLUMNS if c in bars.columns]
+
+
+def resample_bars(bars: DataFrame, every: str, keys: Sequence[str] | None = None) -> DataFrame:
+    """AGG-2 bar-to-bar: coarser bars from finer ones (times unique per key); a bar
+    without a time is in none.
+
+    ``keys``: by default the symbol, and the tier if the bars have one. Buckets of the
+    fixed width ``every`` are epoch aligned, as the session's ``window`` has them. They are
+    plain arithmetic, so no null check is pushed below the finer bars: a plan that uses
+    those twice finds equal subplans and reads them once."""
+    keys = series_keys(bars) if keys is None else keys
+    t = ts_micros(F.try_to_timestamp("time", F.lit(TIME_FORMAT)))
+    width = F.unix_micros(F.expr(f"TIMESTAMP '1970-01-01 00:00:00+00:00' + INTERVAL {every}"))
     return (
-        bars.groupBy(*keys, bar_window(t, every).alias("_w"))
+        bars.groupBy(*keys, (t - F.pmod(t, width)).alias("_w"))
         .agg(
             F.max("high").alias("high"),
             F.min("low").alias("low"),
-            F.min_by("open", order).alias("open"),
-            F.max_by("close", order).alias("close"),
+            F.min_by("open", t).alias("open"),
+            F.max_by("close", t).alias("close"),
             F.sum("volumefrom").alias("volumefrom"),
             F.sum("volumeto").alias("volumeto"),
+            F.max(t).alias("_last"),
         )
-        .select(*keys, F.date_format("_w.start", TIME_FORMAT).alias("time"), *PRICE_COLUMNS)
+        .where(F.col("_last").isNotNull())
+        .select(*keys, F.date_format(F.timestamp_micros("_w"), TIME_FORMAT).alias("time"), *PRICE_COLUMNS)
     )
 
 
@@ -130,34 +148,42 @@ def last_n_bars(
     bars: DataFrame,
     limit: int,
     to_ts: str | None = None,
-    keys: Sequence[str] = ("symbol",),
+    keys: Sequence[str] | None = None,
     time_col: str = "time",
-    salt_buckets: int | None = None,
+    salt_buckets: int = 16,
 ) -> DataFrame:
     """WIN-2: the last ``limit`` bars at or before ``to_ts`` per key.
 
-    ``to_ts`` is ``yyyy-MM-dd HH:mm:ss`` text, which orders like time, so the
-    filter reaches the scan. Up to Spark's group-limit threshold,
-    ``row_number() <= limit`` is planned with a WindowGroupLimit below the
-    shuffle: each map task keeps at most ``limit`` rows per key. Above it
-    (e.g. the provider's 2000 bars), an exact two-phase top-N is used: first
-    per (key, salt) over ``salt_buckets`` hash buckets of the time, then per
-    key over at most ``limit * salt_buckets`` survivors, so a hot symbol is
-    never sorted whole in one task.
+    ``keys``: by default the symbol, and the tier if the bars have one. ``to_ts`` is
+    ``yyyy-MM-dd HH:mm:ss`` text, which orders like time, so on a stored table the
+    filter reaches the scan (for bars made of ticks, bound those: :func:`ticks_until`).
+
+    Two phases, both exact: first per (key, salt) over ``salt_buckets`` hash buckets
+    of the time, then per key over at most ``limit * salt_buckets`` survivors, so a hot
+    symbol is never sorted whole in one task. ``row_number() <= limit`` is planned with
+    a WindowGroupLimit below the shuffle where Spark's threshold allows it.
     """
     df = bars if to_ts is None else bars.where(F.col(time_col) <= F.lit(to_ts))
-    spark = bars.sparkSession
-    threshold = int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    keys = series_keys(bars) if keys is None else keys
     order = F.col(time_col).desc()
-    if limit > threshold:
-        buckets = salt_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        salted = df.withColumn("_salt", F.pmod(F.xxhash64(F.col(time_col)), F.lit(buckets)))
-        w1 = Window.partitionBy(*keys, "_salt").orderBy(order)
-        df = salted.withColumn("_rn", F.row_number().over(w1)).where(F.col("_rn") <= limit).drop("_rn", "_salt")
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(F.col(time_col)), F.lit(salt_buckets)))
+    first = Window.partitionBy(*keys, "_salt").orderBy(order)
+    df = salted.withColumn("_rn", F.row_number().over(first)).where(F.col("_rn") <= limit).drop("_rn", "_salt")
     w = Window.partitionBy(*keys).orderBy(order)
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= limit).drop("_rn")
 
 
+def _ntz(text: str) -> Column:
+    """A constant of the tick tables' time type, which row groups are skipped by."""
+    return F.lit(text).cast("timestamp_ntz")
+
+
+def ticks_until(ticks: DataFrame, to_ts: str, every: str, ts: str = "ts") -> DataFrame:
+    """The ticks of all bars of width ``every`` that begin at or before ``to_ts``
+    (which is the beginning of a bar); the bound reaches the scan."""
+    return ticks.where(F.col(ts) < _ntz(to_ts) + F.expr(f"INTERVAL {every}"))
+
+
 def union_tiers(*frames: DataFrame) -> DataFrame:
     """SET-3: append-union of several resolutions by column name."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
@@ -178,6 +204,22 @@ def tier_bounds(run_date: str) -> dict[str, Column]:
     }
 
 
+def tier_ticks(ticks: DataFrame, batch_unit: str, run_date: str, ts: str = "ts") -> DataFrame:
+    """SET-4 before aggregating: the ticks of the bars for which ``batch_unit`` is the
+    covering tier. Constant bounds on ``ts`` reach the scan, so a tier reads only its
+    range of the table; the bars themselves still go through :func:`select_tier`."""
+    b = tier_bounds(run_date)
+    day = lambda c: F.date_add(c, 1)
+    low, high = {
+        "daily": (b["oldest"], day(b["daily_end"])),
+        "hourly": (day(b["daily_end"]), day(b["hourly_end"])),
+        # The last minute bar begins at the bound itself.
+        "minutely": (day(b["hourly_end"]), b["minutely_end"] + F.expr("INTERVAL 1 MINUTE")),
+    }[batch_unit]
+    t = F.col(ts)
+    return ticks.where((t >= low.cast("timestamp_ntz")) & (t < high.cast("timestamp_ntz")))
+
+
 def covering_tier(t: Column, run_date: str) -> Column:
     """SET-4: the finest tier that covers instant ``t``; null outside every range."""
     b = tier_bounds(run_date)
@@ -217,20 +259,24 @@ def dedupe_latest(
     df: DataFrame,
     keys: Sequence[str] = ("symbol", "batch_unit", "time"),
     order_col: str = "ingest_seq",
+    keep_order: bool = False,
 ) -> DataFrame:
-    """Q5: one row per key, the one with the largest ``order_col``.
+    """Q5: one row per key, the one with the largest ``order_col`` (null: the smallest).
 
     Aggregation (not a window) so duplicates collapse map-side even when one key
     is hot. Ties on ``order_col`` are broken by a hash of the row so every
     column comes from the same row. With only fixed-width value columns the
     aggregation is hash-based; a string value column makes Spark use its
-    sort-based aggregation (still partial, map-side).
+    sort-based aggregation (still partial, map-side). ``keep_order`` keeps the
+    order column.
     """
     values = [c for c in df.columns if c not in keys and c != order_col]
     order = packed_order(F.col(order_col), F.xxhash64(*values) if values else None)
-    return df.groupBy(*keys).agg(*[F.max_by(c, order).alias(c) for c in values]).select(
-        *[c for c in df.columns if c != order_col]
-    )
+    # max_by of a null value keeps the null: the order itself is never null.
+    latest = [F.max_by(c, order).alias(c) for c in values]
+    if keep_order:
+        latest.append(F.max(order_col).alias(order_col))
+    return df.groupBy(*keys).agg(*latest).select(*[c for c in df.columns if keep_order or c != order_col])
 
 
 def with_symbol(df: DataFrame, symbol: str) -> DataFrame:

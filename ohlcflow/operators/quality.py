@@ -28,14 +28,17 @@ def quarantine(df: DataFrame, lenient: bool = False) -> DataFrame:
     return df.where(~(is_not_error() if lenient else is_success()))
 
 
-def reject_class(message: str = "Message") -> Column:
+def reject_class(message: str | Column = "Message") -> Column:
     """FLT-3: ``rate_limited`` for the exact provider message, else ``other``."""
-    return F.when(F.col(message).eqNullSafe(F.lit(RATE_LIMIT_MESSAGE)), "rate_limited").otherwise(
-        "other"
-    )
+    c = F.col(message) if isinstance(message, str) else message
+    return F.when(c.eqNullSafe(F.lit(RATE_LIMIT_MESSAGE)), "rate_limited").otherwise("other")
 
 
 def classify(df: DataFrame, lenient: bool = False) -> DataFrame:
-    """Add ``status``: ``accepted``, ``rate_limited`` or ``other``."""
+    """Add ``status``: ``accepted``, ``rate_limited``, ``other``, or ``malformed`` where
+    the frame says that a payload was no JSON (column ``malformed``)."""
     ok = is_not_error() if lenient else is_success()
-    return df.withColumn("status", F.when(ok, F.lit("accepted")).otherwise(reject_class()))
+    status = F.when(ok, F.lit("accepted")).otherwise(reject_class())
+    if "malformed" in df.columns:
+        status = F.when(F.col("malformed"), F.lit("malformed")).otherwise(status)
+    return df.withColumn("status", status)

@@ -31,7 +31,7 @@ def row_index(
 
     Work is spread over ``num_partitions`` range partitions (default: the
     session's shuffle partitions). Only the per-partition counts reach the
-    driver; the offsets go back as a literal array indexed by partition, and
+    driver; the offsets go back as a frame of one row per partition, and
     ``monotonically_increasing_id`` (partition index and position within the
     partition) completes the number - JVM-side, no Python worker.
     """
@@ -45,13 +45,16 @@ def row_index(
     sizes = {int(r["pid"]): int(r["count"]) for r in counts}
     offsets, acc = [], 0
     for pid in range(parts):
-        offsets.append(acc)
+        offsets.append((pid, acc))
         acc += sizes.get(pid, 0)
+    # One row per partition, joined by partition number.
+    before = spark.createDataFrame(offsets, "_pid int, _before long")
     mid = F.monotonically_increasing_id()
-    position = mid.bitwiseAND(F.lit((1 << 33) - 1))
-    pid = F.shiftright(mid, 33).cast("int")
-    offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), pid + 1)
-    return ranged.withColumn(name, (offset + position + 1).cast("long"))
+    numbered = ranged.withColumns(
+        {"_pid": F.shiftright(mid, 33).cast("int"), "_at": mid.bitwiseAND(F.lit((1 << 33) - 1))}
+    )
+    position = (F.col("_before") + F.col("_at") + 1).cast("long").alias(name)
+    return numbered.join(F.broadcast(before), "_pid").select(*df.columns, position)
 
 
 def rank_symbols(

@@ -11,23 +11,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType
 
-from ..schemas import DEFAULT_TSYM, QUOTE_SCHEMA, SERVED_COLUMNS, TICK_SCHEMA, TIME_FORMAT
+from ..schemas import DEFAULT_TSYM, QUOTE_SCHEMA, RESPONSE_ERROR, SERVED_COLUMNS, TICK_SCHEMA, TIME_FORMAT
 from .ordering import packed_order, ts_micros
-from .quality import is_not_error
+from .quality import reject_class
 
 
-def cast_value_to_string(df: DataFrame) -> DataFrame:
-    """PRJ-5: ``CAST(value AS STRING)`` (binary record value to text)."""
-    return df.selectExpr("CAST(value AS STRING) AS value")
-
-
-def parse_tick_json(df: DataFrame, column: str = "value") -> DataFrame:
-    """FN-3 + PRJ-1: parse ``{"symbol", "close"}`` with the declared schema.
+def decode_ticks(df: DataFrame, column: str = "value") -> DataFrame:
+    """PRJ-5, FN-3, PRJ-1: binary records of ``{"symbol", "close"}`` to columns.
 
     PERMISSIVE: garbage text gives a row of nulls, a wrong-typed field a null
-    field; no record is dropped.
+    field; no record is dropped. Text is as good as binary.
     """
-    return df.withColumn(column, F.from_json(F.col(column), TICK_SCHEMA)).select(f"{column}.*")
+    tick = F.from_json(F.col(column).cast("string"), TICK_SCHEMA)
+    return df.select(tick.alias("_tick")).select("_tick.*")
 
 
 def add_ingest_time(df: DataFrame, source: str | Column | None = None) -> DataFrame:
@@ -55,26 +51,42 @@ def fill_bar_schema(df: DataFrame) -> DataFrame:
 
 
 # API-6: the record -> served tick chain.
-TICK_TRANSFORMS = (cast_value_to_string, parse_tick_json, add_ingest_time, fill_bar_schema)
+TICK_TRANSFORMS = (decode_ticks, add_ingest_time, fill_bar_schema)
+
+
+def parse_quotes(df: DataFrame, column: str = "payload") -> DataFrame:
+    """A quote document parsed once: ``_quotes`` maps each top-level name to its text."""
+    return df.withColumn("_quotes", F.from_json(F.col(column), QUOTE_SCHEMA))
 
 
 def unpivot_quotes(df: DataFrame, column: str = "payload", tsym: str = DEFAULT_TSYM) -> DataFrame:
     """GEN-2 + FLT-2: ``{sym: {cur: price}}`` documents to ``(symbol, close)`` rows.
 
-    Error envelopes are dropped; a quote without ``tsym`` gives a null close.
+    Error envelopes are dropped (:func:`quote_rejects` has them). A quote without
+    ``tsym``, or whose price is no number, gives a null close; prices may be text.
     """
-    envelope = F.from_json(F.col(column), "Response string")
-    ok = df.where(is_not_error_col(envelope.getField("Response")))
-    quotes = F.from_json(F.col(column), QUOTE_SCHEMA)
     carry = [c for c in df.columns if c != column]
-    return ok.select(*carry, F.explode(quotes).alias("symbol", "_q")).select(
-        *carry, "symbol", F.try_element_at(F.col("_q"), F.lit(tsym)).alias("close")
+    parsed = parse_quotes(df, column)
+    ok = parsed.where(is_not_error_col(F.try_element_at("_quotes", F.lit("Response"))))
+    prices = F.from_json(F.col("_q"), QUOTE_SCHEMA)
+    return ok.select(*carry, F.explode("_quotes").alias("symbol", "_q")).select(
+        *carry, "symbol", F.try_element_at(prices, F.lit(tsym)).try_cast("double").alias("close")
     )
 
 
+def quote_rejects(df: DataFrame, column: str = "payload") -> DataFrame:
+    """FLT-2/3: the quote documents that :func:`unpivot_quotes` leaves out, whole, with
+    ``status``: ``rate_limited``, ``other`` or ``malformed`` (no JSON object)."""
+    parsed = parse_quotes(df, column)
+    field = lambda name: F.try_element_at("_quotes", F.lit(name))
+    status = F.when(F.col("_quotes").isNull(), "malformed").otherwise(reject_class(field("Message")))
+    bad = F.col("_quotes").isNull() | ~is_not_error_col(field("Response"))
+    return parsed.where(bad).withColumn("status", status).drop("_quotes")
+
+
 def is_not_error_col(response: Column) -> Column:
     """FLT-2 on an arbitrary column."""
-    return ~response.eqNullSafe(F.lit("Error"))
+    return ~response.eqNullSafe(F.lit(RESPONSE_ERROR))
 
 
 def latest_price(
@@ -103,14 +115,3 @@ def latest_price(
         F.date_format(F.max(ts), TIME_FORMAT).alias("time"),
     )
 
-
-__all__ = [
-    "TICK_TRANSFORMS",
-    "add_ingest_time",
-    "cast_value_to_string",
-    "fill_bar_schema",
-    "is_not_error",
-    "latest_price",
-    "parse_tick_json",
-    "unpivot_quotes",
-]

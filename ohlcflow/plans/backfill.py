@@ -18,7 +18,7 @@ _SECONDS_PER_DAY = 86400
 
 def chunk_count(start: Column, end: Column, width: int) -> Column:
     """Chunks of a closed range: ``max(1, ceil((end - start + 1) / width))``."""
-    return F.greatest(F.lit(1), F.ceil((end - start + F.lit(1)) / F.lit(width)).cast("int"))
+    return F.greatest(F.lit(1), F.ceil((end - start + F.lit(1)) / F.lit(width))).cast("long")
 
 
 def date_chunks(start: Column, end: Column, width_days: int) -> Column:
@@ -28,11 +28,13 @@ def date_chunks(start: Column, end: Column, width_days: int) -> Column:
     """
     n = chunk_count(F.lit(0), F.datediff(end, start), width_days)
     return F.transform(
-        F.sequence(F.lit(0), n - 1),
+        F.sequence(F.lit(0).cast("long"), n - 1),
         lambda k: F.struct(
             k.alias("chunk_no"),
-            F.date_add(start, k * width_days).alias("start"),
-            F.least(F.date_add(start, (k + 1) * width_days - 1), end).alias("end"),
+            F.date_add(start, (k * width_days).cast("int")).alias("start"),
+            F.date_add(
+                start, F.least((k + 1) * width_days - 1, F.datediff(end, start).cast("long")).cast("int")
+            ).alias("end"),
         ),
     )
 
@@ -41,7 +43,7 @@ def second_chunks(start: Column, end: Column, width_seconds: int) -> Column:
     """GEN-4: the same over epoch seconds (``start``/``end`` are LONG seconds)."""
     n = chunk_count(start, end, width_seconds)
     return F.transform(
-        F.sequence(F.lit(0), n - 1),
+        F.sequence(F.lit(0).cast("long"), n - 1),
         lambda k: F.struct(
             k.alias("chunk_no"),
             (start + k * width_seconds).alias("start"),

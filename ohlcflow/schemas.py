@@ -42,27 +42,22 @@ TIERS = [
     ("hourly", "histohour", 24),
     ("minutely", "histominute", 1440),
 ]
-# Symbols per quote request (producer side) and per chunk on the Spark side.
+# Symbols per quote request.
 QUOTE_CHUNK_SIZE = 10
-SPARK_CHUNK_SIZE = 20
 # Seoul, the zone run dates are rendered in.
 KST_ZONE = "Asia/Seoul"
 # --- end of fixed values ---
 
-# Partition columns of the bar table and of landed raw payloads.
+# Columns that identify a series.
 PARTITION_COLUMNS = ["symbol", "batch_unit"]
 
-BAR_STRUCT = StructType(
-    [
-        StructField("time", LongType()),
-        StructField("high", DoubleType()),
-        StructField("low", DoubleType()),
-        StructField("open", DoubleType()),
-        StructField("close", DoubleType()),
-        StructField("volumefrom", DoubleType()),
-        StructField("volumeto", DoubleType()),
-    ]
-)
+# Partition columns of the bar table: an increment rewrites a year of a symbol and tier.
+TABLE_PARTITIONS = ["symbol", "batch_unit", "year"]
+# Partition columns of landed raw payloads: one folder per request.
+RAW_PARTITIONS = ["symbol", "batch_unit", "request"]
+
+# Prices and times may come as numbers or as text: they are read as text and cast later.
+BAR_STRUCT = StructType([StructField(c, StringType()) for c in BAR_COLUMNS])
 
 # one raw JSON document per request.
 PAYLOAD_SCHEMA = StructType(
@@ -83,12 +78,15 @@ BAR_ROW_SCHEMA = StructType(
     + [StructField("symbol", StringType()), StructField("batch_unit", StringType())]
 )
 
-# multi-symbol quote payload {symbol: {currency: price}}.
-QUOTE_SCHEMA = MapType(StringType(), MapType(StringType(), DoubleType()))
-QUOTE_ENVELOPE_SCHEMA = StructType(
-    [StructField("Response", StringType()), StructField("Message", StringType())]
+# What the bar table stores.
+BAR_TABLE_SCHEMA = StructType(
+    BAR_ROW_SCHEMA.fields + [StructField("ingest_seq", LongType()), StructField("year", StringType())]
 )
 
+# multi-symbol quote payload {symbol: {currency: price}}, read level by level so that
+# one bad value spoils neither its document nor its neighbours.
+QUOTE_SCHEMA = MapType(StringType(), StringType())
+
 # tick record carried in the stream value.
 TICK_SCHEMA = StructType(
     [StructField("symbol", StringType()), StructField("close", DoubleType())]
