@@ -33,18 +33,31 @@ def ticks(events: DataFrame) -> DataFrame:
     )
 
 
+# Every so many events a number comes as text, or a price is no number at all.
+TEXT_NUMBER, NO_NUMBER = 5, 97
+# Bars lie a minute apart, by event id: a series has one bar per time. 2024-01-01 UTC.
+FIRST_MINUTE = 1_704_067_200
+
+
 def bar_struct(events: DataFrame):
-    """One provider bar per event (time in epoch seconds)."""
+    """One provider bar per event (time in epoch seconds: a minute per event id), as JSON text.
+
+    Variants by event id: prices and time as text, and a high that is ``n/a``."""
     v = F.col("value")
-    return F.struct(
-        F.unix_timestamp("ts").alias("time"),
-        v.alias("high"),
-        v.alias("low"),
-        v.alias("open"),
-        v.alias("close"),
-        F.col("user_id").cast("double").alias("volumefrom"),
-        (v * F.col("user_id")).alias("volumeto"),
-    )
+    bar = {
+        "time": F.lit(FIRST_MINUTE) + F.col("event_id") * 60,
+        "high": v,
+        "low": v,
+        "open": v,
+        "close": v,
+        "volumefrom": F.col("user_id").cast("double"),
+        "volumeto": v * F.col("user_id"),
+    }
+    plain = F.to_json(F.struct(*[c.alias(k) for k, c in bar.items()]))
+    text = F.to_json(F.struct(*[c.cast("string").alias(k) for k, c in bar.items()]))
+    broken = F.to_json(F.struct(*[(F.lit("n/a") if k == "high" else c).alias(k) for k, c in bar.items()]))
+    e = F.col("event_id")
+    return F.when(e % NO_NUMBER == 0, broken).when(e % TEXT_NUMBER == 0, text).otherwise(plain)
 
 
 def bar_payloads(events: DataFrame, chunk_size: int = API_CHUNK_SIZE) -> DataFrame:
@@ -57,21 +70,16 @@ def bar_payloads(events: DataFrame, chunk_size: int = API_CHUNK_SIZE) -> DataFra
     chunk = F.floor(F.col("event_id") / F.lit(chunk_size)).cast("long")
     grouped = events.groupBy(
         F.col("event_type").alias("symbol"), chunk.alias("chunk_no")
-    ).agg(F.collect_list(bar_struct(events)).alias("bars"))
+    ).agg(F.array_join(F.collect_list(bar_struct(events)), ",").alias("bars"))
     failed = F.col("symbol") == F.lit(FAILED_SYMBOL)
-    envelope = F.struct(
-        F.when(failed, F.lit("Error")).otherwise(F.lit("Success")).alias("Response"),
-        F.when(failed & (F.col("chunk_no") % 2 == 0), F.lit(RATE_LIMIT_MESSAGE))
-        .when(failed, F.lit(OTHER_ERROR_MESSAGE))
-        .otherwise(F.lit(""))
-        .alias("Message"),
-        F.when(failed, F.lit(None)).otherwise(F.struct(F.col("bars").alias("Data"))).alias("Data"),
-    )
+    message = F.when(F.col("chunk_no") % 2 == 0, F.lit(RATE_LIMIT_MESSAGE)).otherwise(F.lit(OTHER_ERROR_MESSAGE))
+    error = F.to_json(F.struct(F.lit("Error").alias("Response"), message.alias("Message")))
+    good = F.concat(F.lit('{"Response":"Success","Message":"","Data":{"Data":['), F.col("bars"), F.lit("]}}"))
     return grouped.select(
         "symbol",
         F.lit(PAYLOAD_BATCH_UNIT).alias("batch_unit"),
         "chunk_no",
-        F.to_json(envelope).alias("payload"),
+        F.when(failed, error).otherwise(good).alias("payload"),
     )
 
 
@@ -104,7 +112,8 @@ def quote_payloads(events: DataFrame, chunk_size: int = QUOTE_CHUNK_SIZE) -> Dat
 
     Symbols are grouped ``chunk_size`` per document by ``user_id`` range.
     Variants: when the latest event is an ``error`` the quote lacks USD (only
-    EUR); a ``signup`` quotes an integer price.
+    EUR); a ``signup`` quotes an integer price. Every third user's price is text, every
+    nineteenth user's is ``n/a``.
     Output: ``chunk_no, payload``.
     """
     latest = latest_by_user(events)
@@ -112,16 +121,14 @@ def quote_payloads(events: DataFrame, chunk_size: int = QUOTE_CHUNK_SIZE) -> Dat
     price = F.when(F.col("kind") == KIND_SIGNUP, F.floor("value").cast("double")).otherwise(
         F.col("value")
     )
-    entry = F.struct(
-        F.col("user_id").cast("string").alias("k"),
-        F.create_map(cur, price).alias("v"),
-    )
-    chunk = F.floor(F.col("user_id") / F.lit(chunk_size)).cast("long")
-    doc = F.to_json(F.map_from_entries(F.collect_list(entry)))
     # Whole-number prices as integer literals ({"USD":6}), as the provider sends them.
-    return latest.groupBy(chunk.alias("chunk_no")).agg(
-        F.regexp_replace(doc, r'(":-?[0-9]+)\.0([,}])', "$1$2").alias("payload")
-    )
+    number = F.regexp_replace(F.to_json(F.struct(price.alias("p"))), r'^\{"p":(.*?)(?:\.0)?\}$', "$1")
+    user = F.col("user_id")
+    quote = F.when(user % 19 == 0, F.lit('"n/a"')).when(user % 3 == 0, F.concat(F.lit('"'), number, F.lit('"'))).otherwise(number)
+    entry = F.concat(F.lit('"'), user.cast("string"), F.lit('":{"'), cur, F.lit('":'), quote, F.lit("}"))
+    chunk = F.floor(user / F.lit(chunk_size)).cast("long")
+    doc = F.concat(F.lit("{"), F.array_join(F.collect_list(entry), ","), F.lit("}"))
+    return latest.groupBy(chunk.alias("chunk_no")).agg(doc.alias("payload"))
 
 
 def quote_responses(events: DataFrame, chunk_size: int = QUOTE_CHUNK_SIZE) -> DataFrame:
@@ -196,6 +203,14 @@ def plan_symbols(nation: DataFrame) -> DataFrame:
     return nation.select(F.col("n_name").alias("symbol"))
 
 
+#: Documents whose id is a multiple of this end in a byte that is no UTF-8.
+BROKEN_DOCUMENT = 11
+
+
 def escaped_documents(documents: DataFrame) -> DataFrame:
     """``b'...'`` byte-literal text of every document (whole text)."""
-    return documents.select("doc_id", escape_utf8(F.col("text")).alias("escaped"))
+    whole = escape_utf8(F.col("text"))
+    broken = F.regexp_replace(whole, "'$", r"\\xff'")
+    return documents.select(
+        "doc_id", F.when(F.col("doc_id") % BROKEN_DOCUMENT == 0, broken).otherwise(whole).alias("escaped")
+    )

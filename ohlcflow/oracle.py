@@ -28,16 +28,24 @@ UNION ALL SELECT *, 'hourly' AS batch_unit FROM ({_bars('1 hour')})
 UNION ALL SELECT *, 'minutely' AS batch_unit FROM ({_bars('1 minute')})
 """
 
-_BARS_FROM_PAYLOAD = f"""
-SELECT strftime(ts, {_TS}) AS time,
-       value AS high, value AS low, value AS open, value AS close,
-       CAST(user_id AS DOUBLE) AS volumefrom, value * user_id AS volumeto,
-       event_type AS symbol, 'minutely' AS batch_unit
-FROM events WHERE event_type <> 'error'
+_BAR_COLUMNS = f"""
+       strftime(TIMESTAMP '2024-01-01' + event_id * INTERVAL 1 MINUTE, {_TS}) AS time,
+       CASE WHEN event_id % 97 = 0 THEN NULL ELSE value END AS high, value AS low, value AS open, value AS close,
+       CAST(user_id AS DOUBLE) AS volumefrom, value * user_id AS volumeto, event_type AS symbol
 """
 
+_BARS_FROM_PAYLOAD = f"SELECT {_BAR_COLUMNS}, 'minutely' AS batch_unit FROM events WHERE event_type <> 'error'"
+
 _K = "CAST(json_extract_string(props, '$.k') AS INTEGER)"
 
+_SERVED_TICKS = f"""
+SELECT CAST(0 AS DOUBLE) AS high, CAST(0 AS DOUBLE) AS low, CAST(0 AS DOUBLE) AS open,
+       CASE WHEN {_K} % 10 IN (0, 1, 2) THEN NULL ELSE value END AS close,
+       CAST(0 AS DOUBLE) AS volumefrom, CAST(0 AS DOUBLE) AS volumeto,
+       CASE WHEN {_K} % 10 = 0 THEN NULL ELSE event_type END AS symbol
+FROM events
+"""
+
 _LATEST = """
 SELECT user_id, arg_max(value, (ts, event_id)) AS value, arg_max(event_type, (ts, event_id)) AS event_type
 FROM events GROUP BY user_id
@@ -119,13 +127,13 @@ QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY time DESC) <= 24
 """,
         "quote_unpivot": f"""
 SELECT CAST(user_id // 10 AS BIGINT) AS chunk_no, CAST(user_id AS VARCHAR) AS symbol,
-       CASE WHEN event_type = 'error' THEN NULL
+       CASE WHEN event_type = 'error' OR user_id % 19 = 0 THEN NULL
             WHEN event_type = 'signup' THEN CAST(floor(value) AS DOUBLE) ELSE value END AS close
 FROM ({_LATEST})
 """,
         "stream_quote_producer": f"""
 SELECT CAST(user_id AS VARCHAR) AS symbol,
-       CASE WHEN event_type = 'error' THEN NULL
+       CASE WHEN event_type = 'error' OR user_id % 19 = 0 THEN NULL
             WHEN event_type = 'signup' THEN CAST(floor(value) AS DOUBLE) ELSE value END AS close
 FROM ({_LATEST})
 """,
@@ -177,36 +185,84 @@ SELECT o_orderkey,
        strftime(CAST(o_orderdate AS DATE) - INTERVAL 3 MONTH, '%Y-%m-%d') AS months_before_3,
        strftime(CAST(o_orderdate AS DATE) - INTERVAL 84 MONTH, '%Y-%m-%d') AS years_before_7,
        strftime(CAST(o_orderdate AS DATE) - 7, '%Y-%m-%d') AS days_before_7,
+       strftime(CAST(CAST(o_orderdate AS DATE) - 7 AS TIMESTAMP), '%Y-%m-%d %H:%M:%S') AS midnight_before_7,
        strftime(CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) - INTERVAL 5 HOUR, '%Y-%m-%d %H:%M:%S') AS hours_before_5,
        strftime(CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP), '%Y-%m-%d %H:%M:%S') AS midnight,
        CAST(epoch(CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP)) AS BIGINT) AS epoch,
        strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d') AS parsed
 FROM orders
 """,
+        # The text is made here as well; the date is that of the order, nine hours
+        # earlier where the text carries the offset of Seoul.
         "parse_dates": """
-SELECT o_orderkey, strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d') AS order_date,
-       strftime(CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP), '%Y-%m-%d %H:%M:%S') AS midnight
-FROM orders
+WITH t AS (
+  SELECT o_orderkey, CASE WHEN o_orderkey % 101 = 0 THEN 'n/a ' ELSE '' END ||
+         CASE o_orderpriority
+           WHEN '1-URGENT' THEN strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')
+           WHEN '2-HIGH' THEN strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S')
+           WHEN '3-MEDIUM' THEN strftime(o_orderdate, '%Y/%m/%d')
+           WHEN '4-NOT SPECIFIED' THEN strftime(o_orderdate, '%Y%m%d')
+           ELSE strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%g+09:00') END AS text,
+         CASE WHEN o_orderkey % 101 = 0 THEN NULL
+              WHEN o_orderpriority = '5-LOW' THEN CAST(o_orderdate - INTERVAL 9 HOUR AS DATE)
+              ELSE CAST(o_orderdate AS DATE) END AS d
+  FROM orders
+)
+SELECT o_orderkey, text, strftime(d, '%Y-%m-%d') AS order_date,
+       strftime(CAST(d AS TIMESTAMP), '%Y-%m-%d %H:%M:%S') AS midnight
+FROM t
+""",
+        # Characters outside printable ASCII become their UTF-8 bytes, one \\xNN each.
+        "text_repair": r"""
+WITH c AS (
+  SELECT doc_id, text, array_to_string(list_transform(string_split(text, ''), lambda ch:
+           CASE WHEN ch = chr(92) THEN chr(92) || chr(92)
+                WHEN ch = chr(39) THEN chr(92) || chr(39)
+                WHEN ch = chr(9) THEN chr(92) || 't'
+                WHEN ch = chr(10) THEN chr(92) || 'n'
+                WHEN ch = chr(13) THEN chr(92) || 'r'
+                WHEN unicode(ch) BETWEEN 32 AND 126 THEN ch
+                ELSE regexp_replace(lower(hex(encode(ch))), '(..)', chr(92) || chr(92) || 'x\1', 'g') END), '') AS body
+  FROM documents
+)
+SELECT doc_id, 'b' || chr(39) || body || CASE WHEN doc_id % 11 = 0 THEN chr(92) || 'xff' ELSE '' END || chr(39) AS escaped,
+       CASE WHEN doc_id % 11 = 0 THEN NULL ELSE text END AS text, doc_id % 11 = 0 AS broken
+FROM c
 """,
-        "text_repair": "SELECT doc_id, text FROM documents",
         "nested_field_project": f"SELECT event_id, {_K} AS k FROM events",
         "stream_ticks_parity": f"""
 SELECT CAST(0 AS DOUBLE) AS high, CAST(0 AS DOUBLE) AS low, CAST(0 AS DOUBLE) AS open,
        CASE WHEN {_K} % 10 IN (0, 1, 2) THEN NULL ELSE value END AS close,
        CAST(0 AS DOUBLE) AS volumefrom, CAST(0 AS DOUBLE) AS volumeto,
-       CASE WHEN {_K} % 10 = 0 THEN NULL ELSE event_type END AS symbol
-FROM events
-""",
-        "stream_dedupe_parity": f"""
-SELECT CAST(0 AS DOUBLE) AS high, CAST(0 AS DOUBLE) AS low, CAST(0 AS DOUBLE) AS open,
-       CASE WHEN {_K} % 10 IN (0, 1, 2) THEN NULL ELSE value END AS close,
-       CAST(0 AS DOUBLE) AS volumefrom, CAST(0 AS DOUBLE) AS volumeto,
-       CASE WHEN {_K} % 10 = 0 THEN NULL ELSE event_type END AS symbol
+       CASE WHEN {_K} % 10 = 0 THEN NULL ELSE event_type END AS symbol, true AS time_in_run
 FROM events
 """,
+        "stream_dedupe_parity": f"SELECT *, CAST(0 AS BIGINT) AS dropped_as_late FROM ({_SERVED_TICKS})",
+        "sink_new_checkpoint": _SERVED_TICKS,
+
         "stream_ohlcv_parity": _bars("1 hour"),
+        "compaction_after_expiry": f"SELECT *, 'hourly' AS batch_unit FROM ({_bars('1 hour')})",
         "bar_table_roundtrip": _BARS_FROM_PAYLOAD,
+        "incremental_landing": _BARS_FROM_PAYLOAD,
         "served_documents": _BARS_FROM_PAYLOAD,
+        "quarantine_roundtrip": """
+WITH c AS (SELECT event_type AS symbol, event_id // 100 AS chunk_no, count(*) AS bars FROM events GROUP BY 1, 2)
+SELECT CASE WHEN chunk_no % 7 = 3 THEN 'malformed' WHEN symbol <> 'error' THEN 'bar'
+            WHEN chunk_no % 2 = 0 THEN 'rate_limited' ELSE 'other' END AS status, symbol,
+       CAST(sum(CASE WHEN chunk_no % 7 <> 3 AND symbol <> 'error' THEN bars ELSE 1 END) AS BIGINT) AS n
+FROM c GROUP BY 1, 2
+""",
+        "symbols_pruned": f"""
+SELECT *, 'daily' AS batch_unit FROM ({_bars('1 day').replace('event_type AS symbol', "lpad(CAST(user_id % 10 AS VARCHAR), 3, '0') AS symbol")})
+WHERE symbol IN ('003', '007', '009')
+""",
+        "single_symbol": f"SELECT {_BAR_COLUMNS} FROM events WHERE event_type = 'click'",
+        "tick_sink_roundtrip": "SELECT event_type AS symbol, value AS close FROM events",
+        "coin_info_table": """
+SELECT CASE WHEN o_custkey % 97 = 0 THEN NULL ELSE 'C' || CAST(o_custkey AS VARCHAR) END AS name,
+       round(sum(o_totalprice), 2) AS mktcap
+FROM orders GROUP BY o_custkey
+""",
         "bars_dedupe": f"""
 SELECT symbol, time, high, low, open,
        CASE WHEN symbol = 'view' THEN close + 1 ELSE close END AS close,

@@ -1,8 +1,8 @@
 """Registered queries: one per operator group of the survey inventory.
 
 Each takes ``(spark, sf_dir)``, reads the driver tables under ``sf_dir`` (or
-data Spark derives from them) in full, and returns a lazy DataFrame. The
-matching DuckDB SQL lives in :mod:`ohlcflow.oracle` with identical column
+data Spark derives from them) in full, and returns a DataFrame; those that
+rank, land files or run streams start jobs when called. The matching DuckDB SQL lives in :mod:`ohlcflow.oracle` with identical column
 names. Sums of prices are rounded to cents, the precision of the inputs, so
 summation order cannot change the value.
 """
@@ -15,10 +15,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import fixtures
-from .apps import batch_stages, raw_to_bar_table
-from .functions.text import repair_utf8
+from .apps import batch_stages, raw_to_bar_table, rejects
+from .functions.text import is_broken_utf8, repair_utf8
 from .functions.timefn import (
     date_to_datetime,
+    datetime_days_before,
     days_before,
     hours_before_midnight,
     months_before,
@@ -35,29 +36,36 @@ from .operators.bars import (
     ohlcv,
     resample_bars,
     select_tier,
+    tier_ticks,
+    ticks_until,
     union_tiers,
+    with_symbol,
 )
 from .operators.quality import accept, classify
 from .operators.ranking import chunk_symbols, rank_symbols, top_n
 from .operators.setops import new_rows
 from .operators.ticks import (
     add_ingest_time,
-    cast_value_to_string,
+    decode_ticks,
     fill_bar_schema,
     latest_price,
-    parse_tick_json,
+    quote_rejects,
     unpivot_quotes,
 )
 from .plans.backfill import backfill_plan
-from .schemas import BAR_ROW_SCHEMA
-from .session import scratch_path
-from .sinks.writers import land_payloads
-from .sources.files import parse_payloads, read_bar_table, spread
+from .schemas import BAR_ROW_SCHEMA, TIME_FORMAT
+from .session import clean_scratch, has_children, scratch_path
+from .sinks.writers import land_payloads, merge_bars, write_by_symbol, write_quarantine, write_ticks
+from .sources.files import parse_payloads, read_bar_table, read_coin_info, read_raw, read_symbols
 from .sources.stream import read_tick_stream
 from .streaming.ticks import (
+    compact_bar_sink,
+    compact_tick_sink,
     dedupe_stream,
+    dropped_as_late,
     ohlcv_stream,
     read_latest_bars,
+    read_sink,
     start_bar_upserts,
     start_quote_producer,
     start_tick_consumer,
@@ -73,6 +81,11 @@ TOP_N = 100
 CHUNK = 10
 TIER_WIDTHS = {"daily": "1 day", "hourly": "1 hour", "minutely": "1 minute"}
 STREAM_FILES = 8
+# Deliveries of the bar stream (even: neighbours are swapped).
+DELIVERIES = 4
+QUARANTINE_CHUNK = 100
+PRUNED_SYMBOLS = ["003", "007", "009"]
+ONE_SYMBOL = "click"
 # --- end of fixed query parameters ---
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,12 +95,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _heavy(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table for per-row heavy work (JSON, text, calendar parsing): spread
-    over the session's cores when its scan yields fewer partitions."""
-    return spread(table(spark, sf_dir, name))
-
-
 def _cents(df: DataFrame, *cols: str) -> DataFrame:
     return df.withColumns({c: F.round(c, 2) for c in cols})
 
@@ -140,7 +147,9 @@ def latest_price_listed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def last_n_bars_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """WIN-2: the last 24 hourly bars at or before a cut-off, per symbol."""
-    return _cents(last_n_bars(_hourly(spark, sf_dir), LAST_N, to_ts=LAST_N_TO_TS), "volumeto")
+    ticks = ticks_until(fixtures.ticks(table(spark, sf_dir, "events")), LAST_N_TO_TS, "1 HOUR")
+    hourly = ohlcv(ticks, "1 hour", tiebreak="event_id")
+    return _cents(last_n_bars(hourly, LAST_N, to_ts=LAST_N_TO_TS), "volumeto")
 
 
 def quote_unpivot(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -152,8 +161,9 @@ def quote_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FLT-2/3 on quote responses: lenient acceptance (only an explicit Error is
     rejected), rejects classified as rate_limited or other; counts per status."""
     docs = fixtures.quote_responses(table(spark, sf_dir, "events"))
-    env = docs.select(F.from_json("payload", "Response string, Message string").alias("e")).select("e.*")
-    return classify(env, lenient=True).groupBy("status").agg(F.count(F.lit(1)).alias("n_docs"))
+    served = unpivot_quotes(docs).select("chunk_no", F.lit("accepted").alias("status")).distinct()
+    rejected = quote_rejects(docs).select("chunk_no", "status")
+    return served.union(rejected).groupBy("status").agg(F.count(F.lit(1)).alias("n_docs"))
 
 
 def symbol_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -192,8 +202,8 @@ def fill_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tick_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PRJ-5 FN-3: binary tick records (with garbage/wrong-type/null variants) decoded."""
-    records = fixtures.tick_records(_heavy(spark, sf_dir, "events"))
-    return parse_tick_json(cast_value_to_string(records))
+    records = fixtures.tick_records(table(spark, sf_dir, "events"))
+    return decode_ticks(records)
 
 
 def multiset_except(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -203,25 +213,26 @@ def multiset_except(spark: SparkSession, sf_dir: str) -> DataFrame:
     return new_rows(ev.select("user_id", "event_type"), cheap)
 
 
-def _tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ticks = fixtures.ticks(table(spark, sf_dir, "events"))
-    frames = [
-        ohlcv(ticks, every, tiebreak="event_id").withColumn("batch_unit", F.lit(unit))
-        for unit, every in TIER_WIDTHS.items()
-    ]
-    return _cents(union_tiers(*frames), "volumeto")
-
-
 def tier_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SET-3: daily, hourly and minutely bars in one frame keyed by batch_unit."""
-    return _tiers(spark, sf_dir)
+    """SET-3: daily, hourly and minutely bars in one frame keyed by batch_unit. Hours are
+    rolled up from minutes and days from hours, so the ticks are read and dealt once."""
+    ticks = fixtures.ticks(table(spark, sf_dir, "events"))
+    minutely = ohlcv(ticks, TIER_WIDTHS["minutely"], tiebreak="event_id")
+    hourly = resample_bars(minutely, TIER_WIDTHS["hourly"])
+    daily = resample_bars(hourly, TIER_WIDTHS["daily"])
+    tiers = {"daily": daily, "hourly": hourly, "minutely": minutely}
+    return _cents(union_tiers(*[df.withColumn("batch_unit", F.lit(u)) for u, df in tiers.items()]), "volumeto")
 
 
 def tier_select(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SET-4: per instant, only the bars of the tier that covers it (run date
-    2024-01-28). The tier test sits on each branch's grouping key, so Catalyst
-    applies it below each branch's aggregation."""
-    return select_tier(_tiers(spark, sf_dir), TIER_RUN_DATE)
+    """SET-4: per instant, only the bars of the tier that covers it (run date 2024-01-28).
+    Each tier aggregates only the ticks of its range, which the scan is told."""
+    ticks = fixtures.ticks(table(spark, sf_dir, "events"))
+    tiers = [
+        ohlcv(tier_ticks(ticks, unit, TIER_RUN_DATE), every, tiebreak="event_id").withColumn("batch_unit", F.lit(unit))
+        for unit, every in TIER_WIDTHS.items()
+    ]
+    return _cents(select_tier(union_tiers(*tiers), TIER_RUN_DATE), "volumeto")
 
 
 def top_symbols(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -233,7 +244,7 @@ def top_symbols(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def calendar_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FN-8..14: month/year/day/hour steps, midnight, epoch and text parsing per order."""
-    o = _heavy(spark, sf_dir, "orders")
+    o = table(spark, sf_dir, "orders")
     d = F.to_date("o_orderdate")
     fmt = "yyyy-MM-dd"
     return o.select(
@@ -242,6 +253,7 @@ def calendar_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_format(months_before(d, 3), fmt).alias("months_before_3"),
         F.date_format(years_before(d, 7), fmt).alias("years_before_7"),
         F.date_format(days_before(d, 7), fmt).alias("days_before_7"),
+        F.date_format(datetime_days_before(d, 7), "yyyy-MM-dd HH:mm:ss").alias("midnight_before_7"),
         F.date_format(hours_before_midnight(d, 5), "yyyy-MM-dd HH:mm:ss").alias("hours_before_5"),
         F.date_format(date_to_datetime(d), "yyyy-MM-dd HH:mm:ss").alias("midnight"),
         to_epoch_seconds(d).alias("epoch"),
@@ -255,30 +267,43 @@ PRIORITY_FORMATS = {
     "2-HIGH": "yyyy-MM-dd'T'HH:mm:ss",
     "3-MEDIUM": "yyyy/MM/dd",
     "4-NOT SPECIFIED": "yyyyMMdd",
-    "5-LOW": "yyyy-MM-dd",
+    "5-LOW": "yyyy-MM-dd'T'HH:mm:ss.SSS'+09:00'",
 }
 # --- end of fixed values ---
 
 
+#: Orders whose key is a multiple of this have text that is no date.
+BAD_DATE = 101
+
+
 def parse_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FN-12/13: order dates rendered as text in a format chosen by priority,
     parsed back without knowing the format, then taken to midnight."""
-    o = _heavy(spark, sf_dir, "orders")
+    o = table(spark, sf_dir, "orders")
     text = F.lit(None).cast("string")
     for priority, fmt in PRIORITY_FORMATS.items():
         text = F.when(F.col("o_orderpriority") == priority, F.date_format("o_orderdate", fmt)).otherwise(text)
+    # A few texts are no dates at all.
+    text = F.when(F.col("o_orderkey") % BAD_DATE == 0, F.concat(F.lit("n/a "), text)).otherwise(text)
     parsed = parse_date(text)
     return o.select(
         "o_orderkey",
+        text.alias("text"),
         F.date_format(parsed, "yyyy-MM-dd").alias("order_date"),
         F.date_format(date_to_datetime(parsed), "yyyy-MM-dd HH:mm:ss").alias("midnight"),
     )
 
 
 def text_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """FN-15: every document escaped to a byte literal and repaired (whole texts)."""
-    esc = fixtures.escaped_documents(_heavy(spark, sf_dir, "documents"))
-    return esc.select("doc_id", repair_utf8(F.col("escaped")).alias("text"))
+    """FN-15: every document escaped to a byte literal and repaired (whole texts); every
+    eleventh also gets a byte that is no UTF-8 and must come back null and flagged."""
+    esc = fixtures.escaped_documents(table(spark, sf_dir, "documents"))
+    return esc.select(
+        "doc_id",
+        "escaped",
+        repair_utf8(F.col("escaped")).alias("text"),
+        is_broken_utf8(F.col("escaped")).alias("broken"),
+    )
 
 
 def nested_field_project(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -309,14 +334,26 @@ def _land_stream_files(spark: SparkSession, df: DataFrame, name: str, files: int
 
 def stream_ticks_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC-3/4 STR-1/2 SNK-3: tick records as a file stream (one file per trigger),
-    the batch tick chain, a foreachBatch sink routed by symbol; the sink read back."""
+    the batch tick chain, a foreachBatch sink routed by symbol; the sink's small folders
+    compacted (twice: the second time adds nothing), the table read back. The ingest time
+    (FN-4) must lie within the run."""
     records = fixtures.tick_records(table(spark, sf_dir, "events"))
     src = _land_stream_files(spark, records, "tick-src", STREAM_FILES)
-    sink = scratch_path(spark, "tick-sink")
+    sink, compact = scratch_path(spark, "tick-sink"), scratch_path(spark, "tick-table")
+    began = spark.range(1).select(F.date_trunc("second", F.current_timestamp())).first()[0]
     stream = read_tick_stream(spark, fmt="parquet", path=src, max_files_per_trigger=1)
     q = start_tick_consumer(tick_stream(stream), sink, f"{sink}-ckpt", fmt="parquet")
     q.awaitTermination()
-    return spark.read.parquet(sink).drop("time", "batch_id")
+    for _ in range(2):
+        compact_tick_sink(spark, sink, compact)
+    ended = spark.range(1).select(F.current_timestamp()).first()[0]
+    clean_scratch(spark, src, sink, f"{sink}-ckpt")
+    time = F.to_timestamp("time", TIME_FORMAT)
+    return (
+        read_sink(spark, compact)
+        .withColumn("time_in_run", (time >= F.lit(began)) & (time <= F.lit(ended)))
+        .drop("time", "batch_id", "run", "written_at")
+    )
 
 
 def stream_quote_producer(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -325,66 +362,189 @@ def stream_quote_producer(spark: SparkSession, sf_dir: str) -> DataFrame:
     quotes, out = scratch_path(spark, "quotes"), scratch_path(spark, "quote-ticks")
     fixtures.quote_payloads(table(spark, sf_dir, "events")).select("payload").write.text(quotes)
     start_quote_producer(spark, quotes, out, f"{out}-ckpt", trigger="availableNow").awaitTermination()
+    clean_scratch(spark, quotes, f"{out}-ckpt")
     return spark.read.schema("value string").json(out).select(
         F.from_json("value", "symbol string, close double").alias("t")
     ).select("t.*")
 
 
 def stream_dedupe_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stream dedupe (at-least-once delivery): every tick record arrives, then
-    the whole set arrives again after a restart from the checkpoint. Copies
-    within the one-hour watermark are removed by the dedupe state, older
-    ones are dropped as late; each record is served exactly once."""
+    """Stream dedupe (at-least-once delivery): every tick record arrives, then the whole
+    set arrives again after a restart from the checkpoint. The watermark spans the
+    deliveries, so no copy is late and the dedupe state has to remove every one."""
     records = fixtures.tick_records(table(spark, sf_dir, "events"))
     src, sink = scratch_path(spark, "dup-src"), scratch_path(spark, "dup-sink")
+    late = 0
     for _ in range(2):
         records.write.mode("append").parquet(src)
         stream = spark.readStream.schema(records.schema).parquet(src)
-        unique = dedupe_stream(stream, ["event_id"], "ts", "1 hour")
-        start_tick_consumer(tick_stream(unique), sink, f"{sink}-ckpt", fmt="parquet").awaitTermination()
-    return spark.read.parquet(sink).drop("time", "batch_id")
+        unique = dedupe_stream(stream, ["event_id"], "ts", "3650 days")
+        q = start_tick_consumer(tick_stream(unique), sink, f"{sink}-ckpt", fmt="parquet")
+        q.awaitTermination()
+        late += dropped_as_late(q)
+    clean_scratch(spark, src, f"{sink}-ckpt")
+    return (
+        read_sink(spark, sink)
+        .drop("time", "batch_id", "run", "written_at")
+        .withColumn("dropped_as_late", F.lit(late).cast("long"))
+    )
 
 
 def stream_ohlcv_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """AGG-2 on a stream: hourly bars with a one-hour watermark in update mode.
+    """AGG-2 on a stream: hourly bars with a watermark in update mode.
 
-    Ticks arrive in eight time-ordered deliveries; after each one the query is
-    restarted from its checkpoint with ``availableNow`` (as after downtime),
-    its micro-batch upserted, and the sink read back latest-wins.
+    Ticks arrive in deliveries by time, each pair of neighbours in the wrong order, so
+    half of the ticks are late but within the watermark. After each delivery the query is
+    restarted from its checkpoint with ``availableNow`` (as after downtime), its
+    micro-batch upserted; the sink is read back latest-wins.
     """
     ticks = fixtures.ticks(table(spark, sf_dir, "events")).drop("user_id")
     lo, hi = ticks.agg(F.min("ts"), F.max("ts")).first()
-    step = (hi - lo) / STREAM_FILES
+    step = (hi - lo) / DELIVERIES
     src, sink = scratch_path(spark, "bar-src"), scratch_path(spark, "bar-sink")
-    for i in range(STREAM_FILES):
+    watermark = f"{int(2 * step.total_seconds()) + 3600} seconds"
+    for i in [k ^ 1 for k in range(DELIVERIES)]:
         start = lo + step * i
         part = ticks.where(F.col("ts") >= F.lit(start))
-        part = part.where(F.col("ts") < F.lit(lo + step * (i + 1))) if i < STREAM_FILES - 1 else part
+        part = part.where(F.col("ts") < F.lit(lo + step * (i + 1))) if i < DELIVERIES - 1 else part
         part.write.mode("append").parquet(src)
         stream = spark.readStream.schema(ticks.schema).parquet(src)
-        bars = ohlcv_stream(stream, "1 hour", "1 hour", tiebreak="event_id")
+        bars = ohlcv_stream(stream, "1 hour", watermark, tiebreak="event_id")
         start_bar_upserts(bars, sink, f"{sink}-ckpt").awaitTermination()
+    clean_scratch(spark, src, f"{sink}-ckpt")
     return _cents(read_latest_bars(spark, sink), "volumeto").select(*_hourly(spark, sf_dir).columns)
 
 
+def sink_new_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-3: a second query with a checkpoint of its own writes to the sink of a first
+    one; both start at batch 0 and neither touches the other's rows."""
+    records = fixtures.tick_records(table(spark, sf_dir, "events"))
+    sink = scratch_path(spark, "two-sink")
+    for part in range(2):
+        src = scratch_path(spark, "two-src")
+        records.where(F.col("event_id") % 2 == part).write.parquet(src)
+        stream = read_tick_stream(spark, fmt="parquet", path=src)
+        start_tick_consumer(tick_stream(stream), sink, f"{sink}-{part}-ckpt", fmt="parquet").awaitTermination()
+        clean_scratch(spark, src, f"{sink}-{part}-ckpt")
+    return read_sink(spark, sink).drop("time", "batch_id", "run", "written_at")
+
+
+def compaction_after_expiry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-1 SNK-3: stream bars of the first half of the ticks are compacted into the bar
+    table, the sink expires, the second half is written to a new sink and compacted: the
+    table has both."""
+    ticks = fixtures.ticks(table(spark, sf_dir, "events")).drop("user_id")
+    lo, hi = ticks.agg(F.min("ts"), F.max("ts")).first()
+    # The halves meet on a bar's edge, so no bar has ticks in both.
+    middle = (lo + (hi - lo) / 2).replace(minute=0, second=0, microsecond=0)
+    table_path = scratch_path(spark, "compacted")
+    for part in (ticks.where(F.col("ts") < F.lit(middle)), ticks.where(F.col("ts") >= F.lit(middle))):
+        src, sink = scratch_path(spark, "half-src"), scratch_path(spark, "half-sink")
+        part.write.parquet(src)
+        bars = ohlcv_stream(spark.readStream.schema(ticks.schema).parquet(src), "1 hour", "1 hour", tiebreak="event_id")
+        start_bar_upserts(bars, sink, f"{sink}-ckpt").awaitTermination()
+        compact_bar_sink(spark, sink, table_path, "hourly")
+        clean_scratch(spark, src, sink, f"{sink}-ckpt")
+    stored = read_bar_table(spark, table_path).drop("ingest_seq", "year")
+    return _cents(stored, "volumeto")
+
+
+def _landed(spark: SparkSession, payloads: DataFrame) -> str:
+    raw = scratch_path(spark, "raw")
+    land_payloads(payloads, raw)
+    return raw
+
+
 def bar_table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SNK-6 SRC-1 SNK-1 SRC-2 API-8: payloads landed as JSON under symbol/tier
-    folders, E1 to the partitioned bar table, the table read back for serving."""
-    raw, bars = scratch_path(spark, "raw"), scratch_path(spark, "bars")
-    land_payloads(fixtures.bar_payloads(table(spark, sf_dir, "events")), raw)
+    """SNK-6 SRC-1 SNK-1 SRC-2 API-8: payloads landed as JSON, one folder per request, E1
+    to the partitioned bar table, the table read back for serving."""
+    raw, bars = _landed(spark, fixtures.bar_payloads(table(spark, sf_dir, "events"))), scratch_path(spark, "bars")
     raw_to_bar_table(raw, bars).run(spark)
-    return read_bar_table(spark, bars)
+    clean_scratch(spark, raw)
+    return read_bar_table(spark, bars).drop("ingest_seq", "year")
+
+
+def incremental_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-6 SNK-1: requests land and are ingested in three increments (chunk number modulo
+    3), the raw folder of each expiring before the next, the second increment twice:
+    the table has every bar once."""
+    payloads = fixtures.bar_payloads(table(spark, sf_dir, "events"))
+    bars = scratch_path(spark, "bars")
+    for part in range(3):
+        raw = _landed(spark, payloads.where(F.col("chunk_no") % 3 == part))
+        for _ in range(2 if part == 1 else 1):
+            raw_to_bar_table(raw, bars).run(spark)
+        clean_scratch(spark, raw)
+    return read_bar_table(spark, bars).drop("ingest_seq", "year")
+
+
+def quarantine_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FLT-1/3: E1 with a quarantine, run twice; one request in seven lands as garbage. The
+    rejects read back, counted by what is wrong: none is lost or doubled."""
+    payloads = fixtures.bar_payloads(table(spark, sf_dir, "events"), QUARANTINE_CHUNK)
+    garbage = F.when(F.col("chunk_no") % 7 == 3, F.concat(F.lit("<html>"), F.col("symbol"))).otherwise(F.col("payload"))
+    raw = _landed(spark, payloads.withColumn("payload", garbage))
+    bars, bad = scratch_path(spark, "bars"), scratch_path(spark, "rejects")
+    for _ in range(2):
+        raw_to_bar_table(raw, bars, quarantine_root=bad).run(spark)
+    kept = read_bar_table(spark, bars).select(F.lit("bar").alias("status"), "symbol")
+    names = "payload string, status string, symbol string, batch_unit string, request string"
+    some = has_children(spark, bad, "status=")
+    stored = spark.read.schema(names).text(bad) if some else spark.createDataFrame([], names)
+    stored = stored.select("status", "symbol")
+    clean_scratch(spark, raw)
+    return kept.union(stored).groupBy("status", "symbol").agg(F.count(F.lit(1)).alias("n"))
 
 
 def served_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """API-8 E1 then E2 (SNK-2): payloads landed, bar table built, bar rows with
-    symbol and tier appended to a JSON document collection and read back."""
-    raw, bars, docs = (scratch_path(spark, n) for n in ("raw", "bars", "docs"))
-    land_payloads(fixtures.bar_payloads(table(spark, sf_dir, "events")), raw)
-    run_stages(spark, batch_stages(raw, bars, docs))
+    """API-8 E1 then E2 (SNK-2), twice: payloads landed, bar table built, bar rows with
+    their tier served to one JSON collection per symbol; the second run doubles nothing."""
+    raw = _landed(spark, fixtures.bar_payloads(table(spark, sf_dir, "events")))
+    bars, docs = scratch_path(spark, "bars"), scratch_path(spark, "docs")
+    for _ in range(2):
+        run_stages(spark, batch_stages(raw, bars, docs))
+    clean_scratch(spark, raw, bars)
     return spark.read.schema(BAR_ROW_SCHEMA).json(docs)
 
 
+def symbols_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-5 SRC-2: bars of symbols that look like numbers (``007``: the user id modulo 10 in
+    three digits), the table read for three of them by partition, symbols unchanged."""
+    ticks = fixtures.ticks(table(spark, sf_dir, "events"))
+    numbered = ticks.withColumn("symbol", F.lpad((F.col("user_id") % 10).cast("string"), 3, "0"))
+    bars = ohlcv(numbered, "1 day", tiebreak="event_id")
+    path = scratch_path(spark, "numbered")
+    merge_bars(bars.withColumns({"batch_unit": F.lit("daily"), "ingest_seq": F.lit(1).cast("long")}), path)
+    return _cents(read_symbols(spark, path, PRUNED_SYMBOLS).drop("ingest_seq", "year"), "volumeto")
+
+
+def single_symbol(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PRJ-4 FN-5: the bars of one symbol's payloads, the symbol added as a constant."""
+    clicks = table(spark, sf_dir, "events").where(F.col("event_type") == ONE_SYMBOL)
+    payloads = fixtures.bar_payloads(clicks).select("payload")
+    return with_symbol(apply_transforms(accept(parse_payloads(payloads)), BAR_TRANSFORMS), ONE_SYMBOL)
+
+
+def tick_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-5 SNK-4: ticks written as JSON records, decoded, routed to one collection per
+    symbol, which is replaced by a second run, and read back."""
+    ev = table(spark, sf_dir, "events")
+    ticks = ev.select(F.col("event_type").alias("symbol"), F.col("value").alias("close"))
+    records, by = scratch_path(spark, "records"), scratch_path(spark, "by-symbol")
+    write_ticks(ticks, records, fmt="text")
+    for _ in range(2):
+        write_by_symbol(decode_ticks(spark.read.text(records)), by, mode="replace")
+    clean_scratch(spark, records)
+    return spark.read.schema("close double, symbol string").json(by).select("symbol", "close")
+
+
+def coin_info_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q16 PRJ-8: market-cap documents landed as JSON lines, read with the declared schema."""
+    path = scratch_path(spark, "info")
+    fixtures.coin_info(table(spark, sf_dir, "orders")).select("CoinInfo", "mktcap").write.json(path)
+    return read_coin_info(spark, path).select(F.col("CoinInfo.Name").alias("name"), "mktcap")
+
+
 def _pinned(fn: Query) -> Query:
     """Run a query with the session zone pinned to UTC (bar times, epochs and
     calendar text are defined in UTC), whatever session the caller built."""
@@ -430,6 +590,14 @@ def _registry() -> dict[str, Query]:
         "bars_dedupe": bars_dedupe,
         "bar_table_roundtrip": bar_table_roundtrip,
         "served_documents": served_documents,
+        "incremental_landing": incremental_landing,
+        "quarantine_roundtrip": quarantine_roundtrip,
+        "symbols_pruned": symbols_pruned,
+        "single_symbol": single_symbol,
+        "tick_sink_roundtrip": tick_sink_roundtrip,
+        "coin_info_table": coin_info_table,
+        "sink_new_checkpoint": sink_new_checkpoint,
+        "compaction_after_expiry": compaction_after_expiry,
         "stream_ticks_parity": stream_ticks_parity,
         "stream_ohlcv_parity": stream_ohlcv_parity,
         "stream_dedupe_parity": stream_dedupe_parity,

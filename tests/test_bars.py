@@ -48,6 +48,31 @@ def test_payload_chain_variants(spark):
     ]
 
 
+def test_numbers_as_text(spark):
+    text = {k: str(v) for k, v in BAR.items()}
+    odd = {**BAR, "time": "soon", "high": {"x": 1}, "low": None, "open": True}
+    df = apply_transforms(accept(parse_payloads(_frame(spark, [("A", "daily", _payload([BAR, text, odd]))]))), BAR_TRANSFORMS)
+    plain, same, broken = df.collect()
+    assert plain == same and plain.high == 2.0 and plain.time == "2022-03-20 00:00:00"
+    assert (broken.time, broken.high, broken.low, broken.open, broken.close) == (None, None, None, None, 1.8)
+
+
+def test_null_ties_and_orders(spark):
+    rows = [(None, "2024-01-01 00:00:01", 10.0), (1, "2024-01-01 00:10:00", 12.0)]
+    t = spark.createDataFrame(rows, "id long, ts string, price double").selectExpr("id", "to_timestamp(ts) ts", "'X' symbol", "price")
+    assert ohlcv(t, "1 hour", tiebreak="id").first().open == 10.0
+    d = spark.createDataFrame([("A", 1, None), ("A", 2, None), ("B", 3, 7), ("B", 4, None)], "symbol string, v int, seq long")
+    got = {r.symbol: r.v for r in dedupe_latest(d, keys=("symbol",), order_col="seq").collect()}
+    assert got["B"] == 3 and got["A"] in (1, 2)
+
+
+def test_tiers_do_not_mix(spark):
+    rows = [("A", u, f"2024-01-01 0{h}:00:00", 1.0) for u in ("daily", "hourly") for h in range(4)]
+    bars = spark.createDataFrame(rows, "symbol string, batch_unit string, time string, close double")
+    got = sorted((r.batch_unit, r.time[11:13]) for r in last_n_bars(bars, 2).collect())
+    assert got == [("daily", "02"), ("daily", "03"), ("hourly", "02"), ("hourly", "03")]
+
+
 def test_quarantine_classes(spark):
     rows = [
         ("A", "daily", _payload([BAR])),
@@ -58,7 +83,7 @@ def test_quarantine_classes(spark):
     ]
     p = parse_payloads(_frame(spark, rows))
     got = {r.symbol: r.status for r in classify(p).collect()}
-    assert got == {"A": "accepted", "B": "rate_limited", "C": "other", "D": "other", "E": "other"}
+    assert got == {"A": "accepted", "B": "rate_limited", "C": "other", "D": "other", "E": "malformed"}
     assert accept(p).count() + quarantine(p).count() == 5
     # Lenient (quote) check: only an explicit Error is rejected.
     assert sorted(r.symbol for r in accept(p, lenient=True).collect()) == ["A", "D", "E"]

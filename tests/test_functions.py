@@ -3,7 +3,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from ohlcflow.functions.schema import has_nested_column
-from ohlcflow.functions.text import escape_utf8, repair_utf8
+from ohlcflow.functions.text import escape_utf8, is_broken_utf8, repair_utf8
 from ohlcflow.functions.timefn import (
     date_to_datetime,
     datetime_days_before,
@@ -42,6 +42,46 @@ def test_octal_and_named_escapes(spark):
     assert df.select(repair_utf8(F.col("s")).alias("r")).first().r == "안A\n"
 
 
+def test_mixed_and_broken_escapes(spark):
+    cases = {
+        r"b'\xec\225\210'": "안",              # one character, two kinds of escape
+        r"\u00ec\u0095\u0088": "안",           # bytes written as code points
+        "\xec\x95\x88": "안",                  # bytes misread as Latin-1
+        r"\uc548 x": "안 x",
+        "caf\xe9": "caf\xe9",                   # a Latin-1 character of its own
+        r"caf" + "\xe9" + r"\xec\x95\x88": "caf\xe9안",
+        r"\777": "?7",                          # no byte: \77, then a plain 7
+        r"b'\xff'": None,
+        r"b'\xec\x95'": None,
+        r"a\xc3": None,
+        "b''": "", "": "", "b'": "b'", "\\": "\\", r"\q": r"\q", r"\\x41": r"\x41",
+    }
+    df = spark.createDataFrame([(k,) for k in cases] + [(None,)], "s string")
+    rows = df.select("s", repair_utf8(F.col("s")).alias("r"), is_broken_utf8(F.col("s")).alias("b")).collect()
+    assert {r.s: r.r for r in rows} == {**cases, None: None}
+    assert {r.s for r in rows if r.b} == {k for k, v in cases.items() if v is None}
+
+
+def test_iso_text_and_bad_text(spark):
+    cases = {
+        "2022-03-20T15:00:00+00:00": "2022-03-20 15:00:00", "2022-03-20T15:00:00Z": "2022-03-20 15:00:00",
+        "2022-03-20T15:00:00.250+0900": "2022-03-20 06:00:00.250", "2022-03-20 15:00:00.5": "2022-03-20 15:00:00.500",
+        "2022-03-20t15:00:00z": "2022-03-20 15:00:00", "2022-13-40T00:00:00Z": None, "n/a": None, "": None,
+    }
+    df = spark.createDataFrame([(k,) for k in cases], "s string")
+    rows = df.select("s", F.date_format(parse_datetime("s"), "yyyy-MM-dd HH:mm:ss.SSS").alias("t"), utc_to_kst_date("s").alias("k")).collect()
+    assert {r.s: r.t for r in rows} == {k: v and v.ljust(20, ".").ljust(23, "0") for k, v in cases.items()}
+    assert {r.s: r.k for r in rows}["n/a"] is None
+
+
+def test_long_ranges_do_not_overflow(spark):
+    from ohlcflow.plans.backfill import second_chunks
+
+    day = 86400
+    n = spark.range(1).select(F.size(second_chunks(F.lit(0).cast("long"), F.lit(100 * 365 * day).cast("long"), day)).alias("n"))
+    assert n.first().n == 100 * 365 + 1
+
+
 def test_calendar_functions(spark):
     df = spark.createDataFrame([(dt.date(2024, 3, 31),)], "d date")
     r = df.select(

@@ -1,14 +1,16 @@
 import json
 import os
+import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from ohlcflow import fixtures
 from ohlcflow.jobs import Job, apply_transforms, bind, run_stages
 from ohlcflow.operators.bars import BAR_TRANSFORMS
 from ohlcflow.operators.quality import accept
-from ohlcflow.sinks import land_payloads, write_bar_table, write_by_symbol, write_documents, write_ticks
-from ohlcflow.sources import parse_payloads, read_bar_table, read_payloads, read_symbols
+from ohlcflow.sinks import land_payloads, merge_bars, write_by_symbol, write_documents, write_ticks
+from ohlcflow.sources import read_bar_table, read_payloads, read_raw, read_symbols
 
 from conftest import SF_SMALL
 
@@ -21,29 +23,46 @@ def test_land_and_read_payloads(spark, scratch):
     ev = _events(spark)
     payloads = fixtures.bar_payloads(ev, chunk_size=200)
     land_payloads(payloads, scratch)
-    assert os.path.isdir(f"{scratch}/symbol=click/batch_unit=minutely")
+    assert os.path.isdir(f"{scratch}/symbol=click/batch_unit=minutely/request=0")
     raw = read_payloads(spark, scratch)
-    assert {"symbol", "batch_unit", "Response", "Data"} <= set(raw.columns)
+    assert {"symbol", "batch_unit", "request", "ingest_seq", "Response", "Data"} <= set(raw.columns)
     bars = apply_transforms(accept(raw), BAR_TRANSFORMS)
     assert bars.count() == ev.where("event_type <> 'error'").count()
-    # Dynamic overwrite: landing one symbol again replaces only its folder.
+    # Landing requests again, or other requests of a symbol, leaves the rest alone.
     land_payloads(payloads.where("symbol = 'click'"), scratch)
-    assert read_payloads(spark, scratch).count() == payloads.count()
+    land_payloads(payloads.where("symbol = 'click' and chunk_no = 1").selectExpr("symbol", "batch_unit", "99 AS chunk_no", "payload"), scratch)
+    assert read_payloads(spark, scratch).count() == payloads.count() + 1
+    assert read_raw(spark, f"{scratch}-nothing").count() == 0
 
 
-def test_bar_table_idempotent_overwrite_and_pruning(spark, scratch):
-    ev = _events(spark)
-    bars = apply_transforms(accept(parse_payloads(fixtures.bar_payloads(ev))), BAR_TRANSFORMS)
-    n = bars.count()
-    write_bar_table(bars, scratch)
-    write_bar_table(bars, scratch)                 # rerun: same partitions replaced
-    assert read_bar_table(spark, scratch).count() == n
-    write_bar_table(bars.where("symbol = 'view'"), scratch, mode="append")
-    assert read_bar_table(spark, scratch).count() == n + bars.where("symbol = 'view'").count()
-    one = read_symbols(spark, scratch, ["click"])
+BARS = "time string, high double, low double, open double, close double, volumefrom double, volumeto double, symbol string, batch_unit string, ingest_seq long"
+
+
+def _bar(symbol, time, close, seq, unit="daily"):
+    return (time, 1.0, 1.0, 1.0, close, 1.0, 1.0, symbol, unit, seq)
+
+
+def test_bar_table_merges(spark, scratch):
+    put = lambda *rows: merge_bars(spark.createDataFrame(list(rows), BARS), scratch)
+    have = lambda: sorted((r.symbol, r.time[:10], r.close) for r in read_bar_table(spark, scratch).collect())
+    put(_bar("007", "2023-12-31 00:00:00", 1.0, 1), _bar("007", "2024-01-01 00:00:00", 2.0, 1), _bar("B", "2024-01-01 00:00:00", 3.0, 1))
+    # An increment adds, a later version replaces, an earlier one does not.
+    put(_bar("007", "2024-01-02 00:00:00", 4.0, 2), _bar("007", "2024-01-01 00:00:00", 5.0, 2), _bar("B", "2024-01-01 00:00:00", 9.0, 0))
+    want = [("007", "2023-12-31", 1.0), ("007", "2024-01-01", 5.0), ("007", "2024-01-02", 4.0), ("B", "2024-01-01", 3.0)]
+    assert have() == want
+    put(_bar("007", "2024-01-02 00:00:00", 4.0, 2))
+    assert have() == want
+    one = read_symbols(spark, scratch, ["007"])
     plan = one._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters" in plan and "click" in plan
-    assert {r.symbol for r in one.select("symbol").distinct().collect()} == {"click"}
+    assert "PartitionFilters: [isnotnull(symbol" in plan and "007" in plan
+    assert {r.symbol for r in one.collect()} == {"007"}
+
+
+def test_only_touched_partitions_are_written(spark, scratch):
+    merge_bars(spark.createDataFrame([_bar("A", "2023-01-01 00:00:00", 1.0, 1), _bar("B", "2023-01-01 00:00:00", 1.0, 1)], BARS), scratch)
+    before = sorted(os.listdir(f"{scratch}/symbol=B/batch_unit=daily/year=2023"))
+    merge_bars(spark.createDataFrame([_bar("A", "2023-01-02 00:00:00", 1.0, 2)], BARS), scratch)
+    assert sorted(os.listdir(f"{scratch}/symbol=B/batch_unit=daily/year=2023")) == before
 
 
 def test_document_and_symbol_sinks(spark, scratch):
@@ -73,16 +92,6 @@ def test_job_api(spark, scratch):
     assert spark.read.parquet(out).count() == 4
 
 
-def test_spread_only_when_narrow(spark):
-    from ohlcflow.sources import spread
-
-    wide = spark.range(0, 1000, numPartitions=8)
-    assert spread(wide, 8) is wide                    # already split: no shuffle added
-    narrow = spark.range(0, 1000, numPartitions=1)
-    out = spread(narrow, 8)
-    assert out.rdd.getNumPartitions() == 8 and out.count() == 1000
-
-
 def test_cli_batch_and_plan(spark, scratch):
     from ohlcflow.cli import main
 
@@ -90,32 +99,66 @@ def test_cli_batch_and_plan(spark, scratch):
     raw = f"{scratch}/raw"
     land_payloads(fixtures.bar_payloads(ev), raw)
     main(["batch", "--raw", raw, "--table", f"{scratch}/bars", "--out", f"{scratch}/docs"])
+    main(["batch", "--raw", raw, "--table", f"{scratch}/bars", "--out", f"{scratch}/docs", "--quarantine", f"{scratch}/bad"])
     assert spark.read.json(f"{scratch}/docs").count() == ev.where("event_type <> 'error'").count()
+    assert spark.read.text(f"{scratch}/bad").count() == 1
     spark.createDataFrame([("A",), ("B",)], "symbol string").write.parquet(f"{scratch}/sym")
     main(["plan", "--symbols-table", f"{scratch}/sym", "--run-date", "2022-03-20", "--out", f"{scratch}/plan"])
     assert spark.read.parquet(f"{scratch}/plan").where("symbol = 'A'").count() * 2 == spark.read.parquet(f"{scratch}/plan").count()
 
 
 def test_bar_table_schema_evolution(spark, scratch):
-    v1 = spark.createDataFrame([("t1", 1.0, "A", "daily")], "time string, close double, symbol string, batch_unit string")
+    v1 = spark.createDataFrame([("t1", 1.0, "7", "daily")], "time string, close double, symbol string, batch_unit string")
     v2 = spark.createDataFrame([("t2", 2.0, 5.0, "B", "daily")], "time string, close double, vwap double, symbol string, batch_unit string")
-    write_bar_table(v1, scratch, mode="append")
-    write_bar_table(v2, scratch, mode="append")
-    got = {r.symbol: r.vwap for r in read_bar_table(spark, scratch).collect()}
-    assert got == {"A": None, "B": 5.0}
+    for v in (v1, v2):
+        v.write.mode("append").partitionBy("symbol", "batch_unit").parquet(scratch)
+    got = {r.symbol: r.vwap for r in read_bar_table(spark, scratch, merge_schema=True).collect()}
+    assert got == {"7": None, "B": 5.0}
 
 
-def test_e1_dedupe_option(spark, scratch):
+def test_e1_keeps_the_later_of_overlapping_requests(spark, scratch):
     from ohlcflow.apps import raw_to_bar_table
 
     bar = {"time": 1647734400, "high": 2.0, "low": 1.0, "open": 1.5, "close": 1.8, "volumefrom": 1.0, "volumeto": 1.8}
-    doc = json.dumps({"Response": "Success", "Message": "", "Data": {"Data": [bar]}})
-    overlap = spark.createDataFrame([("A", "daily", doc), ("A", "daily", doc)], "symbol string, batch_unit string, payload string")
-    land_payloads(overlap, f"{scratch}/raw")
-    raw_to_bar_table(f"{scratch}/raw", f"{scratch}/plain").run(spark)
-    raw_to_bar_table(f"{scratch}/raw", f"{scratch}/dedup", dedupe=True).run(spark)
-    assert read_bar_table(spark, f"{scratch}/plain").count() == 2
-    assert read_bar_table(spark, f"{scratch}/dedup").count() == 1
+    doc = lambda b: json.dumps({"Response": "Success", "Message": "", "Data": {"Data": [b]}})
+    schema = "symbol string, batch_unit string, chunk_no int, payload string"
+    land_payloads(spark.createDataFrame([("A", "daily", 0, doc(bar))], schema), f"{scratch}/raw")
+    time.sleep(1.1)                                            # file times may be whole seconds
+    land_payloads(spark.createDataFrame([("A", "daily", 1, doc({**bar, "close": 9.0}))], schema), f"{scratch}/raw")
+    raw_to_bar_table(f"{scratch}/raw", f"{scratch}/bars").run(spark)
+    assert [r.close for r in read_bar_table(spark, f"{scratch}/bars").collect()] == [9.0]
+
+
+def test_quarantine_keeps_the_documents(spark, scratch):
+    from ohlcflow.apps import raw_to_bar_table
+
+    docs = ["<html>", json.dumps({"Response": "Error", "Message": "boom"}), json.dumps({"Message": "no status"})]
+    rows = [("A", "daily", i, d) for i, d in enumerate(docs)]
+    land_payloads(spark.createDataFrame(rows, "symbol string, batch_unit string, chunk_no int, payload string"), f"{scratch}/raw")
+    for _ in range(2):
+        raw_to_bar_table(f"{scratch}/raw", f"{scratch}/bars", f"{scratch}/bad").run(spark)
+    got = spark.read.text(f"{scratch}/bad").collect()
+    assert sorted((r.status, r.value) for r in got) == sorted([("malformed", docs[0]), ("other", docs[1]), ("other", docs[2])])
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
+    from ohlcflow import session
+
+    class Conf:
+        def get(self, key, default=None):
+            return None
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError):
+        session.checkpoint_root(Session())
 
 
 def test_read_coin_info(spark, scratch):
@@ -137,4 +180,5 @@ def test_empty_batch_is_a_no_op(spark, scratch):
     write(spark.createDataFrame([("A", 1.0)], "symbol string, close double"), 1)
     write(spark.createDataFrame([("A", 1.0)], "symbol string, close double"), 1)   # replayed batch
     out = spark.read.parquet(f"{scratch}/sink")
+    assert {r.run for r in out.collect()} == {"none"}         # called outside a stream
     assert [(r.symbol, r.close, r.batch_id) for r in out.collect()] == [("A", 1.0, 1)]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ohlcflow import fixtures
 from ohlcflow.operators.bars import last_n_bars, ohlcv
 from ohlcflow.plans.backfill import date_chunks
-from ohlcflow.sinks import write_bar_table
+from ohlcflow.sinks import write_by_symbol
 
 from conftest import SF_ORACLE
 
@@ -32,11 +32,11 @@ def test_hot_symbol_write_is_split(spark, scratch):
     for k, v in conf.items():
         spark.conf.set(k, v)
     try:
-        write_bar_table(bars, scratch)
+        write_by_symbol(bars, scratch, fmt="parquet")
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
-    files = [f for f in os.listdir(f"{scratch}/symbol=HOT/batch_unit=minutely") if f.endswith(".parquet")]
+    files = [f for f in os.listdir(f"{scratch}/symbol=HOT") if f.endswith(".parquet")]
     assert len(files) > 1                       # the hot partition went to several writers
     assert spark.read.parquet(scratch).count() == bars.count()
 

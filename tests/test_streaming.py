@@ -8,6 +8,7 @@ from ohlcflow.sources import read_tick_stream
 from ohlcflow.streaming import (
     ohlcv_stream,
     read_latest_bars,
+    read_sink,
     start_bar_upserts,
     start_quote_producer,
     start_tick_consumer,
@@ -27,16 +28,17 @@ def test_tick_stream_equals_batch_and_rerun_adds_nothing(spark, scratch):
     stream = read_tick_stream(spark, fmt="parquet", path=src, max_files_per_trigger=1)
     q = start_tick_consumer(tick_stream(stream), sink, ckpt, fmt="parquet")
     q.awaitTermination()
-    batches = {p for p in os.listdir(sink) if p.startswith("batch_id=")}
-    assert len(batches) == 4                       # one file per trigger
-    out = spark.read.parquet(sink)
+    out = read_sink(spark, sink)
+    assert out.select("run", "batch_id").distinct().count() == 4     # one file per trigger
+    files = [f for _, _, names in os.walk(sink) for f in names if f.endswith(".parquet")]
+    assert len(files) <= 4 * (out.select("symbol").distinct().count() + 1)
     batch = apply_transforms(records.select("value"), TICK_TRANSFORMS)
     cols = ["symbol", "close", "high", "volumeto"]
     assert sorted(map(tuple, out.select(cols).collect()), key=str) == sorted(map(tuple, batch.select(cols).collect()), key=str)
     # Restart with the same checkpoint: nothing new.
     q2 = start_tick_consumer(tick_stream(read_tick_stream(spark, fmt="parquet", path=src)), sink, ckpt, fmt="parquet")
     q2.awaitTermination()
-    assert spark.read.parquet(sink).count() == out.count() == ev.count()
+    assert read_sink(spark, sink).count() == out.count() == ev.count()
 
 
 def test_bar_stream_upserts(spark, scratch):
@@ -85,10 +87,26 @@ def test_dedupe_stream_within_and_across_batches(spark, scratch):
         s = spark.readStream.schema("event_id long, ts timestamp, value binary").parquet(src)
         start_tick_consumer(tick_stream(dedupe_stream(s, ["event_id"], "ts", "1 hour")), sink, f"{sink}-ckpt",
                             fmt="parquet").awaitTermination()
-    got = sorted(r.symbol for r in spark.read.parquet(sink).collect())
+    got = sorted(r.symbol for r in read_sink(spark, sink).collect())
     assert got == ["A", "B", "C"]
 
 
+def test_late_rows_are_counted(spark, scratch):
+    from ohlcflow.streaming import dedupe_stream, dropped_as_late
+
+    schema = "event_id long, ts string, value string"
+    src, sink, late = f"{scratch}/src", f"{scratch}/sink", []
+    for n, hour in enumerate(("10", "20", "11")):
+        row = [(n, f"2024-01-01 {hour}:00:00", '{"symbol":"A","close":1}')]
+        (spark.createDataFrame(row, schema).withColumn("ts", F.to_timestamp("ts"))
+         .withColumn("value", F.col("value").cast("binary")).write.mode("append").parquet(src))
+        s = spark.readStream.schema("event_id long, ts timestamp, value binary").parquet(src)
+        q = start_tick_consumer(tick_stream(dedupe_stream(s, ["event_id"], "ts", "1 hour")), sink, f"{sink}-ckpt", fmt="parquet")
+        q.awaitTermination()
+        late.append(dropped_as_late(q))
+    assert late == [0, 0, 1] and read_sink(spark, sink).count() == 2
+
+
 def test_bar_stream_append_emits_closed_bars_once(spark, scratch):
     schema = "event_id long, ts string, symbol string, price double"
     batches = [

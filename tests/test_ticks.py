@@ -8,8 +8,8 @@ from ohlcflow.operators.ticks import (
     add_ingest_time,
     fill_bar_schema,
     latest_price,
-    parse_tick_json,
-    cast_value_to_string,
+    decode_ticks,
+    quote_rejects,
     unpivot_quotes,
 )
 from ohlcflow.schemas import SERVED_COLUMNS
@@ -59,6 +59,27 @@ def test_unpivot_quotes(spark):
     assert got == [("A", 1.5), ("B", None), ("C", None), ("D", 3.0)]
 
 
+def test_one_bad_quote_spoils_no_other(spark):
+    docs = [
+        json.dumps({"A": {"USD": "1.5"}, "B": {"USD": "n/a"}, "C": {"USD": 2}, "D": 5, "E": None, "F": {"USD": {"x": 1}}}),
+        json.dumps({"Response": "Error", "Message": "You are over your rate limit please upgrade your account!"}),
+        "<html>",
+        "[1]",
+    ]
+    df = spark.createDataFrame([(i, d) for i, d in enumerate(docs)], "n int, payload string")
+    got = sorted((r.symbol, r.close) for r in unpivot_quotes(df).collect())
+    assert got == [("A", 1.5), ("B", None), ("C", 2.0), ("D", None), ("E", None), ("F", None)]
+    rejects = quote_rejects(df).collect()
+    assert sorted((r.n, r.status) for r in rejects) == [(1, "rate_limited"), (2, "malformed"), (3, "malformed")]
+    assert {r.payload for r in rejects} == set(docs[1:])
+
+
+def test_a_tick_without_id_is_not_lost(spark):
+    rows = [(None, "2024-01-01 00:00:01", 10.0), (5, "2024-01-01 00:00:02", 12.0), (None, "2024-01-01 00:00:03", 11.0)]
+    t = spark.createDataFrame(rows, "id long, ts string, price double").selectExpr("id", "to_timestamp(ts) ts", "'X' symbol", "price")
+    assert latest_price(t, tiebreak="id").first().close == 11.0
+
+
 def test_latest_price_list_and_frame(spark):
     rows = [("A", "2024-01-01 00:00:00", 1.0, 1), ("A", "2024-01-02 00:00:00", 2.0, 2),
             ("A", "2024-01-02 00:00:00", 3.0, 3), ("B", "2024-01-01 00:00:00", 5.0, 4)]
@@ -71,6 +92,6 @@ def test_latest_price_list_and_frame(spark):
 
 
 def test_tick_json_roundtrip_stays_jvm_side(spark):
-    df = parse_tick_json(cast_value_to_string(_records(spark, ['{"symbol":"A","close":1}'])))
+    df = decode_ticks(_records(spark, ['{"symbol":"A","close":1}']))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "ArrowEval" not in plan
