@@ -38,7 +38,7 @@ from .blocks import lower_case, text_blocks, word_hashes, words
 #: Hashed dimensions, words of a passage, rank of the space, oversampling.
 DIMENSIONS, PASSAGE, RANK, MORE = 4096, 64, 48, 8
 #: Least cosine of a candidate.
-COSINE = 0.55
+COSINE = 0.5
 #: Share of the item in the common subsequence: alone, or with the answer's share.
 VERBATIM, PARAPHRASE, ANSWER = 0.75, 0.5, 0.75
 #: Items with fewer words must occur whole.
@@ -206,7 +206,7 @@ class _Items:
             x = space.weights[_dims(h, len(space.weights))].sum(axis=0) if len(h) else np.zeros(space.weights.shape[1])
             vectors.append(x / max(np.linalg.norm(x), 1e-12))
             lengths.append(len(h))
-        self.vectors = np.array(vectors, np.float32).reshape(len(ids), -1)
+        self.vectors = np.array(vectors, np.float32).reshape(len(ids), space.weights.shape[1])
         # The nearest class below or at the length; the shortest items share one.
         self.classes: dict[int, np.ndarray] = {}
         for i, n in enumerate(lengths):

@@ -65,18 +65,18 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], share: float, max
     rest shares what is left. Two sums per round reach the driver.
     """
     order = [F.col("source").isNull().cast("int"), F.col("source")]
-    ranked = row_index(sizes, order, name="_rank")
+    ranked = row_index(sizes, order, name="_mix_rank")
     w = F.element_at(
-        F.array(*[F.lit(float(x)) for x in weights]), ((F.col("_rank") - 1) % len(weights) + 1).cast("int")
+        F.array(*[F.lit(float(x)) for x in weights]), ((F.col("_mix_rank") - 1) % len(weights) + 1).cast("int")
     )
-    ranked = ranked.withColumn("_w", w).withColumn("_cap", F.col("source_size") * F.lit(float(max_copies)))
+    ranked = ranked.withColumn("_mix_w", w).withColumn("_mix_cap", F.col("source_size") * F.lit(float(max_copies)))
     total = ranked.agg(F.sum("source_size").alias("t")).first()["t"] or 0
     level = 0.0
     while True:
-        full = F.col("_w") * F.lit(level) >= F.col("_cap")
+        full = F.col("_mix_w") * F.lit(level) >= F.col("_mix_cap")
         r = ranked.agg(
-            F.coalesce(F.sum(F.when(full, F.col("_cap"))), F.lit(0.0)).alias("capped"),
-            F.coalesce(F.sum(F.when(~full, F.col("_w"))), F.lit(0.0)).alias("w"),
+            F.coalesce(F.sum(F.when(full, F.col("_mix_cap"))), F.lit(0.0)).alias("capped"),
+            F.coalesce(F.sum(F.when(~full, F.col("_mix_w"))), F.lit(0.0)).alias("w"),
         ).first()
         if r["w"] == 0:
             break
@@ -84,7 +84,7 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], share: float, max
         if new <= level:
             break
         level = new
-    target = F.least(F.col("_w") * F.lit(level), F.col("_cap"))
+    target = F.least(F.col("_mix_w") * F.lit(level), F.col("_mix_cap"))
     return ranked.select("source", "source_size", target.alias("target"))
 
 
@@ -93,10 +93,10 @@ def _measured(docs: DataFrame, seed: str, importance: str | None, cols: dict[str
     gain = F.greatest(F.coalesce(F.col(importance).cast("double"), F.lit(0.0)), F.lit(0.0)) if importance else F.lit(1.0)
     return docs.withColumns(
         {
-            "_size": n_words(F.col(cols["text"])),
-            "_u": uniform(F.col(cols["id"]), seed),
-            "_gain": gain,
-            "_tie": F.struct(
+            "_mix_size": n_words(F.col(cols["text"])),
+            "_mix_u": uniform(F.col(cols["id"]), seed),
+            "_mix_gain": gain,
+            "_mix_tie": F.struct(
                 F.coalesce(F.col(cols["id"]).cast("string"), F.lit("")).alias("id"),
                 F.xxhash64(cols["text"]).alias("text"),
             ),
@@ -109,15 +109,15 @@ def _placed(rows: DataFrame, max_copies: float) -> DataFrame:
 
     Needs ``_factor``, the source's target over its (weighted) words."""
     want = F.when(
-        F.col("_size") > 0, F.least(F.col("_gain") * F.col("_factor"), F.lit(float(max_copies)))
+        F.col("_mix_size") > 0, F.least(F.col("_mix_gain") * F.col("_mix_factor"), F.lit(float(max_copies)))
     ).otherwise(F.lit(0.0))
-    rows = rows.withColumn("_want", want).withColumn("_certain", F.floor("_want"))
-    p = F.col("_want") - F.col("_certain")
-    odds = (F.col("_u") / (1 - F.col("_u"))) / (p / (1 - p))
+    rows = rows.withColumn("_mix_want", want).withColumn("_mix_certain", F.floor("_mix_want"))
+    p = F.col("_mix_want") - F.col("_mix_certain")
+    odds = (F.col("_mix_u") / (1 - F.col("_mix_u"))) / (p / (1 - p))
     # odds / (1 + odds) ranks as the odds do; fixed-width digits make a key that
     # sorts and splits into cells.
     digits = F.floor(odds / (1 + odds) * F.lit(10.0**KEY_DIGITS)).cast("string")
-    return rows.withColumn("_key", F.when(p > 0, F.lpad(digits, KEY_DIGITS, "0"))).drop("_want")
+    return rows.withColumn("_mix_key", F.when(p > 0, F.lpad(digits, KEY_DIGITS, "0"))).drop("_mix_want")
 
 
 def _same(a: Column, b: Column) -> Column:
@@ -143,111 +143,112 @@ def pareto_mix(
     with scratch(spark, "mix") as work:
         measured = _measured(docs, seed, importance, cols)
         rows = work.table(
-            measured.select(F.col(source_col).alias("_source"), "_size", "_u", "_gain", "_tie"), "rows"
+            measured.select(F.col(source_col).alias("_mix_source"), "_mix_size", "_mix_u", "_mix_gain", "_mix_tie"), "rows"
         )
         per = work.table(
-            rows.groupBy(F.col("_source").alias("source")).agg(
-                F.sum("_size").alias("source_size"), F.sum(F.col("_size") * F.col("_gain")).alias("gained")
+            rows.groupBy(F.col("_mix_source").alias("source")).agg(
+                F.sum("_mix_size").alias("source_size"), F.sum(F.col("_mix_size") * F.col("_mix_gain")).alias("gained")
             ),
             "sources",
         )
         targets = source_targets(per.select("source", "source_size"), weights, share, max_copies)
-        named = per.select(F.col("source").alias("_s"), "gained")
+        named = per.select(F.col("source").alias("_mix_s"), "gained")
         plan = work.table(
-            targets.join(named, _same(F.col("source"), F.col("_s")))
+            targets.join(named, _same(F.col("source"), F.col("_mix_s")))
             .select(
-                F.col("source").alias("_src"), "source_size", "target",
-                F.when(F.col("gained") > 0, F.col("target") / F.col("gained")).otherwise(0.0).alias("_factor"),
+                F.col("source").alias("_mix_src"), "source_size", "target",
+                F.when(F.col("gained") > 0, F.col("target") / F.col("gained")).otherwise(0.0).alias("_mix_factor"),
             ),
             "plan",
         )
-        of_source = _same(F.col("_source"), F.col("_src"))
+        of_source = _same(F.col("_mix_source"), F.col("_mix_src"))
         placed = work.table(
-            _placed(rows.join(broadcast_if_small(plan.select("_src", "_factor")), of_source), max_copies)
-            .select("_source", "_size", "_tie", "_certain", "_key"),
+            _placed(rows.join(broadcast_if_small(plan.select("_mix_src", "_mix_factor")), of_source), max_copies)
+            .select("_mix_source", "_mix_size", "_mix_tie", "_mix_certain", "_mix_key"),
             "placed",
         )
-        given = placed.groupBy("_source").agg(F.sum(F.col("_certain") * F.col("_size")).alias("given"))
+        given = placed.groupBy("_mix_source").agg(F.sum(F.col("_mix_certain") * F.col("_mix_size")).alias("given"))
         rest = work.table(
-            plan.join(given, of_source).select("_src", (F.col("target") - F.col("given")).alias("rest")), "rest"
+            plan.join(given, of_source).select("_mix_src", (F.col("target") - F.col("given")).alias("rest")), "rest"
         )
         # Descend to the cell of the key in which the words reach the rest.
-        some = placed.where("_key is not null")
-        at = rest.select("_src", F.lit("").alias("cell"), F.lit(0).cast("long").alias("before"), "rest")
+        some = placed.where("_mix_key is not null")
+        at = rest.select("_mix_src", F.lit("").alias("_mix_cell"), F.lit(0).cast("long").alias("before"), "rest")
         for digits in LEVEL_DIGITS:
-            inside = some.join(broadcast_if_small(at), of_source & F.col("_key").startswith(F.col("cell")))
-            cells = inside.groupBy("_src", "before", "rest", F.substring("_key", 1, digits).alias("next")).agg(
-                F.sum("_size").alias("words")
+            inside = some.join(broadcast_if_small(at), of_source & F.col("_mix_key").startswith(F.col("_mix_cell")))
+            cells = inside.groupBy("_mix_src", "before", "rest", F.substring("_mix_key", 1, digits).alias("next")).agg(
+                F.sum("_mix_size").alias("words")
             )
-            order = Window.partitionBy("_src").orderBy("next")
+            order = Window.partitionBy("_mix_src").orderBy("next")
             upto = F.col("before") + F.sum("words").over(order.rowsBetween(Window.unboundedPreceding, 0))
             over = cells.withColumn("upto", upto).where("upto > rest")
             at = work.table(
                 over.withColumn("n", F.row_number().over(order))
                 .where("n = 1")
-                .select("_src", F.col("next").alias("cell"), (F.col("upto") - F.col("words")).alias("before"), "rest"),
+                .select("_mix_src", F.col("next").alias("_mix_cell"), (F.col("upto") - F.col("words")).alias("before"), "rest"),
                 "cells",
             )
         # In that cell, the last rank that still fits with all its ties.
-        rank = F.struct("_key", "_tie", "_size").alias("rank")
-        edge = some.join(broadcast_if_small(at), of_source & F.col("_key").startswith(F.col("cell")))
-        by_rank = Window.partitionBy("_src").orderBy("rank")
-        fits = edge.select("_src", "cell", "before", "rest", rank, "_size").withColumn(
-            "upto", F.col("before") + F.sum("_size").over(by_rank.rangeBetween(Window.unboundedPreceding, 0))
+        rank = F.struct("_mix_key", "_mix_tie", "_mix_size").alias("rank")
+        edge = some.join(broadcast_if_small(at), of_source & F.col("_mix_key").startswith(F.col("_mix_cell")))
+        by_rank = Window.partitionBy("_mix_src").orderBy("rank")
+        fits = edge.select("_mix_src", "_mix_cell", "before", "rest", rank, "_mix_size").withColumn(
+            "upto", F.col("before") + F.sum("_mix_size").over(by_rank.rangeBetween(Window.unboundedPreceding, 0))
         )
-        cuts = fits.groupBy("_src", "cell").agg(F.max(F.when(F.expr("upto <= rest"), F.col("rank"))).alias("cut"))
+        cuts = fits.groupBy("_mix_src", "_mix_cell").agg(F.max(F.when(F.expr("upto <= rest"), F.col("rank"))).alias("_mix_cut"))
         lines = work.table(
-            plan.join(cuts.withColumnRenamed("_src", "_c"), _same(F.col("_src"), F.col("_c")), "left").drop("_c"),
+            plan.join(cuts.withColumnRenamed("_mix_src", "_mix_c"), _same(F.col("_mix_src"), F.col("_mix_c")), "left").drop("_mix_c"),
             "lines",
         )
         # The closing document, among rows that are alone with their rank.
-        chosen = placed.join(broadcast_if_small(lines.select("_src", "cell", "cut")), of_source).withColumn(
+        chosen = placed.join(broadcast_if_small(lines.select("_mix_src", "_mix_cell", "_mix_cut")), of_source).withColumn(
             "more", _fraction_taken()
         )
-        got = chosen.groupBy("_src").agg(F.sum(F.col("more") * F.col("_size")).alias("got"))
+        got = chosen.groupBy("_mix_src").agg(F.sum(F.col("more") * F.col("_mix_size")).alias("got"))
         gaps = work.table(
-            rest.join(got.withColumnRenamed("_src", "_c"), _same(F.col("_src"), F.col("_c")))
-            .select("_src", (F.col("rest") - F.col("got")).alias("gap")),
+            rest.join(got.withColumnRenamed("_mix_src", "_mix_c"), _same(F.col("_mix_src"), F.col("_mix_c")))
+            .select("_mix_src", (F.col("rest") - F.col("got")).alias("gap")),
             "gaps",
         )
-        left = chosen.where("more = 0 and _key is not null").drop("_src", "cell", "cut")
-        off = F.abs(F.col("_size") - F.col("gap"))
+        left = chosen.where("more = 0 and _mix_key is not null").drop("_mix_src", "_mix_cell", "_mix_cut")
+        off = F.abs(F.col("_mix_size") - F.col("gap"))
         near = (
             left.join(broadcast_if_small(gaps), of_source)
             .where(off < F.abs(F.col("gap")))
-            .groupBy("_src", rank, off.alias("off"))
+            .groupBy("_mix_src", rank, off.alias("off"))
             .agg(F.count(F.lit(1)).alias("n"))
             .where("n = 1")
-            .groupBy("_src")
-            .agg(F.min_by("rank", F.struct("off", "rank")).alias("closing"))
+            .groupBy("_mix_src")
+            .agg(F.min_by("rank", F.struct("off", "rank")).alias("_mix_closing"))
         )
         lines = work.table(
-            lines.join(near.withColumnRenamed("_src", "_c"), _same(F.col("_src"), F.col("_c")), "left").drop("_c"),
+            lines.join(near.withColumnRenamed("_mix_src", "_mix_c"), _same(F.col("_mix_src"), F.col("_mix_c")), "left").drop("_mix_c"),
             "lines",
         )
-        out = measured.join(broadcast_if_small(lines), _same(F.col(source_col), F.col("_src")))
+        lines = lines.withColumnsRenamed({"source_size": "_mix_source_size", "target": "_mix_target"})
+        out = measured.join(broadcast_if_small(lines), _same(F.col(source_col), F.col("_mix_src")))
         out = _placed(out, max_copies)
-        closing = _same(F.struct("_key", "_tie", "_size"), F.col("closing"))
+        closing = _same(F.struct("_mix_key", "_mix_tie", "_mix_size"), F.col("_mix_closing"))
         more = F.when(closing, F.lit(1)).otherwise(_fraction_taken())
         return out.select(
             *docs.columns,
-            F.col("_size").alias("mix_size"),
-            F.col("source_size").alias("mix_source_size"),
-            F.col("target").alias("mix_target"),
-            (F.col("_certain").cast("long") + more).alias("mix_copies"),
+            F.col("_mix_size").alias("mix_size"),
+            F.col("_mix_source_size").alias("mix_source_size"),
+            F.col("_mix_target").alias("mix_target"),
+            (F.col("_mix_certain").cast("long") + more).alias("mix_copies"),
         )
 
 
 def _fraction_taken() -> Column:
     """1 where the row's rank is before its source's cut-off (``cell`` null: the
     source takes every fraction)."""
-    rank = F.struct("_key", "_tie", "_size")
-    head = F.col("_key").substr(F.lit(1), F.length("cell"))
+    rank = F.struct("_mix_key", "_mix_tie", "_mix_size")
+    head = F.col("_mix_key").substr(F.lit(1), F.length("_mix_cell"))
     taken = (
-        F.when(F.col("_key").isNull(), False)
-        .when(F.col("cell").isNull(), True)
-        .when(head != F.col("cell"), head < F.col("cell"))
-        .otherwise(F.coalesce(rank <= F.col("cut"), F.lit(False)))
+        F.when(F.col("_mix_key").isNull(), False)
+        .when(F.col("_mix_cell").isNull(), True)
+        .when(head != F.col("_mix_cell"), head < F.col("_mix_cell"))
+        .otherwise(F.coalesce(rank <= F.col("_mix_cut"), F.lit(False)))
     )
     return taken.cast("long")
 
@@ -256,4 +257,4 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: each row of ``docs`` as often as it is taken, columns unchanged."""
     plan = pareto_mix(docs, **options)
     times = F.explode(F.sequence(F.lit(1).cast("long"), F.col("mix_copies")))
-    return plan.where("mix_copies > 0").select(*docs.columns, times.alias("_copy")).drop("_copy")
+    return plan.where("mix_copies > 0").select(*docs.columns, times.alias("_mix_copy")).drop("_mix_copy")

@@ -102,8 +102,7 @@ def _cells_of(groups: DataFrame, digits: int) -> list[tuple[str, int, int]]:
 def cut_keys(groups: DataFrame, n_shards: int) -> list[str]:
     """First key (or key prefix) of every shard but the first, for ``groups`` of
     ``(key, bytes)`` with one row per key: the minimax contiguous partition."""
-    digits = FIRST_DIGITS
-    cells = _Cells(_cells_of(groups, digits))
+    cells = _Cells(_cells_of(groups, FIRST_DIGITS))
     while True:
         # The optimum lies between cells cut at will and cells kept whole.
         low, high = cells.smallest(n_shards, lenient=True), cells.smallest(n_shards)
@@ -122,11 +121,12 @@ def cut_keys(groups: DataFrame, n_shards: int) -> list[str]:
         ]
         if low == high or not open_:
             break
-        wanted = [c[0] for c in open_]
-        digits += MORE_DIGITS
-        inside = groups.where(F.substring("key", 1, digits - MORE_DIGITS).isin(wanted))
-        drop = set(wanted)
-        cells = _Cells([c for c in cells.cells if c[0] not in drop] + _cells_of(inside, digits))
+        split = {c[0] for c in open_}
+        finer = [c for c in cells.cells if c[0] not in split]
+        for digits in {len(p) for p in split}:
+            wanted = [p for p in split if len(p) == digits]
+            finer += _cells_of(groups.where(F.substring("key", 1, digits).isin(wanted)), digits + MORE_DIGITS)
+        cells = _Cells(finer)
     ends = cells.cuts(cells.smallest(n_shards), n_shards) or []
     first = {end: cells.cells[i + 1][0] for i, end in enumerate(cells.end[:-1])}
     return [first[e] for e in ends[:-1]]

@@ -57,7 +57,7 @@ LOOK_ALIKES = {
 SEPARATORS = " .-_*~'"
 #: Costs of the channel, in nats.
 COST_LOOK_ALIKE, COST_KEEP, COST_WILD, COST_COLLAPSE, COST_DROP = 0.7, 6.0, 2.0, 0.7, 1.0
-#: Letters of a spelled-out run from which on it may hold several words.
+#: Letters that are looked at from each letter of a spelled-out run.
 SPELLED_WORD = 10
 #: Bonus of a path that is a word of the word model.
 WORD_BONUS = 6.0
@@ -264,8 +264,8 @@ def restore(offsets: np.ndarray, data: np.ndarray, decoder: Decoder) -> tuple[np
         if sum(ch.isalpha() for ch in core) < 2:
             continue
         new = "".join(decoder.decode(core[k : k + LONGEST_TOKEN]) for k in range(0, len(core), LONGEST_TOKEN))
-        if len(new) > SPELLED_WORD and len(core) > LONGEST_TOKEN // 2:
-            # Words spelled out without a gap: one may begin at any letter.
+        if core[1].isspace() or core[1] in SEPARATORS:
+            # Words spelled out without a gap between them: one may begin at any letter.
             new = " ".join([new, *(new[k : k + SPELLED_WORD] for k in range(1, len(new) - 3))])
         new = new.encode()
         parts += [low[at:a], np.frombuffer(new, np.uint8)]
@@ -297,9 +297,22 @@ def _features(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.nda
     return np.concatenate(hs), of[word], word
 
 
+def _near_copies(words_: np.ndarray, of: np.ndarray, n: int) -> np.ndarray:
+    """A one-value MinHash of each text's pairs of neighbouring words."""
+    out = np.full(n, np.iinfo(np.uint64).max, _U)
+    np.minimum.at(out, of, mix(words_ ^ _U(0x5DEECE66D)))
+    pair = of[1:] == of[:-1]
+    if pair.any():
+        # Texts of one word keep that word's value.
+        at = of[1:][pair]
+        out[np.unique(at)] = np.iinfo(np.uint64).max
+        np.minimum.at(out, at, mix(mix(words_[1:][pair]) + words_[:-1][pair]))
+    return out
+
+
 def _sample_features(decoder: Decoder):
     """(feature, cluster, toxic, word) rows: the distinct features of each sampled text.
-    ``cluster`` is a one-value MinHash, which near copies mostly share."""
+    ``cluster`` is what near copies mostly share."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -309,15 +322,15 @@ def _sample_features(decoder: Decoder):
                 h, of, which = _features(off, low)
                 if not len(h):
                     continue
+                n_words = which.max() + 1
+                cluster = _near_copies(h[-n_words:], of[-n_words:], len(off) - 1)
                 # The whole words come last.
-                word = np.arange(len(h)) >= len(h) - (which.max() + 1)
+                word = np.arange(len(h)) >= len(h) - n_words
                 order = np.lexsort((h, of))
                 h, of, word = h[order], of[order], word[order]
                 new = np.ones(len(h), bool)
                 new[1:] = (h[1:] != h[:-1]) | (of[1:] != of[:-1])
                 h, of, word = h[new], of[new], word[new]
-                cluster = np.full(len(off) - 1, np.iinfo(np.uint64).max, _U)
-                np.minimum.at(cluster, of, mix(h ^ _U(0x5DEECE66D)))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(signed(h)), pa.array(signed(cluster[of])),
