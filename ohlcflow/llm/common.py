@@ -10,9 +10,10 @@ it gives the optimiser true sizes.
 from __future__ import annotations
 
 import contextlib
+import gc
 from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
@@ -38,6 +39,13 @@ class Scratch:
         out._llm_path = path
         return out
 
+    def release(self) -> None:
+        """Have the files of shuffles that no frame needs any more deleted now. Spark does
+        so when the driver's garbage collector finds the shuffle unreachable, which on a
+        quiet driver can be long after a table replaced it."""
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
+
     def drop(self, *frames: DataFrame) -> None:
         """Delete tables of this folder that nothing reads any more."""
         for df in frames:
@@ -119,7 +127,7 @@ def connected_components(edges: DataFrame, work: Scratch, max_rounds: int = 60)
     for _ in range(max_rounds):
         if not before[0]:
             break
-        large = star(cur, True).where("a <> b").distinct()
+        large = star(cur, True).where("a <> b")
         nxt = work.table(star(large, False).where("a <> b").distinct(), "stars")
         after = state(nxt)
         work.drop(cur)
@@ -134,86 +142,110 @@ def connected_components(edges: DataFrame, work: Scratch, max_rounds: int = 60)
 
 
 def bucket_members(sigs: DataFrame) -> DataFrame:
-    """``(sig, id, lead)`` for the members of every signature bucket that holds
-    at least two different ids; ``lead`` is the smallest id of the bucket.
-    One shuffle of narrow rows; a bucket is sorted (and spilled), not gathered
-    into one value."""
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("sig")
-    return (
+    """``(sig, id, n)`` for the members of every signature bucket that holds at least two
+    different ids, ``n`` of them; buckets with the same members are one.
+
+    One shuffle of narrow rows; a bucket is sorted (and spilled), not gathered into one
+    value. Like texts share many signatures, so most buckets repeat another's members:
+    the bucket key becomes a 128-bit fingerprint of them, and copies fall away."""
+    of_sig = Window.partitionBy("sig")
+    several = (
         sigs.select("sig", "id")
-        .withColumn("lead", F.min("id").over(w))
-        .withColumn("last", F.max("id").over(w))
-        .where("lead <> last")
-        .select("sig", "id", "lead")
+        .withColumn("lo", F.min("id").over(of_sig))
+        .withColumn("hi", F.max("id").over(of_sig))
+        .where("lo <> hi")
+        .select("sig", "id")
+        .distinct()
     )
+    marks = {
+        "n": F.count(F.lit(1)).over(of_sig),
+        "x": F.bit_xor(F.xxhash64("id")).over(of_sig),
+        "y": F.bit_xor(F.xxhash64(F.lit("member"), "id")).over(of_sig),
+    }
+    return several.withColumns(marks).select(F.xxhash64("n", "x", "y").alias("sig"), "id", "n").distinct()
 
 
 def link_buckets(
     members: DataFrame,
     verify: Callable[[DataFrame], DataFrame],
     work: Scratch,
-    star_rounds: int = 8,
+    refine: Callable[[DataFrame], DataFrame] | None = None,
+    star_rounds: int = 4,
 ) -> DataFrame:
     """Components of the true links among bucket mates, without writing out all
     pairs of a bucket: ``(id, comp)`` for every id that has a link.
 
-    ``members``: ``(sig, id, lead)`` as ``bucket_members`` gives it.
+    ``members``: the written table of ``bucket_members``.
     ``verify``: exact check; takes distinct ``(a, b)`` and returns the linked ones.
-
-    Round by round each bucket's leader is checked against its other members.
-    Two bucket mates already in one component need no check of their own (the
-    component cannot change), so after a round only buckets that still span
-    several components matter; they get another leader. Once the cross-component
-    pairs left are no more than the bucket rows themselves, or the star rounds
-    are used up, all of them are checked, so no link between components is lost.
+    ``refine``: from ``(lead, id, comp)``, the mates of leaders whose mates still span
+    several components, the pairs ``(a, b)`` of different components that may link;
+    every linked pair of mates must be among them.
+
+    First each bucket's leader is checked against its other members; it is the member
+    with most bucket mates, which for near copies is the text they were made from. Two
+    bucket mates already in one component need no check of their own (the component
+    cannot change), so only buckets that still span several components matter. With
+    ``refine`` that names the pairs left to check. Without, such buckets get another
+    leader, until the pairs left between components are no more than twice the bucket
+    rows or the star rounds are used up; then all of them are checked. Either way no link
+    between components is lost.
     """
-    members = work.table(members.distinct(), "members")
-    pairs = members.where("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
-    checked = work.table(pairs, "pairs")
+    of_sig = Window.partitionBy("sig")
+    score = members.groupBy("id").agg(F.sum("n").alias("score"))
+    led = members.join(score, "id").withColumn("lead", F.max(F.struct("score", "id")).over(of_sig)["id"])
+    star = work.table(led.where("id <> lead").select("lead", "id").distinct(), "star")
+    del score, led
+    work.release()
+    checked = _pairs(star, "id", "lead").distinct()
     edges = work.table(verify(checked), "links")
-    # Buckets whose leader linked with everybody are done; the rest go on.
+    if refine is not None:
+        comp = work.table(connected_components(edges, work), "comp")
+        of = broadcast_if_small(comp)
+        mates = star.join(of, "id", "left").select("lead", "id", F.coalesce("comp", "id").alias("comp"))
+        heads = of.select(F.col("id").alias("lead"), F.col("comp").alias("head"))
+        mates = mates.join(heads, "lead", "left").withColumn("head", F.coalesce("head", "lead"))
+        apart = F.max(F.col("comp") != F.col("head")).over(Window.partitionBy("lead"))
+        mates = work.table(mates.withColumn("apart", apart).where("apart").select("lead", "id", "comp"), "mates")
+        fresh = work.table(refine(mates).distinct().join(checked, ["a", "b"], "left_anti"), "pairs")
+        work.release()
+        edges = edges.union(work.table(verify(fresh), "links"))
+        return work.table(connected_components(edges, work), "comp")
     open_ = members
     for r in range(star_rounds + 1):
         comp = work.table(connected_components(edges, work), "comp")
         labelled = (
             open_.select("sig", "id")
-            .join(comp, "id", "left")
+            .join(broadcast_if_small(comp), "id", "left")
             .select("sig", "id", F.coalesce("comp", "id").alias("comp"))
         )
-        per = labelled.groupBy("sig").agg(
-            F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.count(F.lit(1)).alias("n")
-        )
-        # A bucket that spans components, and what is left to check in it.
-        open_ = work.table(
-            labelled.join(per.where("c0 <> c1").select("sig", "n"), "sig"), "open"
-        )
-        sizes = open_.groupBy("sig", "comp").agg(F.count(F.lit(1)).cast("double").alias("k"))
-        left = sizes.groupBy("sig").agg((F.pow(F.sum("k"), 2) - F.sum(F.col("k") * F.col("k"))).alias("x"))
-        row = left.agg(F.coalesce(F.sum("x"), F.lit(0.0)).alias("x")).first()
-        rows = open_.count()
-        if not rows:
+        spans = {
+            "lo": F.min("comp").over(of_sig),
+            "hi": F.max("comp").over(of_sig),
+            "mates": F.count(F.lit(1)).over(of_sig),
+            "same": F.count(F.lit(1)).over(Window.partitionBy("sig", "comp")),
+            "lead": F.min_by(F.struct("id", "comp"), F.xxhash64("id", F.lit(r))).over(of_sig),
+        }
+        # Buckets within one component are done.
+        open_ = work.table(labelled.withColumns(spans).where("lo <> hi").drop("lo", "hi"), "open")
+        left = open_.agg(
+            F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.col("mates") - F.col("same")), F.lit(0)).alias("cross")
+        ).first()
+        if not left["rows"]:
             return comp
-        last = r == star_rounds or row["x"] / 2 <= 2 * rows
+        last = r == star_rounds or left["cross"] / 2 <= 2 * left["rows"]
         if last:
             x = open_.select("sig", F.col("id").alias("a"), F.col("comp").alias("ca"))
             y = open_.select("sig", F.col("id").alias("b"), F.col("comp").alias("cb"))
-            pairs = x.join(y, "sig").where("a < b and ca <> cb").select("a", "b").distinct()
+            pairs = x.join(y, "sig").where("a < b and ca <> cb").select("a", "b")
         else:
-            lead = open_.groupBy("sig").agg(
-                F.min_by(F.struct("id", "comp"), F.xxhash64("id", F.lit(r))).alias("l")
-            )
-            pairs = (
-                open_.join(lead, "sig")
-                .where("comp <> l.comp")
-                .select(F.least("id", "l.id").alias("a"), F.greatest("id", "l.id").alias("b"))
-                .distinct()
-            )
-        fresh = work.table(pairs.join(checked, ["a", "b"], "left_anti"), "pairs")
-        found = work.table(verify(fresh), "links")
+            pairs = _pairs(open_.where("comp <> lead.comp"), "id", "lead.id")
+        fresh = work.table(pairs.distinct().join(checked, ["a", "b"], "left_anti"), "pairs")
+        edges = edges.union(work.table(verify(fresh), "links"))
         if last:
-            return work.table(connected_components(edges.union(found), work), "comp")
+            return work.table(connected_components(edges, work), "comp")
         checked = checked.union(fresh)
-        edges = edges.union(found)
     raise AssertionError("unreachable")
+
+
+def _pairs(df: DataFrame, x: str, y: str) -> DataFrame:
+    return df.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))

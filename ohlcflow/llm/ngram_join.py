@@ -23,8 +23,11 @@ of its partners; a set with more keeps them. The guarantee is exact, up to
 **Candidates** are signature mates. A parity sketch (each element flips one of
 2048 bits; two sketches never differ in more bits than the sets in elements)
 drops pairs that cannot link, then the sets themselves decide. Equal sets are
-one class before all that, so copies cost one row per task, and within a bucket
-``common.link_buckets`` checks leaders, not all pairs.
+one class before all that, so copies cost one row per task. Within a bucket
+``common.link_buckets`` checks the leader's pairs; of the others it checks those
+whose differences from the leader have rare elements in common (a prefix filter on
+small sets), so a family of copies that are nearly, but not quite, alike does not cost
+all its pairs.
 
 Edge cases: a null or word-less text has an empty set, ``n_shingles`` 0, and is
 linked with nothing (its component is its own id). Rows with equal doc_id and
@@ -39,7 +42,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .blocks import LOWER, mix, signed, text_blocks, word_hashes, words
@@ -170,15 +173,16 @@ def _fingerprints(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return mix(a ^ (n << _U(1))), mix(b + n)
 
 
-def _sketches(sets: list[np.ndarray]) -> list[bytes]:
-    out = []
-    for s in sets:
+def _sketches(sets: list[np.ndarray]) -> np.ndarray:
+    """Parity of the elements in each of ``SKETCH_BITS`` cells, 64 cells to a LONG."""
+    out = np.zeros((len(sets), SKETCH_BITS // 64), np.int64)
+    for i, s in enumerate(sets):
         odd = np.bincount((s >> _U(50)) & _U(SKETCH_BITS - 1), minlength=SKETCH_BITS) & 1
-        out.append(np.packbits(odd.astype(np.uint8)).tobytes())
+        out[i] = np.packbits(odd.astype(np.uint8)).view(np.int64)
     return out
 
 
-_DOC = "doc_id long, n long, id long, id2 long, sig array<long>, sketch binary"
+_DOC = "doc_id long, n long, id long, id2 long, sig array<long>, sketch array<long>"
 
 
 def _sign(shingle: int, percent: int, n2: int):
@@ -206,9 +210,9 @@ def _sign(shingle: int, percent: int, n2: int):
                 per = np.zeros(len(sets) + 1, np.int32)
                 for q, r in enumerate(new):
                     per[r + 1] = cut[q + 1] - cut[q]
-                sk = [None] * len(sets)
-                for r, s in zip(new, _sketches(fresh)):
-                    sk[r] = s
+                some = np.zeros(len(sets) + 1, np.int32)
+                some[np.array(new, int) + 1] = SKETCH_BITS // 64
+                sketch = pa.array(_sketches(fresh).ravel())
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids.slice(i, j - i),
@@ -216,7 +220,7 @@ def _sign(shingle: int, percent: int, n2: int):
                         pa.array(signed(f1)),
                         pa.array(signed(f2)),
                         pa.ListArray.from_arrays(pa.array(np.cumsum(per, dtype=np.int32)), pa.array(sig)),
-                        pa.array(sk, pa.binary()),
+                        pa.ListArray.from_arrays(pa.array(np.cumsum(some, dtype=np.int32)), sketch),
                     ],
                     names=["doc_id", "n", "id", "id2", "sig", "sketch"],
                 )
@@ -252,36 +256,9 @@ def _set_rows(shingle: int):
     return run
 
 
-def _may_link(percent: int):
-    """Pairs whose sketches and sizes still allow a link."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            na, nb = (b.column(c).to_numpy() for c in (2, 3))
-            width = SKETCH_BITS // 8
-            sa, sb = (
-                np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint8).reshape(-1, width) for c in (4, 5)
-            )
-            differ = np.bitwise_count(sa ^ sb).sum(axis=1, dtype=np.int64)
-            low, high = np.minimum(na, nb), np.maximum(na, nb)
-            # |A ^ B| <= (a + b) * (100 - p) / (100 + p), and a >= p/100 * b.
-            ok = (differ * (100 + percent) <= (na + nb) * (100 - percent)) & (100 * low >= percent * high)
-            yield b.select([0, 1]).filter(pa.array(ok))
-
-    return run
-
-
-def _do_link(percent: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            ok = []
-            for x, y in zip(b.column(2), b.column(3)):
-                x, y = x.values.to_numpy(), y.values.to_numpy()
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                ok.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield b.select([0, 1]).filter(pa.array(ok, pa.bool_()))
-
-    return run
+def _differing_bits(a: Column, b: Column) -> Column:
+    each = F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    return F.aggregate(each, F.lit(0), lambda n, x: n + x)
 
 
 def ngram_components(
@@ -311,12 +288,13 @@ def ngram_components(
         all_rows = work.table(signed_docs, "signed")
         doc = all_rows.select("doc_id", "n", "id", "id2")
         sigs = all_rows.select("id", F.explode("sig").alias("sig"))
-        members = work.table(bucket_members(sigs), "members")
+        members = work.table(bucket_members(sigs), "buckets")
+        work.release()
         mates = work.table(members.select("id").distinct(), "mates")
         # Of each set that has a mate: its size, sketch and one document.
         known = work.table(
-            all_rows.where("sketch is not null")
-            .join(mates, "id", "left_semi")
+            all_rows.where("size(sketch) > 0")
+            .join(broadcast_if_small(mates), "id", "left_semi")
             .groupBy("id")
             .agg(F.min_by(F.struct("n", "sketch", "doc_id"), "doc_id").alias("c"))
             .select("id", "c.*"),
@@ -326,34 +304,63 @@ def ngram_components(
         texts = rows.join(broadcast_if_small(carriers), "doc_id").select("want", "text")
         sets = work.table(texts.mapInArrow(_set_rows(shingle), "id long, hashes array<long>"), "sets")
 
+        # A sketch is a quarter of a kilobyte: this many rows make some 15 MB.
+        small = known.count() <= 50_000
+        hint = F.broadcast if small else (lambda df: df)
+
         def verify(pairs: DataFrame) -> DataFrame:
-            a = known.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
-            b = known.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
-            may = (
-                pairs.join(a, "a").join(b, "b").select("a", "b", "na", "nb", "sa", "sb")
-                .mapInArrow(_may_link(percent), "a long, b long")
+            a, b = (
+                known.select(F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}")) for x in "ab"
+            )
+            # |A ^ B| is at most (a + b) * (100 - p) / (100 + p), and a at least p / 100 * b.
+            near = "100 * least(na, nb) >= {0} * greatest(na, nb)".format(percent)
+            bits = _differing_bits(F.col("sa"), F.col("sb"))
+            few = bits * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent)
+            may = work.table(
+                pairs.join(hint(a), "a").join(hint(b), "b").where(near).where(few).select("a", "b"), "may"
             )
-            may = work.table(may, "may")
-            x = sets.select(F.col("id").alias("a"), F.col("hashes").alias("ha"))
-            y = sets.select(F.col("id").alias("b"), F.col("hashes").alias("hb"))
-            return (
-                may.join(x, "a").join(y, "b").select("a", "b", "ha", "hb")
-                .mapInArrow(_do_link(percent), "a long, b long")
-                .distinct()
+            x, y = (sets.select(F.col("id").alias(k), F.col("hashes").alias(f"h{k}")) for k in "ab")
+            both = may.join(x, "a").join(y, "b").withColumn("both", F.size(F.array_intersect("ha", "hb")))
+            union = F.size("ha") + F.size("hb") - F.col("both")
+            return both.where(F.col("both") * 100 >= union * percent).select("a", "b").distinct()
+
+        def refine(mates: DataFrame) -> DataFrame:
+            """Mates ``x, y`` of a leader ``c`` differ in as much as their differences from
+            ``c`` differ: ``x ^ y = (x ^ c) ^ (y ^ c)``. If they link but are not both
+            linked with ``c``, the differences have an element in common, and of the
+            ``|x ^ c|`` elements at least ``|x ^ c| - k``, where ``k`` is what linked
+            partners of ``x`` may differ in. So by a common order, rarest first, they
+            meet in the first ``k + 1`` elements of their differences."""
+            size = known.select("id", "n")
+            c = sets.select(F.col("id").alias("lead"), F.col("hashes").alias("hc"))
+            x = sets.select("id", F.col("hashes").alias("hx"))
+            apart = F.concat(F.array_except("hx", "hc"), F.array_except("hc", "hx"))
+            deltas = (
+                mates.join(broadcast_if_small(size), "id")
+                .join(c, "lead").join(x, "id")
+                .select("lead", "id", "comp", "n", F.explode(apart).alias("e"))
             )
+            seen = deltas.withColumn("times", F.count(F.lit(1)).over(Window.partitionBy("lead", "e")))
+            by_mate = Window.partitionBy("lead", "id").orderBy("times", "e")
+            limit = F.floor(F.col("n") * (100 - percent) / percent) + 1
+            heads = (
+                seen.withColumn("rank", F.row_number().over(by_mate))
+                .where((F.col("rank") <= limit) & (F.col("times") > 1))
+                .select("lead", "e", "id", "comp")
+            )
+            heads = work.table(heads, "differences")
+            p = heads.select("lead", "e", F.col("id").alias("a"), F.col("comp").alias("ca"))
+            q = heads.select("lead", "e", F.col("id").alias("b"), F.col("comp").alias("cb"))
+            return p.join(q, ["lead", "e"]).where("a < b and ca <> cb").select("a", "b")
 
-        comp = link_buckets(members, verify, work)
+        comp = link_buckets(members, verify, work, refine)
         # A class is a set of equal content: its smallest document, then the
         # smallest of the component's classes.
         least = doc.where("n > 0").groupBy("id").agg(F.min("doc_id").alias("d"), F.count(F.lit(1)).alias("k"))
-        labelled = least.join(comp, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-        smallest = labelled.where("comp <> id or k > 1").select("comp").distinct()
-        low = labelled.join(smallest, "comp", "left_semi").groupBy("comp").agg(F.min("d").alias("component_id"))
-        by_class = work.table(
-            labelled.join(low, "comp").where("k > 1 or d <> component_id").select("id", "component_id"),
-            "classes",
-        )
-        return doc.join(by_class, doc["id"] == by_class["id"], "left").select(
+        several = least.join(broadcast_if_small(comp), "id", "left").where("k > 1 or comp is not null")
+        low = F.min("d").over(Window.partitionBy(F.coalesce("comp", "id")))
+        by_class = work.table(several.select("id", low.alias("component_id")), "classes")
+        return doc.join(broadcast_if_small(by_class), doc["id"] == by_class["id"], "left").select(
             "doc_id",
             F.col("n").alias("n_shingles"),
             F.when((F.col("n") == 0) | F.col("doc_id").isNull(), F.col("doc_id"))
