@@ -10,7 +10,7 @@ driver is one matrix of dimensions by rank, whatever the corpus.
 **Candidates.** Items and document windows are mapped into the space and whitened (each
 direction divided by its singular value), so that common directions, the language above
 all, do not make everything alike. Windows have about the item's length and advance by a
-quarter of it; every window is compared with every item of its length class, a block of
+third of it; every window is compared with every item of its length class, a block of
 items at a time, by cosine.
 
 **Check.** A candidate's surroundings are aligned with the item: the longest common
@@ -26,6 +26,7 @@ extra columns pass through. An empty corpus or benchmark gives an empty result.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -74,19 +75,27 @@ def _passages(first: np.ndarray, size: int) -> np.ndarray:
     return np.repeat(base, length) + at // size
 
 
+def _cells(off: np.ndarray, data: np.ndarray, dims: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Passage, dimension and count of the filled cells of a block's term matrix, in
+    passage order."""
+    h, first = _hashed_words(off, data)
+    p = _passages(first, PASSAGE)
+    kind = np.int32 if len(h) and (p[-1] + 1) * dims < 1 << 31 else np.int64
+    cell, tf = np.unique((p * dims + _dims(h, dims)).astype(kind), return_counts=True)
+    return cell // dims, cell % dims, tf
+
+
 def _count_passages(dims: int):
     """Passages that have each dimension, summed over a task; dimension -1 counts them all."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df, total = np.zeros(dims, np.int64), 0
         for batch in batches:
-            for _, _, off, data in text_blocks(batch, "text"):
-                h, first = _hashed_words(off, data)
-                if not len(h):
-                    continue
-                p = _passages(first, PASSAGE)
-                total += int(p[-1]) + 1
-                df += np.bincount(np.unique(p * dims + _dims(h, dims)) % dims, minlength=dims)
+            for _, _, off, data in text_blocks(batch, "text", MAP_BYTES):
+                p, d, _ = _cells(off, data, dims)
+                if len(p):
+                    total += int(p[-1]) + 1
+                    df += np.bincount(d, minlength=dims)
         at = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.append(at, -1)), pa.array(np.append(df[at], total))], names=["dim", "n"]
@@ -103,27 +112,25 @@ def _sketch(idf: np.ndarray, dims: int, width: int):
     """A task's sum of ``A' (A W)``, a row per dimension."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w = _random_matrix(dims, width)
-        out = np.zeros((dims, width))
+        # A row per direction, so that sums go along contiguous memory.
+        w = np.ascontiguousarray(_random_matrix(dims, width).T)
+        out = np.zeros((width, dims))
         for batch in batches:
             for _, _, off, data in text_blocks(batch, "text", MAP_BYTES):
-                h, first = _hashed_words(off, data)
-                if not len(h):
+                p, d, tf = _cells(off, data, dims)
+                if not len(p):
                     continue
-                # Distinct (passage, dimension) cells in passage order, with their TF-IDF.
-                cell, tf = np.unique(_passages(first, PASSAGE) * dims + _dims(h, dims), return_counts=True)
-                p, d = cell // dims, cell % dims
                 a = (tf * idf[d]).astype(np.float32)
                 starts = np.flatnonzero(np.r_[True, p[1:] != p[:-1]])
                 norm = np.sqrt(np.add.reduceat(a * a, starts))
-                a /= np.repeat(np.where(norm > 0, norm, 1), np.diff(np.r_[starts, len(p)]))
-                y = np.add.reduceat(a[:, None] * w[d], starts, axis=0)
-                order = np.argsort(d, kind="stable")
-                heads = np.flatnonzero(np.r_[True, np.diff(d[order]) != 0])
-                out[d[order][heads]] += np.add.reduceat(a[order, None] * y[p[order]], heads, axis=0)
-        at = np.flatnonzero(out.any(axis=1))
+                a /= np.where(norm > 0, norm, 1)[p]
+                y = np.add.reduceat(np.take(w, d, axis=1) * a, starts, axis=1)
+                back = np.take(y, p, axis=1) * a
+                for k in range(width):
+                    out[k] += np.bincount(d, weights=back[k], minlength=dims)
+        at = np.flatnonzero(out.any(axis=0))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(at), *[pa.array(out[at, k]) for k in range(width)]],
+            [pa.array(at), *[pa.array(out[k, at]) for k in range(width)]],
             names=["dim", *[f"v{k}" for k in range(width)]],
         )
 
@@ -198,10 +205,12 @@ class _Items:
         self.ids, self.space = ids, space
         self.words: list[list[int]] = []
         self.answers: list[list[int]] = []
+        self.times: list[dict[int, int]] = []
         vectors, lengths = [], []
         for text in texts:
             h = self._hash(text)
             self.words.append(h.tolist())
+            self.times.append(dict(Counter(self.words[-1])))
             self.answers.append(self._answer(text, h))
             x = space.weights[_dims(h, len(space.weights))].sum(axis=0) if len(h) else np.zeros(space.weights.shape[1])
             vectors.append(x / max(np.linalg.norm(x), 1e-12))
@@ -238,19 +247,23 @@ def _find(items: _Items, keep: list[str], text_col: str):
         want = items.words[item]
         reach = max(size, len(want)) // 2 + 1
         near = w[max(at - reach, 0) : at + max(size, len(want)) + reach].tolist()
-        share = _lcs(want, near) / len(want)
-        answer = items.answers[item]
-        told = _lcs(answer, near) / len(answer)
+        times = items.times[item]
+        # No subsequence is longer than the words in common.
+        if sum([times[x] for x in times.keys() & set(near)]) < PARAPHRASE * len(want):
+            return None
         if len(want) < SHORTEST:
-            text, sub = near, want
-            whole = any(text[k : k + len(sub)] == sub for k in range(len(text) - len(sub) + 1))
+            whole = any(near[k : k + len(want)] == want for k in range(len(near) - len(want) + 1))
             return (1.0, 1.0) if whole else None
+        near = [x for x in near if x in times]
+        share = _lcs(want, near) / len(want)
+        told = _lcs(items.answers[item], near) / len(items.answers[item])
         if share >= VERBATIM or share >= PARAPHRASE and told >= ANSWER:
             return share, told
         return None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = items.space.weights
+        by_direction = np.ascontiguousarray(weights.T)
         for batch in batches:
             row, item, cosine, lcs, answer = [], [], [], [], []
             for i, _, off, data in text_blocks(batch, text_col, MAP_BYTES):
@@ -258,26 +271,26 @@ def _find(items: _Items, keep: list[str], text_col: str):
                 if not len(h):
                     continue
                 length = np.diff(first)
-                sums = np.zeros((len(h) + 1, weights.shape[1]), np.float32)
-                np.cumsum(weights[_dims(h, len(weights))], axis=0, out=sums[1:])
+                # A row per direction: running sums go along contiguous memory.
+                sums = np.zeros((weights.shape[1], len(h) + 1), np.float32)
+                np.cumsum(np.take(by_direction, _dims(h, len(weights)), axis=1), axis=1, out=sums[:, 1:])
                 best: dict[tuple[int, int], tuple] = {}
                 for size, members in items.classes.items():
-                    stride = max(size // 4, 1)
+                    stride = max(size // 3, 1)
                     # Windows of each text, the last one flush with its end.
                     n_win = np.where(length > 0, 1 + np.maximum(-(-(length - size) // stride), 0), 0)
                     text = np.repeat(np.arange(len(length)), n_win)
                     k = np.arange(len(text)) - np.repeat(np.cumsum(n_win) - n_win, n_win)
                     lo = first[text] + np.minimum(k * stride, np.maximum(length[text] - size, 0))
                     hi = np.minimum(lo + size, first[text + 1])
-                    x = sums[hi] - sums[lo]
-                    norm = np.sqrt(np.einsum("ij,ij->i", x, x))
-                    x /= np.maximum(norm, 1e-12)[:, None]
+                    x = np.take(sums, hi, axis=1) - np.take(sums, lo, axis=1)
+                    least = COSINE * np.maximum(np.sqrt(np.einsum("ij,ij->j", x, x)), 1e-12)
                     for b in range(0, len(members), ITEM_BLOCK):
                         part = members[b : b + ITEM_BLOCK]
-                        like = x @ items.vectors[part].T
-                        for q, m in zip(*np.nonzero(like >= COSINE)):
+                        like = items.vectors[part] @ x
+                        for m, q in zip(*np.nonzero(like >= least)):
                             t, it = int(text[q]), int(part[m])
-                            c = float(like[q, m])
+                            c = float(like[m, q] / least[q] * COSINE)
                             old = best.get((t, it))
                             if old is not None and old[1] >= 1.0:
                                 continue
