@@ -165,12 +165,16 @@ def bucket_members(sigs: DataFrame) -> DataFrame:
     return several.withColumns(marks).select(F.xxhash64("n", "x", "y").alias("sig"), "id", "n").distinct()
 
 
+#: Members of a bucket up to which its pairs between components are checked directly.
+SMALL_BUCKET = 8
+
+
 def link_buckets(
     members: DataFrame,
     verify: Callable[[DataFrame], DataFrame],
     work: Scratch,
     refine: Callable[[DataFrame], DataFrame] | None = None,
-    star_rounds: int = 4,
+    star_rounds: int = 1,
 ) -> DataFrame:
     """Components of the true links among bucket mates, without writing out all
     pairs of a bucket: ``(id, comp)`` for every id that has a link.
@@ -185,7 +189,8 @@ def link_buckets(
     with most bucket mates, which for near copies is the text they were made from. Two
     bucket mates already in one component need no check of their own (the component
     cannot change), so only buckets that still span several components matter. With
-    ``refine`` that names the pairs left to check. Without, such buckets get another
+    ``refine``, the pairs between components of buckets of at most ``SMALL_BUCKET`` members
+    are checked, and of larger ones those that ``refine`` names. Without, such buckets get another
     leader, until the pairs left between components are no more than twice the bucket
     rows or the star rounds are used up; then all of them are checked. Either way no link
     between components is lost.
@@ -193,20 +198,28 @@ def link_buckets(
     of_sig = Window.partitionBy("sig")
     score = members.groupBy("id").agg(F.sum("n").alias("score"))
     led = members.join(score, "id").withColumn("lead", F.max(F.struct("score", "id")).over(of_sig)["id"])
-    star = work.table(led.where("id <> lead").select("lead", "id").distinct(), "star")
+    star = work.table(led.where("id <> lead").groupBy("lead", "id").agg(F.max("n").alias("n")), "star")
     del score, led
     work.release()
     checked = _pairs(star, "id", "lead").distinct()
     edges = work.table(verify(checked), "links")
     if refine is not None:
         comp = work.table(connected_components(edges, work), "comp")
+        work.release()
         of = broadcast_if_small(comp)
-        mates = star.join(of, "id", "left").select("lead", "id", F.coalesce("comp", "id").alias("comp"))
+        # Small buckets cost at most a few pairs per row: those between components.
+        small = members.where(F.col("n") <= SMALL_BUCKET).join(of, "id", "left")
+        small = small.select("sig", "id", F.coalesce("comp", "id").alias("comp"))
+        x, y = (small.select("sig", F.col("id").alias(k), F.col("comp").alias(f"c{k}")) for k in "ab")
+        direct = x.join(y, "sig").where("a < b and ca <> cb").select("a", "b")
+        mates = star.where(F.col("n") > SMALL_BUCKET).join(of, "id", "left")
+        mates = mates.select("lead", "id", F.coalesce("comp", "id").alias("comp"))
         heads = of.select(F.col("id").alias("lead"), F.col("comp").alias("head"))
         mates = mates.join(heads, "lead", "left").withColumn("head", F.coalesce("head", "lead"))
         apart = F.max(F.col("comp") != F.col("head")).over(Window.partitionBy("lead"))
         mates = work.table(mates.withColumn("apart", apart).where("apart").select("lead", "id", "comp"), "mates")
-        fresh = work.table(refine(mates).distinct().join(checked, ["a", "b"], "left_anti"), "pairs")
+        fresh = refine(mates).union(direct).distinct().join(checked, ["a", "b"], "left_anti")
+        fresh = work.table(fresh, "pairs")
         work.release()
         edges = edges.union(work.table(verify(fresh), "links"))
         return work.table(connected_components(edges, work), "comp")

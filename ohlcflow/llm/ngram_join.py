@@ -283,13 +283,11 @@ def ngram_components(
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     with scratch(spark, "ngram-join") as work:
         signed_docs = rows.mapInArrow(_sign(shingle, percent, n2), _DOC)
-        # One wide pass: the signature rows go straight to the shuffle, the
-        # narrow document rows to a table.
+        # Signatures lie in one table until the buckets are known, then go.
         all_rows = work.table(signed_docs, "signed")
-        doc = all_rows.select("doc_id", "n", "id", "id2")
+        doc = work.table(all_rows.select("doc_id", "n", "id"), "documents")
         sigs = all_rows.select("id", F.explode("sig").alias("sig"))
         members = work.table(bucket_members(sigs), "buckets")
-        work.release()
         mates = work.table(members.select("id").distinct(), "mates")
         # Of each set that has a mate: its size, sketch and one document.
         known = work.table(
@@ -300,6 +298,9 @@ def ngram_components(
             .select("id", "c.*"),
             "sketches",
         )
+        work.drop(all_rows)
+        del sigs, signed_docs
+        work.release()
         carriers = known.select("doc_id", F.col("id").alias("want"))
         texts = rows.join(broadcast_if_small(carriers), "doc_id").select("want", "text")
         sets = work.table(texts.mapInArrow(_set_rows(shingle), "id long, hashes array<long>"), "sets")
