@@ -50,6 +50,9 @@ from .common import broadcast_if_small, bucket_members, link_buckets, scratch
 
 #: Bits of the parity sketch.
 SKETCH_BITS = 2048
+#: Bits of a second sketch of sets with at least so many elements: the first one is full
+#: before such sets differ in more than linked ones may.
+WIDE_BITS, WIDE_FROM = 16_384, 2_500
 #: Ratio of the largest to the smallest size of a band.
 BAND_RATIO = 1.5
 
@@ -173,16 +176,23 @@ def _fingerprints(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return mix(a ^ (n << _U(1))), mix(b + n)
 
 
-def _sketches(sets: list[np.ndarray]) -> np.ndarray:
-    """Parity of the elements in each of ``SKETCH_BITS`` cells, 64 cells to a LONG."""
-    out = np.zeros((len(sets), SKETCH_BITS // 64), np.int64)
+def _sketches(sets: list[np.ndarray], bits: int) -> np.ndarray:
+    """Parity of the elements in each of ``bits`` cells, 64 cells to a LONG."""
+    out = np.zeros((len(sets), bits // 64), np.int64)
     for i, s in enumerate(sets):
-        odd = np.bincount((s >> _U(50)) & _U(SKETCH_BITS - 1), minlength=SKETCH_BITS) & 1
+        odd = np.bincount((s >> _U(50)) & _U(bits - 1), minlength=bits) & 1
         out[i] = np.packbits(odd.astype(np.uint8)).view(np.int64)
     return out
 
 
-_DOC = "doc_id long, n long, id long, id2 long, sig array<long>, sketch array<long>"
+def _lists(rows: list[int], width: int, n: int, values: np.ndarray) -> pa.ListArray:
+    """``n`` lists, those of ``rows`` with ``width`` values each, the others empty."""
+    sizes = np.zeros(n + 1, np.int32)
+    sizes[np.array(rows, int) + 1] = width
+    return pa.ListArray.from_arrays(pa.array(np.cumsum(sizes, dtype=np.int32)), pa.array(values.ravel()))
+
+
+_DOC = "doc_id long, n long, id long, id2 long, sig array<long>, sketch array<long>, wide array<long>"
 
 
 def _sign(shingle: int, percent: int, n2: int):
@@ -210,9 +220,9 @@ def _sign(shingle: int, percent: int, n2: int):
                 per = np.zeros(len(sets) + 1, np.int32)
                 for q, r in enumerate(new):
                     per[r + 1] = cut[q + 1] - cut[q]
-                some = np.zeros(len(sets) + 1, np.int32)
-                some[np.array(new, int) + 1] = SKETCH_BITS // 64
-                sketch = pa.array(_sketches(fresh).ravel())
+                long = [r for r in new if len(sets[r]) >= WIDE_FROM]
+                sketch = _lists(new, SKETCH_BITS // 64, len(sets), _sketches(fresh, SKETCH_BITS))
+                wide = _lists(long, WIDE_BITS // 64, len(sets), _sketches([sets[r] for r in long], WIDE_BITS))
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids.slice(i, j - i),
@@ -220,9 +230,10 @@ def _sign(shingle: int, percent: int, n2: int):
                         pa.array(signed(f1)),
                         pa.array(signed(f2)),
                         pa.ListArray.from_arrays(pa.array(np.cumsum(per, dtype=np.int32)), pa.array(sig)),
-                        pa.ListArray.from_arrays(pa.array(np.cumsum(some, dtype=np.int32)), sketch),
+                        sketch,
+                        wide,
                     ],
-                    names=["doc_id", "n", "id", "id2", "sig", "sketch"],
+                    names=["doc_id", "n", "id", "id2", "sig", "sketch", "wide"],
                 )
 
     return run
@@ -294,7 +305,7 @@ def ngram_components(
             all_rows.where("size(sketch) > 0")
             .join(broadcast_if_small(mates), "id", "left_semi")
             .groupBy("id")
-            .agg(F.min_by(F.struct("n", "sketch", "doc_id"), "doc_id").alias("c"))
+            .agg(F.min_by(F.struct("n", "sketch", "wide", "doc_id"), "doc_id").alias("c"))
             .select("id", "c.*"),
             "sketches",
         )
@@ -311,11 +322,14 @@ def ngram_components(
 
         def verify(pairs: DataFrame) -> DataFrame:
             a, b = (
-                known.select(F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}")) for x in "ab"
+                known.select(F.col("id").alias(x), *[F.col(c).alias(c[0] + x) for c in ("n", "sketch", "wide")]) for x in "ab"
             )
             # |A ^ B| is at most (a + b) * (100 - p) / (100 + p), and a at least p / 100 * b.
             near = "100 * least(na, nb) >= {0} * greatest(na, nb)".format(percent)
-            bits = _differing_bits(F.col("sa"), F.col("sb"))
+            both_wide = (F.size("wa") > 0) & (F.size("wb") > 0)
+            bits = F.when(both_wide, _differing_bits(F.col("wa"), F.col("wb"))).otherwise(
+                _differing_bits(F.col("sa"), F.col("sb"))
+            )
             few = bits * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent)
             may = work.table(
                 pairs.join(hint(a), "a").join(hint(b), "b").where(near).where(few).select("a", "b"), "may"
