@@ -11,7 +11,12 @@ driver is one matrix of dimensions by rank, whatever the corpus.
 direction divided by its singular value), so that common directions, the language above
 all, do not make everything alike. Windows have about the item's length and advance by a
 third of it; every window is compared with every item of its length class, a block of
-items at a time, by cosine.
+items at a time, by cosine. A paraphrase may fall below any useful cosine, so whatever
+could pass the check is a candidate as well: no subsequence is longer than the words in
+common, so a stretch of text that the check accepts holds at least as many of the item's
+words as the check asks for. Such stretches are found by counting the item's words, without
+a stride; the words that most items share may be left out of the count, and then count
+as found.
 
 **Check.** A candidate's surroundings are aligned with the item: the longest common
 subsequence of words, as a share of the item, and the share of the item's answer (its last
@@ -34,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import lower_case, text_blocks, word_hashes, words
+from .blocks import lower_case, signed, text_blocks, word_hashes, words
 
 #: Hashed dimensions, words of a passage, rank of the space, oversampling.
 DIMENSIONS, PASSAGE, RANK, MORE = 4096, 64, 48, 8
@@ -44,6 +49,13 @@ COSINE = 0.5
 VERBATIM, PARAPHRASE, ANSWER = 0.75, 0.5, 0.75
 #: Items with fewer words must occur whole.
 SHORTEST = 8
+#: Words of more than this share of the items may be left out when words in common are
+#: counted, as long as this share of an item must be found among its other words.
+COMMON, COUNTED = 0.05, 0.2
+#: Steps by which stretches advance within the surroundings of an item; counts (stretches
+#: by items) held at a time.
+STEPS = 2
+COUNT_CELLS = 4_000_000
 #: Ratio between window lengths of neighbouring classes; items compared at a time.
 LENGTH_STEP, ITEM_BLOCK = 1.5, 4096
 #: Bytes of text that a task maps at a time.
@@ -198,6 +210,70 @@ def _lcs(a: list[int], b: list[int]) -> int:
     return len(a) - v.bit_count()
 
 
+def _reach(size: int, n: int) -> int:
+    """Words on either side of a window that belong to its surroundings."""
+    return max(size, n) // 2 + 1
+
+
+def _least(n: int) -> int:
+    """Words that an item of ``n`` words must have in common with a text to be found."""
+    return int(np.ceil(PARAPHRASE * n)) if n >= SHORTEST else n
+
+
+class _Overlap:
+    """Items of a length class by their words, to count words in common with texts.
+
+    ``first[v]`` to ``first[v + 1]`` are the entries of ``item`` that have word ``v`` of
+    the vocabulary, ``times`` each. Surroundings that hold an item, ``spans`` words, have
+    ``need`` of the words of that item at least."""
+
+    def __init__(self, part: np.ndarray, size: int, words: list[list[int]], vocab: np.ndarray, df: np.ndarray, n_items: int):
+        self.part, self.size = part, size
+        self.spans = np.array([max(size, len(words[i])) + 2 * _reach(size, len(words[i])) for i in part])
+        self.step = -(-int(self.spans.max()) // STEPS)
+        self.need = np.zeros(len(part), np.int64)
+        ids, owners, counts = [], [], []
+        for m, i in enumerate(part):
+            v, tf = np.unique(np.searchsorted(vocab, np.array(words[i], np.int64)), return_counts=True)
+            n = len(words[i])
+            spare = _least(n) - max(min(2, _least(n)), int(np.ceil(COUNTED * n)))
+            order = np.argsort(-df[v], kind="stable")
+            order = order[df[v[order]] > max(COMMON * n_items, 1)]
+            order = order[np.cumsum(tf[order]) <= spare]
+            self.need[m] = _least(n) - tf[order].sum()
+            ids.append(np.delete(v, order))
+            owners.append(np.full(len(ids[-1]), m))
+            counts.append(np.delete(tf, order))
+        ids, owners, counts = np.concatenate(ids), np.concatenate(owners), np.concatenate(counts)
+        order = np.argsort(ids, kind="stable")
+        self.item, self.times = owners[order], counts[order]
+        self.first = np.searchsorted(ids[order], np.arange(len(vocab) + 1))
+
+    def stretches(self, pos: np.ndarray, word: np.ndarray, before: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """``(start, item)`` of the stretches whose words are enough; surroundings that
+        begin in the first ``step`` words of a stretch lie in it. ``word[j]`` of the
+        vocabulary stands at ``pos[j]`` of ``n`` words, and at ``before[j]`` last."""
+        rows, size = n // self.step + 1, max(COUNT_CELLS // len(self.part), 1)
+        found = []
+        for low in range(0, rows, size):
+            some = min(size, rows - low)
+            count = np.zeros(some * len(self.part), np.int64)
+            for back in range(STEPS + 1):
+                # A word counts once in a stretch, with all its places in the item.
+                i, j = np.searchsorted(pos, [(low + back) * self.step, (low + back + some) * self.step])
+                row = pos[i:j] // self.step - back
+                new = np.flatnonzero(before[i:j] < row * self.step)
+                v, row = word[i:j][new], row[new]
+                times = self.first[v + 1] - self.first[v]
+                at = np.repeat(self.first[v] - np.cumsum(times) + times, times) + np.arange(times.sum())
+                cell = np.repeat((row - low) * len(self.part), times) + self.item[at]
+                # Sums of small integers are exact.
+                count += np.bincount(cell, self.times[at], len(count)).astype(np.int64)
+            k, m = np.nonzero(count.reshape(some, -1) >= self.need)
+            found.append(((k + low) * self.step, m))
+        return np.concatenate([k for k, _ in found]), np.concatenate([m for _, m in found])
+
+
 class _Items:
     """Benchmark items by length class: ids, word hashes, latent vectors, answers."""
 
@@ -209,7 +285,7 @@ class _Items:
         vectors, lengths = [], []
         for text in texts:
             h = self._hash(text)
-            self.words.append(h.tolist())
+            self.words.append(signed(h).tolist())
             self.times.append(dict(Counter(self.words[-1])))
             self.answers.append(self._answer(text, h))
             x = space.weights[_dims(h, len(space.weights))].sum(axis=0) if len(h) else np.zeros(space.weights.shape[1])
@@ -224,6 +300,13 @@ class _Items:
                 size = int(round(SHORTEST * LENGTH_STEP ** (step + 0.5))) if n >= SHORTEST else max(n, 1)
                 self.classes.setdefault(size, []).append(i)
         self.classes = {k: np.array(v) for k, v in self.classes.items()}
+        self.vocab = np.unique(np.array([x for w in self.words for x in w], np.int64))
+        df = np.bincount(np.searchsorted(self.vocab, [x for t in self.times for x in t]), minlength=len(self.vocab))
+        self.overlaps = [
+            _Overlap(v[b : b + ITEM_BLOCK], k, self.words, self.vocab, df, len(ids))
+            for k, v in self.classes.items()
+            for b in range(0, len(v), ITEM_BLOCK)
+        ]
 
     @staticmethod
     def _hash(text: str) -> np.ndarray:
@@ -237,7 +320,7 @@ class _Items:
         tail = self._hash(body[cut + 1 :]) if cut >= 0 else h
         if not 2 <= len(tail) <= len(h) // 2:
             tail = h[len(h) - max(len(h) // 4, 1) :]
-        return tail.tolist()
+        return signed(np.ascontiguousarray(tail)).tolist()
 
 
 def _find(items: _Items, keep: list[str], text_col: str):
@@ -245,7 +328,7 @@ def _find(items: _Items, keep: list[str], text_col: str):
 
     def check(w: np.ndarray, item: int, at: int, size: int) -> tuple[float, float] | None:
         want = items.words[item]
-        reach = max(size, len(want)) // 2 + 1
+        reach = _reach(size, len(want))
         near = w[max(at - reach, 0) : at + max(size, len(want)) + reach].tolist()
         times = items.times[item]
         # No subsequence is longer than the words in common.
@@ -261,6 +344,64 @@ def _find(items: _Items, keep: list[str], text_col: str):
             return share, told
         return None
 
+    def shared_words(w: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, int, float, float, float]]:
+        """``(text, item, cosine, lcs, answer)`` of what is found by words in common."""
+        if not len(items.vocab):
+            return
+        weights = items.space.weights
+        word = np.minimum(np.searchsorted(items.vocab, w), len(items.vocab) - 1)
+        pos = np.flatnonzero(items.vocab[word] == w)
+        word = word[pos]
+        order = np.argsort(word, kind="stable")
+        before = np.full(len(pos), -1)
+        again = np.flatnonzero(np.diff(word[order]) == 0)
+        before[order[again + 1]] = pos[order[again]]
+        best: dict[tuple[int, int], tuple[int, int, float, float]] = {}
+        for group in items.overlaps:
+            for lo, m in zip(*(x.tolist() for x in group.stretches(pos, word, before, len(w)))):
+                it, span = int(group.part[m]), int(group.spans[m])
+                times, n = items.times[it], len(items.words[it])
+                places: dict[int, list[int]] = {}
+                found, full = [], []
+                i, j = np.searchsorted(pos, [lo, lo + (STEPS + 1) * group.step])
+                for at, x in zip(pos[i:j].tolist(), w[pos[i:j]].tolist()):
+                    if x in times:
+                        was = places.setdefault(x, [])
+                        found.append(at)
+                        # From here on the word's places in the item are taken.
+                        full.append(was[-times[x]] if len(was) >= times[x] else -1)
+                        was.append(at)
+                # No more than this many places of the item can be found.
+                if sum([min(len(x), times[v]) for v, x in places.items()]) < _least(n):
+                    continue
+                found, full = np.array(found), np.array(full)
+                # Surroundings begin at a word of the item, in the first step, and end with the text.
+                start = found[found < lo + group.step]
+                text = np.searchsorted(first, start, side="right") - 1
+                end = np.minimum(start + span, first[text + 1])
+                count = (
+                    (found >= start[:, None]) & (found < end[:, None]) & (full < start[:, None])
+                ).sum(axis=1)
+                for j in np.argsort(-count, kind="stable").tolist():
+                    t, at = int(text[j]), int(start[j])
+                    if count[j] < _least(n):
+                        break
+                    old = best.get((t, it))
+                    if old is not None and count[j] <= old[2] * n:
+                        continue
+                    a, b = int(first[t]), int(first[t + 1])
+                    got = check(w[a:b], it, at - a + _reach(group.size, n), group.size)
+                    if got and (old is None or got[0] > old[2]):
+                        best[t, it] = (at, span, *got)
+        for (t, it), (at, span, share, told) in best.items():
+            # The best window of the item's length there.
+            x = weights[_dims(w[at : min(at + span, first[t + 1])].view(_U), len(weights))]
+            x = np.concatenate((np.zeros((1, x.shape[1])), np.cumsum(x, axis=0, dtype=float)))
+            n = min(len(items.words[it]), len(x) - 1)
+            x = x[n:] - x[: len(x) - n]
+            like = x @ items.vectors[it] / np.maximum(np.linalg.norm(x, axis=1), 1e-12)
+            yield t, it, float(like.max()), share, told
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = items.space.weights
         by_direction = np.ascontiguousarray(weights.T)
@@ -274,7 +415,8 @@ def _find(items: _Items, keep: list[str], text_col: str):
                 # A row per direction: running sums go along contiguous memory.
                 sums = np.zeros((weights.shape[1], len(h) + 1), np.float32)
                 np.cumsum(np.take(by_direction, _dims(h, len(weights)), axis=1), axis=1, out=sums[:, 1:])
-                best: dict[tuple[int, int], tuple] = {}
+                w = signed(h)
+                best: dict[tuple[int, int], tuple] = {(t, it): x for t, it, *x in shared_words(w, first)}
                 for size, members in items.classes.items():
                     stride = max(size // 3, 1)
                     # Windows of each text, the last one flush with its end.
@@ -294,7 +436,7 @@ def _find(items: _Items, keep: list[str], text_col: str):
                             old = best.get((t, it))
                             if old is not None and old[1] >= 1.0:
                                 continue
-                            got = check(h[first[t] : first[t + 1]], it, int(lo[q] - first[t]), size)
+                            got = check(w[first[t] : first[t + 1]], it, int(lo[q] - first[t]), size)
                             if got and (old is None or got[0] > old[1]):
                                 best[t, it] = (c, *got)
                 for (t, it), (c, share, told) in sorted(best.items()):

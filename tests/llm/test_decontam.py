@@ -66,6 +66,60 @@ def test_verbatim_items_of_documents(spark):
     assert len(got - want) <= len(want) * 0.05
 
 
+def disguised(rng, items, item, how):
+    """Another word in place of this share of the words outside the answer (0: a foreign word
+    after every word instead), and whether the check accepts that."""
+    words_, answer = items.words[item], len(items.answers[item])
+    cut = len(words_) - answer
+    text = ITEM_WORDS[item]
+    gone = set(rng.sample(range(cut), round(how * cut))) if how else set()
+    out = [prose(rng, 1) if k in gone else x for k, x in enumerate(text)]
+    if not how:
+        out = [y for x in out for y in (x, prose(rng, 1))]
+    h = dc._Items._hash(" ".join(out)).view(np.int64).tolist()
+    share = brute_lcs(words_, h) / len(words_)
+    told = brute_lcs(items.answers[item], h) / answer
+    return " ".join(out), share >= dc.VERBATIM or share >= dc.PARAPHRASE and told >= dc.ANSWER
+
+
+ITEM_WORDS: dict[int, list[str]] = {}
+
+
+def test_whatever_the_check_accepts_is_found(spark, make):
+    """Paraphrases of benchmark items inside documents, down to half of the item's words."""
+    rng = random.Random(7)
+    bench = table(spark, "benchmark", MEDIUM)
+    rows = sorted(tuple(r) for r in bench.select("item_id", "text").collect())
+    clean = table(spark, "documents", MEDIUM).where("length(text) > 500").orderBy("doc_id").limit(400)
+    clean = [r["text"].split() for r in clean.collect()]
+    items = dc._Items([i for i, _ in rows], [t for _, t in rows], dc.LatentSpace(np.ones((dc.DIMENSIONS, 2))))
+    flat = lambda t: "".join(c if c.isalnum() else " " for c in t).split()
+    ITEM_WORDS.update({k: flat(t) for k, (_, t) in enumerate(rows)})
+    docs, want = [], set()
+    for how in (0, 0.2, 0.4, 0.5, 0.6):
+        for k in range(len(rows)):
+            assert len(ITEM_WORDS[k]) == len(items.words[k])
+            text, accepted = disguised(rng, items, k, how)
+            w = rng.choice(clean)
+            at = rng.randrange(len(w))
+            docs.append((len(docs), " ".join(w[:at] + [text] + w[at:])))
+            if accepted:
+                want.add((len(docs) - 1, rows[k][0]))
+    assert len(want) > 4 * len(rows)
+    got = {(r["doc_id"], r["item_id"]) for r in dc.contaminated(make(docs), bench).collect()}
+    assert want <= got
+
+
+def test_stretches_of_a_long_text(spark, make, monkeypatch):
+    """Counted a few at a time, and with an item across what is counted together."""
+    monkeypatch.setattr(dc, "COUNT_CELLS", 5)
+    rng = random.Random(3)
+    item = prose(rng, 30)
+    docs = [(d, prose(rng, 100 + 7 * d) + " " + " ".join(f"{x} {prose(rng, 1)}" for x in item.split())) for d in range(12)]
+    df, bench = make(docs), spark.createDataFrame([(1, item), (2, prose(rng, 25))], "item_id long, text string")
+    assert sorted(r["doc_id"] for r in dc.contaminated(df, bench).collect()) == list(range(12))
+
+
 def test_sketch_gives_the_leading_directions(spark):
     """Singular values and subspace against a dense decomposition."""
     rng = random.Random(2)
