@@ -5,7 +5,7 @@ letter three times or more, or are spelled out letter by letter are decoded: eve
 character becomes the letters it may stand for (a separator: none; a run: one or two
 letters), each at the channel's cost, and Viterbi over this lattice finds the likeliest
 letters under a character trigram model of the corpus. The best few paths are ranked
-again with a word model (words that the labelled rows use often). All other tokens have
+again with a word model (words that several documents use). All other tokens have
 one path through the lattice, themselves.
 
 **Score.** Features of a restored text are its words and their prefixes of some lengths.
@@ -14,7 +14,9 @@ a weighted lexicon; a word weighs as the longest of its features that is in ther
 logistic model over the strongest weight, the sum and the number of the words that weigh,
 and the text's length gives the score.
 
-**What is learned from what.** The character model counts over all documents. The lexicon
+**What is learned from what.** The character and the word model count over all documents.
+A word model of more than ``BROADCAST_WORDS`` words stays a table, and only those of its
+words that disguised words of the documents at hand may be are joined out of it. The lexicon
 and the logistic model are fitted on a sample of labelled rows, at most
 ``SAMPLE_PER_CLASS`` of each label, chosen by a hash of their id; its bound makes it a
 broadcast side.
@@ -36,11 +38,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import lower_case, mix, prefix_sums, separated, signed, span_hashes, text_blocks, word_hashes, words
+from .common import scratch
 
 #: Labelled rows of each label that the lexicon and the logistic model are fitted on.
 SAMPLE_PER_CLASS = 4000
-#: Most features the lexicon may have, and most words the word model may have.
-LEXICON_SIZE, WORD_MODEL_SIZE = 5000, 50_000
+#: Most features the lexicon may have.
+LEXICON_SIZE = 5000
+#: Documents, near copies counted once, that a word of the word model is in; words up to which
+#: the model goes to every task (8 bytes each), larger ones are joined by hash.
+WORD_ROWS, BROADCAST_WORDS = 3, 4_000_000
 #: Nats of evidence a feature needs, and the distinct toxic rows it must occur in.
 EVIDENCE, MIN_ROWS = 14.0, 4.0
 #: Bytes of the prefixes that are features.
@@ -134,6 +140,38 @@ def character_model(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     return np.log(p3)
 
 
+def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(word, cluster) rows: each word of a block with the clusters of the texts it is in, as
+    many as decide that it is in ``WORD_ROWS`` of them."""
+    for batch in batches:
+        for _, _, off, data in text_blocks(batch, "text"):
+            off, low = separated(off, lower_case(data))
+            s, e, first = words(off, low, _LETTER)
+            if not len(s):
+                continue
+            h = span_hashes(prefix_sums(low), s, e)
+            of = np.repeat(np.arange(len(off) - 1), np.diff(first))
+            cluster = _near_copies(h, of, len(off) - 1)[of]
+            order = np.lexsort((cluster, h))
+            h, cluster = h[order], cluster[order]
+            new = np.ones(len(h), bool)
+            new[1:] = (h[1:] != h[:-1]) | (cluster[1:] != cluster[:-1])
+            h, cluster = h[new], cluster[new]
+            start = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
+            nth = np.arange(len(h)) - np.repeat(start, np.diff(np.append(start, len(h))))
+            few = nth < WORD_ROWS
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(signed(h[few])), pa.array(signed(cluster[few]))], names=["word", "cluster"]
+            )
+
+
+def word_table(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``(word)``: hashes of the words that at least ``WORD_ROWS`` documents of ``docs`` use."""
+    rows = docs.select(F.col(text_col).alias("text")).mapInArrow(_word_rows, "word long, cluster long")
+    per = rows.distinct().groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    return per.where(F.col("n") >= WORD_ROWS).select("word")
+
+
 # ---------------------------------------------------------------- decoding
 
 
@@ -143,7 +181,7 @@ class Decoder:
     def __init__(self, log_p: np.ndarray, known_words: np.ndarray):
         self._made_of = (log_p, known_words)
         self.log_p = log_p.tolist()
-        self.known = frozenset(known_words.tolist())
+        self.known = np.sort(known_words)
         self.decode = lru_cache(maxsize=50_000)(self._decode)
 
     def __reduce__(self):
@@ -177,8 +215,8 @@ class Decoder:
             i = j
         return units
 
-    def _decode(self, token: str) -> str:
-        """The likeliest letters of a lower-case token."""
+    def ranked(self, token: str) -> list[tuple[float, str]]:
+        """The best paths of a lower-case token under the character model."""
         states = {(0, 0): [(0.0, "")]}
         for unit in self.lattice(token):
             nxt: dict = {}
@@ -192,14 +230,65 @@ class Decoder:
                     nxt.setdefault((x, y), []).extend((s + add, p + letters) for s, p in paths)
             states = {k: sorted(v, reverse=True)[:PATHS] for k, v in nxt.items()}
         ends = [(s + self.log_p[a][b][0], p) for (a, b), paths in states.items() for s, p in paths if p]
+        return sorted(ends, reverse=True)[:RANKED]
+
+    def _decode(self, token: str) -> str:
+        """The likeliest letters of a lower-case token."""
+        ends = self.ranked(token)
         if not ends:
             return token
-        ends = sorted(ends, reverse=True)[:RANKED]
-        hashes = _string_hashes([p for _, p in ends])
-        return max((s + WORD_BONUS * (h in self.known), p) for (s, p), h in zip(ends, hashes))[1]
+        known = self._known(_string_hashes([p for _, p in ends]))
+        return max((s + WORD_BONUS * k, p) for (s, p), k in zip(ends, known))[1]
+
+    def _known(self, hashes: list[int]) -> list[bool]:
+        if not len(self.known):
+            return [False] * len(hashes)
+        at = np.minimum(np.searchsorted(self.known, hashes), len(self.known) - 1)
+        return (self.known[at] == hashes).tolist()
+
+
+class _Listing(Decoder):
+    """Leaves tokens as they are, and lists the words they may be."""
+
+    def __init__(self, decoder: Decoder):
+        super().__init__(*decoder._made_of)
+        self.tokens: set[str] = set()
+        self.decode = self._list
+
+    def _list(self, token: str) -> str:
+        self.tokens.add(token)
+        return token
+
+    def listed(self) -> np.ndarray:
+        paths = {p for t in self.tokens for _, p in self.ranked(t)}
+        self.tokens.clear()
+        return np.array(_string_hashes(sorted(paths)), np.int64)
+
+
+def _listed_words(decoder: Decoder):
+    """Hashes of what the suspects of each block may be."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        listing = _Listing(decoder)
+        for batch in batches:
+            for _, _, off, data in text_blocks(batch, "text"):
+                restore(off, data, listing)
+                yield pa.RecordBatch.from_arrays([pa.array(listing.listed())], names=["word"])
+
+    return run
+
+
+def _decoder_for(docs: DataFrame, text_col: str, log_p: np.ndarray, table: DataFrame) -> Decoder:
+    """A decoder with those words of ``table`` that suspects of ``docs`` may be: it decodes them
+    as one with all words would."""
+    text = docs.select(F.col(text_col).alias("text"))
+    may = text.mapInArrow(_listed_words(Decoder(log_p, np.zeros(0, np.int64))), "word long").distinct()
+    return Decoder(log_p, table.join(may, "word", "left_semi").toArrow().column("word").to_numpy())
 
 
 def _string_hashes(strings: list[str]) -> list[int]:
+    if not strings:
+        return []
     parts = [s.encode() for s in strings]
     ends = np.cumsum([len(p) for p in parts])
     data = np.frombuffer(b"".join(parts), np.uint8)
@@ -311,7 +400,7 @@ def _near_copies(words_: np.ndarray, of: np.ndarray, n: int) -> np.ndarray:
 
 
 def _sample_features(decoder: Decoder):
-    """(feature, cluster, toxic, word) rows: the distinct features of each sampled text.
+    """(feature, cluster, toxic) rows: the distinct features of each sampled text.
     ``cluster`` is what near copies mostly share."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -323,20 +412,16 @@ def _sample_features(decoder: Decoder):
                 if not len(h):
                     continue
                 n_words = which.max() + 1
-                cluster = _near_copies(h[-n_words:], of[-n_words:], len(off) - 1)
                 # The whole words come last.
-                word = np.arange(len(h)) >= len(h) - n_words
+                cluster = _near_copies(h[-n_words:], of[-n_words:], len(off) - 1)
                 order = np.lexsort((h, of))
-                h, of, word = h[order], of[order], word[order]
+                h, of = h[order], of[order]
                 new = np.ones(len(h), bool)
                 new[1:] = (h[1:] != h[:-1]) | (of[1:] != of[:-1])
-                h, of, word = h[new], of[new], word[new]
+                h, of = h[new], of[new]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(signed(h)), pa.array(signed(cluster[of])),
-                        pa.array(label[i:j][of]), pa.array(word),
-                    ],
-                    names=["feature", "cluster", "toxic", "word"],
+                    [pa.array(signed(h)), pa.array(signed(cluster[of])), pa.array(label[i:j][of])],
+                    names=["feature", "cluster", "toxic"],
                 )
 
     return run
@@ -371,8 +456,17 @@ class Lexicon:
 
 
 class ToxicityModel:
-    def __init__(self, decoder: Decoder, lexicon: Lexicon, coef: np.ndarray | None):
-        self.decoder, self.lexicon, self.coef = decoder, lexicon, coef
+    """``table``: the words of a word model that is too large for the decoder."""
+
+    def __init__(self, decoder: Decoder, lexicon: Lexicon, coef: np.ndarray | None, table: DataFrame | None = None):
+        self.decoder, self.lexicon, self.coef, self.table = decoder, lexicon, coef, table
+
+    def of(self, docs: DataFrame, text_col: str) -> ToxicityModel:
+        """The model that goes to the tasks that read ``docs``."""
+        if self.table is None:
+            return self
+        decoder = _decoder_for(docs, text_col, self.decoder._made_of[0], self.table)
+        return ToxicityModel(decoder, self.lexicon, self.coef)
 
     def score(self, offsets: np.ndarray, data: np.ndarray) -> np.ndarray:
         if self.coef is None:
@@ -406,9 +500,15 @@ def train(
     text_col: str = "text",
     label_col: str = "toxic",
 ) -> ToxicityModel:
-    """Fit on ``labels`` (id, 0 or 1); character counts come from all of ``docs``."""
+    """Fit on ``labels`` (id, 0 or 1); characters and words are counted in all of ``docs``."""
     log_p = character_model(docs, text_col)
-    plain = Decoder(log_p, np.zeros(0, np.int64))
+    with scratch(docs.sparkSession, "toxicity") as work:
+        table = work.table(word_table(docs, text_col), "words")
+        if table.count() <= BROADCAST_WORDS:
+            decoder, large = Decoder(log_p, table.toArrow().column("word").to_numpy()), None
+            work.close()
+        else:
+            decoder, large = Decoder(log_p, np.zeros(0, np.int64)), table
     one = (
         labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("toxic"))
         .where("_id is not null and toxic in (0, 1)")
@@ -417,20 +517,20 @@ def train(
     )
     n = {r["toxic"]: r["count"] for r in one.groupBy("toxic").count().collect()}
     if not n.get(1):
-        return ToxicityModel(plain, Lexicon(np.zeros(0, np.int64), np.zeros(0)), None)
+        return ToxicityModel(decoder, Lexicon(np.zeros(0, np.int64), np.zeros(0)), None, large)
     order = F.xxhash64("_id", F.lit("toxicity"))
     picked = one.where("toxic = 1").orderBy(order, "_id").limit(sample)
     picked = picked.union(one.where("toxic = 0").orderBy(order, "_id").limit(sample))
     # At most 2 * sample narrow rows: the bound that allows the broadcast.
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text")).join(F.broadcast(picked), "_id")
     rows = rows.select("text", "toxic")
-    seen = rows.mapInArrow(_sample_features(plain), "feature long, cluster long, toxic int, word boolean")
+    fit = decoder if large is None else _decoder_for(rows, "text", log_p, large)
+    seen = rows.mapInArrow(_sample_features(fit), "feature long, cluster long, toxic int")
     # Dealt by feature once: both aggregations stay where the rows are.
-    once = seen.repartition("feature").groupBy("feature", "cluster", "toxic").agg(F.max("word").alias("word"))
+    once = seen.repartition("feature").groupBy("feature", "cluster", "toxic").agg(F.count(F.lit(1)).alias("k"))
     per = once.groupBy("feature").agg(
         F.sum("toxic").cast("double").alias("t"),
         F.sum(1 - F.col("toxic")).cast("double").alias("c"),
-        F.max("word").alias("word"),
     )
     taken = {k: float(min(n.get(k, 0), sample)) for k in (0, 1)}
     t, c = F.col("t"), F.col("c")
@@ -448,20 +548,15 @@ def train(
         .limit(LEXICON_SIZE)
         .toArrow()
     )
-    common = (
-        per.where("word").select("feature", (t + c).alias("n")).where("n >= 3")
-        .orderBy(F.desc("n"), "feature").limit(WORD_MODEL_SIZE).toArrow()
-    )
-    decoder = Decoder(log_p, common.column("feature").to_numpy())
     lexicon = Lexicon(marks.column("feature").to_numpy().view(_U), marks.column("weight").to_numpy())
-    sums = rows.mapInArrow(_summaries(decoder, lexicon), "x array<double>, toxic int").toArrow()
+    sums = rows.mapInArrow(_summaries(fit, lexicon), "x array<double>, toxic int").toArrow()
     x = np.array(sums.column("x").to_pylist()).reshape(-1, 4)
     y = sums.column("toxic").to_numpy().astype(float)
     if not len(y) or y.min() == y.max():
-        return ToxicityModel(decoder, lexicon, None)
+        return ToxicityModel(decoder, lexicon, None, large)
     # Weigh the sample's rows back to the share of their label.
     back = {k: n.get(k, 0) / max(taken[k], 1.0) for k in (0, 1)}
-    return ToxicityModel(decoder, lexicon, _logistic(x, y, np.where(y == 1, back[1], back[0])))
+    return ToxicityModel(decoder, lexicon, _logistic(x, y, np.where(y == 1, back[1], back[0])), large)
 
 
 def _summaries(decoder: Decoder, lexicon: Lexicon):
@@ -493,7 +588,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text"
     """``docs`` with ``toxicity`` from 0 to 1; without the text where it is not wanted."""
     columns = [c for c in docs.columns if keep_text or c != text_col]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in columns)
-    return docs.mapInArrow(_scored(model, columns, text_col), f"{schema}, toxicity double")
+    return docs.mapInArrow(_scored(model.of(docs, text_col), columns, text_col), f"{schema}, toxicity double")
 
 
 def _restored(decoder: Decoder, text_col: str):
@@ -511,4 +606,4 @@ def _restored(decoder: Decoder, text_col: str):
 
 def restored_texts(docs: DataFrame, model: ToxicityModel, text_col: str = "text") -> DataFrame:
     """``docs`` with texts in lower case and disguised words decoded (null as empty)."""
-    return docs.mapInArrow(_restored(model.decoder, text_col), docs.schema)
+    return docs.mapInArrow(_restored(model.of(docs, text_col).decoder, text_col), docs.schema)

@@ -92,6 +92,26 @@ def test_restored_text(make, learned):
     assert row["text"].split() == ["you", "idiot", "went", "home", "é!"] or "idiot" in row["text"]
 
 
+def test_words_of_unlabelled_documents_are_known(spark, make, learned, monkeypatch):
+    """The word model counts all documents, and is the same where it is joined by hash."""
+    _, docs = learned
+    rng = np.random.default_rng(2)
+    rows = [(1000 + i, " ".join(rng.permutation([w for w in WORDS if len(w) < 5])) + " zugvix") for i in range(20)]
+    more = docs.union(spark.createDataFrame(rows, docs.schema))
+    labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(600)], "doc_id long, toxic int")
+    asked = make([(1, "a zugv1x here"), (2, "zu6vix"), (3, "you 1d10t")])
+    model = tx.train(more, labels)
+    assert model.decoder._known(tx._string_hashes(["zugvix", "zugvox"])) == [True, False]
+    restored = [r["text"].split() for r in tx.restored_texts(asked, model).collect()]
+    assert restored == [["a", "zugvix", "here"], ["zugvix"], ["you", "idiot"]]
+    scores = [r["toxicity"] for r in tx.score_toxicity(asked, model).collect()]
+    monkeypatch.setattr(tx, "BROADCAST_WORDS", 0)
+    joined = tx.train(more, labels)
+    assert joined.table is not None and not len(joined.decoder.known)
+    assert [r["text"].split() for r in tx.restored_texts(asked, joined).collect()] == restored
+    assert [r["toxicity"] for r in tx.score_toxicity(asked, joined).collect()] == scores
+
+
 def test_edge_cases(spark, make, learned):
     model, _ = learned
     rows = [(1, None), (2, ""), (3, " \n"), (4, "the cat " * 50_000 + "idiot " * 30), (5, "idiot"), (5, "idiot"), (None, "idiot")]
