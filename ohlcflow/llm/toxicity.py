@@ -29,6 +29,7 @@ through.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -51,7 +52,8 @@ WORD_ROWS, BROADCAST_WORDS = 3, 4_000_000
 EVIDENCE, MIN_ROWS = 14.0, 4.0
 #: Bytes of the prefixes that are features.
 PREFIXES = (4, 5, 6, 8, 10)
-#: Tokens longer than this are not decoded (keys, hashes, addresses).
+#: Longer tokens are split at signs, and what is still longer is decoded in pieces of this
+#: length that overlap by half; a run of one character counts as three at most.
 LONGEST_TOKEN = 40
 
 # --- Fixed values: letters that a sign or digit may stand for. ---
@@ -63,6 +65,8 @@ LOOK_ALIKES = {
 SEPARATORS = " .-_*~'"
 #: Costs of the channel, in nats.
 COST_LOOK_ALIKE, COST_KEEP, COST_WILD, COST_COLLAPSE, COST_DROP = 0.7, 6.0, 2.0, 0.7, 1.0
+#: Most separators between the letters of a spelled-out word.
+SPELLED_GAP = 5
 #: Letters that are looked at from each letter of a spelled-out run.
 SPELLED_WORD = 10
 #: Bonus of a path that is a word of the word model.
@@ -82,6 +86,13 @@ _TAIL = np.zeros(256, bool)
 _TAIL[[ord(c) for c in "0123456789@$"]] = True
 _SEP = np.zeros(256, bool)
 _SEP[[ord(c) for c in SEPARATORS] + [0x0A, 0x09]] = True
+_SIGN = ~(_LETTER | _LEET)
+_SIGN[0x30:0x3A] = False
+_JOIN = np.zeros(256, bool)
+_JOIN[[ord(c) for c in "-_~."]] = True
+_JOINS = re.compile(r"[-_~.]+")
+_GAPS = re.compile(r"[\s._~'-]+")
+_LONG_RUN = re.compile(r"(.)\1{3,}", re.DOTALL)
 _EDGE = np.zeros(256, bool)
 _EDGE[[ord(c) for c in ".,;:?!\"')]}"]] = True
 # Classes of the character model: 0 boundary, 1-26 letters, 27 other letters.
@@ -295,8 +306,35 @@ def _string_hashes(strings: list[str]) -> list[int]:
     return signed(word_hashes(data, ends - [len(p) for p in parts], ends)).tolist()
 
 
-def suspects(offsets: np.ndarray, data: np.ndarray) -> list[tuple[int, int]]:
-    """Byte spans of a block (lower case) that may be disguised words, in order."""
+def _pieces(token: str) -> list[str]:
+    """A token, or overlapping pieces of one that is too long."""
+    if len(token) <= LONGEST_TOKEN:
+        return [token]
+    half = LONGEST_TOKEN // 2
+    return [token[k : k + LONGEST_TOKEN] for k in range(0, len(token) - half, half)]
+
+
+def _split_long(offsets: np.ndarray, data: np.ndarray) -> np.ndarray:
+    """The block with spaces for the signs inside of tokens that are too long."""
+    s, e, _ = words(offsets, data)
+    # Bytes that differ from the one before them count; a run is a few at most.
+    kind = np.cumsum(np.concatenate(([True], data[1:] != data[:-1])))
+    long = np.flatnonzero((e - s > LONGEST_TOKEN) & (kind[e - 1] - kind[s] >= LONGEST_TOKEN // 3))
+    if not len(long):
+        return data
+    edge = np.zeros(len(data) + 1, np.int64)
+    edge[s[long]] += 1
+    edge[e[long]] -= 1
+    return np.where((np.cumsum(edge[:-1]) > 0) & _SIGN[data], np.uint8(0x20), data)
+
+
+#: What a suspect is: a token, a token without look-alikes whose parts signs join, letters
+#: spelled out.
+TOKEN, JOINED, SPELLED = range(3)
+
+
+def suspects(offsets: np.ndarray, data: np.ndarray) -> list[tuple[int, int, int]]:
+    """Byte spans of a block (lower case) that may be disguised words, in order, and their kind."""
     n = len(data)
     if n < 2:
         return []
@@ -306,7 +344,7 @@ def suspects(offsets: np.ndarray, data: np.ndarray) -> list[tuple[int, int]]:
     L, X = np.concatenate((z, letter, z)), np.concatenate((z, leet, z))
     at = lambda v, k: v[4 + k : 4 + k + n]
     inner = leet & at(L, -1) & (at(L, 1) | (at(X, 1) & (at(L, 2) | (at(X, 2) & at(L, 3)))))
-    s, e, _ = words(offsets, data)
+    s, e, _ = words(offsets, _split_long(offsets, data))
     head = np.zeros(n, bool)
     head[s] = leet[s] & (at(L, 1)[s] | (at(X, 1)[s] & at(L, 2)[s])) & at(L, 2)[s]
     # The last bytes of a token, before closing punctuation.
@@ -320,25 +358,43 @@ def suspects(offsets: np.ndarray, data: np.ndarray) -> list[tuple[int, int]]:
         (at(L, -1)[last] & at(L, -2)[last]) | (at(T, -1)[last] & at(L, -2)[last] & at(L, -3)[last])
     )
     tail[last] &= last - s >= 3
+    # Signs, not digits, at the end of a short word.
+    M = np.concatenate((z, (data == 0x24) | (data == 0x40), z))
+    tail[last] |= at(M, 0)[last] & (at(M, -1)[last] | at(L, -1)[last]) & at(L, -2)[last] & (last - s == 2)
     same = np.zeros(n, bool)
     same[2:] = letter[2:] & (data[2:] == data[1:-1]) & (data[1:-1] == data[:-2]) & (data[2:] < 0x80)
     hit = np.flatnonzero(inner | head | tail | same)
     found = set(np.searchsorted(s, hit, side="right") - 1) if len(hit) else set()
-    spans = [(int(s[w]), int(e[w])) for w in found if e[w] - s[w] <= LONGEST_TOKEN]
-    # Letters spelled out: single letters or look-alikes with one separator between.
+    spans = [(int(s[w]), int(e[w]), TOKEN) for w in found]
+    J = np.concatenate((z, _JOIN[data], z))
+    inside = np.flatnonzero(at(J, 0) & at(L, -1) & at(L, 1))
+    if len(inside):
+        joined = np.unique(np.searchsorted(s, inside, side="right") - 1)
+        joined = joined[(inside[0] >= s[0]) & (e[joined] - s[joined] <= LONGEST_TOKEN)]
+        spans += [(int(s[w]), int(e[w]), JOINED) for w in joined.tolist() if w not in found]
+    # Letters spelled out: single letters or look-alikes, or a few pairs, with separators between.
     sign = _ASCII_LETTER[data] | leet
     sep = _SEP[data] & ~leet | (data == 0x2A)
     S, P = np.concatenate((z, sign, z)), np.concatenate((z | True, sep, z | True))
-    alone = sign & at(P, -1) & at(P, 1)
-    single = np.flatnonzero(alone)
-    if len(single) >= 4:
-        text_of = np.searchsorted(offsets, single, side="right")
-        cut = np.flatnonzero((np.diff(single) != 2) | (np.diff(text_of) != 0)) + 1
-        for a, b in zip(np.concatenate(([0], cut)), np.concatenate((cut, [len(single)]))):
-            lo, hi = int(single[a]), int(single[b - 1]) + 1
-            if b - a >= 4 and _ASCII_LETTER[data[lo:hi]].sum() >= 3:
+    single = sign & at(P, -1) & at(P, 1)
+    pair = sign & at(P, -1) & at(S, 1) & at(P, 2)
+    unit = np.flatnonzero(single | pair)
+    if len(unit) >= 3:
+        alone = single[unit]
+        end = unit + np.where(alone, 1, 2)
+        other = np.concatenate(([0], np.cumsum(~sep)))
+        gap = unit[1:] - end[:-1]
+        text_of = np.searchsorted(offsets, unit, side="right")
+        apart = (gap < 1) | (gap > SPELLED_GAP) | (other[unit[1:]] != other[end[:-1]]) | (np.diff(text_of) != 0)
+        cut = np.flatnonzero(apart) + 1
+        first, after = np.concatenate(([0], cut)), np.concatenate((cut, [len(unit)]))
+        singles = np.concatenate(([0], np.cumsum(alone)))
+        singles = singles[after] - singles[first]
+        for k in np.flatnonzero((singles >= 3) & (2 * singles >= after - first)).tolist():
+            lo, hi = int(unit[first[k]]), int(end[after[k] - 1])
+            if _ASCII_LETTER[data[lo:hi]].sum() >= 3:
                 spans = [x for x in spans if x[1] <= lo or x[0] >= hi]
-                spans.append((lo, hi))
+                spans.append((lo, hi, SPELLED))
     return sorted(spans)
 
 
@@ -347,15 +403,25 @@ def restore(offsets: np.ndarray, data: np.ndarray, decoder: Decoder) -> tuple[np
     space after each text."""
     offsets, low = separated(offsets, lower_case(data))
     parts, at, grown = [], 0, np.zeros(len(offsets), np.int64)
-    for a, b in suspects(offsets, low):
+    for a, b, kind in suspects(offsets, low):
         token = low[a:b].tobytes().decode("utf-8", "replace")
-        core = token.strip(".,;:?\"')]}(")
-        if sum(ch.isalpha() for ch in core) < 2:
+        core = _LONG_RUN.sub(r"\1\1\1", token.strip(".,;:?\"')]}("))
+        letters = sum(ch.isalpha() for ch in core)
+        if letters < 2 and not (letters and core[1:].strip("$@") == ""):
             continue
-        new = "".join(decoder.decode(core[k : k + LONGEST_TOKEN]) for k in range(0, len(core), LONGEST_TOKEN))
-        if core[1].isspace() or core[1] in SEPARATORS:
+        if kind == JOINED:
+            # The word that the parts may make, besides them.
+            new = f"{token} {_JOINS.sub('', core)}"
+        elif kind == SPELLED:
+            new = [decoder.decode(x) for x in _pieces(_GAPS.sub("", core))]
             # Words spelled out without a gap between them: one may begin at any letter.
-            new = " ".join([new, *(new[k : k + SPELLED_WORD] for k in range(1, len(new) - 3))])
+            new = " ".join(y for x in new for y in (x, *(x[k : k + SPELLED_WORD] for k in range(1, len(x) - 3))))
+        else:
+            parts_of = [x for x in _JOINS.split(core) if len(x) > 2]
+            new = [decoder.decode(x) for x in _pieces(core)]
+            if len(parts_of) > 1:
+                new += [decoder.decode(x) for part in parts_of for x in _pieces(part)]
+            new = " ".join(new)
         new = new.encode()
         parts += [low[at:a], np.frombuffer(new, np.uint8)]
         grown[np.searchsorted(offsets, a, side="right") :] += len(new) - (b - a)

@@ -45,6 +45,33 @@ def test_disguises_are_undone(make, learned):
     assert flagged(make, model, bad) == [True] * len(bad)
 
 
+def test_long_joined_and_split_disguises_are_undone(make, learned):
+    model, _ = learned
+    bad = [
+        "idi" + 50 * "o" + "t", "you " + "s" * 60 + "tupid cat", "people_are_a_st0pid_cl0wn_and_everybody_from_town_knows_it",
+        "the_cat_sat_on_$tupid_people_from_town_every_single_day", "a_cl0wn_sat", "x" * 30 + "zq" * 10 + ".cl0wn",
+        "i  d  i  o  t", "i - d - i - o - t", "s _ t _ u _ p _ i _ d", "i d io t", "id-iot", "stu.pid cat", "clo-wn",
+    ]
+    assert flagged(make, model, bad) == [True] * len(bad)
+
+
+def test_three_letter_words_and_short_ends(make, learned):
+    model, _ = learned
+    got = [r["text"].split() for r in tx.restored_texts(make(list(enumerate(["c a t", "c - a - t", "a"]))), model).collect()]
+    assert got == [["cat"], ["cat"], ["a"]]
+    for text, spans in ((b"you a$$ ", [(4, 7, tx.TOKEN)]), (b"you $5 b2 ", [])):
+        assert tx.suspects(np.array([0, len(text)]), np.frombuffer(text, np.uint8)) == spans
+
+
+def test_long_clean_tokens_stay(make, learned):
+    model, _ = learned
+    good = [
+        "9f86d081884c7d659a2feaa0c55ad015a3bf4f1b2b0b822cd15d6c15b0f00a08", "the_cat_sat_on_a_mat_and_went_home_with_people_from_town",
+        "http://cat.mat/day/home/people/town/every/single?x=1&y=2&z=3", "=" * 200, "h" * 300, "a - b - c", "well-made home-town",
+    ]
+    assert flagged(make, model, good) == [False] * len(good)
+
+
 def test_clean_texts_stay(make, learned):
     model, _ = learned
     good = [
