@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .license_texts import LICENCES, NOTICES, SPELLINGS
+from .license_texts import DIGESTS, LICENCES, NOTICES, SPELLINGS
 
 #: A line that names a copyright holder or year (after lower-casing).
 COPYRIGHT_LINE = (
@@ -53,18 +53,22 @@ def canonical_lines(text: Column) -> Column:
 
 
 def known_licences(spark: SparkSession) -> DataFrame:
-    """``(digest, license, line)`` of the known texts; ``line``: a one-line form."""
+    """``(digest, license)`` of the known texts."""
     rows = [(name, text) for name, _, text in LICENCES]
     rows += [(name, f"{title}\n{text}") for name, title, text in LICENCES if title]
     rows += NOTICES
     known = spark.createDataFrame(rows, "license string, text string")
     lines = canonical_lines(F.col("text"))
-    return known.select(F.sha2(F.array_join(lines, " "), 256).alias("digest"), "license").distinct()
+    whole = spark.createDataFrame([(d, n) for n, d in DIGESTS], "digest string, license string")
+    return known.select(F.sha2(F.array_join(lines, " "), 256).alias("digest"), "license").union(whole).distinct()
 
 
-def scan_licences(docs: DataFrame, text_col: str = "text") -> DataFrame:
+def scan_licences(docs: DataFrame, text_col: str = "text", digests: dict[str, str] | None = None) -> DataFrame:
     """``docs`` with ``canonical_digest``, ``license`` (of the entire text, else null)
-    and ``notices`` (sorted licences that some line states)."""
+    and ``notices`` (sorted licences that some line states).
+
+    ``digests``: more licences, by the ``canonical_digest`` of their whole text; they
+    come after the known ones."""
     spark = docs.sparkSession
     known = known_licences(spark)
     pairs = {r["digest"]: r["license"] for r in known.collect()}  # the fixed table above
@@ -81,6 +85,8 @@ def scan_licences(docs: DataFrame, text_col: str = "text") -> DataFrame:
             "notices": F.array_sort(F.array_distinct(F.filter(found, lambda x: x.isNotNull()))),
         }
     )
+    more = [(d, n) for d, n in (digests or {}).items() if d not in pairs]
+    known = known.union(spark.createDataFrame(more, "digest string, license string"))
     table = F.broadcast(known.select(F.col("digest").alias("_digest"), "license"))
     joined = scanned.join(table, F.col("canonical_digest") == F.col("_digest"), "left")
     return joined.select(*docs.columns, "canonical_digest", "license", "notices")

@@ -1,4 +1,5 @@
 import hashlib
+import os
 import re
 
 import duckdb
@@ -22,6 +23,28 @@ def test_every_known_text_is_found(spark, make):
     assert [got[i][0] for i in range(len(rows))] == [name for name, _, _ in LICENCES]
 
 
+def test_whole_texts_are_found(spark, make):
+    folder = "/usr/share/common-licenses"
+    if not os.path.isdir(folder):
+        pytest.skip("no licence texts here")
+    names = {"Apache-2.0": "Apache-2.0", "GPL-2": "GPL-2.0-only", "GPL-3": "GPL-3.0-only", "LGPL-3": "LGPL-3.0-only",
+             "LGPL-2.1": "LGPL-2.1-only", "MPL-2.0": "MPL-2.0", "MPL-1.1": "MPL-1.1", "CC0-1.0": "CC0-1.0"}
+    files = sorted(f for f in names if os.path.exists(f"{folder}/{f}"))
+    texts = [open(f"{folder}/{f}", encoding="utf-8").read() for f in files]
+    end = "END OF TERMS AND CONDITIONS"
+    rows = [(k, " ".join(t.upper().split(" "))) for k, t in enumerate(texts) if "copyright" in t.lower()]
+    rows += [(100 + k, t[: t.find(end) + len(end)]) for k, t in enumerate(texts) if end in t]
+    got = scan(make(rows))
+    assert [got[d][0] for d, _ in rows] == [names[files[d % 100]] for d, _ in rows]
+
+
+def test_digests_of_the_caller(spark, make):
+    rows = [(1, "My own Licence.\nCopyright (c) 2020 Me\nDo as you like."), (2, "Do as you like.")]
+    own = licenses.scan_licences(make(rows)).where("doc_id = 1").first()["canonical_digest"]
+    got = {r["doc_id"]: r["license"] for r in licenses.scan_licences(make(rows), digests={own: "Mine"}).collect()}
+    assert got == {1: "Mine", 2: None}
+
+
 def test_disguises_do_not_matter(spark, make):
     name, title, text = LICENCES[0]
     wrapped = "\n".join(re.findall(r"(?:\S+\s*){1,9}", text))
