@@ -373,8 +373,11 @@ def ngram_components(
         # smallest of the component's classes.
         least = doc.where("n > 0").groupBy("id").agg(F.min("doc_id").alias("d"), F.count(F.lit(1)).alias("k"))
         several = least.join(broadcast_if_small(comp), "id", "left").where("k > 1 or comp is not null")
-        low = F.min("d").over(Window.partitionBy(F.coalesce("comp", "id")))
-        by_class = work.table(several.select("id", low.alias("component_id")), "classes")
+        several = work.table(several.select("id", F.coalesce("comp", "id").alias("comp"), "d"), "several")
+        # Folded before it is dealt out, so a large component is a row per task.
+        low = work.table(several.groupBy("comp").agg(F.min("d").alias("component_id")), "least")
+        by_class = several.join(broadcast_if_small(low), "comp").select("id", "component_id")
+        by_class = work.table(by_class, "classes")
         return doc.join(broadcast_if_small(by_class), doc["id"] == by_class["id"], "left").select(
             "doc_id",
             F.col("n").alias("n_shingles"),

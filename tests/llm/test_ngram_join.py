@@ -6,6 +6,7 @@ import pytest
 from brute import jaccard_components, shingles
 from helpers_llm import MEDIUM, make, table  # noqa: F401
 from ohlcflow.llm import ngram_join as nj
+from ohlcflow.llm.common import Scratch
 
 
 def components(df, **kw):
@@ -96,6 +97,24 @@ def test_plan_has_no_pairs_of_everything(spark, make):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
+def test_no_component_goes_through_one_window(spark, make, monkeypatch):
+    """The least document of a component is an aggregate, not a window over its classes."""
+    plans = []
+    table_ = Scratch.table
+
+    def noted(self, df, name):
+        if name in ("several", "least", "classes"):
+            plans.append((name, df._jdf.queryExecution().optimizedPlan().toString()))
+        return table_(self, df, name)
+
+    monkeypatch.setattr(Scratch, "table", noted)
+    near = " ".join(f"w{i}" for i in range(60))
+    rows = [(9 - d, f"{near} z{d}") for d in range(6)] + [(20, "x y z a b")]
+    got = {d: c for d, (_, c) in components(make(rows), shingle=3, percent=90, n2=3).items()}
+    assert got == {d: 4 for d in range(4, 10)} | {20: 20}
+    assert plans and not any("Window" in p for _, p in plans)
+
+
 def test_parameters_are_checked(spark, make):
     with pytest.raises(ValueError):
         nj.ngram_components(make([]), percent=20)
