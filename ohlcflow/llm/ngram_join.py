@@ -286,6 +286,14 @@ def ngram_components(
     feature, ``percent`` of Jaccard similarity, ``n2`` second-level parts (more
     parts: more, but more selective signatures).
     """
+    return _components(docs, shingle, percent, n2, id_col, text_col).select("doc_id", "n_shingles", "component_id")
+
+
+def _components(
+    docs: DataFrame, shingle: int = 5, percent: int = 80, n2: int = 2, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """``ngram_components`` with the row's ``set`` and its ``comp``, which tells components
+    apart that have a ``component_id`` in common."""
     if not 50 <= percent <= 100:
         raise ValueError("percent must be 50 to 100")
     if n2 < 2:
@@ -376,7 +384,7 @@ def ngram_components(
         several = work.table(several.select("id", F.coalesce("comp", "id").alias("comp"), "d"), "several")
         # Folded before it is dealt out, so a large component is a row per task.
         low = work.table(several.groupBy("comp").agg(F.min("d").alias("component_id")), "least")
-        by_class = several.join(broadcast_if_small(low), "comp").select("id", "component_id")
+        by_class = several.join(broadcast_if_small(low), "comp").select("id", "comp", "component_id")
         by_class = work.table(by_class, "classes")
         return doc.join(broadcast_if_small(by_class), doc["id"] == by_class["id"], "left").select(
             "doc_id",
@@ -384,6 +392,8 @@ def ngram_components(
             F.when((F.col("n") == 0) | F.col("doc_id").isNull(), F.col("doc_id"))
             .otherwise(F.coalesce("component_id", "doc_id"))
             .alias("component_id"),
+            doc["id"].alias("set"),
+            F.coalesce("comp", doc["id"]).alias("comp"),
         )
 
 
@@ -391,17 +401,42 @@ def keep_one_per_component(docs: DataFrame, **options) -> DataFrame:
     """The documents that stand for their component: those with its smallest id.
 
     Rows without words or without an id stay (they are linked with nothing).
-    Where an id repeats, its exact copies (all columns equal) are one row; rows
-    that differ but share the id are not told apart by it and stay together.
-    The columns of ``docs`` are unchanged.
+    Where an id repeats, its rows count by their sets: of each component that has the id as
+    its smallest, one row stays (the least by all columns); rows without words that are
+    equal in all columns are one. The columns of ``docs`` are unchanged.
     """
-    id_col = options.get("id_col", "doc_id")
-    comp = ngram_components(docs, **options)
+    id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")
+    comp = _components(docs, **options)
     drop = comp.where("component_id <> doc_id").select(F.col("doc_id").alias("_drop")).distinct()
-    kept = docs.join(drop, docs[id_col] == drop["_drop"], "left_anti")
     again = docs.groupBy(id_col).count().where(F.col("count") > 1).where(F.col(id_col).isNotNull())
     if again.isEmpty():
-        return kept
+        return docs.join(drop, docs[id_col] == drop["_drop"], "left_anti")
     again = again.select(F.col(id_col).alias("_again"))
-    same = kept[id_col] == again["_again"]
-    return kept.join(again, same, "left_anti").union(kept.join(again, same, "left_semi").distinct())
+    same = docs[id_col] == again["_again"]
+    once = docs.join(again, same, "left_anti")
+    once = once.join(drop, once[id_col] == drop["_drop"], "left_anti")
+    many = docs.join(again, same, "left_semi")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    many = many.mapInArrow(_with_set(text_col, options.get("shingle", 5)), f"{schema}, _set long")
+    stand = comp.where("component_id = doc_id and n_shingles > 0").select(
+        F.col("doc_id").alias("_id"), F.col("set").alias("_of"), F.col("comp").alias("_comp")
+    )
+    of = (many[id_col] == F.col("_id")) & (many["_set"] == F.col("_of"))
+    rows = many.join(stand.distinct(), of).select("_id", "_comp", F.struct(*docs.columns).alias("_row"))
+    one = rows.groupBy("_id", "_comp").agg(F.min("_row").alias("_row")).select("_row.*")
+    empty = many.where("_set is null").select(*docs.columns).distinct()
+    return once.union(one).union(empty)
+
+
+def _with_set(text_col: str, shingle: int):
+    """Task function: rows with the fingerprint of their set, null where it is empty."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, j, off, data in text_blocks(batch, text_col):
+                sets = shingle_sets(off, data, shingle)
+                own = pa.array(signed(_fingerprints(sets)[0]), mask=np.array([not len(x) for x in sets]))
+                part = batch.slice(i, j - i)
+                yield pa.RecordBatch.from_arrays([*part.columns, own], names=[*part.schema.names, "_set"])
+
+    return run

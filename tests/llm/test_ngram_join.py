@@ -92,6 +92,14 @@ def test_keep_one_per_component(spark, make):
     ]
 
 
+def test_keep_one_where_ids_repeat_with_other_texts(spark, make):
+    """One row of each component stays, also where an id has one row in each of two."""
+    a, b = (" ".join(f"{x}{i}" for i in range(60)) for x in "ab")
+    rows = [(3, a), (5, a + " z"), (3, b), (1, b + " z"), (7, b.upper()), (3, "")]
+    kept = nj.keep_one_per_component(make(rows))
+    assert sorted((r["doc_id"], r["text"]) for r in kept.collect()) == sorted([(3, a), (1, b + " z"), (3, "")])
+
+
 def test_plan_has_no_pairs_of_everything(spark, make):
     plan = nj.ngram_components(make([(1, "a b c d e f"), (2, "a b c d e f")]))._jdf.queryExecution().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
