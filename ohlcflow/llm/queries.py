@@ -15,8 +15,11 @@ from . import langid, toxicity
 from .licenses import scan_licences
 from .line_dedup import dedup_report
 from .mixing import pareto_mix
+from .nearest import nearest
 from .ngram_join import ngram_components
+from .periodic import periodic_runs
 from .sharding import shard_documents
+from .whitening import whiten
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -110,6 +113,52 @@ def op10_pareto_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first eight whitened components of every usable embedding. ``deviation`` is null
+    where it is past a long's range."""
+    out = whiten(_table(spark, sf_dir, "embeddings"))
+    return out.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+def planted_repeats(docs: DataFrame) -> DataFrame:
+    """``(doc_id, text)`` with a periodic stretch in every text whose id's checksum ends in
+    0: from word ``a`` on, the ``p`` words at ``a`` over and over. Other texts as they are."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    word = F.filter(F.split("text", r"[\x20\x09-\x0D]+", -1), lambda w: w != "")
+    rows = docs.select("doc_id", "text", h.alias("h"), F.floor(h / 10).alias("g"))
+    rows = rows.withColumn("words", F.when(F.col("h") % 10 == 0, word))
+    n, g = F.size("words"), F.col("g")
+    rows = rows.withColumn("a", F.when(n > 0, g % n))
+    rows = rows.withColumn("p", 1 + F.floor((n - F.col("a")) / (3 + g % 8)))
+    a, p = F.col("a").cast("int"), F.col("p").cast("int")
+    repeated = F.transform("words", lambda w, i: F.when(i < a, w).otherwise(F.get("words", a + (i - a) % p)))
+    return rows.select("doc_id", F.when(F.col("a").isNotNull(), F.array_join(repeated, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in every whole text, and the texts without the repeats."""
+    out = periodic_runs(planted_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text")))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r.length.alias("l"), (-r.start).alias("s"), (-r.period).alias("p"))))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r.start, r.length, r.period), F.lit("\n")))
+    out = out.withColumn("best", best)
+    length, period = F.col("best.l"), -F.col("best.p")
+    return out.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.s")).alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.floor(length * 1000 / period).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest embeddings of every row whose id is divisible by 20, among all rows."""
+    return nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
     return dict(sorted(found.items(), key=lambda kv: int(kv[0][2:].split("_")[0])))
