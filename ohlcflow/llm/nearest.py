@@ -18,6 +18,9 @@ most a few times ``GROUP_ROWS`` rows; larger buckets are cut into pieces and the
 go to each. A task holds one group's rows and streams its queries over them, so memory is
 bounded on both sides. Inner products select; what is left is scored again in double
 precision, summed in the order of the components, and only the best of each group leave it.
+With many groups the same search runs over a share of the rows first (one in the square root
+of the groups): what a query finds there bounds its best from below, and groups of the whole
+index send only what reaches that floor. The result is the same with and without.
 Queries that found fewer than ``k`` rows search once more without a limit on the loss.
 
 Equal vectors are one class: it is searched once and stands for its ``k + 1`` smallest ids,
@@ -44,7 +47,7 @@ from .blocks import mix
 from .common import Scratch, broadcast_if_small, scratch, shuffle_width
 from .vectors import matrix, matrix_blocks, usable_vectors
 
-TABLES = 3
+TABLES = 2
 #: Mean rows of a bucket.
 BUCKET_ROWS = 256
 #: Mean rows of a group: what a task holds at a time.
@@ -155,12 +158,12 @@ def _scaled(v: np.ndarray, by_row: bool) -> np.ndarray:
     return v / np.abs(v).max(axis=1 if by_row else None, keepdims=True)
 
 
-def _best(s: np.ndarray, k: int, slack: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Rows and columns of the ``k`` greatest of each row, with whatever is within
-    ``slack`` of them; -inf marks what is no candidate."""
-    least = np.full(len(s), -np.inf)
+def _best(s: np.ndarray, k: int, slack: np.ndarray, floor: np.ndarray | float = -np.inf) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and columns of the ``k`` greatest of each row, at least ``floor``, with whatever
+    is within ``slack`` of that; -inf marks what is no candidate."""
+    least = np.full(len(s), floor)
     if s.shape[1] > k:
-        least = np.partition(s, s.shape[1] - k, axis=1)[:, s.shape[1] - k]
+        least = np.maximum(least, np.partition(s, s.shape[1] - k, axis=1)[:, s.shape[1] - k])
     return np.nonzero((s >= (least - slack)[:, None]) & (s > -np.inf))
 
 
@@ -272,9 +275,14 @@ def _search_task(dim: int, k: int, tables: int):
         cut = np.flatnonzero(np.diff(at)) + 1
         for rows, b in zip(np.split(row, cut), at[np.append(0, cut)].tolist()):
             s[rows, begin[b] : end[b]] = unit[rows] @ some[begin[b] : end[b]].T
+        floor = batch.column(batch.schema.get_field_index("floor")).to_numpy(zero_copy_only=False)
+        with np.errstate(over="ignore", invalid="ignore"):
+            low = floor / (np.abs(q).max(axis=1) * np.abs(x).max())
         # A class is in a group once per table at most.
-        r, c = _best(s, k * tables, _slack(unit, some))
+        r, c = _best(s, k * tables, _slack(unit, some), np.where(np.isfinite(low), low, -np.inf))
         score = _dots(q[r], x[c])
+        keep = ~(score < floor[r])
+        r, c, score = r[keep], c[keep], score[keep]
         best = _top(r, score, head[c], k1[c], k2[c], k)
         r, c, score = r[best], c[best], score[best]
         q1, q2 = _named(batch, "k1", "k2")
@@ -312,6 +320,9 @@ def _classes(keyed: DataFrame, k: int, work: Scratch) -> tuple[DataFrame, DataFr
     key = ["k1", "k2"]
     of = keyed.groupBy(*key).agg(F.min("id").alias("head"), F.count(F.lit(1)).alias("rows"))
     several = work.table(of.where("rows > 1"), "several")
+    if several.isEmpty():
+        copies = keyed.sparkSession.createDataFrame([], "k1 long, k2 long, ids array<long>, rows long")
+        return keyed.select(*key, F.col("id").alias("head"), "vector"), copies
     marked = keyed.join(broadcast_if_small(several), key, "left")
     single = marked.where("head IS NULL").select(*key, F.col("id").alias("head"), "vector")
     # Equal rows, ids included, leave one class.
@@ -345,6 +356,21 @@ def _fit_reach(model: Polytopes, classes: DataFrame, queries: DataFrame, k: int)
 def _search(model: Polytopes, classes: DataFrame, queries: DataFrame, n: int, reach: float, k: int, work: Scratch):
     """``(q1, q2, k1, k2, head, score)``: the ``k + 1`` best classes found by each query
     vector, its own among them."""
+    none = F.lit(float("-inf"))
+    share = math.isqrt(math.ceil(n * model.tables / GROUP_ROWS))
+    if share < 2:
+        return _found(model, classes, queries.withColumn("floor", none), n, reach, k, work)
+    some = classes.where(F.pmod(F.xxhash64("k2"), F.lit(share)) == 0)
+    some = _found(model, some, queries.withColumn("floor", none), n // share, reach, k, work)
+    floor = F.when(F.count(F.lit(1)) > k, F.min("score")).otherwise(none)
+    floors = some.groupBy(F.col("q1").alias("k1"), F.col("q2").alias("k2")).agg(floor.alias("floor"))
+    asked = queries.join(floors, ["k1", "k2"], "left").withColumn("floor", F.coalesce("floor", none))
+    return _found(model, classes, work.table(asked, "floors"), n, reach, k, work)
+
+
+def _found(model: Polytopes, classes: DataFrame, queries: DataFrame, n: int, reach: float, k: int, work: Scratch):
+    """One search of ``queries (k1, k2, vector, floor)`` over about ``n`` classes: the
+    ``k + 1`` best found, those below a query's floor left out."""
     spark = classes.sparkSession
     kind = f"k1 long, k2 long, head long, vector {classes.schema['vector'].dataType.simpleString()}"
     index = classes.mapInArrow(_index_task(model), f"{kind}, bucket long")
@@ -362,7 +388,7 @@ def _search(model: Polytopes, classes: DataFrame, queries: DataFrame, n: int, re
         F.lit(False).alias("query"),
         "bucket",
         F.lit(None).cast("array<long>").alias("buckets"),
-        "k1", "k2", "head", "vector",
+        "k1", "k2", "head", "vector", F.lit(None).cast("double").alias("floor"),
     )
     probes = queries.mapInArrow(_probe_task(model, reach), "k1 long, k2 long, bucket long")
     probes = probes.join(large, "bucket", "left")
@@ -371,7 +397,7 @@ def _search(model: Polytopes, classes: DataFrame, queries: DataFrame, n: int, re
     asked = asked.agg(F.collect_list("bucket").alias("buckets")).join(queries, ["k1", "k2"])
     asking = asked.select(
         "group", F.lit(True).alias("query"), F.lit(None).cast("long").alias("bucket"), "buckets", "k1", "k2",
-        F.lit(None).cast("long").alias("head"), "vector",
+        F.lit(None).cast("long").alias("head"), "vector", "floor",
     )
     width = min(groups, max(shuffle_width(spark), groups // 8))
     met = indexed.union(asking).repartition(width, "group").sortWithinPartitions("group", "query", "bucket")
