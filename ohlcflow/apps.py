@@ -9,12 +9,12 @@ query and batch.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .jobs import Job, run_stages
+from .jobs import Job, Stage, run_stages
 from .operators.bars import explode_payload, parse_bar_time, cast_prices
 from .operators.quality import accept, classify
 from .schemas import BAR_ROW_SCHEMA, SERVED_COLUMNS
@@ -28,15 +28,18 @@ def _stored_columns(df: DataFrame) -> DataFrame:
     return df.select(*BAR_ROW_SCHEMA.names, "ingest_seq")
 
 
-def raw_to_bar_table(raw_root: str, table_path: str, quarantine_root: str | None = None) -> Job:
+def raw_to_bar_table(
+    raw_root: str, table_path: str, quarantine_root: str | None = None, layout: str = "packed"
+) -> Job:
     """E1: accepted payloads of every symbol and tier, flattened, typed and merged into
     the one partitioned bar table (:func:`merge_bars`). Bars that overlapping requests
     returned twice are one, the later landed. With ``quarantine_root`` rejected and
-    malformed documents are stored there, whole, by what is wrong with them.
+    malformed documents are stored there, whole, by what is wrong with them. ``layout``:
+    how documents have landed (:func:`~ohlcflow.sources.read_raw`).
     """
 
     def read(spark: SparkSession) -> DataFrame:
-        raw = read_raw(spark, raw_root)
+        raw = read_raw(spark, raw_root, layout)
         if quarantine_root is not None:
             write_quarantine(rejects(raw), quarantine_root)
         return accept(parse_payloads(raw))
@@ -83,16 +86,41 @@ def bar_table_to_documents(
 
 
 def batch_stages(
-    raw_root: str, table_path: str, serve_path: str, quarantine_root: str | None = None
+    raw_root: str, table_path: str, serve_path: str, quarantine_root: str | None = None, layout: str = "packed"
 ) -> list[Job]:
     """API-8: the stage order after landing: bars, then serving."""
-    return [raw_to_bar_table(raw_root, table_path, quarantine_root), bar_table_to_documents(table_path, serve_path)]
+    bars = raw_to_bar_table(raw_root, table_path, quarantine_root, layout)
+    return [bars, bar_table_to_documents(table_path, serve_path)]
+
+
+def batch_graph(
+    sources: Mapping[str, Callable[[SparkSession], None]],
+    raw_root: str,
+    table_path: str,
+    serve_path: str,
+    quarantine_root: str | None = None,
+    layout: str = "packed",
+) -> list[Stage]:
+    """API-8: the whole batch for :func:`~ohlcflow.jobs.run_graph`: the tiers' collectors
+    (``sources``, by name) side by side, then bars, then serving."""
+    bars, serve = batch_stages(raw_root, table_path, serve_path, quarantine_root, layout)
+    collect = [Stage(name, run) for name, run in sources.items()]
+    return [
+        *collect,
+        Stage(bars.name, bars.run, after=tuple(sources)),
+        Stage(serve.name, serve.run, after=(bars.name,)),
+    ]
 
 
 def run_batch(
-    spark: SparkSession, raw_root: str, table_path: str, serve_path: str, quarantine_root: str | None = None
+    spark: SparkSession,
+    raw_root: str,
+    table_path: str,
+    serve_path: str,
+    quarantine_root: str | None = None,
+    layout: str = "packed",
 ) -> None:
-    run_stages(spark, batch_stages(raw_root, table_path, serve_path, quarantine_root))
+    run_stages(spark, batch_stages(raw_root, table_path, serve_path, quarantine_root, layout))
 
 
 def start_tick_app(

@@ -1,8 +1,8 @@
 """Command line for the entry points (what spark-submit runs).
 
-    python -m ohlcflow.cli bars   --raw ROOT --table PATH
+    python -m ohlcflow.cli bars   --raw ROOT --table PATH [--layout packed|folders]
     python -m ohlcflow.cli serve  --table PATH --out PATH [--symbols A,B] [--format json]
-    python -m ohlcflow.cli batch  --raw ROOT --table PATH --out PATH [--quarantine PATH]
+    python -m ohlcflow.cli batch  --raw ROOT --table PATH --out PATH [--quarantine PATH] [--layout ...]
     python -m ohlcflow.cli stream --out PATH --checkpoint PATH [--format kafka|parquet]
                                   [--source PATH] [--trigger "10 seconds"|availableNow]
                                   [--option key=value ...]
@@ -36,6 +36,7 @@ def parser() -> argparse.ArgumentParser:
     b = sub.add_parser("bars", help="raw payloads -> bar table")
     b.add_argument("--raw", required=True)
     b.add_argument("--table", required=True)
+    b.add_argument("--layout", default="packed", choices=["packed", "folders"])
     s = sub.add_parser("serve", help="bar table -> document collection")
     s.add_argument("--table", required=True)
     s.add_argument("--out", required=True)
@@ -47,6 +48,7 @@ def parser() -> argparse.ArgumentParser:
     a.add_argument("--table", required=True)
     a.add_argument("--out", required=True)
     a.add_argument("--quarantine", default=None)
+    a.add_argument("--layout", default="packed", choices=["packed", "folders"])
     t = sub.add_parser("stream", help="tick records -> per-symbol collection")
     t.add_argument("--out", required=True)
     t.add_argument("--checkpoint", required=True)
@@ -68,12 +70,12 @@ def main(argv: Sequence[str] | None = None) -> None:
     args = parser().parse_args(argv)
     spark = build_session(f"ohlcflow-{args.command}")
     if args.command == "bars":
-        raw_to_bar_table(args.raw, args.table).run(spark)
+        raw_to_bar_table(args.raw, args.table, layout=args.layout).run(spark)
     elif args.command == "serve":
         symbols = args.symbols.split(",") if args.symbols else None
         bar_table_to_documents(args.table, args.out, symbols, args.format, _options(args.option)).run(spark)
     elif args.command == "batch":
-        run_batch(spark, args.raw, args.table, args.out, args.quarantine)
+        run_batch(spark, args.raw, args.table, args.out, args.quarantine, args.layout)
     elif args.command == "stream":
         q = start_tick_app(
             spark, args.out, args.checkpoint, fmt=args.format, source_path=args.source,

@@ -15,14 +15,20 @@ from ..schemas import (
     BAR_COLUMNS,
     DAYS_BEFORE,
     OLDEST_DATE,
+    ORDER_KEYS,
     PARTITION_COLUMNS,
     PRICE_COLUMNS,
+    TIERS,
     TIME_FORMAT,
     YEARS_BEFORE,
 )
 from ..functions.timefn import epoch_to_text
+from .intervals import interval_join, islands
 from .ordering import packed_order, ts_micros
 
+#: Width in seconds of the bins in which bars meet the stretches of their tier.
+_SEGMENT = 30 * 86_400
+
 _ENVELOPE = ("Response", "Message", "Data", "malformed")
 
 
@@ -83,6 +89,7 @@ def ohlcv(
     keys: Sequence[str] = ("symbol",),
     qty: str | None = None,
     tiebreak: str | None = None,
+    order_keys: bool = False,
 ) -> DataFrame:
     """AGG-2: OHLCV bars of width ``every`` (e.g. ``"1 hour"``, ``"3 hours"``).
 
@@ -93,7 +100,9 @@ def ohlcv(
     symbol is reduced to one row per (partition, bucket) before the shuffle.
     Without ``tiebreak`` the key is the timestamp alone (a LONG, about 40%
     cheaper); use that only when times are unique per key, since ties are
-    then broken arbitrarily.
+    then broken arbitrarily. With ``order_keys`` a bar carries the places of its open and
+    close (``open_key``, ``close_key``), so bars made of parts of the ticks can be put
+    together (:func:`merge_partial_bars`).
     """
     order = packed_order(ts_micros(ts), F.col(tiebreak) if tiebreak else None)
     q = F.col(qty).cast("double") if qty else F.lit(1.0)
@@ -107,11 +116,65 @@ def ohlcv(
             F.max_by(p, order).alias("close"),
             F.sum(q).alias("volumefrom"),
             F.sum(q * p).alias("volumeto"),
+            *([F.min(order).cast("decimal(38,0)").alias("open_key"), F.max(order).cast("decimal(38,0)").alias("close_key")] if order_keys else []),
         )
-        .select(*keys, F.date_format("_w.start", TIME_FORMAT).alias("time"), *PRICE_COLUMNS)
+        .select(*keys, F.date_format("_w.start", TIME_FORMAT).alias("time"), *PRICE_COLUMNS, *(ORDER_KEYS if order_keys else []))
     )
 
 
+def _put_together() -> dict[str, Column]:
+    """Aggregates that make one bar of partial bars."""
+    return {
+        "high": F.max("high"),
+        "low": F.min("low"),
+        "open": F.min_by("open", "open_key"),
+        "close": F.max_by("close", "close_key"),
+        "volumefrom": F.sum("volumefrom"),
+        "volumeto": F.sum("volumeto"),
+    }
+
+
+def merge_partial_bars(bars: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """AGG-2 over parts: bars that carry ``order_keys`` and are made of different ticks,
+    put together per key: what one aggregation over all ticks would give. The result is
+    mergeable again."""
+    keyed = {"open_key": F.min("open_key"), "close_key": F.max("close_key")}
+    return bars.groupBy(*keys).agg(*[c.alias(k) for k, c in {**_put_together(), **keyed}.items()])
+
+
+def combine_parts(bars: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per key of a table with mergeable bars: whole bars (``parts`` null), of which
+    the latest ingested counts, and rows whose ``parts`` are entries ``PART_STRUCT``, of which
+    per part the latest counts and all parts are put together. A whole bar shows before
+    parts; both stay in ``parts`` then, the whole one as the entry without a ``part``. Other
+    columns are the latest's.
+
+    Two aggregations, by key and part, then by key: the list of parts is collected only after
+    their versions are one, and has as many entries as a bar has makers."""
+    held = {*keys, "parts", "ingest_seq", *PRICE_COLUMNS}
+    extra = [c for c in bars.columns if c not in held]
+    whole = bars.where("parts IS NULL").select(
+        *keys, *extra, F.lit(None).cast("string").alias("part"), "ingest_seq", *PRICE_COLUMNS,
+        *[F.lit(None).cast("decimal(38,0)").alias(c) for c in ORDER_KEYS],
+    )
+    parts = bars.where("parts IS NOT NULL").select(*keys, *extra, F.explode("parts").alias("_p")).select(
+        *keys, *extra, "_p.part", F.col("_p.seq").alias("ingest_seq"), *[f"_p.{c}" for c in (*PRICE_COLUMNS, *ORDER_KEYS)]
+    )
+    each = dedupe_latest(whole.unionByName(parts), keys=(*keys, "part"), keep_order=True)
+    is_whole = F.col("part").isNull()
+    has_whole = F.max(is_whole)
+    shown = [
+        F.when(has_whole, F.max(F.when(is_whole, F.col(c)))).otherwise(made).alias(c)
+        for c, made in _put_together().items()
+    ]
+    entry = F.struct("part", F.col("ingest_seq").alias("seq"), *ORDER_KEYS, *PRICE_COLUMNS)
+    entries = F.when(F.min(is_whole), None).otherwise(F.array_sort(F.collect_list(entry)))
+    order = packed_order(is_whole.cast("long"), F.col("ingest_seq"))
+    latest = [F.max_by(c, order).alias(c) for c in extra]
+    out = each.groupBy(*keys).agg(*shown, *latest, F.max("ingest_seq").alias("ingest_seq"), entries.alias("parts"))
+    return out.select(*bars.columns)
+
+
 def series_keys(bars: DataFrame) -> list[str]:
     """The columns that identify a series: the symbol, and the tier where there is one."""
     return [c for c in PARTITION_COLUMNS if c in bars.columns]
@@ -255,6 +318,40 @@ def select_tier(bars: DataFrame, run_date: str, time_col: str = "time") -> DataF
     return bars.where(F.col("batch_unit") == covering_tier_text(F.col(time_col), run_date))
 
 
+def tier_segments(ranges: DataFrame, width: int = _SEGMENT) -> DataFrame:
+    """SET-4 with ranges as a table: which tier covers which seconds of a symbol.
+
+    ``ranges``: ``symbol, batch_unit, start, end`` (closed, epoch seconds), overlapping as they
+    like, also within a tier. The result has the same columns and no overlaps: where several
+    tiers cover a second, the finest does. A tier that is none of ``TIERS`` covers nothing.
+
+    The ranges' ends cut a symbol's time into pieces that no range covers in part; each piece
+    takes the finest of the ranges over it, and pieces of one tier that touch are one."""
+    rank = F.create_map(*[F.lit(x) for n, (name, _, _) in enumerate(TIERS) for x in (name, n)])
+    ranked = ranges.where("start <= end").select(
+        "symbol", F.try_element_at(rank, F.col("batch_unit")).alias("_rank"), "start", "end"
+    )
+    ranked = ranked.where("_rank IS NOT NULL AND symbol IS NOT NULL")
+    cuts = ranked.select("symbol", "start").union(ranked.select("symbol", F.col("end") + 1)).distinct()
+    after = F.lead("start").over(Window.partitionBy("symbol").orderBy("start"))
+    pieces = cuts.withColumn("end", after - 1).where("end IS NOT NULL")
+    over = interval_join(pieces, ranked, ["symbol"], width)
+    finest = over.groupBy("symbol", "start", "end").agg(F.max("_rank").alias("_rank"))
+    names = F.array(*[F.lit(name) for name, _, _ in TIERS])
+    finest = finest.select("symbol", F.get(names, F.col("_rank")).alias("batch_unit"), "start", "end")
+    return islands(finest, ["symbol", "batch_unit"], width)
+
+
+def select_tier_by_ranges(bars: DataFrame, ranges: DataFrame, width: int = _SEGMENT) -> DataFrame:
+    """SET-4 with ranges as a table: the bars whose tier is the finest that covers their time
+    for their symbol. Bars and covered stretches meet by symbol, tier and bin of time; a bar
+    lies in one bin and at most one stretch."""
+    at = bars.withColumn("_at", F.unix_timestamp(F.try_to_timestamp("time", F.lit(TIME_FORMAT))))
+    cover = tier_segments(ranges, width).withColumnsRenamed({"start": "_start", "end": "_end"})
+    kept = interval_join(at, cover, ["symbol", "batch_unit"], width, ("_at", "_at"), ("_start", "_end"))
+    return kept.select(*bars.columns)
+
+
 def dedupe_latest(
     df: DataFrame,
     keys: Sequence[str] = ("symbol", "batch_unit", "time"),

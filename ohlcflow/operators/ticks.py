@@ -26,6 +26,32 @@ def decode_ticks(df: DataFrame, column: str = "value") -> DataFrame:
     return df.select(tick.alias("_tick")).select("_tick.*")
 
 
+#: What can be wrong with a tick record.
+TICK_REJECTS = ("malformed", "no_symbol", "bad_price")
+
+
+def check_ticks(df: DataFrame, column: str = "value") -> DataFrame:
+    """PRJ-5, FN-3 with FLT-3: every record as ``symbol, close, status`` and, unless it is
+    ``ok``, its ``payload``.
+
+    ``malformed``: the text is no JSON object (nor is a null record); ``no_symbol``: it names
+    no symbol; ``bad_price``: its price is there, but no number (a number as text is one). A
+    record without a price, or with a null one, is ``ok``: a tick that has none."""
+    text = F.col(column).cast("string")
+    kind = "symbol string, close string, _bad string"
+    tick = F.from_json(text, kind, {"columnNameOfCorruptRecord": "_bad"})
+    rows = df.select(text.alias("_text"), tick.alias("_t")).select("_text", "_t.*", F.col("_t").isNull().alias("_none"))
+    price = F.col("close").try_cast("double")
+    status = (
+        F.when(F.col("_none") | F.col("_bad").isNotNull(), "malformed")
+        .when(F.col("symbol").isNull(), "no_symbol")
+        .when(F.col("close").isNotNull() & price.isNull(), "bad_price")
+        .otherwise("ok")
+    )
+    out = rows.select("symbol", price.alias("close"), status.alias("status"), "_text")
+    return out.select("symbol", "close", "status", F.when(F.col("status") != "ok", F.col("_text")).alias("payload"))
+
+
 def add_ingest_time(df: DataFrame, source: str | Column | None = None) -> DataFrame:
     """FN-4: ``time`` as ``yyyy-MM-dd HH:mm:ss``.
 

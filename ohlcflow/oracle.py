@@ -90,6 +90,42 @@ SELECT n_name AS symbol, batch_unit, endpoint, toTs, "limit", CAST(1 AS INTEGER)
 FROM nation CROSS JOIN chunks
 """
 
+# Every bar that a plan of the rerun asks for, what is missing of them, and the runs of
+# missing bars: a grid instead of ranges.
+_REMAINING = _PLAN.replace("2022-03-20", "2024-02-02").split("SELECT n_name")[0] + """,
+symbols AS (SELECT n_name AS symbol FROM nation UNION ALL SELECT DISTINCT event_type FROM events),
+spans AS (
+  SELECT batch_unit, endpoint, k, CAST(epoch(CAST(ce AS TIMESTAMP)) AS BIGINT) AS toTs,
+         CAST((ce - cs) * per_day AS INTEGER) AS "limit", CAST(epoch(CAST(cs AS TIMESTAMP)) AS BIGINT) AS s,
+         CAST(epoch(CAST(ce AS TIMESTAMP)) AS BIGINT) + 86399 AS e, 86400 // per_day AS w
+  FROM day_chunks
+  UNION ALL
+  SELECT 'minutely', 'histominute', k, cs, 2000, cs, least(cs + 119999, en), 60 FROM minute_chunks, minute_tier
+),
+have AS (
+  SELECT DISTINCT event_type AS symbol, 'hourly' AS batch_unit, CAST(floor(epoch(ts) / 3600) AS BIGINT) * 3600 AS t FROM events
+  UNION
+  SELECT DISTINCT event_type, 'minutely', CAST(floor(epoch(ts) / 60) AS BIGINT) * 60 FROM events
+  UNION
+  SELECT symbol, 'hourly', unnest(generate_series(lo, hi, 3600)) FROM (
+    SELECT event_type AS symbol, min(CAST(floor(epoch(ts) / 3600) AS BIGINT) * 3600) AS lo,
+           max(CAST(floor(epoch(ts) / 3600) AS BIGINT) * 3600) AS hi
+    FROM events WHERE dayofyear(ts) % 3 = 0 GROUP BY event_type, CAST(ts AS DATE))
+),
+grid AS (SELECT symbol, batch_unit, k, w, unnest(generate_series(s, e - w + 1, w)) AS t FROM spans, symbols),
+missing AS (SELECT * FROM grid ANTI JOIN have USING (symbol, batch_unit, t)),
+runs AS (
+  SELECT symbol, batch_unit, k, w, min(t) AS a, max(t) AS b, count(*) AS n
+  FROM (SELECT *, t - w * row_number() OVER (PARTITION BY symbol, batch_unit, k ORDER BY t) AS g FROM missing)
+  GROUP BY symbol, batch_unit, k, w, g
+)
+SELECT symbol, batch_unit, endpoint, CASE WHEN a = s AND b + 2 * w - 1 > e THEN toTs ELSE b END AS toTs,
+       CASE WHEN a = s AND b + 2 * w - 1 > e THEN "limit" ELSE CAST(n AS INTEGER) END AS "limit",
+       CAST(1 AS INTEGER) AS aggregate, 'USD' AS tsym, CAST(k AS INTEGER) AS chunk_no,
+       CAST(row_number() OVER (PARTITION BY symbol, batch_unit, k ORDER BY a) - 1 AS INTEGER) AS part_no
+FROM runs JOIN spans USING (batch_unit, k, w)
+"""
+
 _TIER_CASE = """
 CASE WHEN CAST(time AS DATE) < DATE '2010-07-17' THEN NULL
      WHEN CAST(time AS DATE) <= DATE '2017-01-28' THEN 'daily'
@@ -156,6 +192,7 @@ FROM ({_DIMENSION}) GROUP BY 1
 """,
         "kst_date": "SELECT event_id, strftime(ts + INTERVAL 9 HOUR, '%Y-%m-%d') AS kst_date FROM events",
         "backfill_plan": _PLAN,
+        "remaining_backfill": _REMAINING,
         "fill_schema": f"""
 SELECT strftime(ts, {_TS}) AS time, CAST(0 AS DOUBLE) AS high, CAST(0 AS DOUBLE) AS low,
        CAST(0 AS DOUBLE) AS open, value AS close, CAST(0 AS DOUBLE) AS volumefrom,
@@ -174,6 +211,37 @@ SELECT user_id, event_type FROM events WHERE value < 10
 """,
         "tier_union": _TIERS,
         "tier_select": f"SELECT * FROM ({_TIERS}) WHERE batch_unit = {_TIER_CASE}",
+        "tier_select_ranges": f"""
+WITH f AS (SELECT event_type AS symbol, CAST(min(ts) AS DATE) AS s, length(event_type) AS k FROM events GROUP BY event_type),
+r AS (
+  SELECT symbol, 1 AS tier, CAST(s AS TIMESTAMP) AS a, CAST(s + 20 AS TIMESTAMP) - INTERVAL 1 SECOND AS b FROM f
+  UNION ALL SELECT symbol, 2, CAST(s + CAST(k AS INTEGER) AS TIMESTAMP), CAST(s + CAST(k + 10 AS INTEGER) AS TIMESTAMP) + INTERVAL 1799 SECOND FROM f
+  UNION ALL SELECT symbol, 2, CAST(s + 18 AS TIMESTAMP), CAST(s + 26 AS TIMESTAMP) FROM f
+  UNION ALL SELECT symbol, 3, CAST(s + 20 + CAST(k % 3 AS INTEGER) AS TIMESTAMP), CAST(s + 25 AS TIMESTAMP) - INTERVAL 1 SECOND FROM f
+  UNION ALL SELECT symbol, 3, CAST(s + 24 AS TIMESTAMP), CAST(s + 28 AS TIMESTAMP) FROM f
+),
+t AS ({_TIERS})
+SELECT * FROM t
+WHERE (SELECT max(tier) FROM r WHERE r.symbol = t.symbol AND CAST(t.time AS TIMESTAMP) BETWEEN a AND b)
+      = CASE batch_unit WHEN 'daily' THEN 1 WHEN 'hourly' THEN 2 ELSE 3 END
+""",
+        "latest_price_as_of": f"""
+WITH p AS (SELECT event_id, user_id, ts AS at FROM events WHERE event_type = 'purchase'),
+m AS (
+  SELECT p.event_id, arg_max(o.value, (o.ts, o.event_id)) AS close, max(o.ts) AS as_of
+  FROM p JOIN events o ON o.user_id = p.user_id AND o.event_type <> 'purchase' AND o.ts <= p.at
+  GROUP BY p.event_id
+)
+SELECT p.event_id, p.user_id, strftime(p.at, {_TS}) AS at, close, strftime(as_of, {_TS}) AS as_of
+FROM p LEFT JOIN m USING (event_id)
+""",
+        "last_n_bars_as_of": f"""
+WITH b AS ({_bars('1 hour').replace('event_type AS symbol', 'user_id')})
+SELECT event_id, user_id, time, high, low, open, close, volumefrom, volumeto
+FROM (SELECT event_id, user_id, ts AS to_ts FROM events WHERE event_type = 'purchase') q JOIN b USING (user_id)
+WHERE CAST(time AS TIMESTAMP) <= to_ts
+QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY time DESC) <= 3
+""",
         "top_symbols": """
 SELECT CASE WHEN o_custkey % 97 = 0 THEN NULL ELSE 'C' || CAST(o_custkey AS VARCHAR) END AS name,
        round(sum(o_totalprice), 2) AS mktcap
@@ -239,9 +307,42 @@ FROM events
 """,
         "stream_dedupe_parity": f"SELECT *, CAST(0 AS BIGINT) AS dropped_as_late FROM ({_SERVED_TICKS})",
         "sink_new_checkpoint": _SERVED_TICKS,
+        "stream_latest_price": f"""
+SELECT CAST(user_id AS VARCHAR) AS symbol, arg_max(value, (ts, event_id)) AS close, strftime(max(ts), {_TS}) AS time,
+       max(ts) + INTERVAL 12 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 6 HOUR AS expired
+FROM events GROUP BY user_id
+""",
+        "stream_enriched_ticks": f"""
+WITH a AS ({_DIMENSION.replace("FROM orders", "FROM orders WHERE o_orderdate < TIMESTAMP '1996-01-01'")}), b AS ({_DIMENSION}),
+e AS (SELECT event_id, ts, 'C' || CAST(user_id AS VARCHAR) AS symbol, value AS close FROM events)
+SELECT event_id, e.symbol, close, CASE WHEN ts < TIMESTAMP '2024-01-15' THEN a.rank ELSE b.rank END AS rank,
+       CASE WHEN ts < TIMESTAMP '2024-01-15' THEN a.total ELSE b.total END AS total
+FROM e LEFT JOIN a ON a.symbol = e.symbol LEFT JOIN b ON b.symbol = e.symbol
+""",
+        "stream_tick_quarantine": f"""
+WITH t AS (
+  SELECT CASE WHEN {_K} % 10 = 0 THEN 'malformed' WHEN {_K} % 10 = 1 THEN 'bad_price' ELSE 'ok' END AS status,
+         CASE WHEN {_K} % 10 = 0 THEN NULL ELSE event_type END AS symbol,
+         CASE WHEN {_K} % 10 IN (0, 1, 2) THEN NULL ELSE value END AS close,
+         CASE {_K} % 10 WHEN 0 THEN length('not json ' || event_id)
+              WHEN 1 THEN length('{{"symbol":"' || event_type || '","close":"n/a"}}') ELSE 0 END AS size
+  FROM events
+)
+SELECT status, symbol, count(*) AS n, round(sum(close), 2) AS total, CAST(sum(size) AS BIGINT) AS characters
+FROM t GROUP BY 1, 2
+""",
 
         "stream_ohlcv_parity": _bars("1 hour"),
         "compaction_after_expiry": f"SELECT *, 'hourly' AS batch_unit FROM ({_bars('1 hour')})",
+        "schema_evolution": f"""
+SELECT time, symbol, CASE WHEN time >= '2024-01-15 00:00:00' THEN floor(high) ELSE high END AS high, low, open,
+       CASE WHEN time < '2024-01-15 00:00:00' AND symbol = 'view' THEN close + 1 ELSE close END AS close,
+       volumefrom, volumeto,
+       CASE WHEN time >= '2024-01-15 00:00:00' OR symbol <> 'view' THEN CAST(volumefrom AS BIGINT) END AS trades,
+       CASE WHEN time >= '2024-01-15 00:00:00' THEN round(high - low, 2) END AS spread,
+       CASE WHEN time >= '2024-01-15 00:00:00' THEN upper(symbol) END AS venue
+FROM ({_bars('1 hour')})
+""",
         "bar_table_roundtrip": _BARS_FROM_PAYLOAD,
         "incremental_landing": _BARS_FROM_PAYLOAD,
         "served_documents": _BARS_FROM_PAYLOAD,

@@ -7,11 +7,12 @@ rows, so the plan scales with the symbol table and needs no shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..schemas import API_CHUNK_SIZE, DAYS_BEFORE, DEFAULT_TSYM, OLDEST_DATE, TIERS, YEARS_BEFORE
 from ..functions.timefn import years_before
+from ..operators.intervals import islands, subtract
+from ..schemas import API_CHUNK_SIZE, DAYS_BEFORE, DEFAULT_TSYM, OLDEST_DATE, TIERS, TIME_FORMAT, YEARS_BEFORE
 
 _SECONDS_PER_DAY = 86400
 
@@ -65,6 +66,9 @@ def _day_request(name: str, endpoint: str, per_day: int, aligned: bool):
             c["chunk_no"].alias("chunk_no"),
             _epoch(c["end"]).alias("toTs"),
             (days * per_day).cast("int").alias("limit"),
+            _epoch(c["start"]).alias("start"),
+            (_epoch(c["end"]) + (_SECONDS_PER_DAY - 1)).alias("end"),
+            F.lit(_SECONDS_PER_DAY // per_day).alias("bar_seconds"),
         )
 
     return request
@@ -76,7 +80,8 @@ def tier_chunks(run_date: str, chunk_size: int = API_CHUNK_SIZE, mode: str = "re
     ``mode="reference"`` keeps quirk Q6: ``limit`` counts whole days times bars
     per day (one short of a closed chunk) and the minute tier's ``toTs`` is the
     chunk start. ``mode="aligned"`` uses the chunk end and an inclusive count.
-    Array of ``struct(batch_unit, endpoint, chunk_no, toTs, limit)``.
+    Array of ``struct(batch_unit, endpoint, chunk_no, toTs, limit, start, end, bar_seconds)``,
+    where ``start`` to ``end`` are the seconds a chunk covers.
     """
     if mode not in ("reference", "aligned"):
         raise ValueError(f"unknown mode {mode!r}")
@@ -113,6 +118,9 @@ def tier_chunks(run_date: str, chunk_size: int = API_CHUNK_SIZE, mode: str = "re
                     if aligned
                     else F.lit(chunk_size)
                 ).alias("limit"),
+                c["start"].alias("start"),
+                c["end"].alias("end"),
+                F.lit(60).alias("bar_seconds"),
             ),
         )
     )
@@ -127,12 +135,14 @@ def backfill_plan(
     tsym: str = DEFAULT_TSYM,
     mode: str = "reference",
     symbol: str = "symbol",
+    ranges: bool = False,
 ) -> DataFrame:
     """GEN-5 + JON-1: one request row per (symbol, tier, chunk).
 
     Columns: ``symbol, batch_unit, endpoint, toTs, limit, aggregate, tsym,
     chunk_no``. ``(symbol, batch_unit, chunk_no)`` is the request key; no
-    global counter is kept.
+    global counter is kept. With ``ranges`` also ``start``, ``end`` (seconds a request
+    covers) and ``bar_seconds``, which :func:`remaining_plan` needs.
     """
     req = F.explode(tier_chunks(run_date, chunk_size, mode)).alias("r")
     return symbols.select(F.col(symbol).alias("symbol"), req).select(
@@ -144,4 +154,54 @@ def backfill_plan(
         F.lit(aggregate).cast("int").alias("aggregate"),
         F.lit(tsym).alias("tsym"),
         F.col("r.chunk_no").cast("int").alias("chunk_no"),
+        *([F.col(f"r.{c}").cast("long").alias(c) for c in _RANGE] if ranges else []),
+    )
+
+
+_RANGE = ("start", "end", "bar_seconds")
+#: Width of the bins in which ranges meet and are merged: about a chunk of each tier.
+_NEAR = 2000 * 3600
+
+
+def landed_ranges(bars: DataFrame) -> DataFrame:
+    """The seconds that stored bars cover: ``symbol, batch_unit, start, end`` per bar. Bars
+    without a time, or of a tier that has no width, cover nothing."""
+    seconds = F.create_map(*[F.lit(x) for name, _, per_day in TIERS for x in (name, _SECONDS_PER_DAY // per_day)])
+    start = F.unix_timestamp(F.try_to_timestamp("time", F.lit(TIME_FORMAT)))
+    width = F.try_element_at(seconds, F.col("batch_unit"))
+    rows = bars.select("symbol", "batch_unit", start.alias("start"), (start + width - 1).alias("end"))
+    return rows.where("start IS NOT NULL AND end IS NOT NULL")
+
+
+def remaining_plan(plan: DataFrame, landed: DataFrame, width: int = _NEAR) -> DataFrame:
+    """GEN-5 on a rerun: the requests for what has not landed yet.
+
+    ``plan``: requests with ``ranges``; ``landed``: ``symbol, batch_unit, start, end`` in any
+    order, overlapping or not (:func:`landed_ranges`, or what requests say they returned). A
+    request of which nothing has landed stays as it is; one that has landed is gone; of one
+    that has landed in part every gap becomes a request of its own, for the whole bars in it:
+    ``toTs`` is the last bar's time and ``limit`` their number. ``part_no`` counts the gaps of
+    a request by time. A gap of less than a bar asks for nothing.
+
+    Landed ranges are merged to islands, so what a request is compared with is its holes, not
+    its bars; both sides meet in bins of ``width`` seconds."""
+    keys = ["symbol", "batch_unit"]
+    gaps = subtract(plan, islands(landed, keys, width), keys, [*keys, "chunk_no"], width)
+    bar = F.col("bar_seconds")
+    first = F.ceil(F.col("gap_start") / bar) * bar
+    # The last whole bar ends with the gap or before.
+    last = F.floor((F.col("gap_end") + 1) / bar - 1) * bar
+    whole = (F.col("gap_start") == F.col("start")) & (F.col("gap_end") == F.col("end"))
+    gaps = gaps.withColumns({"_first": first, "_last": last, "_whole": whole}).where("_whole OR _first <= _last")
+    count = ((F.col("_last") - F.col("_first")) / bar + 1).cast("int")
+    by_time = Window.partitionBy(*keys, "chunk_no").orderBy("gap_start")
+    return gaps.select(
+        *keys,
+        "endpoint",
+        F.when(F.col("_whole"), F.col("toTs")).otherwise(F.col("_last")).alias("toTs"),
+        F.when(F.col("_whole"), F.col("limit")).otherwise(count).alias("limit"),
+        "aggregate",
+        "tsym",
+        "chunk_no",
+        (F.row_number().over(by_time) - 1).alias("part_no"),
     )

@@ -28,7 +28,8 @@ from .functions.timefn import (
     utc_to_kst_date,
     years_before,
 )
-from .jobs import apply_transforms, run_stages
+from .jobs import apply_transforms, bind, run_stages
+from .operators.asof import as_of, last_n_as_of
 from .operators.bars import (
     BAR_TRANSFORMS,
     dedupe_latest,
@@ -36,11 +37,13 @@ from .operators.bars import (
     ohlcv,
     resample_bars,
     select_tier,
+    select_tier_by_ranges,
     tier_ticks,
     ticks_until,
     union_tiers,
     with_symbol,
 )
+from .operators.enrich import with_dimension
 from .operators.quality import accept, classify
 from .operators.ranking import chunk_symbols, rank_symbols, top_n
 from .operators.setops import new_rows
@@ -52,21 +55,25 @@ from .operators.ticks import (
     quote_rejects,
     unpivot_quotes,
 )
-from .plans.backfill import backfill_plan
+from .plans.backfill import backfill_plan, landed_ranges, remaining_plan
 from .schemas import BAR_ROW_SCHEMA, TIME_FORMAT
-from .session import clean_scratch, has_children, scratch_path
+from .session import clean_scratch, scratch_path
 from .sinks.writers import land_payloads, merge_bars, write_by_symbol, write_quarantine, write_ticks
-from .sources.files import parse_payloads, read_bar_table, read_coin_info, read_raw, read_symbols
+from .sources.files import parse_payloads, read_bar_table, read_coin_info, read_quarantine, read_raw, read_symbols
 from .sources.stream import read_tick_stream
+from .streaming.latest import latest_price_stream, read_latest_prices, start_latest_prices
 from .streaming.ticks import (
+    TICK_SINK_SCHEMA,
     compact_bar_sink,
     compact_tick_sink,
     dedupe_stream,
     dropped_as_late,
     ohlcv_stream,
+    read_checked,
     read_latest_bars,
     read_sink,
     start_bar_upserts,
+    start_checked_consumer,
     start_quote_producer,
     start_tick_consumer,
     tick_stream,
@@ -74,8 +81,10 @@ from .streaming.ticks import (
 
 # --- Fixed query parameters. ---
 RUN_DATE = "2022-03-20"          # backfill plan run date (FIXTURES F6)
+RERUN_DATE = "2024-02-02"        # a run whose hours and minutes have events
 TIER_RUN_DATE = "2024-01-28"     # run date whose tier ranges cut the event month
 LAST_N = 24
+REQUEST_BARS = 3
 LAST_N_TO_TS = "2024-01-20 00:00:00"
 TOP_N = 100
 CHUNK = 10
@@ -84,6 +93,12 @@ STREAM_FILES = 8
 # Deliveries of the bar stream (even: neighbours are swapped).
 DELIVERIES = 4
 QUARANTINE_CHUNK = 100
+# Disorder of the ticks of the latest-price stream, and silence that expires a symbol.
+LATE_HOURS, EXPIRY_HOURS = 6, 12
+# Orders before this make the symbol dimension's first version.
+DIMENSION_DATE = "1996-01-01"
+# Where the increments of the evolving table meet.
+HALF = "2024-01-15 00:00:00"
 PRUNED_SYMBOLS = ["003", "007", "009"]
 ONE_SYMBOL = "click"
 # --- end of fixed query parameters ---
@@ -168,11 +183,11 @@ def quote_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def symbol_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F7 / WIN-1: every customer ranked by order total (ties by key)."""
-    totals = (
-        table(spark, sf_dir, "orders")
-        .groupBy("o_custkey")
-        .agg(F.round(F.sum("o_totalprice"), 2).alias("total"))
-    )
+    return _ranked_customers(table(spark, sf_dir, "orders"))
+
+
+def _ranked_customers(orders: DataFrame) -> DataFrame:
+    totals = orders.groupBy("o_custkey").agg(F.round(F.sum("o_totalprice"), 2).alias("total"))
     ranked = rank_symbols(totals, value="total", key="o_custkey")
     return ranked.select("rank", F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("symbol"), "total")
 
@@ -193,6 +208,29 @@ def backfill_plan_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return backfill_plan(fixtures.plan_symbols(table(spark, sf_dir, "nation")), RUN_DATE)
 
 
+def _landed_so_far(ev: DataFrame) -> DataFrame:
+    """What a first run has brought: hours and minutes that have events; and on every third
+    day of the year whole deliveries, from a symbol's first hour to its last, over the hours."""
+    hour = F.date_format(F.date_trunc("hour", "ts"), TIME_FORMAT)
+    minute = F.date_format(F.date_trunc("minute", "ts"), TIME_FORMAT)
+    symbol = F.col("event_type").alias("symbol")
+    bars = ev.select(symbol, F.lit("hourly").alias("batch_unit"), hour.alias("time")).union(
+        ev.select(symbol, F.lit("minutely"), minute)
+    )
+    seconds = F.unix_timestamp(F.date_trunc("hour", "ts").cast("timestamp"))
+    days = ev.where(F.dayofyear("ts") % 3 == 0).groupBy(symbol, F.to_date("ts").alias("day"))
+    whole = days.agg(F.min(seconds).alias("start"), (F.max(seconds) + 3599).alias("end"))
+    return landed_ranges(bars).union(whole.select("symbol", F.lit("hourly"), "start", "end"))
+
+
+def remaining_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """GEN-5 SNK-6 on a rerun: nations have landed nothing; event kinds have landed hours and
+    minutes with holes, in overlapping deliveries, and chunks in part: what is still to ask."""
+    ev = table(spark, sf_dir, "events")
+    symbols = fixtures.plan_symbols(table(spark, sf_dir, "nation")).union(ev.select("event_type").distinct())
+    return remaining_plan(backfill_plan(symbols, RERUN_DATE, ranges=True), _landed_so_far(ev))
+
+
 def fill_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PRJ-6 FN-4: ticks widened to the served bar schema (event time as time)."""
     ev = table(spark, sf_dir, "events")
@@ -235,6 +273,59 @@ def tier_select(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _cents(select_tier(union_tiers(*tiers), TIER_RUN_DATE), "volumeto")
 
 
+def tier_ranges(events: DataFrame) -> DataFrame:
+    """Overlapping tier ranges of every symbol, by the day of its first event and the length of
+    its name: days from the start, hours from later on (a second stretch of them within the
+    minutes), minutes of the last days."""
+    first = F.unix_timestamp(F.date_trunc("day", F.min("ts")).cast("timestamp"))
+    per = events.groupBy(F.col("event_type").alias("symbol")).agg(first.alias("s"), F.length("event_type").alias("k"))
+    day = lambda n: F.col("s") + n * 86_400
+    k = F.col("k")
+    tiers = [
+        ("daily", day(F.lit(0)), day(F.lit(20)) - 1),
+        ("hourly", day(k), day(k + 10) + 1799),
+        ("hourly", day(F.lit(18)), day(F.lit(26))),
+        ("minutely", day(20 + k % 3), day(F.lit(25)) - 1),
+        ("minutely", day(F.lit(24)), day(F.lit(28))),
+    ]
+    cells = [F.struct(F.lit(u).alias("batch_unit"), a.alias("start"), b.alias("end")) for u, a, b in tiers]
+    return per.select("symbol", F.explode(F.array(*cells)).alias("r")).select("symbol", "r.*")
+
+
+def tier_select_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SET-4 with ranges as a table: bars of the finest tier that covers them, per symbol."""
+    ev = table(spark, sf_dir, "events")
+    ticks = fixtures.ticks(ev)
+    tiers = [
+        ohlcv(ticks, every, tiebreak="event_id").withColumn("batch_unit", F.lit(unit))
+        for unit, every in TIER_WIDTHS.items()
+    ]
+    return _cents(select_tier_by_ranges(union_tiers(*tiers), tier_ranges(ev)), "volumeto")
+
+
+def latest_price_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG-3 for a table of instants: at every purchase of every user, the price and time of
+    the user's last event of another kind."""
+    ev = table(spark, sf_dir, "events")
+    bought = F.col("event_type") == "purchase"
+    at = ev.where(bought).select("event_id", "user_id", F.col("ts").alias("at"))
+    found = as_of(at, ev.where(~bought), ["user_id"], ["value"], tiebreak="event_id")
+    times = {c: F.date_format(c, TIME_FORMAT) for c in ("at", "as_of")}
+    return found.withColumns(times).withColumnRenamed("value", "close")
+
+
+def last_n_bars_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """WIN-2 with a ``toTs`` per request: the last three hourly bars of a user at or before each
+    of the user's purchases."""
+    ev = table(spark, sf_dir, "events")
+    ticks = ev.select("event_id", "ts", "user_id", F.col("value").alias("price"))
+    bars = ohlcv(ticks, "1 hour", keys=("user_id",), tiebreak="event_id")
+    bars = bars.withColumn("ts", F.to_timestamp("time", TIME_FORMAT))
+    asked = ev.where("event_type = 'purchase'").select("event_id", "user_id", F.col("ts").alias("to_ts"))
+    found = last_n_as_of(asked, bars, REQUEST_BARS, ["user_id"], ["event_id", "user_id"])
+    return _cents(found.drop("ts"), "volumeto")
+
+
 def top_symbols(spark: SparkSession, sf_dir: str) -> DataFrame:
     """TOP-1 LIM-1 PRJ-8: top 100 by market cap, nested ``CoinInfo.Name``."""
     info = fixtures.coin_info(table(spark, sf_dir, "orders"))
@@ -350,7 +441,7 @@ def stream_ticks_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
     clean_scratch(spark, src, sink, f"{sink}-ckpt")
     time = F.to_timestamp("time", TIME_FORMAT)
     return (
-        read_sink(spark, compact)
+        read_sink(spark, compact, schema=TICK_SINK_SCHEMA)
         .withColumn("time_in_run", (time >= F.lit(began)) & (time <= F.lit(ended)))
         .drop("time", "batch_id", "run", "written_at")
     )
@@ -384,7 +475,7 @@ def stream_dedupe_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
         late += dropped_as_late(q)
     clean_scratch(spark, src, f"{sink}-ckpt")
     return (
-        read_sink(spark, sink)
+        read_sink(spark, sink, schema=TICK_SINK_SCHEMA)
         .drop("time", "batch_id", "run", "written_at")
         .withColumn("dropped_as_late", F.lit(late).cast("long"))
     )
@@ -415,6 +506,67 @@ def stream_ohlcv_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _cents(read_latest_bars(spark, sink), "volumeto").select(*_hourly(spark, sf_dir).columns)
 
 
+def stream_latest_price(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG-3 on a stream: the last price of every user, in keyed state. Ticks arrive in
+    deliveries up to six hours out of order, the query is restarted from its checkpoint after
+    each; the last delivery repeats the first day's ticks at another price, weeks late. Users
+    without a tick for half a day before the watermark are expired."""
+    ev = table(spark, sf_dir, "events").select("event_id", "ts", F.col("user_id").alias("symbol"), F.col("value").alias("price"))
+    arrival = F.unix_timestamp(F.col("ts").cast("timestamp")) + F.pmod(F.xxhash64("event_id"), F.lit(LATE_HOURS * 3600 - 1))
+    lo, hi = ev.agg(F.min(arrival), F.max(arrival)).first()
+    part = F.least(F.floor((arrival - lo) * DELIVERIES / (hi - lo + 1)), F.lit(DELIVERIES - 1))
+    first_day = F.to_date("ts") == ev.select(F.to_date(F.min("ts"))).first()[0]
+    src, sink = scratch_path(spark, "last-src"), scratch_path(spark, "last-sink")
+    for n in range(DELIVERIES):
+        rows = ev.where(part == n)
+        if n == DELIVERIES - 1:
+            rows = rows.union(ev.where(first_day).withColumn("price", F.col("price") + 1000))
+        rows.coalesce(1).write.mode("append").parquet(src)
+        stream = spark.readStream.schema(ev.schema).parquet(src)
+        latest = latest_price_stream(stream, f"{LATE_HOURS} hours", EXPIRY_HOURS * 3600, tiebreak="event_id")
+        start_latest_prices(latest, sink, f"{sink}-ckpt").awaitTermination()
+    clean_scratch(spark, src, f"{sink}-ckpt")
+    return read_latest_prices(spark, sink)
+
+
+def stream_enriched_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """API-4 F7: ticks of customers joined with the symbol dimension as it is when their batch
+    comes. Between the halves of the ticks the dimension is replaced: ranks by the orders of
+    the first years, then by all."""
+    ev = table(spark, sf_dir, "events")
+    orders = table(spark, sf_dir, "orders")
+    symbol = F.concat(F.lit("C"), F.col("user_id").cast("string"))
+    ticks = ev.select("event_id", "ts", symbol.alias("symbol"), F.col("value").alias("close"))
+    src, sink, dim = (scratch_path(spark, f"enriched-{x}") for x in ("src", "sink", "dim"))
+    enrich = bind(with_dimension, dim, ["rank", "total"])
+    before = F.col("ts") < F.lit(HALF).cast("timestamp_ntz")
+    for known, half in ((orders.where(F.col("o_orderdate") < F.lit(DIMENSION_DATE)), before), (orders, ~before)):
+        _ranked_customers(known).write.mode("overwrite").parquet(dim)
+        ticks.where(half).write.mode("append").parquet(src)
+        stream = spark.readStream.schema(ticks.schema).parquet(src)
+        start_tick_consumer(
+            stream.drop("ts"), sink, f"{sink}-ckpt", fmt="parquet", enrichments=(enrich,), by=()
+        ).awaitTermination()
+    clean_scratch(spark, src, dim, f"{sink}-ckpt")
+    schema = "event_id long, symbol string, close double, rank long, total double, run string, batch_id long"
+    return spark.read.schema(schema).parquet(sink).drop("run", "batch_id")
+
+
+def stream_tick_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FLT-1/3 on a stream: served ticks and rejects of every micro-batch in one write, the query
+    started twice; what was served, and whole rejects, counted by status and symbol."""
+    records = fixtures.tick_records(table(spark, sf_dir, "events"))
+    src, sink = _land_stream_files(spark, records, "checked-src", STREAM_FILES), scratch_path(spark, "checked-sink")
+    for _ in range(2):
+        stream = read_tick_stream(spark, fmt="parquet", path=src, max_files_per_trigger=2)
+        start_checked_consumer(stream, sink, f"{sink}-ckpt").awaitTermination()
+    clean_scratch(spark, src, f"{sink}-ckpt")
+    good = read_checked(spark, sink).select(F.lit("ok").alias("status"), "symbol", "close", F.lit(0).alias("size"))
+    bad = read_checked(spark, sink, rejects=True).select("status", "symbol", "close", F.length("payload").alias("size"))
+    cents = F.round(F.sum("close"), 2).alias("total")
+    return good.union(bad).groupBy("status", "symbol").agg(F.count(F.lit(1)).alias("n"), cents, F.sum("size").alias("characters"))
+
+
 def sink_new_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK-3: a second query with a checkpoint of its own writes to the sink of a first
     one; both start at batch 0 and neither touches the other's rows."""
@@ -426,29 +578,55 @@ def sink_new_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
         stream = read_tick_stream(spark, fmt="parquet", path=src)
         start_tick_consumer(tick_stream(stream), sink, f"{sink}-{part}-ckpt", fmt="parquet").awaitTermination()
         clean_scratch(spark, src, f"{sink}-{part}-ckpt")
-    return read_sink(spark, sink).drop("time", "batch_id", "run", "written_at")
+    return read_sink(spark, sink, schema=TICK_SINK_SCHEMA).drop("time", "batch_id", "run", "written_at")
 
 
 def compaction_after_expiry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SNK-1 SNK-3: stream bars of the first half of the ticks are compacted into the bar
-    table, the sink expires, the second half is written to a new sink and compacted: the
-    table has both."""
+    """SNK-1 SNK-3 AGG-2: stream bars of the first half of the ticks are compacted into the bar
+    table, the sink expires, the second half is written by a new query to a new sink and
+    compacted, twice: bars that have ticks in both halves have all of them, once."""
     ticks = fixtures.ticks(table(spark, sf_dir, "events")).drop("user_id")
     lo, hi = ticks.agg(F.min("ts"), F.max("ts")).first()
-    # The halves meet on a bar's edge, so no bar has ticks in both.
-    middle = (lo + (hi - lo) / 2).replace(minute=0, second=0, microsecond=0)
+    # The halves meet in the middle of a bar.
+    middle = (lo + (hi - lo) / 2).replace(minute=30, second=0, microsecond=0)
     table_path = scratch_path(spark, "compacted")
     for part in (ticks.where(F.col("ts") < F.lit(middle)), ticks.where(F.col("ts") >= F.lit(middle))):
         src, sink = scratch_path(spark, "half-src"), scratch_path(spark, "half-sink")
         part.write.parquet(src)
         bars = ohlcv_stream(spark.readStream.schema(ticks.schema).parquet(src), "1 hour", "1 hour", tiebreak="event_id")
         start_bar_upserts(bars, sink, f"{sink}-ckpt").awaitTermination()
-        compact_bar_sink(spark, sink, table_path, "hourly")
+        for _ in range(2):
+            compact_bar_sink(spark, sink, table_path, "hourly")
         clean_scratch(spark, src, sink, f"{sink}-ckpt")
-    stored = read_bar_table(spark, table_path).drop("ingest_seq", "year")
+    stored = read_bar_table(spark, table_path).drop("ingest_seq", "year", "parts")
     return _cents(stored, "volumeto")
 
 
+def schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-1: hourly bars in three increments. The first brings a trade count as INT; the
+    second, the later half, has INT highs, BIGINT counts and two new columns; the third corrects
+    the first half's ``view`` bars and has none of them. Every column and value stays."""
+    bars = _hourly(spark, sf_dir).withColumn("batch_unit", F.lit("hourly"))
+    early, late = (bars.where(F.col("time") < HALF), bars.where(F.col("time") >= HALF))
+    path = scratch_path(spark, "evolving")
+    seq = lambda n: F.lit(n).cast("long")
+    merge_bars(early.withColumns({"ingest_seq": seq(1), "trades": F.col("volumefrom").cast("int")}), path)
+    more = {
+        "ingest_seq": seq(1),
+        "high": F.floor("high").cast("int"),
+        "trades": F.col("volumefrom").cast("long"),
+        "spread": F.round(F.col("high") - F.col("low"), 2),
+        "venue": F.struct(F.upper("symbol").alias("name")),
+    }
+    merge_bars(late.withColumns(more), path)
+    fixed = early.where("symbol = 'view'").withColumns({"ingest_seq": seq(2), "close": F.col("close") + 1})
+    merge_bars(fixed, path)
+    return _cents(read_bar_table(spark, path), "volumeto").select(
+        "time", "symbol", "high", "low", "open", "close", "volumefrom", "volumeto", "trades", "spread",
+        F.col("venue.name").alias("venue"),
+    )
+
+
 def _landed(spark: SparkSession, payloads: DataFrame) -> str:
     raw = scratch_path(spark, "raw")
     land_payloads(payloads, raw)
@@ -456,8 +634,8 @@ def _landed(spark: SparkSession, payloads: DataFrame) -> str:
 
 
 def bar_table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SNK-6 SRC-1 SNK-1 SRC-2 API-8: payloads landed as JSON, one folder per request, E1
-    to the partitioned bar table, the table read back for serving."""
+    """SNK-6 SRC-1 SNK-1 SRC-2 API-8: payloads landed as JSON, many requests to a file, E1 to
+    the partitioned bar table, the table read back for serving."""
     raw, bars = _landed(spark, fixtures.bar_payloads(table(spark, sf_dir, "events"))), scratch_path(spark, "bars")
     raw_to_bar_table(raw, bars).run(spark)
     clean_scratch(spark, raw)
@@ -488,10 +666,7 @@ def quarantine_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     for _ in range(2):
         raw_to_bar_table(raw, bars, quarantine_root=bad).run(spark)
     kept = read_bar_table(spark, bars).select(F.lit("bar").alias("status"), "symbol")
-    names = "payload string, status string, symbol string, batch_unit string, request string"
-    some = has_children(spark, bad, "status=")
-    stored = spark.read.schema(names).text(bad) if some else spark.createDataFrame([], names)
-    stored = stored.select("status", "symbol")
+    stored = read_quarantine(spark, bad).select("status", "symbol")
     clean_scratch(spark, raw)
     return kept.union(stored).groupBy("status", "symbol").agg(F.count(F.lit(1)).alias("n"))
 
@@ -577,11 +752,15 @@ def _registry() -> dict[str, Query]:
         "symbol_chunks": symbol_chunks,
         "kst_date": kst_date,
         "backfill_plan": backfill_plan_q,
+        "remaining_backfill": remaining_backfill,
         "fill_schema": fill_schema,
         "tick_json_roundtrip": tick_json_roundtrip,
         "multiset_except": multiset_except,
         "tier_union": tier_union,
         "tier_select": tier_select,
+        "tier_select_ranges": tier_select_ranges,
+        "latest_price_as_of": latest_price_as_of,
+        "last_n_bars_as_of": last_n_bars_as_of,
         "top_symbols": top_symbols,
         "calendar_functions": calendar_functions,
         "parse_dates": parse_dates,
@@ -598,8 +777,12 @@ def _registry() -> dict[str, Query]:
         "coin_info_table": coin_info_table,
         "sink_new_checkpoint": sink_new_checkpoint,
         "compaction_after_expiry": compaction_after_expiry,
+        "schema_evolution": schema_evolution,
         "stream_ticks_parity": stream_ticks_parity,
         "stream_ohlcv_parity": stream_ohlcv_parity,
         "stream_dedupe_parity": stream_dedupe_parity,
         "stream_quote_producer": stream_quote_producer,
+        "stream_latest_price": stream_latest_price,
+        "stream_enriched_ticks": stream_enriched_ticks,
+        "stream_tick_quarantine": stream_tick_quarantine,
     }

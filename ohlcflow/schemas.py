@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql.types import (
     ArrayType,
+    DecimalType,
     DoubleType,
     LongType,
     MapType,
@@ -53,8 +54,8 @@ PARTITION_COLUMNS = ["symbol", "batch_unit"]
 
 # Partition columns of the bar table: an increment rewrites a year of a symbol and tier.
 TABLE_PARTITIONS = ["symbol", "batch_unit", "year"]
-# Partition columns of landed raw payloads: one folder per request.
-RAW_PARTITIONS = ["symbol", "batch_unit", "request"]
+# What identifies a landed raw document.
+RAW_KEYS = ["symbol", "batch_unit", "request"]
 
 # Prices and times may come as numbers or as text: they are read as text and cast later.
 BAR_STRUCT = StructType([StructField(c, StringType()) for c in BAR_COLUMNS])
@@ -78,11 +79,28 @@ BAR_ROW_SCHEMA = StructType(
     + [StructField("symbol", StringType()), StructField("batch_unit", StringType())]
 )
 
+# Landed raw documents: many requests of a series in a file, a folder per delivery.
+RAW_SCHEMA = StructType([StructField(c, StringType()) for c in ("request", "payload", "delivery", *PARTITION_COLUMNS)])
+# Rejected documents, by what is wrong with them, with the time they landed.
+QUARANTINE_SCHEMA = StructType(
+    [StructField(c, StringType()) for c in ("request", "payload", *PARTITION_COLUMNS)]
+    + [StructField("ingest_seq", LongType()), StructField("status", StringType())]
+)
+
 # What the bar table stores.
 BAR_TABLE_SCHEMA = StructType(
     BAR_ROW_SCHEMA.fields + [StructField("ingest_seq", LongType()), StructField("year", StringType())]
 )
 
+# A bar made of a part of its ticks: who made it, its version, the place of its open and
+# close among all ticks, and its values. A table that merges such bars keeps them per bar.
+ORDER_KEYS = ["open_key", "close_key"]
+PART_STRUCT = StructType(
+    [StructField("part", StringType()), StructField("seq", LongType())]
+    + [StructField(c, DecimalType(38, 0)) for c in ORDER_KEYS]
+    + [StructField(c, DoubleType()) for c in PRICE_COLUMNS]
+)
+
 # multi-symbol quote payload {symbol: {currency: price}}, read level by level so that
 # one bad value spoils neither its document nor its neighbours.
 QUOTE_SCHEMA = MapType(StringType(), StringType())

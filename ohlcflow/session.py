@@ -9,13 +9,16 @@ environment through ordinary Spark configuration.
 from __future__ import annotations
 
 import atexit
+import json
 import os
 import tempfile
 import uuid
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager, suppress
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
+from pyspark.sql.types import StructType
 
 DEFAULT_CONF: dict[str, str] = {
     "spark.sql.session.timeZone": "UTC",
@@ -118,6 +121,66 @@ def has_children(spark: SparkSession, path: str, prefix: str) -> bool:
     return found is not None and len(found) > 0
 
 
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of a folder's entries; none where there is no such folder."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [f.getPath().getName() for f in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def read_file(spark: SparkSession, path: str) -> str:
+    """A small text file, read by the driver."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    stream = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(p)
+    try:
+        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+#: Folder of a table's columns, one numbered document per version.
+SCHEMA_FOLDER = "_schema"
+
+
+def schema_versions(spark: SparkSession, path: str) -> list[str]:
+    """The versions of a table's columns, oldest first."""
+    return sorted(n for n in list_names(spark, f"{path}/{SCHEMA_FOLDER}") if n.endswith(".json"))
+
+
+def table_columns(spark: SparkSession, path: str) -> StructType | None:
+    """The columns a table keeps, as of now; None if it keeps none."""
+    versions = schema_versions(spark, path)
+    return StructType.fromJson(json.loads(read_file(spark, f"{path}/{SCHEMA_FOLDER}/{versions[-1]}"))) if versions else None
+
+
+def create_file(spark: SparkSession, path: str, text: str) -> bool:
+    """Put a small text file there, whole, unless there is one of that name; whether it
+    was put."""
+    sc = spark.sparkContext
+    jvm = sc._jvm
+    conf = sc._jsc.hadoopConfiguration()
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    part = jvm.org.apache.hadoop.fs.Path(target.getParent(), f".{uuid.uuid4().hex}")
+    fs = target.getFileSystem(conf)
+    out = fs.create(part)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    rename = jvm.org.apache.hadoop.fs.Options.Rename
+    plain = sc._gateway.new_array(rename, 1)
+    plain[0] = rename.NONE
+    try:
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), conf).rename(part, target, plain)
+        return True
+    except Py4JJavaError:
+        fs.delete(part, False)
+        if fs.exists(target):
+            return False
+        raise
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Delete a folder through the Hadoop file system of its scheme."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -1,6 +1,8 @@
 """Sinks (SNK-1..6)."""
 
+from .evolve import SchemaConflict
 from .writers import (
+    batch_writer,
     batch_writer_by_symbol,
     land_payloads,
     merge_bars,
@@ -12,6 +14,8 @@ from .writers import (
 )
 
 __all__ = [
+    "SchemaConflict",
+    "batch_writer",
     "batch_writer_by_symbol",
     "land_payloads",
     "merge_bars",

@@ -10,7 +10,7 @@ from ohlcflow.jobs import Job, apply_transforms, bind, run_stages
 from ohlcflow.operators.bars import BAR_TRANSFORMS
 from ohlcflow.operators.quality import accept
 from ohlcflow.sinks import land_payloads, merge_bars, write_by_symbol, write_documents, write_ticks
-from ohlcflow.sources import read_bar_table, read_payloads, read_raw, read_symbols
+from ohlcflow.sources import read_bar_table, read_payloads, read_quarantine, read_raw, read_symbols
 
 from conftest import SF_SMALL
 
@@ -23,7 +23,11 @@ def test_land_and_read_payloads(spark, scratch):
     ev = _events(spark)
     payloads = fixtures.bar_payloads(ev, chunk_size=200)
     land_payloads(payloads, scratch)
-    assert os.path.isdir(f"{scratch}/symbol=click/batch_unit=minutely/request=0")
+    (delivery,) = os.listdir(scratch)
+    assert delivery.startswith("delivery=") and os.path.isdir(f"{scratch}/{delivery}/symbol=click/batch_unit=minutely")
+    # Files go by series, not by request.
+    files = [f for _, _, names in os.walk(scratch) for f in names if f.endswith(".parquet")]
+    assert len(files) < payloads.count() / 2
     raw = read_payloads(spark, scratch)
     assert {"symbol", "batch_unit", "request", "ingest_seq", "Response", "Data"} <= set(raw.columns)
     bars = apply_transforms(accept(raw), BAR_TRANSFORMS)
@@ -101,7 +105,7 @@ def test_cli_batch_and_plan(spark, scratch):
     main(["batch", "--raw", raw, "--table", f"{scratch}/bars", "--out", f"{scratch}/docs"])
     main(["batch", "--raw", raw, "--table", f"{scratch}/bars", "--out", f"{scratch}/docs", "--quarantine", f"{scratch}/bad"])
     assert spark.read.json(f"{scratch}/docs").count() == ev.where("event_type <> 'error'").count()
-    assert spark.read.text(f"{scratch}/bad").count() == 1
+    assert read_quarantine(spark, f"{scratch}/bad").count() == 1
     spark.createDataFrame([("A",), ("B",)], "symbol string").write.parquet(f"{scratch}/sym")
     main(["plan", "--symbols-table", f"{scratch}/sym", "--run-date", "2022-03-20", "--out", f"{scratch}/plan"])
     assert spark.read.parquet(f"{scratch}/plan").where("symbol = 'A'").count() * 2 == spark.read.parquet(f"{scratch}/plan").count()
@@ -137,8 +141,35 @@ def test_quarantine_keeps_the_documents(spark, scratch):
     land_payloads(spark.createDataFrame(rows, "symbol string, batch_unit string, chunk_no int, payload string"), f"{scratch}/raw")
     for _ in range(2):
         raw_to_bar_table(f"{scratch}/raw", f"{scratch}/bars", f"{scratch}/bad").run(spark)
-    got = spark.read.text(f"{scratch}/bad").collect()
-    assert sorted((r.status, r.value) for r in got) == sorted([("malformed", docs[0]), ("other", docs[1]), ("other", docs[2])])
+    got = read_quarantine(spark, f"{scratch}/bad").collect()
+    assert sorted((r.status, r.payload) for r in got) == sorted([("malformed", docs[0]), ("other", docs[1]), ("other", docs[2])])
+    assert {(r.symbol, r.batch_unit) for r in got} == {("A", "daily")} and {r.request for r in got} == {"0", "1", "2"}
+
+
+def test_a_request_that_lands_again_is_replaced(spark, scratch):
+    land = lambda *rows: land_payloads(spark.createDataFrame(list(rows), "symbol string, batch_unit string, chunk_no int, payload string"), scratch)
+    land(("A", "daily", 0, "old ü"), ("A", "daily", 1, "kept"), ("B", "daily", 0, "other"), ("A", None, 7, "no tier"))
+    time.sleep(1.1)                                            # file times may be whole seconds
+    land(("A", "daily", 0, "new ü"), ("A", None, 7, "no tier, again"))
+    got = sorted((r.symbol, r.request, r.payload) for r in read_raw(spark, scratch).collect())
+    assert got == [("A", "0", "new ü"), ("A", "1", "kept"), ("A", "7", "no tier, again"), ("B", "0", "other")]
+    for rest in ([("A", "daily", 5, "x"), ("B", "daily", 6, "y")], [("A", "daily", 5, "z")]):
+        land_payloads(spark.createDataFrame(rest, "symbol string, batch_unit string, chunk_no int, payload string"), scratch, delivery="named")
+    assert {(r.request, r.payload) for r in read_raw(spark, scratch).collect()} >= {("5", "z")}
+    assert not [r for r in read_raw(spark, scratch).collect() if r.request == "6"]
+    assert "BroadcastHashJoin" in read_raw(spark, scratch)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_folders_of_one_document_each(spark, scratch):
+    """How other collectors land: one object per request."""
+    for request, text in (("0", "{}"), ("1", "é")):
+        os.makedirs(f"{scratch}/symbol=007/batch_unit=daily/request={request}")
+        with open(f"{scratch}/symbol=007/batch_unit=daily/request={request}/0.json", "w") as f:
+            f.write(text)
+    got = sorted((r.symbol, r.batch_unit, r.request, r.payload) for r in read_raw(spark, scratch, "folders").collect())
+    assert got == [("007", "daily", "0", "{}"), ("007", "daily", "1", "é")]
+    with pytest.raises(ValueError):
+        read_raw(spark, scratch, "other")
 
 
 def test_scratch_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
