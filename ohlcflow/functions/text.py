@@ -89,8 +89,10 @@ def _is_byte_run(t: Column) -> Column:
 def _token_text(t: Column) -> Column:
     """A token's text; null for bytes that are no UTF-8."""
     simple = F.create_map(*[x for kv in SIMPLE_ESCAPES.items() for x in (F.lit(kv[0]), F.lit(kv[1]))])
+    # Plain runs, about half of the tokens and most of the text, are known by their first character.
     return (
-        F.when(_is_byte_run(t), _decoded(t))
+        F.when(~t.startswith("\\") & (F.ascii(t) < 128), t)
+        .when(_is_byte_run(t), _decoded(t))
         .when(~t.startswith("\\"), t)
         .when(t.rlike(r"^\\u[0-9a-fA-F]{4}$"), F.decode(F.unhex(F.substring(t, 3, 4)), "UTF-16BE"))
         .when(F.length(t) == 2, F.coalesce(F.unhex(F.element_at(simple, t)).cast("string"), t))
@@ -107,8 +109,22 @@ def _texts(escaped: Column, strip_literal: bool) -> Column:
 
     # Bind the input once (a one-element transform acts as a let), so an
     # expensive input expression is not evaluated once per reference.
-    body = _let(escaped, strip) if strip_literal else escaped
-    return F.transform(F.regexp_extract_all(body, F.lit(_TOKEN), 1), _token_text)
+    def pieces(body: Column) -> Column:
+        some = F.transform(F.regexp_extract_all(body, F.lit(_TOKEN), 1), _token_text)
+        return F.when(body.rlike("[\\\\\u0080-\u00ff]"), some).when(body.isNotNull(), F.array(body))
+
+    return _let(_let(escaped, strip) if strip_literal else escaped, pieces)
+
+
+def repaired_utf8(escaped: Column, strip_literal: bool = True) -> Column:
+    """``struct(text, broken)``: what :func:`repair_utf8` and :func:`is_broken_utf8` say, from
+    one pass over the text."""
+
+    def both(ts: Column) -> Column:
+        broken = F.exists(ts, lambda t: t.isNull())
+        return _let(broken, lambda b: F.struct(F.when(~b, F.array_join(ts, "")).alias("text"), b.alias("broken")))
+
+    return _let(_texts(escaped, strip_literal), both)
 
 
 def repair_utf8(escaped: Column, strip_literal: bool = True) -> Column:
@@ -121,15 +137,12 @@ def repair_utf8(escaped: Column, strip_literal: bool = True) -> Column:
     as UTF-8 on its own (the bytes of one character are always adjacent). Text whose
     escapes are no UTF-8 gives null, never an error: see :func:`is_broken_utf8`.
     """
-    return _let(
-        _texts(escaped, strip_literal),
-        lambda ts: F.when(~F.exists(ts, lambda t: t.isNull()), F.array_join(ts, "")),
-    )
+    return repaired_utf8(escaped, strip_literal)["text"]
 
 
 def is_broken_utf8(escaped: Column, strip_literal: bool = True) -> Column:
     """Whether :func:`repair_utf8` gives up on a text (null for a null text)."""
-    return F.exists(_texts(escaped, strip_literal), lambda t: t.isNull())
+    return repaired_utf8(escaped, strip_literal)["broken"]
 
 
 def _let(value: Column, fn) -> Column:

@@ -279,6 +279,28 @@ WITH t AS (
 SELECT o_orderkey, text, strftime(d, '%Y-%m-%d') AS order_date,
        strftime(CAST(d AS TIMESTAMP), '%Y-%m-%d %H:%M:%S') AS midnight
 FROM t
+""",
+        # A number up to 12 before another one is the month.
+        "parse_free_dates": f"""
+WITH t AS (SELECT o_orderkey, o_orderkey % 16 AS k, o_orderdate + (o_orderkey % 86400) * INTERVAL 1 SECOND AS tm FROM orders),
+p AS (
+  SELECT *, date_trunc('minute', tm) AS m, CAST(CAST(tm AS DATE) AS TIMESTAMP) AS d,
+         CASE WHEN day(tm) <= 12 THEN make_timestamp(year(tm), day(tm), month(tm), hour(tm), minute(tm), 0.0)
+              ELSE date_trunc('minute', tm) END AS swapped
+  FROM t
+)
+SELECT o_orderkey,
+       CASE k WHEN 0 THEN strftime(tm, '%b %-d, %Y %-I:%M %p') WHEN 1 THEN strftime(tm, '%-d %B %Y')
+              WHEN 2 THEN strftime(tm, '%a, %d %b %Y %H:%M:%S GMT') WHEN 3 THEN strftime(tm, '%a %b %-d %H:%M:%S %Y')
+              WHEN 4 THEN strftime(tm, '%m/%d/%Y') WHEN 5 THEN strftime(tm, '%d.%m.%Y %H:%M')
+              WHEN 6 THEN strftime(tm, '%Y%m%d%H%M%S') WHEN 7 THEN strftime(tm, '%d-%b-%y')
+              WHEN 8 THEN strftime(tm, '%Y %b %d') WHEN 9 THEN strftime(tm, '%B %-dth, %Y')
+              WHEN 10 THEN strftime(tm, '%-d %b %Y %H:%M:%S KST') WHEN 11 THEN strftime(tm, '%Y.%m.%d')
+              WHEN 12 THEN strftime(tm, '%-m/%-d/%y %-I:%M:%S %p') WHEN 13 THEN strftime(tm, '%-I:%M %p at %-d %b %Y')
+              WHEN 14 THEN strftime(tm, 'Feb 30, %Y') ELSE strftime(tm, '%-d %b %Y %H:%M XYZ') END AS text,
+       strftime(CASE WHEN k IN (0, 13) THEN m WHEN k IN (1, 4, 7, 8, 9, 11) THEN d WHEN k IN (2, 3, 6, 12) THEN tm
+                     WHEN k = 5 THEN swapped WHEN k = 10 THEN tm - INTERVAL 9 HOUR END, {_TS}) AS parsed
+FROM p
 """,
         # Characters outside printable ASCII become their UTF-8 bytes, one \\xNN each.
         "text_repair": r"""
@@ -344,6 +366,12 @@ SELECT time, symbol, CASE WHEN time >= '2024-01-15 00:00:00' THEN floor(high) EL
 FROM ({_bars('1 hour')})
 """,
         "bar_table_roundtrip": _BARS_FROM_PAYLOAD,
+        "collection_append": _BARS_FROM_PAYLOAD,
+        "nested_columns": """
+SELECT event_type, count(*) AS n, true AS has_k, true AS has_p, false AS has_text, false AS has_value_k, false AS has_q,
+       true AS seoul_ahead
+FROM events GROUP BY event_type
+""",
         "incremental_landing": _BARS_FROM_PAYLOAD,
         "served_documents": _BARS_FROM_PAYLOAD,
         "quarantine_roundtrip": """

@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from . import fixtures
 from .apps import batch_stages, raw_to_bar_table, rejects
-from .functions.text import is_broken_utf8, repair_utf8
+from .functions.schema import has_nested_column
+from .functions.text import repaired_utf8
 from .functions.timefn import (
     date_to_datetime,
     datetime_days_before,
@@ -24,7 +25,9 @@ from .functions.timefn import (
     hours_before_midnight,
     months_before,
     parse_date,
+    parse_datetime,
     to_epoch_seconds,
+    today_kst,
     utc_to_kst_date,
     years_before,
 )
@@ -58,7 +61,7 @@ from .operators.ticks import (
 from .plans.backfill import backfill_plan, landed_ranges, remaining_plan
 from .schemas import BAR_ROW_SCHEMA, TIME_FORMAT
 from .session import clean_scratch, scratch_path
-from .sinks.writers import land_payloads, merge_bars, write_by_symbol, write_quarantine, write_ticks
+from .sinks.writers import land_payloads, merge_bars, write_by_symbol, write_documents, write_quarantine, write_ticks
 from .sources.files import parse_payloads, read_bar_table, read_coin_info, read_quarantine, read_raw, read_symbols
 from .sources.stream import read_tick_stream
 from .streaming.latest import latest_price_stream, read_latest_prices, start_latest_prices
@@ -385,16 +388,47 @@ def parse_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# --- Fixed values of the parse_free_dates query: a form per order key modulo their number. ---
+FREE_FORMS = (
+    "MMM d, yyyy h:mm a",
+    "d MMMM yyyy",
+    "EEE, dd MMM yyyy HH:mm:ss 'GMT'",
+    "EEE MMM d HH:mm:ss yyyy",
+    "MM/dd/yyyy",
+    "dd.MM.yyyy HH:mm",
+    "yyyyMMddHHmmss",
+    "dd-MMM-yy",
+    "yyyy MMM dd",
+    "MMMM d'th', yyyy",
+    "d MMM yyyy HH:mm:ss 'KST'",
+    "yyyy.MM.dd",
+    "M/d/yy h:mm:ss a",
+    "h:mm a 'at' d MMM yyyy",
+    "'Feb 30,' yyyy",
+    "d MMM yyyy HH:mm 'XYZ'",
+)
+# --- end of fixed values ---
+
+
+def parse_free_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FN-12: every order's time written in one of sixteen free forms, two of them no dates, and
+    parsed without knowing the form."""
+    o = table(spark, sf_dir, "orders")
+    at = F.col("o_orderdate").cast("timestamp") + F.make_dt_interval(secs=F.col("o_orderkey") % 86400)
+    form = F.col("o_orderkey") % len(FREE_FORMS)
+    text = F.lit(None).cast("string")
+    for n, fmt in enumerate(FREE_FORMS):
+        text = F.when(form == n, F.date_format(at, fmt)).otherwise(text)
+    rows = o.select("o_orderkey", text.alias("text"))
+    return rows.select("o_orderkey", "text", F.date_format(parse_datetime(F.col("text")), TIME_FORMAT).alias("parsed"))
+
+
 def text_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FN-15: every document escaped to a byte literal and repaired (whole texts); every
     eleventh also gets a byte that is no UTF-8 and must come back null and flagged."""
     esc = fixtures.escaped_documents(table(spark, sf_dir, "documents"))
-    return esc.select(
-        "doc_id",
-        "escaped",
-        repair_utf8(F.col("escaped")).alias("text"),
-        is_broken_utf8(F.col("escaped")).alias("broken"),
-    )
+    both = esc.select("doc_id", "escaped", repaired_utf8(F.col("escaped")).alias("r"))
+    return both.select("doc_id", "escaped", "r.text", "r.broken")
 
 
 def nested_field_project(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -602,6 +636,30 @@ def compaction_after_expiry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _cents(stored, "volumeto")
 
 
+def collection_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-2: bars appended to one document collection request by request number, even ones
+    first; the collection read back."""
+    payloads = fixtures.bar_payloads(table(spark, sf_dir, "events"))
+    docs = scratch_path(spark, "collection")
+    for rest in range(2):
+        part = accept(parse_payloads(payloads.where(F.col("chunk_no") % 2 == rest)))
+        write_documents(apply_transforms(part, BAR_TRANSFORMS), docs)
+    return spark.read.schema(BAR_ROW_SCHEMA).json(docs)
+
+
+def nested_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FLT-4 FN-16 FN-6: per event kind its events, which dotted paths the frame has, and
+    whether today in Seoul is today or tomorrow by UTC."""
+    ev = table(spark, sf_dir, "events")
+    parsed = ev.select("event_type", F.struct("value", F.from_json("props", "k int").alias("p")).alias("e"))
+    paths = {"has_k": "e.p.k", "has_p": "e.p", "has_text": "e.p.k.x", "has_value_k": "e.value.k", "has_q": "q"}
+    ahead = F.datediff(today_kst(), F.to_date(F.current_timestamp()))
+    return parsed.groupBy("event_type").agg(F.count(F.lit(1)).alias("n")).select(
+        "*", *[F.lit(has_nested_column(parsed, path)).alias(c) for c, path in paths.items()],
+        ahead.between(0, 1).alias("seoul_ahead"),
+    )
+
+
 def schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK-1: hourly bars in three increments. The first brings a trade count as INT; the
     second, the later half, has INT highs, BIGINT counts and two new columns; the third corrects
@@ -764,6 +822,7 @@ def _registry() -> dict[str, Query]:
         "top_symbols": top_symbols,
         "calendar_functions": calendar_functions,
         "parse_dates": parse_dates,
+        "parse_free_dates": parse_free_dates,
         "text_repair": text_repair,
         "nested_field_project": nested_field_project,
         "bars_dedupe": bars_dedupe,
@@ -778,6 +837,8 @@ def _registry() -> dict[str, Query]:
         "sink_new_checkpoint": sink_new_checkpoint,
         "compaction_after_expiry": compaction_after_expiry,
         "schema_evolution": schema_evolution,
+        "collection_append": collection_append,
+        "nested_columns": nested_columns,
         "stream_ticks_parity": stream_ticks_parity,
         "stream_ohlcv_parity": stream_ohlcv_parity,
         "stream_dedupe_parity": stream_dedupe_parity,

@@ -138,3 +138,37 @@ def test_escape_repair_random_texts(spark):
     for r in rows:
         assert r.r == r.t
         assert ast.literal_eval(r.e).decode("utf-8") == r.t    # a valid Python bytes literal
+
+
+# --- Fixed values: free-form texts and what they mean (UTC). ---
+FREE = {
+    "Jan 2, 2024 3:04 PM": "2024-01-02 15:04:00", "2 January 2024": "2024-01-02 00:00:00",
+    "Tue, 02 Jan 2024 15:04:05 GMT": "2024-01-02 15:04:05", "Tue Jan  2 15:04:05 2024": "2024-01-02 15:04:05",
+    "01/02/2024": "2024-01-02 00:00:00", "13/02/2024": "2024-02-13 00:00:00", "02.01.2024 15:04": "2024-02-01 15:04:00",
+    "20240102150405": "2024-01-02 15:04:05", "20240102T1504": "2024-01-02 15:04:00", "20240102": "2024-01-02 00:00:00",
+    "02-Jan-24": "2024-01-02 00:00:00", "2024 Jan 02": "2024-01-02 00:00:00", "January 2nd, 2024": "2024-01-02 00:00:00",
+    "2nd of January 2024": "2024-01-02 00:00:00", "2 Jan 2024 15:04:05 KST": "2024-01-02 06:04:05",
+    "2 Jan 2024 15:04:05 +0900": "2024-01-02 06:04:05", "2 Jan 2024 15:04:05 -03:30": "2024-01-02 18:34:05",
+    "1/2/24 3:04:05 pm": "2024-01-02 15:04:05", "3:04 a.m. 2 Jan 2024": "2024-01-02 03:04:00",
+    "3pm Jan 2 2024": "2024-01-02 15:00:00", "12am Jan 2 2024": "2024-01-02 00:00:00", "12:30 PM, 2 Jan 2024": "2024-01-02 12:30:00",
+    "2024-13-01": "2024-01-13 00:00:00", "2024-01-02 15:04:05.123456789": "2024-01-02 15:04:05.123456",
+    "Wednesday, 3 January 2024 at 10:00 UTC+09:00": "2024-01-03 01:00:00", "2024-01-02T15:04Z": "2024-01-02 15:04:00",
+    "Sept. 5, '99": "1999-09-05 00:00:00", "31/12/68": "2068-12-31 00:00:00", "31/12/69": "1969-12-31 00:00:00",
+    "12-31-2024": "2024-12-31 00:00:00", "MAY 5 2024": "2024-05-05 00:00:00", "  2024/1/2  ": "2024-01-02 00:00:00",
+}
+NO_DATES = [
+    "Feb 30, 2024", "n/a 2024-01-02", "foo 12", "", " ", "Jan 2024", "2 Jan 2024 15:04 PST", "25:00 Jan 2 2024",
+    "13 pm Jan 2 2024", "10/11", "monday", "2 Jan 2024 5", "2024-02-30", "12:60 1 Jan 2024", "32 Jan 2024", None,
+]
+# --- end of fixed values ---
+
+
+def test_free_form_dates(spark):
+    from ohlcflow.functions.timefn import parse_datetime
+
+    rows = [(k, v) for k, v in FREE.items()] + [(k, None) for k in NO_DATES]
+    df = spark.createDataFrame(rows, "text string, want string")
+    got = df.select("text", "want", parse_datetime("text").cast("string").alias("got")).collect()
+    assert [(r.text, r.got) for r in got] == [(r.text, r.want) for r in got]
+    listed = df.select(parse_datetime("text", free=False).alias("got"), "text").where("got IS NOT NULL").collect()
+    assert {r.text for r in listed} == {"20240102", "2024-01-02 15:04:05.123456789", "  2024/1/2  "} - {"2024-01-02 15:04:05.123456789"}
