@@ -216,8 +216,10 @@ def link_buckets(
         mates = mates.select("lead", "id", F.coalesce("comp", "id").alias("comp"))
         heads = of.select(F.col("id").alias("lead"), F.col("comp").alias("head"))
         mates = mates.join(heads, "lead", "left").withColumn("head", F.coalesce("head", "lead"))
-        apart = F.max(F.col("comp") != F.col("head")).over(Window.partitionBy("lead"))
-        mates = work.table(mates.withColumn("apart", apart).where("apart").select("lead", "id", "comp"), "mates")
+        # Leaders whose mates span components: found by a maximum, which is combined before it is dealt.
+        apart = mates.groupBy("lead").agg(F.max(F.col("comp") != F.col("head")).alias("apart")).where("apart")
+        apart = work.table(apart.select("lead"), "apart")
+        mates = work.table(mates.join(broadcast_if_small(apart), "lead").select("lead", "id", "comp"), "mates")
         fresh = refine(mates).union(direct).distinct().join(checked, ["a", "b"], "left_anti")
         fresh = work.table(fresh, "pairs")
         work.release()

@@ -15,19 +15,22 @@ projection of the set on it), so linked sets share one. A set signs for its own
 band, and for the band below when its size can still reach it.
 
 Empty projections say nothing and would gather unrelated sets. With ``slack``
-more first-level parts than needed, a set in which no more than ``slack`` parts
-have an empty projection leaves those out and still shares a signature with each
-of its partners; a set with more keeps them. The guarantee is exact, up to
-64-bit hash collisions.
+more first-level parts than needed, a set leaves out the empty projections of its
+first ``slack`` parts that have one. More than ``slack`` parts see at most one
+element that differs: if one of them agrees on something, both sets have that
+signature; else all of them are such parts of both sets, and the last of them is kept by
+both. ``slack`` is what sets of the band's least size need on average and a bit, so hardly
+any empty projection is left. The guarantee is exact, up to 64-bit hash collisions.
 
 **Candidates** are signature mates. A parity sketch (each element flips one of
 2048 bits; two sketches never differ in more bits than the sets in elements)
 drops pairs that cannot link, then the sets themselves decide. Equal sets are
 one class before all that, so copies cost one row per task. Within a bucket
-``common.link_buckets`` checks the leader's pairs; of the others it checks those
-whose differences from the leader have rare elements in common (a prefix filter on
-small sets), so a family of copies that are nearly, but not quite, alike does not cost
-all its pairs.
+``common.link_buckets`` checks the leader's pairs; the leader's other mates compare
+their sketches among themselves inside a task, at most ``MATES`` of them, and only pairs that may
+link leave it. Mates of a leader with more are told apart by their differences from it, which
+meet in rare elements (a prefix filter on small sets). Either way a family of copies that
+are nearly, but not quite, alike does not cost all its pairs.
 
 Edge cases: a null or word-less text has an empty set, ``n_shingles`` 0, and is
 linked with nothing (its component is its own id). Rows with equal doc_id and
@@ -42,6 +45,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -53,6 +57,8 @@ SKETCH_BITS = 2048
 #: Bits of a second sketch of sets with at least so many elements: the first one is full
 #: before such sets differ in more than linked ones may.
 WIDE_BITS, WIDE_FROM = 16_384, 2_500
+#: Mates of one leader whose sketches are compared in one task (some 9 MB, 40 MB if wide).
+MATES = 4096
 #: Ratio of the largest to the smallest size of a band.
 BAND_RATIO = 1.5
 
@@ -72,13 +78,24 @@ def bands(percent: int, top: int) -> np.ndarray:
     return np.array(out, np.int64)
 
 
-def _layout(bounds: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """First-level parts and slack of each band."""
+def _layout(bounds: np.ndarray, percent: int, n2: int) -> tuple[np.ndarray, np.ndarray]:
+    """First-level parts and slack of each band.
+
+    A set of the band's least size has an empty projection in some share of its parts; more
+    parts make more of them, so the slack grows until it covers what it brings."""
     u = bounds[1:] - 1
     k = u * (100 - percent) // percent
     need = k // 2 + 1
     slack = 1 + need // 16
-    return need + slack, slack
+    while True:
+        parts = need + slack
+        share = np.minimum(n2 * np.exp(-bounds[:-1] * (n2 - 1) / (parts * n2)), 1.0)
+        weak = parts * share + 2 * np.sqrt(parts * share)
+        # Beyond as many parts again, signatures of less than an element would do no good.
+        more = (weak > slack) & (slack < need)
+        if not more.any():
+            return parts, slack
+        slack = np.where(more, np.minimum(need, slack + 1 + slack // 8), slack)
 
 
 def shingle_sets(offsets: np.ndarray, data: np.ndarray, n: int) -> list[np.ndarray]:
@@ -118,7 +135,7 @@ def signatures(sets: list[np.ndarray], percent: int, n2: int) -> tuple[np.ndarra
     if not len(sizes) or not sizes.max():
         return np.zeros(0, np.int64), np.zeros(0, _U)
     bounds = bands(percent, int(sizes.max()))
-    parts, slack = _layout(bounds, percent)
+    parts, slack = _layout(bounds, percent, n2)
     own = np.searchsorted(bounds, sizes, side="right") - 1
     own_idx, own_sig = [], []
     for step in (0, 1):
@@ -150,8 +167,10 @@ def signatures(sets: list[np.ndarray], percent: int, n2: int) -> tuple[np.ndarra
         row_of = np.repeat(np.arange(len(pick)), n1)
         row_part = np.arange(len(row_of)) - (base[:-1] // n2)[row_of]
         empty = count == 0
-        weak = np.bincount(row_of, weights=empty.any(axis=1), minlength=len(pick))
-        keep = ~empty | (weak > slack[b])[row_of][:, None]
+        # The first parts of a set with an empty projection, as many as the slack, leave it out.
+        weak = np.cumsum(empty.any(axis=1))
+        before = np.concatenate(([0], weak))[np.concatenate(([0], np.cumsum(n1)[:-1]))]
+        keep = ~empty | (weak - before[row_of] > slack[b][row_of])[:, None]
         where = mix(
             seed[row_of][:, None] + (row_part.astype(_U) * _U(n2))[:, None] + np.arange(n2, dtype=_U)[None, :]
         )
@@ -267,6 +286,53 @@ def _set_rows(shingle: int):
     return run
 
 
+def _bits(rows: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Bits in which sketches differ, each of ``rows`` from each of ``others``."""
+    out = np.zeros((len(rows), len(others)), np.int32)
+    for word in range(rows.shape[1]):
+        out += np.bitwise_count(rows[:, word, None] ^ others[None, :, word])
+    return out
+
+
+def _near_mates(percent: int):
+    """Group function: the pairs of a leader's mates, of different components, that size and
+    sketch let link."""
+
+    def sketches(column: pa.Array, pick: np.ndarray) -> np.ndarray:
+        values = column.take(pa.array(pick)).flatten().to_numpy()
+        return values.view(_U).reshape(len(pick), -1)
+
+    def run(group: pa.Table) -> pa.Table:
+        table = group.combine_chunks()
+        ids, comp, n = (table.column(c).to_numpy() for c in ("id", "comp", "n"))
+        narrow, wide = (table.column(c).combine_chunks() for c in ("sketch", "wide"))
+        is_wide = pc.list_value_length(wide).to_numpy() > 0
+        order = np.argsort(n, kind="stable")
+        ids, comp, n, is_wide = ids[order], comp[order], n[order], is_wide[order]
+        base = sketches(narrow, order)
+        found = []
+        for i in range(0, len(ids), 256):
+            j = min(i + 256, len(ids))
+            # By size: only sets that are not too large for the block's largest.
+            end = int(np.searchsorted(n, n[j - 1] * 100 // percent, side="right"))
+            size = n[i:j, None] + n[None, i:end]
+            least = np.minimum(n[i:j, None], n[None, i:end])
+            may = (100 * least >= percent * (size - least)) & (comp[i:j, None] != comp[None, i:end])
+            may &= np.arange(i, j)[:, None] < np.arange(i, end)[None]
+            bits = _bits(base[i:j], base[i:end])
+            both = is_wide[i:j, None] & is_wide[None, i:end]
+            if (both & may).any():
+                rows, cols = np.flatnonzero(is_wide[i:j]), np.flatnonzero(is_wide[i:end])
+                wider = _bits(sketches(wide, order[i:j][rows]), sketches(wide, order[i:end][cols]))
+                bits[np.ix_(rows, cols)] = wider
+            x, y = np.nonzero(may & (bits.astype(np.int64) * (100 + percent) <= size * (100 - percent)))
+            found.append(np.stack([ids[i:j][x], ids[i:end][y]]))
+        a, b = np.concatenate(found, axis=1)
+        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+    return run
+
+
 def _differing_bits(a: Column, b: Column) -> Column:
     each = F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y)))
     return F.aggregate(each, F.lit(0), lambda n, x: n + x)
@@ -347,7 +413,7 @@ def _components(
             union = F.size("ha") + F.size("hb") - F.col("both")
             return both.where(F.col("both") * 100 >= union * percent).select("a", "b").distinct()
 
-        def refine(mates: DataFrame) -> DataFrame:
+        def by_differences(mates: DataFrame) -> DataFrame:
             """Mates ``x, y`` of a leader ``c`` differ in as much as their differences from
             ``c`` differ: ``x ^ y = (x ^ c) ^ (y ^ c)``. If they link but are not both
             linked with ``c``, the differences have an element in common, and of the
@@ -376,6 +442,16 @@ def _components(
             q = heads.select("lead", "e", F.col("id").alias("b"), F.col("comp").alias("cb"))
             return p.join(q, ["lead", "e"]).where("a < b and ca <> cb").select("a", "b")
 
+        def refine(mates: DataFrame) -> DataFrame:
+            per = mates.groupBy("lead").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > MATES)
+            per = work.table(per.select("lead"), "large")
+            few = mates.join(broadcast_if_small(per), "lead", "left_anti")
+            rows = few.join(hint(known.select("id", "n", "sketch", "wide")), "id")
+            near = rows.groupBy("lead").applyInArrow(_near_mates(percent), "a long, b long")
+            if per.isEmpty():
+                return near
+            return near.union(by_differences(mates.join(broadcast_if_small(per), "lead", "left_semi")))
+
         comp = link_buckets(members, verify, work, refine)
         # A class is a set of equal content: its smallest document, then the
         # smallest of the component's classes.

@@ -82,6 +82,74 @@ def test_group_of_near_copies_that_do_not_all_link(spark, make):
     assert {k: v[1] for k, v in got.items()} == want
 
 
+def family(rng, members, words_, replaced):
+    """Texts that differ from one base, each in its own places: alike, but not linked."""
+    base = [f"b{i}" for i in range(words_)]
+    out = []
+    for d in range(members):
+        w = list(base)
+        for i in rng.sample(range(words_), replaced):
+            w[i] = f"x{d}_{i}"
+        out.append((d, " ".join(w)))
+    return out
+
+
+@pytest.mark.parametrize("mates", [4096, 5])
+def test_mates_of_large_and_small_leaders(spark, make, monkeypatch, mates):
+    """Sketches compared in a task, and differences beyond the bound, find the same links."""
+    monkeypatch.setattr(nj, "MATES", mates)
+    rng = random.Random(9)
+    rows = family(rng, 60, 80, 3)
+    # Some members are copied with a word changed: linked with their origin, not with the rest.
+    rows += [(100 + d, rows[d][1] + " tail") for d in range(0, 60, 4)]
+    sets = {d: shingles(t, 3) for d, t in rows}
+    want = jaccard_components(sets, 90)
+    got = components(make(rows), shingle=3, percent=90, n2=3)
+    assert {k: v[1] for k, v in got.items()} == want
+    assert len(set(want.values())) > 30
+
+
+def test_sketches_of_wide_sets_decide(spark, make, monkeypatch):
+    monkeypatch.setattr(nj, "WIDE_FROM", 50)
+    rng = random.Random(10)
+    rows = family(rng, 40, 120, 3) + [(200 + d, t + " more") for d, t in family(random.Random(10), 10, 120, 3)]
+    rows += [(300 + i, " ".join(f"s{i}_{j}" for j in range(30))) for i in range(5)]
+    want = jaccard_components({d: shingles(t, 3) for d, t in rows}, 90)
+    assert {k: v[1] for k, v in components(make(rows), shingle=3, percent=90, n2=3).items()} == want
+
+
+def test_written_pairs_grow_with_the_members(spark, make, monkeypatch):
+    """A family of unlinked members: what is written to be checked, against members."""
+    table_, written = Scratch.table, {}
+
+    def noted(self, df, name):
+        out = table_(self, df, name)
+        if name in ("pairs", "differences"):
+            written[name] = written.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(Scratch, "table", noted)
+    per = []
+    for members in (60, 240):
+        written.clear()
+        got = components(make(family(random.Random(11), members, 400, 9)), shingle=3, percent=90, n2=3)
+        assert len({c for _, c in got.values()}) == members
+        per.append(sum(written.values()) / members)
+    assert per[1] <= 2 * max(per[0], 4), per
+
+
+@pytest.mark.parametrize("percent, n2", [(80, 2), (90, 3)])
+def test_few_empty_projections(percent, n2):
+    """Unrelated sets of a band share no signature, whatever their size in the band."""
+    rng = np.random.default_rng(12)
+    for size in (40, 100, 333, 700, 1100):
+        sets = [np.unique(rng.integers(0, 2**63, size).astype(np.uint64)) for _ in range(40)]
+        idx, sig = nj.signatures(sets, percent, n2)
+        pairs = np.unique(np.stack([sig, idx.astype(np.uint64)]), axis=1)
+        shared = len(pairs[0]) - len(np.unique(pairs[0]))
+        assert shared <= 4, (size, shared)
+
+
 def test_keep_one_per_component(spark, make):
     near = " ".join(f"w{i}" for i in range(60))
     rows = [(5, near), (3, near + " z"), (3, near + " z"), (8, "other text here and more"), (9, None), (9, "")]
