@@ -206,10 +206,6 @@ def _index_row(bucket: int, index: BucketIndex) -> pd.DataFrame:
     )
 
 
-#: Stands for a null id on the way through pandas, which has no null integers.
-_NO_ID = (1 << 63) - 1
-
-
 def _apply(key, old: pd.DataFrame, ops: pd.DataFrame) -> pd.DataFrame:
     """One bucket: the stored index, if any, with the changes made."""
     bucket = int(key[0])
@@ -220,7 +216,7 @@ def _apply(key, old: pd.DataFrame, ops: pd.DataFrame) -> pd.DataFrame:
         index = BucketIndex()
     for row in ops.itertuples(index=False):
         change = index.delete if row.delete else index.insert
-        keeper = None if row.keeper == _NO_ID else int(row.keeper)
+        keeper = int(row.keeper) if row.named else None
         change(int(row.digest), bytes(row.content), keeper, int(row.n))
     return _index_row(bucket, index)
 
@@ -252,7 +248,9 @@ class DedupIndex:
             self._bucket().alias("bucket"),
             "digest",
             "content",
-            F.coalesce("keeper", F.lit(_NO_ID)).alias("keeper"),
+            # Pandas has no null integers: a flag says whether there is an id.
+            F.coalesce("keeper", F.lit(0).cast("long")).alias("keeper"),
+            F.col("keeper").isNotNull().alias("named"),
             (F.col("n") if counted else F.lit(0).cast("long")).alias("n"),
             F.lit(delete).alias("delete"),
         )

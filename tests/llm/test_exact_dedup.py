@@ -105,3 +105,18 @@ def test_index_lives_on(spark, make):
     assert state(index) == [(1, 2)]
     found = index.lookup(ed.digests(make([(7, "a"), (8, "b")]))).collect()
     assert sorted((r["doc_id"], r["keeper"]) for r in found) == [(7, 1), (8, None)]
+
+
+def test_any_long_is_an_id(spark, make):
+    """The greatest and least longs, 0 and null: one row of each group stays."""
+    top, low = 2**63 - 1, -(2**63)
+    rows = [(top, "a"), (top, "a"), (None, "b"), (top, "b"), (low, "c"), (top, "c"), (0, "d"), (None, "d"), (None, "e"), (None, "e")]
+    got = ed.exact_duplicates(make(rows)).collect()
+    keep = {"a": top, "b": top, "c": low, "d": 0, "e": None}
+    by = {}
+    text = dict(zip([r["content"] for r in ed.digests(make([(1, t) for t in keep])).collect()], keep))
+    for r in got:
+        by.setdefault(text[r["content"]], []).append((r["doc_id"], r["keep_id"], r["group_size"], r["kept"]))
+    for t, found in by.items():
+        assert len(found) == 2 and {x[1] for x in found} == {keep[t]} and sum(x[3] for x in found) == 1, (t, found)
+        assert all(x[0] == keep[t] for x in found if x[3])
