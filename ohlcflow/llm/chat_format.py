@@ -19,7 +19,10 @@ Results are rows, one per call and one per result without a call; no conversatio
 gathered into one value or task.
 
 Edge cases: null texts and texts that are no JSON object of these forms are ordinary
-messages. A call without identifier or name is ``malformed``. Of several calls (results)
+messages. A call without identifier or name is ``malformed``, and so is a call or result
+nested deeper than ``MAX_DEPTH``, kept as the text it is. Numbers may have any length and
+count by value. Half of a surrogate pair, which no UTF-8 text can hold, is written as its
+escape. Of several calls (results)
 with one identifier in a conversation the first by turn, then by content, counts; others
 are ``duplicate``. A result before its call's turn still links and is marked ``early``. A
 dependency on an unknown identifier is ``dangling``. Null conversation ids are one
@@ -30,7 +33,9 @@ from __future__ import annotations
 
 import json
 import math
+import re
 from collections.abc import Iterator, Mapping
+from decimal import Decimal
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -38,10 +43,69 @@ from pyspark.sql import functions as F
 
 from .common import scratch
 
+#: Lists and objects within one another up to which a call or result is read; deeper ones
+#: are malformed.
+MAX_DEPTH = 200
+
+_NUMBER = re.compile(r"(-?)(\d+)(?:\.(\d+))?(?:[eE]([+-]?\d+))?$")
+_BRACKETS = re.compile(r'"(?:[^"\\]|\\.)*"?|[\[\]{}]', re.DOTALL)
+_FORM = re.compile(r'\s*\{\s*"tool_(?:call|result)"\s*:')
+_SURROGATE = re.compile("[\ud800-\udfff]")
+
+
+def _exact(token: str) -> tuple[str, str, int]:
+    """``(sign, digits, exponent)`` of a JSON number, digits without zeros at either end."""
+    sign, whole, part, power = _NUMBER.match(token).groups()
+    part = part or ""
+    digits = (whole + part).lstrip("0")
+    short = digits.rstrip("0")
+    # An exponent of more digits than any size can have is as good as its sign.
+    power = max(-(10**18), min(10**18, int(power[:20]))) if power else 0
+    return (sign, short, power - len(part) + len(digits) - len(short)) if short else ("", "", 0)
+
+
+class Number:
+    """A JSON number, of any length: equal values have one ``text``."""
+
+    def __init__(self, token: str):
+        self.key = sign, digits, power = _exact(token)
+        point = len(digits) + power
+        if not digits:
+            self.text = "0"
+        elif 0 < point <= 21:
+            self.text = sign + (digits + "0" * power if power >= 0 else f"{digits[:point]}.{digits[point:]}")
+        elif -6 < point <= 0:
+            self.text = f"{sign}0.{'0' * -point}{digits}"
+        else:
+            self.text = f"{sign}{digits[0]}{'.' + digits[1:] if len(digits) > 1 else ''}e{point - 1:+d}"
+
+    @property
+    def integral(self) -> bool:
+        return self.key[2] >= 0
+
+    def compare(self, other: float) -> int:
+        """-1, 0 or 1 against a bound of a schema, exactly."""
+        if math.isinf(other):
+            return -1 if other > 0 else 1
+        a, b = self.key, _exact(format(Decimal(other), "f") if isinstance(other, float) else str(other))
+        if a == b:
+            return 0
+
+        def order(k: tuple[str, str, int]) -> tuple:
+            # By sign, then place of the first digit, then digits.
+            return (0, 0, "") if not k[1] else (1, len(k[1]) + k[2], k[1])
+
+        side = lambda k: 0 if not k[1] else -1 if k[0] else 1
+        if side(a) != side(b):
+            return -1 if side(a) < side(b) else 1
+        less = order(a) < order(b)
+        return (-1 if less else 1) * side(a)
+
+
 _TYPES = {
     "string": lambda v: isinstance(v, str),
-    "integer": lambda v: isinstance(v, int) and not isinstance(v, bool) or isinstance(v, float) and v.is_integer(),
-    "number": lambda v: isinstance(v, (int, float)) and not isinstance(v, bool),
+    "integer": lambda v: isinstance(v, Number) and v.integral,
+    "number": lambda v: isinstance(v, Number),
     "boolean": lambda v: isinstance(v, bool),
     "null": lambda v: v is None,
     "array": lambda v: isinstance(v, list),
@@ -49,26 +113,47 @@ _TYPES = {
 }
 
 
+def read_json(text: str):
+    """The value of a JSON text, numbers as :class:`Number`; ValueError if it is none or nested
+    deeper than ``MAX_DEPTH``. ``NaN`` and infinities are null."""
+    depth = 0
+    if text.count("[") + text.count("{") > MAX_DEPTH:
+        for m in _BRACKETS.finditer(text):
+            depth += {"[": 1, "{": 1, "]": -1, "}": -1}.get(m.group()[0], 0)
+            if depth > MAX_DEPTH:
+                raise ValueError("nested too deep")
+    return json.loads(text, parse_int=Number, parse_float=Number, parse_constant=lambda _: None)
+
+
+def plain_text(text: str) -> str:
+    """``text`` as UTF-8 can hold it: half a surrogate pair as its escape."""
+    return _SURROGATE.sub(lambda m: f"\\u{ord(m.group()):04x}", text)
+
+
 def canonical_json(value) -> str:
-    """One text for equal values: sorted names, no spaces, integral numbers as integers."""
+    """One text for equal values: names sorted by code point, no spaces, numbers by value
+    (whole ones up to 21 digits without a point or exponent), half a surrogate pair as its escape."""
+    if isinstance(value, Number):
+        return value.text
+    if isinstance(value, dict):
+        return "{" + ",".join(f"{canonical_json(k)}:{canonical_json(value[k])}" for k in sorted(value)) + "}"
+    if isinstance(value, list):
+        return "[" + ",".join([canonical_json(x) for x in value]) + "]"
+    if isinstance(value, float) and not math.isfinite(value):
+        return "null"
+    if isinstance(value, (int, float)) and not isinstance(value, bool):
+        return Number(repr(value)).text
+    return plain_text(json.dumps(value, ensure_ascii=False))
 
-    def plain(v):
-        if isinstance(v, dict):
-            return {k: plain(v[k]) for k in sorted(v)}
-        if isinstance(v, list):
-            return [plain(x) for x in v]
-        if isinstance(v, float):
-            if not math.isfinite(v):
-                return None
-            return int(v) if v.is_integer() and abs(v) < 2**53 else v
-        return v
 
-    return json.dumps(plain(value), ensure_ascii=False, separators=(",", ":"))
+def _of_python(value):
+    """A value of a schema with its numbers as :class:`Number`."""
+    return read_json(json.dumps(value))
 
 
 def schema_errors(value, schema: Mapping, path: str = "$") -> list[str]:
-    """What in ``value`` breaks ``schema`` (a subset of JSON Schema); references to
-    results stand for any value."""
+    """What in ``value`` (of :func:`read_json`) breaks ``schema`` (a subset of JSON Schema);
+    references to results stand for any value."""
     if isinstance(value, dict) and set(value) == {"$result"}:
         return []
     errors = []
@@ -76,10 +161,10 @@ def schema_errors(value, schema: Mapping, path: str = "$") -> list[str]:
     kinds = [kinds] if isinstance(kinds, str) else kinds
     if kinds and not any(_TYPES[k](value) for k in kinds):
         return [f"{path}: not {' or '.join(kinds)}"]
-    if "enum" in schema and value not in schema["enum"]:
+    if "enum" in schema and canonical_json(value) not in {canonical_json(_of_python(x)) for x in schema["enum"]}:
         errors.append(f"{path}: not one of the values")
-    if isinstance(value, (int, float)) and not isinstance(value, bool):
-        if value < schema.get("minimum", -math.inf) or value > schema.get("maximum", math.inf):
+    if isinstance(value, Number):
+        if value.compare(schema.get("minimum", -math.inf)) < 0 or value.compare(schema.get("maximum", math.inf)) > 0:
             errors.append(f"{path}: out of range")
     if isinstance(value, str) and not schema.get("minLength", 0) <= len(value) <= schema.get("maxLength", math.inf):
         errors.append(f"{path}: length")
@@ -100,7 +185,8 @@ def schema_errors(value, schema: Mapping, path: str = "$") -> list[str]:
 def _references(value) -> set[str]:
     if isinstance(value, dict):
         if set(value) == {"$result"}:
-            return {str(value["$result"])}
+            to = value["$result"]
+            return {plain_text(to) if isinstance(to, str) else canonical_json(to)}
         return set().union(*[_references(v) for v in value.values()])
     if isinstance(value, list):
         return set().union(*[_references(v) for v in value])
@@ -115,9 +201,11 @@ def _parse(tools: Mapping[str, Mapping]):
 
     def one(text: str) -> tuple | None:
         try:
-            value = json.loads(text)
+            value = read_json(text)
         except ValueError:
-            return None
+            # A call or result that cannot be read is kept, as the text it is.
+            deep = _FORM.match(text) and text.count("[") + text.count("{") > MAX_DEPTH
+            return ("malformed", None, None, canonical_json(text), [], ["nested too deep"]) if deep else None
         if not isinstance(value, dict) or len(value) != 1:
             return None
         if isinstance(call := value.get("tool_call"), dict):
@@ -125,12 +213,13 @@ def _parse(tools: Mapping[str, Mapping]):
             if not isinstance(ident, str) or not isinstance(name, str):
                 return "malformed", None, None, canonical_json(call), [], ["malformed call"]
             errors = schema_errors(args, tools[name]) if name in tools else ["unknown tool"]
-            return "call", ident, name, canonical_json(args), sorted(_references(args)), errors
+            errors = [plain_text(x) for x in errors]
+            return "call", plain_text(ident), plain_text(name), canonical_json(args), sorted(_references(args)), errors
         if isinstance(result := value.get("tool_result"), dict):
             ident = result.get("id")
             if not isinstance(ident, str):
                 return "malformed", None, None, canonical_json(result), [], ["malformed result"]
-            return "result", ident, None, canonical_json(result.get("content")), [], []
+            return "result", plain_text(ident), None, canonical_json(result.get("content")), [], []
         return None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

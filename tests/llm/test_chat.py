@@ -122,3 +122,125 @@ def test_conversations(spark):
         assert body["result"] == (answer["text"] if answered else None)
         assert r["valid"] == (1 <= body["arguments"]["words"] <= 100)
         assert r["level"] == (t // 2).bit_length()
+
+
+def test_no_message_ends_the_job(spark):
+    """Integers of any length, deep nesting and half surrogate pairs: every call stays."""
+    long = "7" * 5000
+    deep = '{"tool_call":{"id":"deep","name":"search","arguments":{"q":' + "[" * 100_000 + "]" * 100_000 + "}}}"
+    rows = [
+        msg(1, 0, '{"tool_call":{"id":"long","name":"search","arguments":{"q":"x","k":%s}}}' % long),
+        msg(1, 1, deep), msg(1, 2, "[" * 100_000 + '"tool_call"'),
+        msg(1, 3, '{"tool_call":{"id":"s\\ud800","name":"search","arguments":{"q":"\\udc00 \\ud83d\\ude00"}}}'),
+        msg(1, 4, '{"tool_result":{"id":"s\\ud800","content":"\\ud800"}}'),
+        msg(1, 5, '{"tool_call":{"id":"big","name":"search","arguments":{"q":"x","k":1e999999999999}}}'),
+        msg(1, 6, '{"tool_call":{"id":"one","name":"search","arguments":{"q":"x","k":10e-1}}}'),
+        msg(1, 7, '{"tool_call":{"id":"x\\ud800","name":"n\\ud800","arguments":{"\\ud800":1}}}'),
+    ]
+    got = {r["id"]: r for r in link(spark, rows)}
+    assert len(got) == 6
+    assert got["long"]["errors"] == ["$.k: out of range"] and ("7." + "7" * 4999 + "e+4999") in got["long"]["json"]
+    assert got[None]["status"] == "malformed" and got[None]["errors"] == ["nested too deep"]
+    assert json.loads(got[None]["json"]) == deep
+    s = got["s\\ud800"]
+    assert s["status"] == "linked" and s["json"].endswith('"result":"\\ud800"}') and "😀" in s["json"]
+    assert got["big"]["errors"] == ["$.k: out of range"] and got["one"]["valid"]
+    assert got["x\\ud800"]["errors"] == ["unknown tool"]
+
+
+@pytest.mark.parametrize(
+    "texts",
+    [
+        ["10000000000000000", "1e16", "1E+16", "1.0e16", "10000000000000000.0"], ["0", "-0", "0.0", "0e5"],
+        ["-1.5", "-15e-1", "-1.50"], ["1e400", "10e399"], ["0.1", "1e-1", "0.10"], ["9007199254740993", "9007199254740993.0"],
+    ],
+)
+def test_equal_numbers_have_one_text(texts):
+    assert len({cf.canonical_json(cf.read_json(t)) for t in texts}) == 1
+
+
+def test_numbers_compare_exactly():
+    import random
+    from decimal import Decimal
+
+    rng = random.Random(2)
+
+    def token():
+        kind = rng.randrange(4)
+        if kind == 0:
+            return str(rng.randint(-50, 50))
+        if kind == 1:
+            return f"{rng.randint(-9, 9)}.{rng.randint(0, 99)}"
+        return f"{rng.randint(1, 9)}e{rng.randint(-3, 3)}" if kind == 2 else str(rng.randint(-(10**25), 10**25))
+
+    for _ in range(3000):
+        a, b = token(), token()
+        bound = int(Decimal(b)) if Decimal(b) == int(Decimal(b)) else float(b)
+        exact = Decimal(a).compare(Decimal(bound))
+        assert cf.Number(a).compare(bound) == exact
+        assert Decimal(cf.Number(a).text) == Decimal(a)
+        assert (cf.Number(a).text == cf.Number(b).text) == (Decimal(a) == Decimal(b))
+    assert cf.Number("9007199254740993").compare(9007199254740992) == 1
+
+
+def brute(messages):
+    """(conv, id) -> (status, level) by plain recursion over each conversation."""
+    calls, results = {}, {}
+    for conv, turn, text in messages:
+        value = json.loads(text)
+        if "tool_call" in value:
+            c = value["tool_call"]
+            calls.setdefault((conv, c["id"]), []).append((turn, cf.canonical_json(cf.read_json(json.dumps(c["arguments"]))), c["arguments"]))
+        else:
+            results.setdefault((conv, value["tool_result"]["id"]), []).append(turn)
+    first = {k: min(v, key=lambda x: x[:2]) for k, v in calls.items()}
+
+    def refs(value):
+        if isinstance(value, dict):
+            return {value["$result"]} if set(value) == {"$result"} else set().union(*map(refs, value.values()), set())
+        return set().union(*map(refs, value), set()) if isinstance(value, list) else set()
+
+    level = {}
+    deps = {k: {(k[0], r) for r in refs(v[2])} for k, v in first.items()}
+    while True:
+        ready = {k for k in deps if k not in level and all(d in level for d in deps[k])}
+        if not ready:
+            break
+        level.update({k: max((level[d] + 1 for d in deps[k]), default=0) for k in ready})
+    out = {}
+    for k, (turn, _, _) in first.items():
+        if any(d not in first for d in deps[k]):
+            status = "dangling"
+        elif k not in level:
+            status = "cyclic"
+        elif k not in results:
+            status = "unanswered"
+        else:
+            status = "early" if min(results[k]) < turn else "linked"
+        out[k] = (status, level.get(k))
+    spare = sum(len(v) - 1 for v in [*calls.values(), *results.values()])
+    return out, spare, {k for k in results if k not in calls}
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_random_conversations(spark, seed):
+    """Graphs with cycles, unknown and repeated identifiers, results before their calls."""
+    import random
+
+    rng = random.Random(seed)
+    messages = []
+    for conv in range(25):
+        ids = [f"c{i}" for i in range(rng.randint(1, 9))]
+        for turn in range(rng.randint(1, 18)):
+            if rng.random() < 0.6:
+                some = [{"$result": rng.choice(ids + ["gone"] * (rng.random() < 0.1))} for _ in range(rng.choice([0, 0, 1, 1, 2]))]
+                messages.append((conv, turn, call(rng.choice(ids), {"q": "x", "tags": some, "k": turn % 3 + 1})))
+            else:
+                messages.append((conv, turn, result(rng.choice(ids), turn)))
+    rng.shuffle(messages)
+    want, spare, orphans = brute(messages)
+    got = link(spark, [msg(*m) for m in messages])
+    named = {(r["conv_id"], r["id"]): (r["status"], r["level"]) for r in got if r["status"] not in ("duplicate", "orphan")}
+    assert named == want
+    assert sum(r["status"] == "duplicate" for r in got) == spare
+    assert {(r["conv_id"], r["id"]) for r in got if r["status"] == "orphan"} == orphans
