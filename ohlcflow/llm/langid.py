@@ -224,9 +224,8 @@ def _predict(model: LanguageModel, columns: list[str], text_col: str, spans: boo
         langs, conf, runs = [], [], []
         for i in range(batch.num_rows):
             a, b = first[i], first[i + 1]
-            # Signs outside ASCII count as words until here.
-            doubtful = a < b and (not some[a:b].any() or letters[a:b].sum() <= 2)
-            if a == b or doubtful and not _has_letter(texts[i].as_py()):
+            # Signs outside ASCII count as words until here; a letter is mostly found at once.
+            if a == b or not _has_letter(texts[i].as_py()):
                 langs.append("und")
                 conf.append(0.0)
                 runs.append([])

@@ -101,3 +101,13 @@ def test_counts_are_of_all_rows(spark):
     sums = docs.select("text", "lang").mapInArrow(langid._count, "lang string, bucket long, n long")
     total = sums.where(F.col("bucket") < langid.BUCKETS).agg(F.sum("n")).first()[0]
     assert total == 500 * 3  # one trigram per letter
+
+
+def test_texts_of_signs_have_no_language(spark):
+    """Signs that share their first byte with letters of a learned script are no letters."""
+    rows = [(i, t, lang) for i, (t, lang) in enumerate([("él está aquí mañana señor año", "es"), ("これはテストです。ありがとう", "ja"), ("это не так просто", "ru")] * 5)]
+    model = langid.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    signs = ["× × × × × ×", "÷÷÷÷÷÷ ÷÷", "。。 。 。、", "١٢٣ ×÷", "… — „“ №"]
+    got = langid.identify(spark.createDataFrame([(t,) for t in signs + ["×× mañana", "。これ"]], "text string"), model).collect()
+    assert [(r["lang_pred"], r["lang_score"]) for r in got[:5]] == [("und", 0.0)] * 5
+    assert [r["lang_pred"] for r in got[5:]] == ["es", "ja"]
