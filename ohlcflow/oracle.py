@@ -328,6 +328,10 @@ SELECT CAST(0 AS DOUBLE) AS high, CAST(0 AS DOUBLE) AS low, CAST(0 AS DOUBLE) AS
 FROM events
 """,
         "stream_dedupe_parity": f"SELECT *, CAST(0 AS BIGINT) AS dropped_as_late FROM ({_SERVED_TICKS})",
+        "stream_dedupe_expiry": f"""
+SELECT *, (SELECT count(*) FROM events WHERE CAST(ts AS DATE) = (SELECT CAST(min(ts) AS DATE) FROM events)) AS dropped_as_late
+FROM ({_SERVED_TICKS})
+""",
         "sink_new_checkpoint": _SERVED_TICKS,
         "stream_latest_price": f"""
 SELECT CAST(user_id AS VARCHAR) AS symbol, arg_max(value, (ts, event_id)) AS close, strftime(max(ts), {_TS}) AS time,

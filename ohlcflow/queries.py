@@ -10,6 +10,7 @@ summation order cannot change the value.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -515,6 +516,33 @@ def stream_dedupe_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stream_dedupe_expiry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q15 with state that expires: deliveries by time, each repeating the six hours before it,
+    half a day of watermark; the last also repeats the first day, weeks late. Every record comes
+    out once, and what is behind the watermark is counted, not served again."""
+    records = fixtures.tick_records(table(spark, sf_dir, "events"))
+    lo, hi = records.agg(F.min("ts"), F.max("ts")).first()
+    step = (hi - lo) / DELIVERIES
+    src, sink = scratch_path(spark, "expiry-src"), scratch_path(spark, "expiry-sink")
+    late = 0
+    for n in range(DELIVERIES):
+        since = lo + step * n - timedelta(hours=LATE_HOURS)
+        part = records.where(F.col("ts") >= F.lit(since))
+        if n < DELIVERIES - 1:
+            part = part.where(F.col("ts") < F.lit(lo + step * (n + 1)))
+        else:
+            part = part.union(records.where(F.to_date("ts") == F.lit(lo.date())))
+        part.coalesce(1).write.mode("append").parquet(src)
+        stream = spark.readStream.schema(records.schema).parquet(src)
+        unique = dedupe_stream(stream, ["event_id"], "ts", f"{2 * LATE_HOURS} hours")
+        q = start_tick_consumer(tick_stream(unique), sink, f"{sink}-ckpt", fmt="parquet")
+        q.awaitTermination()
+        late += dropped_as_late(q)
+    clean_scratch(spark, src, f"{sink}-ckpt")
+    out = read_sink(spark, sink, schema=TICK_SINK_SCHEMA).drop("time", "batch_id", "run", "written_at")
+    return out.withColumn("dropped_as_late", F.lit(late).cast("long"))
+
+
 def stream_ohlcv_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AGG-2 on a stream: hourly bars with a watermark in update mode.
 
@@ -842,6 +870,7 @@ def _registry() -> dict[str, Query]:
         "stream_ticks_parity": stream_ticks_parity,
         "stream_ohlcv_parity": stream_ohlcv_parity,
         "stream_dedupe_parity": stream_dedupe_parity,
+        "stream_dedupe_expiry": stream_dedupe_expiry,
         "stream_quote_producer": stream_quote_producer,
         "stream_latest_price": stream_latest_price,
         "stream_enriched_ticks": stream_enriched_ticks,
