@@ -40,6 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import lower_case, signed, text_blocks, word_hashes, words
+from .common import own_names
 
 #: Hashed dimensions, words of a passage, rank of the space, oversampling.
 DIMENSIONS, PASSAGE, RANK, MORE = 4096, 64, 48, 8
@@ -56,6 +57,8 @@ COMMON, COUNTED = 0.05, 0.2
 #: by items) held at a time.
 STEPS = 2
 COUNT_CELLS = 4_000_000
+#: Cells (items by words) up to which the words of items are looked up in a table.
+SLOT_CELLS = 4_000_000
 #: Ratio between window lengths of neighbouring classes; items compared at a time.
 LENGTH_STEP, ITEM_BLOCK = 1.5, 4096
 #: Bytes of text that a task maps at a time.
@@ -302,12 +305,28 @@ class _Items:
         self.classes = {k: np.array(v) for k, v in self.classes.items()}
         self.vocab = np.unique(np.array([x for w in self.words for x in w], np.int64))
         df = np.bincount(np.searchsorted(self.vocab, [x for t in self.times for x in t]), minlength=len(self.vocab))
+        # Each item's words by their number in the vocabulary, and how often it has them.
+        self.kinds = [np.unique(np.searchsorted(self.vocab, np.array(x, np.int64)), return_counts=True) for x in self.words]
+        # The same as a table, where it is small.
+        self.slots = None
+        if len(ids) * len(self.vocab) <= SLOT_CELLS:
+            self.slots = np.full((len(ids), len(self.vocab)), -1, np.int32)
+            for i, (v, _) in enumerate(self.kinds):
+                self.slots[i, v] = np.arange(len(v))
         self.overlaps = [
             _Overlap(v[b : b + ITEM_BLOCK], k, self.words, self.vocab, df, len(ids))
             for k, v in self.classes.items()
             for b in range(0, len(v), ITEM_BLOCK)
         ]
 
+    def places(self, item: int, word: np.ndarray) -> np.ndarray:
+        """Which of the item's words each word of the vocabulary is; -1 for none."""
+        if self.slots is not None:
+            return self.slots[item][word]
+        ids = self.kinds[item][0]
+        at = np.minimum(ids.searchsorted(word), len(ids) - 1)
+        return np.where(ids[at] == word, at, -1)
+
     @staticmethod
     def _hash(text: str) -> np.ndarray:
         raw = np.frombuffer(text.encode(), np.uint8)
@@ -344,8 +363,11 @@ def _find(items: _Items, keep: list[str], text_col: str):
             return share, told
         return None
 
-    def shared_words(w: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, int, float, float, float]]:
-        """``(text, item, cosine, lcs, answer)`` of what is found by words in common."""
+    def shared_words(
+        w: np.ndarray, first: np.ndarray, maybe: set[tuple[int, int]]
+    ) -> Iterator[tuple[int, int, float, float, float]]:
+        """``(text, item, cosine, lcs, answer)`` of what is found by words in common; all pairs
+        that have enough of them go to ``maybe``."""
         if not len(items.vocab):
             return
         weights = items.space.weights
@@ -358,23 +380,24 @@ def _find(items: _Items, keep: list[str], text_col: str):
         before[order[again + 1]] = pos[order[again]]
         best: dict[tuple[int, int], tuple[int, int, float, float]] = {}
         for group in items.overlaps:
-            for lo, m in zip(*(x.tolist() for x in group.stretches(pos, word, before, len(w)))):
+            begin, which = group.stretches(pos, word, before, len(w))
+            ends = pos.searchsorted(begin), pos.searchsorted(begin + (STEPS + 1) * group.step)
+            for lo, m, i, j in zip(*(x.tolist() for x in (begin, which, *ends))):
                 it, span = int(group.part[m]), int(group.spans[m])
-                times, n = items.times[it], len(items.words[it])
-                places: dict[int, list[int]] = {}
-                found, full = [], []
-                i, j = np.searchsorted(pos, [lo, lo + (STEPS + 1) * group.step])
-                for at, x in zip(pos[i:j].tolist(), w[pos[i:j]].tolist()):
-                    if x in times:
-                        was = places.setdefault(x, [])
-                        found.append(at)
-                        # From here on the word's places in the item are taken.
-                        full.append(was[-times[x]] if len(was) >= times[x] else -1)
-                        was.append(at)
+                tf, n = items.kinds[it][1], len(items.words[it])
+                kind = items.places(it, word[i:j])
+                hit = (kind >= 0).nonzero()[0]
+                kind = kind[hit]
                 # No more than this many places of the item can be found.
-                if sum([min(len(x), times[v]) for v, x in places.items()]) < _least(n):
+                if np.minimum(np.bincount(kind, minlength=len(tf)), tf).sum() < _least(n):
                     continue
-                found, full = np.array(found), np.array(full)
+                found = pos[i:j][hit]
+                # Where a word's places in the item are taken: as many occurrences before.
+                by_word = np.argsort(kind, kind="stable")
+                at, of = found[by_word], kind[by_word]
+                nth = np.arange(len(of)) - np.searchsorted(of, of)
+                full = np.full(len(found), -1)
+                full[by_word] = np.where(nth >= tf[of], at[np.maximum(np.arange(len(of)) - tf[of], 0)], -1)
                 # Surroundings begin at a word of the item, in the first step, and end with the text.
                 start = found[found < lo + group.step]
                 text = np.searchsorted(first, start, side="right") - 1
@@ -382,10 +405,10 @@ def _find(items: _Items, keep: list[str], text_col: str):
                 count = (
                     (found >= start[:, None]) & (found < end[:, None]) & (full < start[:, None])
                 ).sum(axis=1)
-                for j in np.argsort(-count, kind="stable").tolist():
+                enough = np.flatnonzero(count >= _least(n))
+                maybe.update((int(t), it) for t in set(text[enough].tolist()))
+                for j in enough[np.argsort(-count[enough], kind="stable")].tolist():
                     t, at = int(text[j]), int(start[j])
-                    if count[j] < _least(n):
-                        break
                     old = best.get((t, it))
                     if old is not None and count[j] <= old[2] * n:
                         continue
@@ -411,20 +434,28 @@ def _find(items: _Items, keep: list[str], text_col: str):
                 h, first = _hashed_words(off, data)
                 if not len(h):
                     continue
-                length = np.diff(first)
-                # A row per direction: running sums go along contiguous memory.
-                sums = np.zeros((weights.shape[1], len(h) + 1), np.float32)
-                np.cumsum(np.take(by_direction, _dims(h, len(weights)), axis=1), axis=1, out=sums[:, 1:])
                 w = signed(h)
-                best: dict[tuple[int, int], tuple] = {(t, it): x for t, it, *x in shared_words(w, first)}
+                maybe: set[tuple[int, int]] = set()
+                best: dict[tuple[int, int], tuple] = {(t, it): x for t, it, *x in shared_words(w, first, maybe)}
+                if not maybe:
+                    continue
+                # Only texts with a pair that can pass are mapped.
+                some = np.array(sorted({t for t, _ in maybe}))
+                length = np.zeros(len(first) - 1, np.int64)
+                length[some] = np.diff(first)[some]
+                start = np.concatenate(([0], np.cumsum(length)))
+                mapped = np.arange(start[-1]) + np.repeat(first[:-1] - start[:-1], length)
+                # A row per direction: running sums go along contiguous memory.
+                sums = np.zeros((weights.shape[1], len(mapped) + 1), np.float32)
+                np.cumsum(np.take(by_direction, _dims(h[mapped], len(weights)), axis=1), axis=1, out=sums[:, 1:])
                 for size, members in items.classes.items():
                     stride = max(size // 3, 1)
                     # Windows of each text, the last one flush with its end.
                     n_win = np.where(length > 0, 1 + np.maximum(-(-(length - size) // stride), 0), 0)
                     text = np.repeat(np.arange(len(length)), n_win)
                     k = np.arange(len(text)) - np.repeat(np.cumsum(n_win) - n_win, n_win)
-                    lo = first[text] + np.minimum(k * stride, np.maximum(length[text] - size, 0))
-                    hi = np.minimum(lo + size, first[text + 1])
+                    lo = start[text] + np.minimum(k * stride, np.maximum(length[text] - size, 0))
+                    hi = np.minimum(lo + size, start[text + 1])
                     x = np.take(sums, hi, axis=1) - np.take(sums, lo, axis=1)
                     least = COSINE * np.maximum(np.sqrt(np.einsum("ij,ij->j", x, x)), 1e-12)
                     for b in range(0, len(members), ITEM_BLOCK):
@@ -432,11 +463,14 @@ def _find(items: _Items, keep: list[str], text_col: str):
                         like = items.vectors[part] @ x
                         for m, q in zip(*np.nonzero(like >= least)):
                             t, it = int(text[q]), int(part[m])
+                            # Fewer words in common than any subsequence that passes has.
+                            if (t, it) not in maybe:
+                                continue
                             c = float(like[m, q] / least[q] * COSINE)
                             old = best.get((t, it))
                             if old is not None and old[1] >= 1.0:
                                 continue
-                            got = check(w[first[t] : first[t + 1]], it, int(lo[q] - first[t]), size)
+                            got = check(w[first[t] : first[t + 1]], it, int(lo[q] - start[t]), size)
                             if got and (old is None or got[0] > old[1]):
                                 best[t, it] = (c, *got)
                 for (t, it), (c, share, told) in sorted(best.items()):
@@ -463,6 +497,7 @@ def _items(benchmark: DataFrame, space: LatentSpace, item_id: str, item_text: st
     return _Items([r["id"] for r in got], [r["text"] for r in got], space)
 
 
+@own_names("item_id", "cosine", "lcs_share", "answer_share")
 def contaminated(
     docs: DataFrame,
     benchmark: DataFrame,

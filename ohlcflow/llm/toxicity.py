@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import lower_case, mix, prefix_sums, separated, signed, span_hashes, text_blocks, word_hashes, words
-from .common import scratch
+from .common import own_names, scratch
 
 #: Labelled rows of each label that the lexicon and the logistic model are fitted on.
 SAMPLE_PER_CLASS = 4000
@@ -151,9 +151,37 @@ def character_model(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     return np.log(p3)
 
 
+#: Pairs of a word and a cluster that a task holds before it folds them, and that it may keep.
+HELD_PAIRS = 2_000_000
+
+
+def _folded(h: np.ndarray, cluster: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct pairs, of each word the first ``WORD_ROWS``: as many as decide."""
+    order = np.lexsort((cluster, h))
+    h, cluster = h[order], cluster[order]
+    new = np.ones(len(h), bool)
+    new[1:] = (h[1:] != h[:-1]) | (cluster[1:] != cluster[:-1])
+    h, cluster = h[new], cluster[new]
+    start = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
+    few = np.arange(len(h)) - np.repeat(start, np.diff(np.append(start, len(h)))) < WORD_ROWS
+    return h[few], cluster[few]
+
+
 def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(word, cluster) rows: each word of a block with the clusters of the texts it is in, as
-    many as decide that it is in ``WORD_ROWS`` of them."""
+    """(word, cluster) rows: each word of a task with the clusters of the texts it is in, as
+    many as decide that it is in ``WORD_ROWS`` of them. Pairs are folded over the blocks of a task,
+    so a common word is sent a few times a task; a task that has too many words sends what it has
+    and begins anew."""
+
+    def rows(h: np.ndarray, cluster: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for i in range(0, len(h), 100_000):
+            part = slice(i, i + 100_000)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(signed(h[part])), pa.array(signed(cluster[part]))], names=["word", "cluster"]
+            )
+
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    n = 0
     for batch in batches:
         for _, _, off, data in text_blocks(batch, "text"):
             off, low = separated(off, lower_case(data))
@@ -162,18 +190,16 @@ def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             h = span_hashes(prefix_sums(low), s, e)
             of = np.repeat(np.arange(len(off) - 1), np.diff(first))
-            cluster = _near_copies(h, of, len(off) - 1)[of]
-            order = np.lexsort((cluster, h))
-            h, cluster = h[order], cluster[order]
-            new = np.ones(len(h), bool)
-            new[1:] = (h[1:] != h[:-1]) | (cluster[1:] != cluster[:-1])
-            h, cluster = h[new], cluster[new]
-            start = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
-            nth = np.arange(len(h)) - np.repeat(start, np.diff(np.append(start, len(h))))
-            few = nth < WORD_ROWS
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(signed(h[few])), pa.array(signed(cluster[few]))], names=["word", "cluster"]
-            )
+            held.append(_folded(h, _near_copies(h, of, len(off) - 1)[of]))
+            n += len(held[-1][0])
+            if n > HELD_PAIRS:
+                held = [_folded(*(np.concatenate(x) for x in zip(*held)))]
+                n = len(held[0][0])
+                if n > HELD_PAIRS // 2:
+                    yield from rows(*held[0])
+                    held, n = [], 0
+    if held:
+        yield from rows(*_folded(*(np.concatenate(x) for x in zip(*held))))
 
 
 def word_table(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -390,11 +416,18 @@ def suspects(offsets: np.ndarray, data: np.ndarray) -> list[tuple[int, int, int]
         first, after = np.concatenate(([0], cut)), np.concatenate((cut, [len(unit)]))
         singles = np.concatenate(([0], np.cumsum(alone)))
         singles = singles[after] - singles[first]
-        for k in np.flatnonzero((singles >= 3) & (2 * singles >= after - first)).tolist():
-            lo, hi = int(unit[first[k]]), int(end[after[k] - 1])
-            if _ASCII_LETTER[data[lo:hi]].sum() >= 3:
-                spans = [x for x in spans if x[1] <= lo or x[0] >= hi]
-                spans.append((lo, hi, SPELLED))
+        k = np.flatnonzero((singles >= 3) & (2 * singles >= after - first))
+        lo, hi = unit[first[k]], end[after[k] - 1]
+        letters = np.concatenate(([0], np.cumsum(_ASCII_LETTER[data])))
+        some = letters[hi] - letters[lo] >= 3
+        lo, hi = lo[some], hi[some]
+        if len(lo):
+            # Runs follow one another; a span that one overlaps gives way to it.
+            a, b = (np.array([x[c] for x in spans], np.int64) for c in range(2))
+            next_ = np.searchsorted(hi, a, side="right")
+            free = (next_ == len(lo)) | (lo[np.minimum(next_, len(lo) - 1)] >= b)
+            spans = [x for x, ok in zip(spans, free.tolist()) if ok]
+            spans += [(x, y, SPELLED) for x, y in zip(lo.tolist(), hi.tolist())]
     return sorted(spans)
 
 
@@ -650,6 +683,7 @@ def _scored(model: ToxicityModel, columns: list[str], text_col: str):
     return run
 
 
+@own_names("toxicity")
 def score_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text", keep_text: bool = True) -> DataFrame:
     """``docs`` with ``toxicity`` from 0 to 1; without the text where it is not wanted."""
     columns = [c for c in docs.columns if keep_text or c != text_col]

@@ -167,3 +167,14 @@ def test_benchmark_bound(spark, make):
     bench = spark.createDataFrame([(i, "some item text") for i in range(5)], "item_id long, text string")
     with pytest.raises(ValueError):
         dc.contaminated(make([(1, "a b c")]), bench, max_items=4)
+
+
+def test_words_of_items_looked_up_without_a_table(spark, make, corpus, monkeypatch):
+    """Items by words beyond the table's bound: the same rows."""
+    docs, items, _ = corpus
+    bench = spark.createDataFrame(items + [(99, " ".join(items[3][1].split()[:9] * 2))], "item_id long, text string")
+    space = dc.latent_space(make(docs))
+    got = lambda: sorted(map(tuple, dc.contaminated(make(docs).select("doc_id", "text"), bench, space).collect()))
+    with_table = got()
+    monkeypatch.setattr(dc, "SLOT_CELLS", 0)
+    assert got() == with_table and with_table

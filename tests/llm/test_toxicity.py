@@ -174,3 +174,45 @@ def test_query_is_held_out(spark):
     assert all(r["predicted"] == int(r["score"] >= 0.5) for r in rows)
     seen = [r for r in rows if r["toxic"] is not None and r["held_out"]]
     assert sum(r["toxic"] == r["predicted"] for r in seen) / len(seen) > 0.85
+
+
+def test_query_finds_held_out_toxic_rows(spark):
+    """Recall, precision and ranking on labelled rows that were held out (always answering 0
+    would be right for most)."""
+    from ohlcflow.llm.queries import op6_toxicity
+
+    sf = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    seen = op6_toxicity(spark, sf).where("held_out").join(labels.where("toxic is not null"), "doc_id").collect()
+    bad, good = ([r["score"] for r in seen if r["toxic"] == k] for k in (1, 0))
+    assert len(bad) > 50
+    assert sum(x >= 0.5 for x in bad) / len(bad) >= 0.85
+    assert sum(x >= 0.5 for x in good) / len(good) <= 0.02
+    auc = sum((x > y) + 0.5 * (x == y) for x in bad for y in good) / (len(bad) * len(good))
+    assert auc >= 0.93
+
+
+def test_many_spelled_runs_are_linear():
+    """A megabyte of them in one text."""
+    import time
+
+    text = ("so i d i o t went h o m e and n-i-c-e people st00pid " * 19_000).encode()
+    data = np.frombuffer(text, np.uint8)
+    began = time.process_time()
+    found = tx.suspects(np.array([0, len(data)]), data)
+    assert time.process_time() - began < 5
+    assert sum(kind == tx.SPELLED for _, _, kind in found) >= 3 * 19_000 - 2
+    assert all(a[1] <= b[0] for a, b in zip(found, found[1:]))
+
+
+def test_word_pairs_are_folded_alike(spark, monkeypatch):
+    """However often a task folds what it holds, the same words are known."""
+    rng = np.random.default_rng(4)
+    vocab = [f"{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}word" for i in range(400)]
+    rows = [(" ".join(rng.choice(vocab, 8)),) for _ in range(300)] * 2
+    docs = spark.createDataFrame(rows, "text string").coalesce(2)
+    known = lambda: {r["word"] for r in tx.word_table(docs).collect()}
+    whole = known()
+    monkeypatch.setattr(tx, "HELD_PAIRS", 50)
+    monkeypatch.setattr(tx, "text_blocks", lambda b, c, f=tx.text_blocks: f(b, c, 200))
+    assert known() == whole and 0 < len(whole) < 400
