@@ -10,8 +10,9 @@ it gives the optimiser true sizes.
 from __future__ import annotations
 
 import contextlib
+import functools
 import gc
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -75,6 +76,36 @@ def scratch(spark: SparkSession, name: str) -> Iterator[Scratch]:
         raise
 
 
+def aside(docs: DataFrame, names: Iterable[str], work: Callable[[DataFrame], DataFrame], *inputs: str) -> DataFrame:
+    """``work(docs)``, where columns of ``docs`` named like ``names`` (what the work adds or uses
+    inside) step aside under other names. In the result they have their own names again, unless
+    the work has put a column of that name there: then that one stays. ``inputs`` are columns
+    that the work reads."""
+    wanted = {n.lower() for n in names} - {n.lower() for n in inputs}
+    taken = {c: f"_aside_{i}_{c}" for i, c in enumerate(docs.columns) if c.lower() in wanted}
+    if not taken:
+        return work(docs)
+    out = work(docs.withColumnsRenamed(taken))
+    made = {c.lower() for c in out.columns}
+    out = out.drop(*[held for c, held in taken.items() if c.lower() in made])
+    return out.withColumnsRenamed({held: c for c, held in taken.items()})
+
+
+def own_names(*names: str):
+    """An operator on ``docs`` whose result or inner work has columns of these names: see
+    :func:`aside`. Columns that its arguments name are its input."""
+
+    def decorate(operator):
+        @functools.wraps(operator)
+        def run(docs: DataFrame, *args, **options) -> DataFrame:
+            given = [x for x in (*args, *options.values()) if isinstance(x, str)]
+            return aside(docs, names, lambda d: operator(d, *args, **options), *given)
+
+        return run
+
+    return decorate
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -175,6 +206,7 @@ def link_buckets(
     work: Scratch,
     refine: Callable[[DataFrame], DataFrame] | None = None,
     star_rounds: int = 1,
+    near: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Components of the true links among bucket mates, without writing out all
     pairs of a bucket: ``(id, comp)`` for every id that has a link.
@@ -184,6 +216,7 @@ def link_buckets(
     ``refine``: from ``(lead, id, comp)``, the mates of leaders whose mates still span
     several components, the pairs ``(a, b)`` of different components that may link;
     every linked pair of mates must be among them.
+    ``near``: drops pairs that cannot link, before they are written down.
 
     First each bucket's leader is checked against its other members; it is the member
     with most bucket mates, which for near copies is the text they were made from. Two
@@ -212,6 +245,7 @@ def link_buckets(
         small = small.select("sig", "id", F.coalesce("comp", "id").alias("comp"))
         x, y = (small.select("sig", F.col("id").alias(k), F.col("comp").alias(f"c{k}")) for k in "ab")
         direct = x.join(y, "sig").where("a < b and ca <> cb").select("a", "b")
+        direct = near(direct) if near is not None else direct
         mates = star.where(F.col("n") > SMALL_BUCKET).join(of, "id", "left")
         mates = mates.select("lead", "id", F.coalesce("comp", "id").alias("comp"))
         heads = of.select(F.col("id").alias("lead"), F.col("comp").alias("head"))
@@ -252,6 +286,7 @@ def link_buckets(
             x = open_.select("sig", F.col("id").alias("a"), F.col("comp").alias("ca"))
             y = open_.select("sig", F.col("id").alias("b"), F.col("comp").alias("cb"))
             pairs = x.join(y, "sig").where("a < b and ca <> cb").select("a", "b")
+            pairs = near(pairs) if near is not None else pairs
         else:
             pairs = _pairs(open_.where("comp <> lead.comp"), "id", "lead.id")
         fresh = work.table(pairs.distinct().join(checked, ["a", "b"], "left_anti"), "pairs")

@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import lower_case, separated, text_blocks
+from .common import own_names
 
 #: Trigram buckets of the model.
 BUCKETS = 1 << 15
@@ -260,6 +261,7 @@ def _predict(model: LanguageModel, columns: list[str], text_col: str, spans: boo
     return run
 
 
+@own_names("lang_pred", "lang_score", "lang_spans")
 def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text", spans: bool = True) -> DataFrame:
     """``docs`` with ``lang_pred``, ``lang_score`` and, if asked for, ``lang_spans``: runs
     of words of one language (first word, number of words)."""

@@ -22,6 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import own_names
 from .license_texts import DIGESTS, LICENCES, NOTICES, SPELLINGS
 
 #: A line that names a copyright holder or year (after lower-casing).
@@ -63,6 +64,7 @@ def known_licences(spark: SparkSession) -> DataFrame:
     return known.select(F.sha2(F.array_join(lines, " "), 256).alias("digest"), "license").union(whole).distinct()
 
 
+@own_names("canonical_digest", "license", "notices", "_lines", "_digest")
 def scan_licences(docs: DataFrame, text_col: str = "text", digests: dict[str, str] | None = None) -> DataFrame:
     """``docs`` with ``canonical_digest``, ``license`` (of the entire text, else null)
     and ``notices`` (sorted licences that some line states).

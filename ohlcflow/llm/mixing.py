@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.ranking import row_index
-from .common import WORD, broadcast_if_small, scratch
+from .common import WORD, broadcast_if_small, own_names, scratch
 
 #: Digits of the rank key that make up a cell of the first and second level.
 LEVEL_DIGITS = (3, 6)
@@ -124,6 +124,14 @@ def _same(a: Column, b: Column) -> Column:
     return a.eqNullSafe(b)
 
 
+#: Names of the result and of the inner work.
+_NAMES = (
+    "mix_size", "mix_source_size", "mix_target", "mix_copies",
+    "_mix_c", "_mix_cap", "_mix_cell", "_mix_certain", "_mix_closing", "_mix_copy", "_mix_cut", "_mix_factor", "_mix_gain", "_mix_key", "_mix_rank", "_mix_s", "_mix_size", "_mix_source", "_mix_source_size", "_mix_src", "_mix_target", "_mix_tie", "_mix_u", "_mix_w", "_mix_want",
+)
+
+
+@own_names(*_NAMES)
 def pareto_mix(
     docs: DataFrame,
     weights: Sequence[float] = (3, 1, 2),
@@ -253,6 +261,7 @@ def _fraction_taken() -> Column:
     return taken.cast("long")
 
 
+@own_names(*_NAMES)
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: each row of ``docs`` as often as it is taken, columns unchanged."""
     plan = pareto_mix(docs, **options)

@@ -31,7 +31,7 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, scratch
+from .common import broadcast_if_small, own_names, scratch
 
 #: Hash digits (hexadecimal) of a cell at first, and those added by each split.
 FIRST_DIGITS = 3
@@ -132,6 +132,7 @@ def cut_keys(groups: DataFrame, n_shards: int) -> list[str]:
     return [first[e] for e in ends[:-1]]
 
 
+@own_names("shard_size", "shard_key", "shard", "slot", "_cell", "_offset", "_n")
 def shard_documents(docs: DataFrame, n_shards: int = 8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with ``shard_size`` (bytes), ``shard_key``, ``shard`` and ``slot``."""
     if n_shards < 1:

@@ -96,7 +96,7 @@ def test_operator(spark, make):  # noqa: F811
         8: "é" + " é" * 30, 9: " ".join(u * 3), 10: ("x y z " * 5000) + "end",
     }
     rows = list(texts.items()) + [(5, texts[5]), (None, texts[7])]
-    docs = make([(k, t) for k, t in rows]).withColumnsRenamed({"id": "runs", "n": "collapsed", "sig": "n_words"})
+    docs = make([(k, t) for k, t in rows])
     got = periodic.periodic_runs(docs).collect()
     assert len(got) == len(rows)
     want = sorted((str(k), WORD.findall(t or "")) for k, t in rows)
