@@ -50,7 +50,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .blocks import LOWER, mix, signed, text_blocks, word_hashes, words
-from .common import broadcast_if_small, bucket_members, link_buckets, scratch
+from .common import broadcast_if_small, bucket_members, link_buckets, own_names, scratch
 
 #: Bits of the parity sketch.
 SKETCH_BITS = 2048
@@ -386,28 +386,42 @@ def _components(
         work.drop(all_rows)
         del sigs, signed_docs
         work.release()
-        carriers = known.select("doc_id", F.col("id").alias("want"))
-        texts = rows.join(broadcast_if_small(carriers), "doc_id").select("want", "text")
-        sets = work.table(texts.mapInArrow(_set_rows(shingle), "id long, hashes array<long>"), "sets")
+
+        def sets_of(ids: DataFrame) -> DataFrame:
+            """The sets of some classes, from the texts of one document each. Most classes have
+            no partner that their sketches let link: theirs are never written down."""
+            wanted = work.table(ids.distinct(), "wanted")
+            few = known.join(broadcast_if_small(wanted), "id", "left_semi")
+            carriers = work.table(few.select("doc_id", F.col("id").alias("want")), "carriers")
+            texts = rows.join(broadcast_if_small(carriers), "doc_id").select("want", "text")
+            return work.table(texts.mapInArrow(_set_rows(shingle), "id long, hashes array<long>"), "sets")
 
         # A sketch is a quarter of a kilobyte: this many rows make some 15 MB.
         small = known.count() <= 50_000
         hint = F.broadcast if small else (lambda df: df)
 
-        def verify(pairs: DataFrame) -> DataFrame:
+        sizes = work.table(known.select("id", "n", (F.size("wide") > 0).alias("wide")), "sizes")
+
+        def may_link(pairs: DataFrame) -> DataFrame:
             a, b = (
-                known.select(F.col("id").alias(x), *[F.col(c).alias(c[0] + x) for c in ("n", "sketch", "wide")]) for x in "ab"
+                broadcast_if_small(sizes).select(F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("wide").alias(f"w{x}"))
+                for x in "ab"
             )
             # |A ^ B| is at most (a + b) * (100 - p) / (100 + p), and a at least p / 100 * b.
-            near = "100 * least(na, nb) >= {0} * greatest(na, nb)".format(percent)
-            both_wide = (F.size("wa") > 0) & (F.size("wb") > 0)
-            bits = F.when(both_wide, _differing_bits(F.col("wa"), F.col("wb"))).otherwise(
-                _differing_bits(F.col("sa"), F.col("sb"))
-            )
-            few = bits * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent)
-            may = work.table(
-                pairs.join(hint(a), "a").join(hint(b), "b").where(near).where(few).select("a", "b"), "may"
-            )
+            close = "100 * least(na, nb) >= {0} * greatest(na, nb)".format(percent)
+            sized = pairs.join(a, "a").join(b, "b").where(close)
+
+            def by_sketch(some: DataFrame, column: str) -> DataFrame:
+                x, y = (hint(known.select(F.col("id").alias(k), F.col(column).alias(f"s{k}"))) for k in "ab")
+                few = _differing_bits(F.col("sa"), F.col("sb")) * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent)
+                return some.join(x, "a").join(y, "b").where(few).select("a", "b")
+
+            # Rows carry one kind of sketch, and only pairs of large sets the wide one.
+            return by_sketch(sized.where("NOT (wa AND wb)"), "sketch").union(by_sketch(sized.where("wa AND wb"), "wide"))
+
+        def verify(pairs: DataFrame) -> DataFrame:
+            may = work.table(may_link(pairs), "may")
+            sets = sets_of(may.select(F.col("a").alias("id")).union(may.select("b")))
             x, y = (sets.select(F.col("id").alias(k), F.col("hashes").alias(f"h{k}")) for k in "ab")
             both = may.join(x, "a").join(y, "b").withColumn("both", F.size(F.array_intersect("ha", "hb")))
             union = F.size("ha") + F.size("hb") - F.col("both")
@@ -421,6 +435,7 @@ def _components(
             partners of ``x`` may differ in. So by a common order, rarest first, they
             meet in the first ``k + 1`` elements of their differences."""
             size = known.select("id", "n")
+            sets = sets_of(mates.select("id").union(mates.select("lead")))
             c = sets.select(F.col("id").alias("lead"), F.col("hashes").alias("hc"))
             x = sets.select("id", F.col("hashes").alias("hx"))
             apart = F.concat(F.array_except("hx", "hc"), F.array_except("hc", "hx"))
@@ -452,7 +467,7 @@ def _components(
                 return near
             return near.union(by_differences(mates.join(broadcast_if_small(per), "lead", "left_semi")))
 
-        comp = link_buckets(members, verify, work, refine)
+        comp = link_buckets(members, verify, work, refine, near=may_link)
         # A class is a set of equal content: its smallest document, then the
         # smallest of the component's classes.
         least = doc.where("n > 0").groupBy("id").agg(F.min("doc_id").alias("d"), F.count(F.lit(1)).alias("k"))
@@ -473,6 +488,7 @@ def _components(
         )
 
 
+@own_names("_set", "_drop", "_again", "_id", "_of", "_comp", "_row")
 def keep_one_per_component(docs: DataFrame, **options) -> DataFrame:
     """The documents that stand for their component: those with its smallest id.
 
