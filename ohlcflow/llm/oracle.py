@@ -100,5 +100,40 @@ FROM d LEFT JOIN known ON array_to_string(lines, ' ') = canonical LEFT JOIN n US
 """
 
 
+# Pairs of different sets by their shingles in common, and what each can reach by links.
+ORACLES["op9_ngram_jaccard_join"] = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '{_WORDS}') AS w
+  FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN CAST([] AS VARCHAR[]) WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+                      ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))
+                 END AS sh
+  FROM d
+), k AS (
+  SELECT doc_id, sh, md5(array_to_string(list_sort(sh), chr(10))) AS same FROM s
+), c AS (
+  SELECT same, min(doc_id) AS rep, any_value(sh) AS sh, len(any_value(sh)) AS n FROM k WHERE len(sh) > 0 GROUP BY same
+), e AS (
+  SELECT rep, n, unnest(sh) AS x FROM c
+), p AS (
+  SELECT a.rep AS x, b.rep AS y
+  FROM e a JOIN e b ON a.x = b.x AND a.rep < b.rep AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)
+  GROUP BY a.rep, b.rep, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))
+), q AS (
+  SELECT x, y FROM p UNION ALL SELECT y, x FROM p
+), r AS (
+  SELECT rep AS a, rep AS b FROM c
+  UNION
+  SELECT r.a, q.y FROM r JOIN q ON q.x = r.b
+), g AS (
+  SELECT a AS rep, min(b) AS component_id FROM r GROUP BY a
+)
+SELECT k.doc_id, CAST(len(k.sh) AS BIGINT) AS n_shingles, coalesce(g.component_id, k.doc_id) AS component_id
+FROM k LEFT JOIN c ON c.same = k.same AND len(k.sh) > 0 LEFT JOIN g ON g.rep = c.rep
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)
