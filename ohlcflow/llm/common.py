@@ -41,9 +41,10 @@ class Scratch:
         return out
 
     def release(self) -> None:
-        """Have the files of shuffles that no frame needs any more deleted now. Spark does
-        so when the driver's garbage collector finds the shuffle unreachable, which on a
-        quiet driver can be long after a table replaced it."""
+        """Have the files of shuffles, and the broadcasts, that no frame needs any more deleted
+        now. Spark does so when the driver's garbage collector finds them unreachable, which on
+        a quiet driver can be long after a table replaced them; until then they, and what the
+        driver remembers of every small job, make its heap grow."""
         gc.collect()
         self.spark.sparkContext._jvm.System.gc()
 
@@ -168,6 +169,7 @@ def connected_components(edges: DataFrame, work: Scratch, max_rounds: int = 60)
         before = after
     else:
         raise RuntimeError("connected_components did not converge")
+    work.release()
     roots = cur.select(F.col("b").alias("id")).distinct().select("id", F.col("id").alias("comp"))
     return cur.select(F.col("a").alias("id"), F.col("b").alias("comp")).union(roots)
 

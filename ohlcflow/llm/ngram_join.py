@@ -367,6 +367,7 @@ def _components(
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     with scratch(spark, "ngram-join") as work:
+        work.release()
         signed_docs = rows.mapInArrow(_sign(shingle, percent, n2), _DOC)
         # Signatures lie in one table until the buckets are known, then go.
         all_rows = work.table(signed_docs, "signed")
@@ -468,6 +469,7 @@ def _components(
             return near.union(by_differences(mates.join(broadcast_if_small(per), "lead", "left_semi")))
 
         comp = link_buckets(members, verify, work, refine, near=may_link)
+        work.release()
         # A class is a set of equal content: its smallest document, then the
         # smallest of the component's classes.
         least = doc.where("n > 0").groupBy("id").agg(F.min("doc_id").alias("d"), F.count(F.lit(1)).alias("k"))
