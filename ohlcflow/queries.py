@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import fixtures
-from .apps import batch_stages, raw_to_bar_table, rejects
+from .apps import batch_stages, raw_to_bar_table
 from .functions.schema import has_nested_column
 from .functions.text import repaired_utf8
 from .functions.timefn import (
@@ -62,8 +62,8 @@ from .operators.ticks import (
 from .plans.backfill import backfill_plan, landed_ranges, remaining_plan
 from .schemas import BAR_ROW_SCHEMA, TIME_FORMAT
 from .session import clean_scratch, scratch_path
-from .sinks.writers import land_payloads, merge_bars, write_by_symbol, write_documents, write_quarantine, write_ticks
-from .sources.files import parse_payloads, read_bar_table, read_coin_info, read_quarantine, read_raw, read_symbols
+from .sinks.writers import land_payloads, merge_bars, write_by_symbol, write_documents, write_ticks
+from .sources.files import parse_payloads, read_bar_table, read_coin_info, read_quarantine, read_symbols
 from .sources.stream import read_tick_stream
 from .streaming.latest import latest_price_stream, read_latest_prices, start_latest_prices
 from .streaming.ticks import (
