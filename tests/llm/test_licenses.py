@@ -4,8 +4,6 @@ import re
 
 import duckdb
 import pytest
-from pyspark.sql import functions as F
-
 from helpers_llm import MEDIUM, make, table  # noqa: F401
 from ohlcflow.llm import licenses
 from ohlcflow.llm.license_texts import LICENCES, NOTICES
