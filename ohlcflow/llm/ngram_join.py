@@ -402,6 +402,7 @@ def _components(
         hint = F.broadcast if small else (lambda df: df)
 
         sizes = work.table(known.select("id", "n", (F.size("wide") > 0).alias("wide")), "sizes")
+        some_wide = not sizes.where("wide").isEmpty()
 
         def may_link(pairs: DataFrame) -> DataFrame:
             a, b = (
@@ -417,6 +418,8 @@ def _components(
                 few = _differing_bits(F.col("sa"), F.col("sb")) * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent)
                 return some.join(x, "a").join(y, "b").where(few).select("a", "b")
 
+            if not some_wide:
+                return by_sketch(sized, "sketch")
             # Rows carry one kind of sketch, and only pairs of large sets the wide one.
             return by_sketch(sized.where("NOT (wa AND wb)"), "sketch").union(by_sketch(sized.where("wa AND wb"), "wide"))
 
