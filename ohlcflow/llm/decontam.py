@@ -57,6 +57,8 @@ COMMON, COUNTED = 0.05, 0.2
 #: by items) held at a time.
 STEPS = 2
 COUNT_CELLS = 4_000_000
+#: Words of stretches that are looked at in detail at a time.
+WINDOW_WORDS = 1 << 18
 #: Cells (items by words) up to which the words of items are looked up in a table.
 SLOT_CELLS = 4_000_000
 #: Ratio between window lengths of neighbouring classes; items compared at a time.
@@ -305,27 +307,34 @@ class _Items:
         self.classes = {k: np.array(v) for k, v in self.classes.items()}
         self.vocab = np.unique(np.array([x for w in self.words for x in w], np.int64))
         df = np.bincount(np.searchsorted(self.vocab, [x for t in self.times for x in t]), minlength=len(self.vocab))
-        # Each item's words by their number in the vocabulary, and how often it has them.
-        self.kinds = [np.unique(np.searchsorted(self.vocab, np.array(x, np.int64)), return_counts=True) for x in self.words]
+        # Each item's words by their number in the vocabulary, one item after the other, and how
+        # often it has them.
+        kinds = [np.unique(np.searchsorted(self.vocab, np.array(x, np.int64)), return_counts=True) for x in self.words]
+        many = [len(v) for v, _ in kinds]
+        self.kind_times = np.concatenate([tf for _, tf in kinds]) if kinds else np.zeros(0, np.int64)
+        self.kind_keys = np.repeat(np.arange(len(ids)), many) * len(self.vocab)
+        if kinds:
+            self.kind_keys += np.concatenate([v for v, _ in kinds])
         # The same as a table, where it is small.
         self.slots = None
         if len(ids) * len(self.vocab) <= SLOT_CELLS:
-            self.slots = np.full((len(ids), len(self.vocab)), -1, np.int32)
-            for i, (v, _) in enumerate(self.kinds):
-                self.slots[i, v] = np.arange(len(v))
+            self.slots = np.full(len(ids) * len(self.vocab), -1, np.int32)
+            self.slots[self.kind_keys] = np.arange(len(self.kind_keys))
+        self.lengths = np.array(lengths, np.int64)
+        self.least = np.array([_least(n) for n in lengths], np.int64)
         self.overlaps = [
             _Overlap(v[b : b + ITEM_BLOCK], k, self.words, self.vocab, df, len(ids))
             for k, v in self.classes.items()
             for b in range(0, len(v), ITEM_BLOCK)
         ]
 
-    def places(self, item: int, word: np.ndarray) -> np.ndarray:
-        """Which of the item's words each word of the vocabulary is; -1 for none."""
+    def places(self, item: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """Where in ``kind_keys`` each word of the vocabulary is as its item's; -1 for none."""
+        key = item * len(self.vocab) + word
         if self.slots is not None:
-            return self.slots[item][word]
-        ids = self.kinds[item][0]
-        at = np.minimum(ids.searchsorted(word), len(ids) - 1)
-        return np.where(ids[at] == word, at, -1)
+            return self.slots[key]
+        at = np.minimum(self.kind_keys.searchsorted(key), len(self.kind_keys) - 1)
+        return np.where(self.kind_keys[at] == key, at, -1)
 
     @staticmethod
     def _hash(text: str) -> np.ndarray:
@@ -342,6 +351,74 @@ class _Items:
         return signed(np.ascontiguousarray(tail)).tolist()
 
 
+def _windows(
+    items: _Items, group: _Overlap, begin: np.ndarray, which: np.ndarray, pos: np.ndarray, word: np.ndarray, first: np.ndarray
+) -> Iterator[tuple[int, int, int, int, int, int]]:
+    """``(text, item, start, words, item's words, words in common)`` of the surroundings in
+    ``stretches`` that have enough of an item's words; of a stretch, those with most come first.
+    Stretches with ``WINDOW_WORDS`` words, or one longer one, are looked at together."""
+    i, j = pos.searchsorted(begin), pos.searchsorted(begin + (STEPS + 1) * group.step)
+    ends = np.cumsum(j - i)
+    low = 0
+    while low < len(i):
+        high = max(int(ends.searchsorted(ends[low] - (j - i)[low] + WINDOW_WORDS, side="right")), low + 1)
+        part = slice(low, high)
+        yield from _windows_of(items, group, begin[part], group.part[which[part]], i[part], j[part], pos, word, first)
+        low = high
+
+
+def _windows_of(
+    items: _Items, group: _Overlap, begin: np.ndarray, item: np.ndarray, i: np.ndarray, j: np.ndarray, pos: np.ndarray,
+    word: np.ndarray, first: np.ndarray
+) -> Iterator[tuple[int, int, int, int, int, int]]:
+    least, n_words = items.least[item], items.lengths[item]
+    span = group.spans[group.part.searchsorted(item)]
+    # The words of each stretch that are the item's, by stretch and place.
+    size = j - i
+    of = np.repeat(np.arange(len(i)), size)
+    at = np.arange(len(of)) + np.repeat(i - np.cumsum(size) + size, size)
+    kind = items.places(item[of], word[at])
+    hit = np.flatnonzero(kind >= 0)
+    of, at, kind = of[hit], pos[at[hit]], kind[hit]
+    # Which occurrence of its word in the stretch each is, and how often the item has it.
+    times = items.kind_times[kind]
+    cell = of * len(items.kind_times) + kind
+    by_word = np.argsort(cell, kind="stable")
+    cell = cell[by_word]
+    new = np.ones(len(cell), bool)
+    new[1:] = cell[1:] != cell[:-1]
+    run = np.flatnonzero(new)
+    nth = np.arange(len(cell)) - np.repeat(run, np.diff(np.append(run, len(cell))))
+    taken = nth < times[by_word]
+    # No more than this many places of the item can be found.
+    some = np.bincount(of[by_word][taken], minlength=len(i)) >= least
+    if not some.any():
+        return
+    # Where a word's places in the item are taken: as many occurrences before.
+    full = np.full(len(of), -1)
+    over = np.flatnonzero(~taken)
+    full[by_word[over]] = by_word[over - times[by_word[over]]]
+    # Surroundings begin at a word of the item and end with the text.
+    text = np.searchsorted(first, at, side="right") - 1
+    far = int(first[-1]) + 1
+    end = np.searchsorted(of * far + at, of * far + np.minimum(at + span[of], first[text + 1]))
+    count = end - np.arange(len(of))
+    # A word does not count in surroundings that begin no later than the occurrence that takes its
+    # place and end after it: ends never fall, so these follow one another.
+    more = np.flatnonzero(full >= 0)
+    less = np.zeros(len(of) + 1, np.int64)
+    from_, to = np.searchsorted(end, more, side="right"), full[more] + 1
+    inside = from_ < to
+    np.add.at(less, from_[inside], 1)
+    np.subtract.at(less, to[inside], 1)
+    count -= np.cumsum(less[:-1])
+    # Those that begin after the first step are in the next stretch.
+    enough = np.flatnonzero((at < begin[of] + group.step) & (count >= least[of]) & some[of])
+    enough = enough[np.lexsort((-count[enough], of[enough]))]
+    c = of[enough]
+    yield from zip(*(x.tolist() for x in (text[enough], item[c], at[enough], span[c], n_words[c], count[enough])))
+
+
 def _find(items: _Items, keep: list[str], text_col: str):
     """Rows of (kept columns, item, cosine, lcs, answer) of the items a text contains."""
 
@@ -381,41 +458,15 @@ def _find(items: _Items, keep: list[str], text_col: str):
         best: dict[tuple[int, int], tuple[int, int, float, float]] = {}
         for group in items.overlaps:
             begin, which = group.stretches(pos, word, before, len(w))
-            ends = pos.searchsorted(begin), pos.searchsorted(begin + (STEPS + 1) * group.step)
-            for lo, m, i, j in zip(*(x.tolist() for x in (begin, which, *ends))):
-                it, span = int(group.part[m]), int(group.spans[m])
-                tf, n = items.kinds[it][1], len(items.words[it])
-                kind = items.places(it, word[i:j])
-                hit = (kind >= 0).nonzero()[0]
-                kind = kind[hit]
-                # No more than this many places of the item can be found.
-                if np.minimum(np.bincount(kind, minlength=len(tf)), tf).sum() < _least(n):
+            for t, it, at, span, n, count in _windows(items, group, begin, which, pos, word, first):
+                maybe.add((t, it))
+                old = best.get((t, it))
+                if old is not None and count <= old[2] * n:
                     continue
-                found = pos[i:j][hit]
-                # Where a word's places in the item are taken: as many occurrences before.
-                by_word = np.argsort(kind, kind="stable")
-                at, of = found[by_word], kind[by_word]
-                nth = np.arange(len(of)) - np.searchsorted(of, of)
-                full = np.full(len(found), -1)
-                full[by_word] = np.where(nth >= tf[of], at[np.maximum(np.arange(len(of)) - tf[of], 0)], -1)
-                # Surroundings begin at a word of the item, in the first step, and end with the text.
-                start = found[found < lo + group.step]
-                text = np.searchsorted(first, start, side="right") - 1
-                end = np.minimum(start + span, first[text + 1])
-                count = (
-                    (found >= start[:, None]) & (found < end[:, None]) & (full < start[:, None])
-                ).sum(axis=1)
-                enough = np.flatnonzero(count >= _least(n))
-                maybe.update((int(t), it) for t in set(text[enough].tolist()))
-                for j in enough[np.argsort(-count[enough], kind="stable")].tolist():
-                    t, at = int(text[j]), int(start[j])
-                    old = best.get((t, it))
-                    if old is not None and count[j] <= old[2] * n:
-                        continue
-                    a, b = int(first[t]), int(first[t + 1])
-                    got = check(w[a:b], it, at - a + _reach(group.size, n), group.size)
-                    if got and (old is None or got[0] > old[2]):
-                        best[t, it] = (at, span, *got)
+                a, b = int(first[t]), int(first[t + 1])
+                got = check(w[a:b], it, at - a + _reach(group.size, n), group.size)
+                if got and (old is None or got[0] > old[2]):
+                    best[t, it] = (at, span, *got)
         for (t, it), (at, span, share, told) in best.items():
             # The best window of the item's length there.
             x = weights[_dims(w[at : min(at + span, first[t + 1])].view(_U), len(weights))]

@@ -120,6 +120,41 @@ def test_stretches_of_a_long_text(spark, make, monkeypatch):
     assert sorted(r["doc_id"] for r in dc.contaminated(df, bench).collect()) == list(range(12))
 
 
+@pytest.mark.parametrize("words", [1, 300, 1 << 18])
+def test_words_in_common_of_all_stretches_at_once(monkeypatch, words):
+    """Every window with enough of an item's words, repeated ones too, without a look-up for
+    each stretch and item."""
+    monkeypatch.setattr(dc, "WINDOW_WORDS", words, raising=False)
+    rng = random.Random(4)
+    some = [prose(rng, 1) for _ in range(12)]
+    texts = [" ".join(rng.choice(some) for _ in range(n)) for n in (9, 14, 20, 20, 33)]
+    items = dc._Items(list(range(5)), texts, dc.LatentSpace(np.ones((64, 3))))
+    docs = [" ".join(rng.choice(some + [prose(rng, 1)] * 9) for _ in range(rng.randrange(1, 90))) for _ in range(25)]
+    raw = [d.encode() for d in docs]
+    off = np.cumsum([0, *map(len, raw)])
+    h, first = dc._hashed_words(off, np.frombuffer(b"".join(raw), np.uint8))
+    w = dc.signed(h).tolist()
+    want = []
+    for group in items.overlaps:
+        for it, span in zip(group.part.tolist(), group.spans.tolist()):
+            times = items.times[it]
+            for t in range(len(docs)):
+                for at in range(first[t], first[t + 1]):
+                    near = dc.Counter(w[at : min(at + span, first[t + 1])])
+                    n = sum(min(near[x], times[x]) for x in times)
+                    if w[at] in times and n >= dc._least(len(items.words[it])):
+                        want.append((t, it, at, n))
+    calls, got = [], []
+    places = dc._Items.places
+    monkeypatch.setattr(dc._Items, "places", lambda *a: calls.append(1) or places(*a))
+    windows = dc._windows
+    monkeypatch.setattr(dc, "_windows", lambda *a: (got.append(x) or x for x in windows(*a)))
+    batch = dc.pa.RecordBatch.from_arrays([dc.pa.array(docs)], names=["text"])
+    list(dc._find(items, [], "text")(iter([batch])))
+    assert sorted((t, it, at, n) for t, it, at, _, _, n in got) == sorted(want) and want
+    assert words < 1 << 18 or len(calls) == len(items.overlaps)
+
+
 def test_sketch_gives_the_leading_directions(spark):
     """Singular values and subspace against a dense decomposition."""
     rng = random.Random(2)
