@@ -74,6 +74,9 @@ WORD_BONUS = 6.0
 #: Paths kept per state, and paths ranked again at the end.
 PATHS, RANKED = 3, 16
 
+#: Bytes of text that a task restores at a time; it holds some fifty times as much meanwhile.
+MAP_BYTES = 1 << 18
+
 _U = np.uint64
 _LETTER = np.zeros(256, bool)
 _LETTER[0x61:0x7B] = True
@@ -96,7 +99,7 @@ _LONG_RUN = re.compile(r"(.)\1{3,}", re.DOTALL)
 _EDGE = np.zeros(256, bool)
 _EDGE[[ord(c) for c in ".,;:?!\"')]}"]] = True
 # Classes of the character model: 0 boundary, 1-26 letters, 27 other letters.
-_CLASS = np.zeros(256, np.int64)
+_CLASS = np.zeros(256, np.uint16)
 _CLASS[0x61:0x7B] = np.arange(1, 27)
 _CLASS[0x80:] = 27
 N_CLASSES = 28
@@ -114,16 +117,16 @@ def _count_trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     total = np.zeros(N_CLASSES**3, np.int64)
     for batch in batches:
         for _, _, off, data in text_blocks(batch, "text"):
+            # Narrow types: a block of bytes takes a few times its size here.
             c = _CLASS[lower_case(data)]
-            cont = (data & 0xC0) == 0x80  # a multi-byte letter counts once
-            keep = np.flatnonzero(~cont)
-            c = c[keep]
-            p = np.concatenate((np.zeros(2, np.int64), c, np.zeros(1, np.int64)))
+            c = c[(data & 0xC0) != 0x80]  # a multi-byte letter counts once
+            p = np.concatenate((np.zeros(2, np.uint16), c, np.zeros(1, np.uint16)))
             a, b, d = p[:-2], p[1:-1], p[2:]
             # Before a word's first letter there is only the boundary.
-            a = np.where(b == 0, 0, a)
-            some = (b != 0) | (d != 0)
-            total += np.bincount(((a * N_CLASSES + b) * N_CLASSES + d)[some], minlength=len(total))
+            a = np.where(b == 0, np.uint16(0), a)
+            gram = ((a * N_CLASSES + b) * N_CLASSES + d)[(b != 0) | (d != 0)]
+            for k in range(0, len(gram), MAP_BYTES):
+                total += np.bincount(gram[k : k + MAP_BYTES], minlength=len(total))
     at = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["gram", "n"])
 
@@ -308,7 +311,7 @@ def _listed_words(decoder: Decoder):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         listing = _Listing(decoder)
         for batch in batches:
-            for _, _, off, data in text_blocks(batch, "text"):
+            for _, _, off, data in text_blocks(batch, "text", MAP_BYTES):
                 restore(off, data, listing)
                 yield pa.RecordBatch.from_arrays([pa.array(listing.listed())], names=["word"])
 
@@ -505,7 +508,7 @@ def _sample_features(decoder: Decoder):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             label = batch.column(1).to_numpy()
-            for i, j, off, data in text_blocks(batch, "text"):
+            for i, j, off, data in text_blocks(batch, "text", MAP_BYTES):
                 off, low = restore(off, data, decoder)
                 h, of, which = _features(off, low)
                 if not len(h):
@@ -661,7 +664,7 @@ def train(
 def _summaries(decoder: Decoder, lexicon: Lexicon):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, j, off, data in text_blocks(batch, "text"):
+            for i, j, off, data in text_blocks(batch, "text", MAP_BYTES):
                 x = lexicon.summary(*restore(off, data, decoder))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(x.tolist(), pa.list_(pa.float64())), batch.column(1).slice(i, j - i)], names=["x", "toxic"]
@@ -673,7 +676,7 @@ def _summaries(decoder: Decoder, lexicon: Lexicon):
 def _scored(model: ToxicityModel, columns: list[str], text_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, j, off, data in text_blocks(batch, text_col):
+            for i, j, off, data in text_blocks(batch, text_col, MAP_BYTES):
                 part = batch.slice(i, j - i)
                 kept = [part.column(part.schema.get_field_index(c)) for c in columns]
                 yield pa.RecordBatch.from_arrays(
@@ -695,7 +698,7 @@ def _restored(decoder: Decoder, text_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = batch.schema.get_field_index(text_col)
-            for i, j, off, data in text_blocks(batch, text_col):
+            for i, j, off, data in text_blocks(batch, text_col, MAP_BYTES):
                 off, low = restore(off, data, decoder)
                 raw = low.tobytes()
                 text = [raw[a:b].decode("utf-8", "replace") for a, b in zip(off[:-1], off[1:])]

@@ -1,4 +1,5 @@
 import math
+import tracemalloc
 import zlib
 from itertools import product
 
@@ -216,3 +217,19 @@ def test_word_pairs_are_folded_alike(spark, monkeypatch):
     monkeypatch.setattr(tx, "HELD_PAIRS", 50)
     monkeypatch.setattr(tx, "text_blocks", lambda b, c, f=tx.text_blocks: f(b, c, 200))
     assert known() == whole and 0 < len(whole) < 400
+
+
+def test_memory_of_tasks_is_a_few_blocks():
+    """What a task holds follows its blocks of text, not the record batch."""
+    pa = tx.pa
+    texts = ["the cat saw 1d10ts and s t u p i d people walk along the river " * 30] * 1500
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array([1] * len(texts), pa.int32())], names=["text", "toxic"])
+    model = tx.ToxicityModel(tx.Decoder(np.zeros((28, 28, 28)), np.zeros(0, np.int64)), tx.Lexicon(np.arange(9, dtype=np.uint64), np.ones(9)), np.ones(5))
+    for work in (tx._count_trigrams, tx._scored(model, [], "text"), tx._sample_features(model.decoder)):
+        list(work(iter([batch.slice(0, 2)])))
+        tracemalloc.start()
+        for _ in work(iter([batch])):
+            pass
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 24e6
