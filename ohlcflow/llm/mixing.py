@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.ranking import row_index
-from .common import WORD, broadcast_if_small, own_names, scratch
+from .common import BROADCAST_ROWS, WORD, own_names, scratch
 
 #: Digits of the rank key that make up a cell of the first and second level.
 LEVEL_DIGITS = (3, 6)
@@ -62,7 +62,7 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], share: float, max
 
     The level ``budget / weight`` at which sources fill up is found by rounds of
     one aggregate each: sources that their share would overfill are capped, the
-    rest shares what is left. Two sums per round reach the driver.
+    rest shares what is left. Three sums per round reach the driver.
     """
     order = [F.col("source").isNull().cast("int"), F.col("source")]
     ranked = row_index(sizes, order, name="_mix_rank")
@@ -70,17 +70,17 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], share: float, max
         F.array(*[F.lit(float(x)) for x in weights]), ((F.col("_mix_rank") - 1) % len(weights) + 1).cast("int")
     )
     ranked = ranked.withColumn("_mix_w", w).withColumn("_mix_cap", F.col("source_size") * F.lit(float(max_copies)))
-    total = ranked.agg(F.sum("source_size").alias("t")).first()["t"] or 0
     level = 0.0
     while True:
         full = F.col("_mix_w") * F.lit(level) >= F.col("_mix_cap")
         r = ranked.agg(
+            F.coalesce(F.sum("source_size"), F.lit(0)).alias("total"),
             F.coalesce(F.sum(F.when(full, F.col("_mix_cap"))), F.lit(0.0)).alias("capped"),
             F.coalesce(F.sum(F.when(~full, F.col("_mix_w"))), F.lit(0.0)).alias("w"),
         ).first()
         if r["w"] == 0:
             break
-        new = (share * total - r["capped"]) / r["w"]
+        new = (share * r["total"] - r["capped"]) / r["w"]
         if new <= level:
             break
         level = new
@@ -169,12 +169,17 @@ def pareto_mix(
             ),
             "plan",
         )
+        # What follows has a line per source at most, too: counted once.
+        few = F.broadcast if plan.count() <= BROADCAST_ROWS else (lambda lines: lines)
+        del targets
+        work.release()
         of_source = _same(F.col("_mix_source"), F.col("_mix_src"))
         placed = work.table(
-            _placed(rows.join(broadcast_if_small(plan.select("_mix_src", "_mix_factor")), of_source), max_copies)
+            _placed(rows.join(few(plan.select("_mix_src", "_mix_factor")), of_source), max_copies)
             .select("_mix_source", "_mix_size", "_mix_tie", "_mix_certain", "_mix_key"),
             "placed",
         )
+        work.release()
         given = placed.groupBy("_mix_source").agg(F.sum(F.col("_mix_certain") * F.col("_mix_size")).alias("given"))
         rest = work.table(
             plan.join(given, of_source).select("_mix_src", (F.col("target") - F.col("given")).alias("rest")), "rest"
@@ -183,7 +188,7 @@ def pareto_mix(
         some = placed.where("_mix_key is not null")
         at = rest.select("_mix_src", F.lit("").alias("_mix_cell"), F.lit(0).cast("long").alias("before"), "rest")
         for digits in LEVEL_DIGITS:
-            inside = some.join(broadcast_if_small(at), of_source & F.col("_mix_key").startswith(F.col("_mix_cell")))
+            inside = some.join(few(at), of_source & F.col("_mix_key").startswith(F.col("_mix_cell")))
             cells = inside.groupBy("_mix_src", "before", "rest", F.substring("_mix_key", 1, digits).alias("next")).agg(
                 F.sum("_mix_size").alias("words")
             )
@@ -196,9 +201,10 @@ def pareto_mix(
                 .select("_mix_src", F.col("next").alias("_mix_cell"), (F.col("upto") - F.col("words")).alias("before"), "rest"),
                 "cells",
             )
+            work.release()
         # In that cell, the last rank that still fits with all its ties.
         rank = F.struct("_mix_key", "_mix_tie", "_mix_size").alias("rank")
-        edge = some.join(broadcast_if_small(at), of_source & F.col("_mix_key").startswith(F.col("_mix_cell")))
+        edge = some.join(few(at), of_source & F.col("_mix_key").startswith(F.col("_mix_cell")))
         by_rank = Window.partitionBy("_mix_src").orderBy("rank")
         fits = edge.select("_mix_src", "_mix_cell", "before", "rest", rank, "_mix_size").withColumn(
             "upto", F.col("before") + F.sum("_mix_size").over(by_rank.rangeBetween(Window.unboundedPreceding, 0))
@@ -209,7 +215,7 @@ def pareto_mix(
             "lines",
         )
         # The closing document, among rows that are alone with their rank.
-        chosen = placed.join(broadcast_if_small(lines.select("_mix_src", "_mix_cell", "_mix_cut")), of_source).withColumn(
+        chosen = placed.join(few(lines.select("_mix_src", "_mix_cell", "_mix_cut")), of_source).withColumn(
             "more", _fraction_taken()
         )
         got = chosen.groupBy("_mix_src").agg(F.sum(F.col("more") * F.col("_mix_size")).alias("got"))
@@ -218,10 +224,11 @@ def pareto_mix(
             .select("_mix_src", (F.col("rest") - F.col("got")).alias("gap")),
             "gaps",
         )
+        work.release()
         left = chosen.where("more = 0 and _mix_key is not null").drop("_mix_src", "_mix_cell", "_mix_cut")
         off = F.abs(F.col("_mix_size") - F.col("gap"))
         near = (
-            left.join(broadcast_if_small(gaps), of_source)
+            left.join(few(gaps), of_source)
             .where(off < F.abs(F.col("gap")))
             .groupBy("_mix_src", rank, off.alias("off"))
             .agg(F.count(F.lit(1)).alias("n"))
@@ -233,8 +240,9 @@ def pareto_mix(
             lines.join(near.withColumnRenamed("_mix_src", "_mix_c"), _same(F.col("_mix_src"), F.col("_mix_c")), "left").drop("_mix_c"),
             "lines",
         )
+        work.release()
         lines = lines.withColumnsRenamed({"source_size": "_mix_source_size", "target": "_mix_target"})
-        out = measured.join(broadcast_if_small(lines), _same(F.col(source_col), F.col("_mix_src")))
+        out = measured.join(few(lines), _same(F.col(source_col), F.col("_mix_src")))
         out = _placed(out, max_copies)
         closing = _same(F.struct("_mix_key", "_mix_tie", "_mix_size"), F.col("_mix_closing"))
         more = F.when(closing, F.lit(1)).otherwise(_fraction_taken())

@@ -122,3 +122,27 @@ def test_uniform_is_the_md5(spark):
     digest = hashlib.md5(b"mix:42").hexdigest()[:12]
     got = spark.range(42, 43).select(mixing.uniform(F.col("id"), "mix").alias("u")).first()["u"]
     assert got == (int(digest, 16) + 0.5) / 2**48
+
+
+def test_small_tables_are_counted_once_and_garbage_is_let_go(spark, make, monkeypatch):
+    """A driver of 1500 MB ran out of memory on many small plans: no table of a line per source is
+    counted again, and what earlier steps left is let go between them."""
+    from pyspark.sql.classic.dataframe import DataFrame as Frame
+
+    from ohlcflow.llm import common
+
+    calls, count, release = [], Frame.count, common.Scratch.release
+    monkeypatch.setattr(Frame, "count", lambda self: calls.append("count") or count(self))
+    monkeypatch.setattr(common.Scratch, "release", lambda self: calls.append("release") or release(self))
+    rows = [(i, "word " * (i % 7 + 1), "abc"[i % 3]) for i in range(60)]
+    out = mixing.pareto_mix(make(rows)).collect()
+    monkeypatch.undo()
+    check(rows, out)
+    assert calls.count("count") == 1 and calls.count("release") >= 5
+    written = common.scratch_path(spark, "count")
+    spark.range(3).write.parquet(written)
+    frame = spark.read.parquet(written)
+    monkeypatch.setattr(Frame, "count", lambda self: calls.append("again") or count(self))
+    for _ in range(2):
+        common.broadcast_if_small(frame)
+    assert calls.count("again") == 1
