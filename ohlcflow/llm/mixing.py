@@ -172,14 +172,12 @@ def pareto_mix(
         # What follows has a line per source at most, too: counted once.
         few = F.broadcast if plan.count() <= BROADCAST_ROWS else (lambda lines: lines)
         del targets
-        work.release()
         of_source = _same(F.col("_mix_source"), F.col("_mix_src"))
         placed = work.table(
             _placed(rows.join(few(plan.select("_mix_src", "_mix_factor")), of_source), max_copies)
             .select("_mix_source", "_mix_size", "_mix_tie", "_mix_certain", "_mix_key"),
             "placed",
         )
-        work.release()
         given = placed.groupBy("_mix_source").agg(F.sum(F.col("_mix_certain") * F.col("_mix_size")).alias("given"))
         rest = work.table(
             plan.join(given, of_source).select("_mix_src", (F.col("target") - F.col("given")).alias("rest")), "rest"
@@ -201,7 +199,6 @@ def pareto_mix(
                 .select("_mix_src", F.col("next").alias("_mix_cell"), (F.col("upto") - F.col("words")).alias("before"), "rest"),
                 "cells",
             )
-            work.release()
         # In that cell, the last rank that still fits with all its ties.
         rank = F.struct("_mix_key", "_mix_tie", "_mix_size").alias("rank")
         edge = some.join(few(at), of_source & F.col("_mix_key").startswith(F.col("_mix_cell")))
@@ -224,7 +221,6 @@ def pareto_mix(
             .select("_mix_src", (F.col("rest") - F.col("got")).alias("gap")),
             "gaps",
         )
-        work.release()
         left = chosen.where("more = 0 and _mix_key is not null").drop("_mix_src", "_mix_cell", "_mix_cut")
         off = F.abs(F.col("_mix_size") - F.col("gap"))
         near = (

@@ -367,7 +367,6 @@ def _components(
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     with scratch(spark, "ngram-join") as work:
-        work.release()
         signed_docs = rows.mapInArrow(_sign(shingle, percent, n2), _DOC)
         # Signatures lie in one table until the buckets are known, then go.
         all_rows = work.table(signed_docs, "signed")
@@ -386,7 +385,6 @@ def _components(
         )
         work.drop(all_rows)
         del sigs, signed_docs
-        work.release()
 
         def sets_of(ids: DataFrame) -> DataFrame:
             """The sets of some classes, from the texts of one document each. Most classes have
@@ -395,7 +393,9 @@ def _components(
             few = known.join(broadcast_if_small(wanted), "id", "left_semi")
             carriers = work.table(few.select("doc_id", F.col("id").alias("want")), "carriers")
             texts = rows.join(broadcast_if_small(carriers), "doc_id").select("want", "text")
-            return work.table(texts.mapInArrow(_set_rows(shingle), "id long, hashes array<long>"), "sets")
+            sets = work.table(texts.mapInArrow(_set_rows(shingle), "id long, hashes array<long>"), "sets")
+            work.drop(wanted, carriers)
+            return sets
 
         # A sketch is a quarter of a kilobyte: this many rows make some 15 MB.
         small = known.count() <= 50_000
@@ -429,7 +429,10 @@ def _components(
             x, y = (sets.select(F.col("id").alias(k), F.col("hashes").alias(f"h{k}")) for k in "ab")
             both = may.join(x, "a").join(y, "b").withColumn("both", F.size(F.array_intersect("ha", "hb")))
             union = F.size("ha") + F.size("hb") - F.col("both")
-            return both.where(F.col("both") * 100 >= union * percent).select("a", "b").distinct()
+            links = both.where(F.col("both") * 100 >= union * percent).select("a", "b").distinct()
+            links = work.table(links, "links")
+            work.drop(may, sets)
+            return links
 
         def by_differences(mates: DataFrame) -> DataFrame:
             """Mates ``x, y`` of a leader ``c`` differ in as much as their differences from
@@ -457,6 +460,7 @@ def _components(
                 .select("lead", "e", "id", "comp")
             )
             heads = work.table(heads, "differences")
+            work.drop(sets)
             p = heads.select("lead", "e", F.col("id").alias("a"), F.col("comp").alias("ca"))
             q = heads.select("lead", "e", F.col("id").alias("b"), F.col("comp").alias("cb"))
             return p.join(q, ["lead", "e"]).where("a < b and ca <> cb").select("a", "b")
@@ -472,7 +476,6 @@ def _components(
             return near.union(by_differences(mates.join(broadcast_if_small(per), "lead", "left_semi")))
 
         comp = link_buckets(members, verify, work, refine, near=may_link)
-        work.release()
         # A class is a set of equal content: its smallest document, then the
         # smallest of the component's classes.
         least = doc.where("n > 0").groupBy("id").agg(F.min("doc_id").alias("d"), F.count(F.lit(1)).alias("k"))
@@ -482,6 +485,7 @@ def _components(
         low = work.table(several.groupBy("comp").agg(F.min("d").alias("component_id")), "least")
         by_class = several.join(broadcast_if_small(low), "comp").select("id", "comp", "component_id")
         by_class = work.table(by_class, "classes")
+        work.release()
         return doc.join(broadcast_if_small(by_class), doc["id"] == by_class["id"], "left").select(
             "doc_id",
             F.col("n").alias("n_shingles"),

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import lower_case, mix, prefix_sums, separated, signed, span_hashes, text_blocks, word_hashes, words
-from .common import own_names, scratch
+from .common import own_names, release, scratch
 
 #: Labelled rows of each label that the lexicon and the logistic model are fitted on.
 SAMPLE_PER_CLASS = 4000
@@ -612,6 +612,7 @@ def train(
             work.close()
         else:
             decoder, large = Decoder(log_p, np.zeros(0, np.int64)), table
+    release(docs.sparkSession)
     one = (
         labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("toxic"))
         .where("_id is not null and toxic in (0, 1)")
@@ -652,6 +653,7 @@ def train(
         .toArrow()
     )
     lexicon = Lexicon(marks.column("feature").to_numpy().view(_U), marks.column("weight").to_numpy())
+    release(docs.sparkSession)
     sums = rows.mapInArrow(_summaries(fit, lexicon), "x array<double>, toxic int").toArrow()
     x = np.array(sums.column("x").to_pylist()).reshape(-1, 4)
     y = sums.column("toxic").to_numpy().astype(float)
@@ -659,6 +661,7 @@ def train(
         return ToxicityModel(decoder, lexicon, None, large)
     # Weigh the sample's rows back to the share of their label.
     back = {k: n.get(k, 0) / max(taken[k], 1.0) for k in (0, 1)}
+    release(docs.sparkSession)
     return ToxicityModel(decoder, lexicon, _logistic(x, y, np.where(y == 1, back[1], back[0])), large)
 
 

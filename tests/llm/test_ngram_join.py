@@ -1,3 +1,4 @@
+import os
 import random
 
 import numpy as np
@@ -191,6 +192,28 @@ def test_no_component_goes_through_one_window(spark, make, monkeypatch):
     assert plans and not any("Window" in p for _, p in plans)
 
 
+def test_each_table_first_lets_go_what_came_before(spark, make, monkeypatch):
+    """A driver of 1500 MB ran out of memory on what steps had left behind; tables that a check
+    needs go with it."""
+    table_, release, calls, roots = Scratch.table, Scratch.release, [], set()
+
+    def noted(self, df, name):
+        calls.append(name)
+        roots.add(self.root)
+        return table_(self, df, name)
+
+    monkeypatch.setattr(Scratch, "table", noted)
+    monkeypatch.setattr(Scratch, "release", lambda self: calls.append(None) or release(self))
+    rows = family(random.Random(11), 12, 120, 3) + [(100, "x y z a b")]
+    got = components(make(rows), shingle=3, percent=90, n2=3)
+    assert {k: v[1] for k, v in got.items()} == jaccard_components({d: shingles(t, 3) for d, t in rows}, 90)
+    names = [i for i, c in enumerate(calls) if c]
+    assert len(names) > 10 and all(calls[i + 1 : i + 2] == [None] for i in names)
+    (root,) = roots
+    left = {x.split("-", 1)[1] for x in os.listdir(root.removeprefix("file:").replace("//", "/"))}
+    assert "classes" in left and not left & {"may", "wanted", "carriers", "sets", "direct", "refined", "star"}
+
+
 def test_parameters_are_checked(spark, make):
     with pytest.raises(ValueError):
         nj.ngram_components(make([]), percent=20)

@@ -233,3 +233,14 @@ def test_memory_of_tasks_is_a_few_blocks():
         peak = tracemalloc.get_traced_memory()[1]
         tracemalloc.stop()
         assert peak < 24e6
+
+
+def test_training_lets_go_of_its_steps(spark, monkeypatch):
+    """Driver's memory: what counting and fitting left behind goes before the next step."""
+    calls, release = [], tx.release
+    monkeypatch.setattr(tx, "release", lambda s: calls.append(s) or release(s))
+    rows = [(i, f"the cat sat {'idiot' if i % 5 == 0 else 'here'} on w{i % 50}") for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(100)], "doc_id long, toxic int")
+    model = tx.train(docs, labels)
+    assert len(calls) == 3 and isinstance(model, tx.ToxicityModel)
