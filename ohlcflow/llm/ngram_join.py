@@ -41,6 +41,7 @@ component_id. Extra columns are ignored. An empty table gives an empty result.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -50,7 +51,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .blocks import LOWER, mix, signed, text_blocks, word_hashes, words
-from .common import broadcast_if_small, bucket_members, link_buckets, own_names, scratch
+from .common import Scratch, broadcast_if_small, bucket_members, link_buckets, own_names, scratch
 
 #: Bits of the parity sketch.
 SKETCH_BITS = 2048
@@ -59,6 +60,10 @@ SKETCH_BITS = 2048
 WIDE_BITS, WIDE_FROM = 16_384, 2_500
 #: Mates of one leader whose sketches are compared in one task (some 9 MB, 40 MB if wide).
 MATES = 4096
+#: Signatures lie by value in so many columns, and up to ``ONE_SHUFFLE`` of them (some 14 bytes
+#: each) are dealt out at once; of more, one column after the other.
+SIG_COLUMNS = [f"sig{k}" for k in range(4)]
+ONE_SHUFFLE = 20_000_000
 #: Ratio of the largest to the smallest size of a band.
 BAND_RATIO = 1.5
 
@@ -211,7 +216,24 @@ def _lists(rows: list[int], width: int, n: int, values: np.ndarray) -> pa.ListAr
     return pa.ListArray.from_arrays(pa.array(np.cumsum(sizes, dtype=np.int32)), pa.array(values.ravel()))
 
 
-_DOC = "doc_id long, n long, id long, id2 long, sig array<long>, sketch array<long>, wide array<long>"
+_DOC = (
+    "doc_id long, n long, id long, id2 long, sigs long, "
+    + ", ".join(f"{c} array<long>" for c in SIG_COLUMNS)
+    + ", sketch array<long>, wide array<long>"
+)
+
+
+def _sig_columns(rows: list[int], idx: np.ndarray, sig: np.ndarray, n: int) -> list[pa.Array]:
+    """The number of signatures of each of ``n`` rows, and their lists, a column for each part of
+    the values; ``rows`` has the row of each set, in order."""
+    order = np.argsort(idx, kind="stable")
+    row, sig = np.array(rows, int)[idx[order]], sig[order]
+    part = sig % _U(len(SIG_COLUMNS))
+    out = [pa.array(np.bincount(row, minlength=n))]
+    for k in range(len(SIG_COLUMNS)):
+        ends = np.cumsum(np.bincount(row[part == k] + 1, minlength=n + 1), dtype=np.int32)
+        out.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(signed(sig[part == k]))))
+    return out
 
 
 def _sign(shingle: int, percent: int, n2: int):
@@ -233,12 +255,6 @@ def _sign(shingle: int, percent: int, n2: int):
                         new.append(r)
                 fresh = [sets[r] for r in new]
                 idx, sig = signatures(fresh, percent, n2)
-                order = np.argsort(idx, kind="stable")
-                idx, sig = idx[order], signed(sig[order])
-                cut = np.searchsorted(idx, np.arange(len(new) + 1))
-                per = np.zeros(len(sets) + 1, np.int32)
-                for q, r in enumerate(new):
-                    per[r + 1] = cut[q + 1] - cut[q]
                 long = [r for r in new if len(sets[r]) >= WIDE_FROM]
                 sketch = _lists(new, SKETCH_BITS // 64, len(sets), _sketches(fresh, SKETCH_BITS))
                 wide = _lists(long, WIDE_BITS // 64, len(sets), _sketches([sets[r] for r in long], WIDE_BITS))
@@ -248,16 +264,34 @@ def _sign(shingle: int, percent: int, n2: int):
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array(signed(f1)),
                         pa.array(signed(f2)),
-                        pa.ListArray.from_arrays(pa.array(np.cumsum(per, dtype=np.int32)), pa.array(sig)),
+                        *_sig_columns(new, idx, sig, len(sets)),
                         sketch,
                         wide,
                     ],
-                    names=["doc_id", "n", "id", "id2", "sig", "sketch", "wide"],
+                    names=["doc_id", "n", "id", "id2", "sigs", *SIG_COLUMNS, "sketch", "wide"],
                 )
 
     return run
 
 
+def _buckets(signed_rows: DataFrame, work: Scratch) -> DataFrame:
+    """The written ``bucket_members`` of all signatures of a written table.
+
+    The signatures and their shuffle are the most that the operator has on disk. A bucket's
+    signatures are in one column, so columns can be dealt out one after the other, each when
+    the shuffle of the one before is gone; buckets of two columns may have the same members."""
+
+    def members(columns: list[str]) -> DataFrame:
+        return bucket_members(signed_rows.select("id", F.explode(F.concat(*columns)).alias("sig")))
+
+    if (signed_rows.agg(F.sum("sigs")).first()[0] or 0) <= ONE_SHUFFLE:
+        return work.table(members(SIG_COLUMNS), "buckets")
+    parts = [work.table(members([c]), "part") for c in SIG_COLUMNS]
+    out = work.table(functools.reduce(DataFrame.union, parts).distinct(), "buckets")
+    work.drop(*parts)
+    return out
+
+
 def _set_rows(shingle: int):
     """Task function: the set of each wanted class, from a document that has it
     (an id that repeats with another text is passed over)."""
@@ -366,13 +400,12 @@ def _components(
         raise ValueError("n2 must be 2 at least")
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    with scratch(spark, "ngram-join") as work:
+    with scratch(spark, "ngram-join", shuffles_go=True) as work:
         signed_docs = rows.mapInArrow(_sign(shingle, percent, n2), _DOC)
         # Signatures lie in one table until the buckets are known, then go.
         all_rows = work.table(signed_docs, "signed")
         doc = work.table(all_rows.select("doc_id", "n", "id"), "documents")
-        sigs = all_rows.select("id", F.explode("sig").alias("sig"))
-        members = work.table(bucket_members(sigs), "buckets")
+        members = _buckets(all_rows, work)
         mates = work.table(members.select("id").distinct(), "mates")
         # Of each set that has a mate: its size, sketch and one document.
         known = work.table(
@@ -384,7 +417,7 @@ def _components(
             "sketches",
         )
         work.drop(all_rows)
-        del sigs, signed_docs
+        del signed_docs
 
         def sets_of(ids: DataFrame) -> DataFrame:
             """The sets of some classes, from the texts of one document each. Most classes have

@@ -214,6 +214,50 @@ def test_each_table_first_lets_go_what_came_before(spark, make, monkeypatch):
     assert "classes" in left and not left & {"may", "wanted", "carriers", "sets", "direct", "refined", "star"}
 
 
+def test_many_signatures_are_dealt_out_in_parts(spark, make, monkeypatch):
+    """Disk: of many signatures, no shuffle has more than a part, and it goes when its table is
+    written; the buckets are those of all signatures at once."""
+    bucket_members, table_, dealt, tables = nj.bucket_members, Scratch.table, [], {}
+
+    def parts(sigs):
+        dealt.append(sigs)
+        return bucket_members(sigs)
+
+    def noted(self, df, name):
+        out = table_(self, df, name)
+        if name in ("signed", "buckets"):
+            tables[name] = out.collect()
+        if name in ("part", "buckets"):
+            tables.setdefault("go", []).append((name, self.shuffles_go))
+        return out
+
+    monkeypatch.setattr(nj, "bucket_members", parts)
+    monkeypatch.setattr(Scratch, "table", noted)
+    rows = [(100 * k + d, t.replace("b", f"b{k}_")) for k in range(3) for d, t in family(random.Random(k), 12, 150, 2 + k)]
+    rows += [(900 + i, f"own {i} text {i} of a few {i} words") for i in range(40)] + [(950, None), (951, "")]
+    want = jaccard_components({d: shingles(t or "", 3) for d, t in rows}, 90)
+
+    def buckets():
+        dealt.clear()
+        tables.clear()
+        got = components(make(rows), shingle=3, percent=90, n2=3)
+        assert {d: c for d, (_, c) in got.items()} == want
+        return sorted(map(tuple, tables["buckets"]))
+
+    at_once = buckets()
+    assert len(dealt) == 1 and tables["go"] == [("buckets", True)] and at_once
+    monkeypatch.setattr(nj, "ONE_SHUFFLE", 0)
+    # What is dealt out is read from tables that go: its size is taken when it is.
+    sizes = []
+    monkeypatch.setattr(nj, "bucket_members", lambda sigs: sizes.append(sigs.count()) or parts(sigs))
+    assert buckets() == at_once
+    n = len(nj.SIG_COLUMNS)
+    signed = sum(r["sigs"] for r in tables["signed"])
+    assert len(sizes) == n > 2 and sum(sizes) == signed and max(sizes) < signed * 2 / n
+    assert all(r["sigs"] == sum(len(r[c]) for c in nj.SIG_COLUMNS) for r in tables["signed"])
+    assert tables["go"] == [("part", True)] * n + [("buckets", True)]
+
+
 def test_parameters_are_checked(spark, make):
     with pytest.raises(ValueError):
         nj.ngram_components(make([]), percent=20)
