@@ -51,7 +51,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .blocks import LOWER, mix, signed, text_blocks, word_hashes, words
-from .common import Scratch, broadcast_if_small, bucket_members, link_buckets, own_names, scratch
+from .common import Scratch, broadcast_if_small, bucket_members, link_buckets, own_names, scratch, shuffle_width
 
 #: Bits of the parity sketch.
 SKETCH_BITS = 2048
@@ -281,12 +281,13 @@ def _buckets(signed_rows: DataFrame, work: Scratch) -> DataFrame:
     signatures are in one column, so columns can be dealt out one after the other, each when
     the shuffle of the one before is gone; buckets of two columns may have the same members."""
 
-    def members(columns: list[str]) -> DataFrame:
-        return bucket_members(signed_rows.select("id", F.explode(F.concat(*columns)).alias("sig")))
-
     if (signed_rows.agg(F.sum("sigs")).first()[0] or 0) <= ONE_SHUFFLE:
-        return work.table(members(SIG_COLUMNS), "buckets")
-    parts = [work.table(members([c]), "part") for c in SIG_COLUMNS]
+        sigs = signed_rows.select("id", F.explode(F.concat(*SIG_COLUMNS)).alias("sig"))
+        return work.table(bucket_members(sigs), "buckets")
+    # As many signatures a task as in one shuffle: an id's are packed together, copies fall away early.
+    width = -(-shuffle_width(work.spark) // len(SIG_COLUMNS))
+    each = (signed_rows.select("id", F.explode(c).alias("sig")).repartition(width, "sig") for c in SIG_COLUMNS)
+    parts = [work.table(bucket_members(sigs), "part") for sigs in each]
     out = work.table(functools.reduce(DataFrame.union, parts).distinct(), "buckets")
     work.drop(*parts)
     return out
